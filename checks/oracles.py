@@ -7,6 +7,7 @@ shares no shape with the Spark plans it checks.
 
 from obsengine.operators.staging import STAGING_COLUMNS
 from obsengine.plans import no2, o3
+from obsengine.sources.snapshots import SNAPSHOTS
 from obsengine.sources.trade import RAW_TABLES, VALUE_LISTS
 
 SERIES = "cod_ubic, cod_conf, sigla_param"
@@ -313,6 +314,242 @@ def _staged(name: str) -> str:
     return f"select {distinct}{', '.join(parts)} from {source}"
 
 
+def _snapshot_ctes(**names: str) -> str:
+    return ", ".join(f"{alias} as ({SNAPSHOTS[name]})" for alias, name in names.items())
+
+
+def _is(a: str, b: str) -> str:
+    return f"{a} is not distinct from {b}"
+
+
+def _diff(
+    before: str,
+    after: str,
+    keys: list[str],
+    data: list[str],
+    added: tuple = (),
+    dropped: tuple = (),
+    match: dict | None = None,
+    same: dict | None = None,
+    keep: str = "action <> ''",
+    show_keys: bool = True,
+) -> str:
+    """Linked pairs, then deletes, then inserts; ``match`` and ``same`` override tests."""
+    match, same = match or {}, same or {}
+    side_key = {k: match.get(k, "{}." + k) for k in keys}
+    partition = ", ".join(side_key[k].format("t") for k in keys)
+    on = " and ".join(_is(side_key[k].format("l"), side_key[k].format("r")) for k in keys)
+    changed = {c: f"not ({same.get(c, _is('l.' + c, 'r.' + c))})" for c in data}
+    filled = " or ".join(f"coalesce(r.{c} <> '', false)" for c in added) or "false"
+    listed = ", ".join(f"case when {t} then '{c}' end" for c, t in changed.items())
+
+    def cells(old: bool, new: bool) -> str:
+        parts = [f"{'r' if new else 'l'}.{k}" for k in keys] if show_keys else []
+        for c in data:
+            parts += [f"{'l.' + c if old else 'null'} as old_{c}"]
+            parts += [f"{'r.' + c if new else 'null'} as new_{c}"]
+        parts += [f"{'r.' + c if new else 'null'} as new_{c}" for c in added]
+        parts += [f"{'l.' + c if old else 'null'} as old_{c}" for c in dropped]
+        return ", ".join(parts)
+
+    return f"""with before as ({before}), after as ({after}),
+    l1 as (select *, count(*) over (partition by {partition}) as n_key from before t),
+    r1 as (select *, count(*) over (partition by {partition}) as n_key from after t),
+    linked as (
+      select case when {" or ".join(changed.values())} then '->' when {filled} then '+' else '' end
+          as action, {cells(True, True)}, concat_ws(',', {listed}) as changed
+      from l1 l join r1 r on {on} and l.n_key = 1 and r.n_key = 1),
+    deleted as (
+      select '---' as action, {cells(True, False)}, '' as changed from l1 l
+      where n_key > 1 or not exists (select 1 from r1 r where r.n_key = 1 and {on})),
+    inserted as (
+      select '+++' as action, {cells(False, True)}, '' as changed from r1 r
+      where n_key > 1 or not exists (select 1 from l1 l where l.n_key = 1 and {on})),
+    diff as (select * from linked union all by name select * from deleted
+      union all by name select * from inserted)
+    select * from diff where {keep}"""
+
+
+_ORDER_DATA = ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+DIFF_KEYED = _diff(
+    SNAPSHOTS["orders_before"], SNAPSHOTS["orders_after"], ["o_orderkey"], _ORDER_DATA, ("note",)
+)
+_RENAMED = SNAPSHOTS["orders_before"].replace("o_totalprice,", "o_totalprice as price,")
+DIFF_RESHAPED = _diff(
+    _RENAMED, SNAPSHOTS["orders_reshaped"], ["o_orderkey"],
+    ["o_custkey", "o_orderstatus", "price", "o_orderdate"], ("note",), ("o_orderpriority",),
+)
+
+_FAMILY = _snapshot_ctes(p="orders_before", l="orders_local", r="orders_remote")
+
+
+def _diff3() -> str:
+    changed = {c: f"(p.o_orderkey is not null and not ({_is('p.' + c, 'r.' + c)}))" for c in _ORDER_DATA}
+    clash = {
+        c: f"({t} and not ({_is('p.' + c, 'l.' + c)}) and not ({_is('r.' + c, 'l.' + c)}))"
+        for c, t in changed.items()
+    }
+    cells = ", ".join(f"{s}.{c} as {n}_{c}" for c in _ORDER_DATA
+                      for s, n in (("p", "parent"), ("l", "local"), ("r", "remote")))
+    lists = ", ".join(
+        "concat_ws(',', "
+        + ", ".join(f"case when {t} then '{c}' end" for c, t in tests.items())
+        + f") as {name}"
+        for name, tests in (("changed", changed), ("conflicts", clash))
+    )
+    nothing = ", ".join(f"null as parent_{c}, null as local_{c}, r.{c} as remote_{c}" for c in _ORDER_DATA)
+    gone = ", ".join(f"p.{c} as parent_{c}, l.{c} as local_{c}, null as remote_{c}" for c in _ORDER_DATA)
+    return f"""with {_FAMILY},
+    based as (
+      select case when {" or ".join(clash.values())} then '!->'
+          when {" or ".join(changed.values())} then '->'
+          when coalesce(r.remote_note <> '', false) then '+' end as action,
+        p.o_orderkey, {cells}, r.remote_note as remote_remote_note, {lists}
+      from p join r on p.o_orderkey = r.o_orderkey left join l on p.o_orderkey = l.o_orderkey),
+    deleted as (
+      select '---' as action, p.o_orderkey, {gone}, null as remote_remote_note,
+        '' as changed, '' as conflicts
+      from p join l on p.o_orderkey = l.o_orderkey
+      where p.o_orderkey not in (select o_orderkey from r)),
+    inserted as (
+      select '+++' as action, r.o_orderkey, {nothing}, r.remote_note as remote_remote_note,
+        '' as changed, '' as conflicts
+      from r where r.o_orderkey not in (select o_orderkey from p))
+    select * from based where action is not null
+    union all by name select * from deleted union all by name select * from inserted"""
+
+
+def _merge3() -> str:
+    merged, clashes = [], []
+    for c in _ORDER_DATA:
+        p, mine, theirs = f"p.{c}", f"l.{c}", f"r.{c}"
+        clash = f"not ({_is(p, mine)}) and not ({_is(p, theirs)}) and not ({_is(mine, theirs)})"
+        text = " || ".join([
+            "'((( '", f"coalesce({p}::varchar, '')", "' ))) '", f"coalesce({mine}::varchar, '')",
+            "' /// '", f"coalesce({theirs}::varchar, '')",
+        ])
+        merged.append(
+            f"case when {clash} then {text} when {_is(p, mine)} then {theirs}::varchar"
+            f" else {mine}::varchar end as {c}"
+        )
+        clashes.append(f"(case when {clash} then 1 else 0 end)")
+    plain = ", ".join(f"{c}::varchar as {c}" for c in ["o_orderkey", *_ORDER_DATA])
+    return f"""with {_FAMILY}
+    select p.o_orderkey::varchar as o_orderkey, {", ".join(merged)}, l.local_note, r.remote_note,
+      cast({" + ".join(clashes)} as int) as conflict_count
+    from p join l on p.o_orderkey = l.o_orderkey join r on p.o_orderkey = r.o_orderkey
+    union all by name
+    select {plain}, local_note, null as remote_note, 0 as conflict_count from l
+      where o_orderkey not in (select o_orderkey from p)
+    union all by name
+    select {plain}, null as local_note, remote_note, 0 as conflict_count from r
+      where o_orderkey not in (select o_orderkey from p)"""
+
+
+_ACCOUNT = ["c_acctbal", "c_mktsegment", "c_nationkey"]
+
+
+def _keyless() -> str:
+    """Each column set in turn, written out; rows are numbered for the linking."""
+    ctes = [
+        _snapshot_ctes(a0="accounts_before", b0="accounts_after"),
+        "a as (select *, row_number() over () as id from a0)",
+        "b as (select *, row_number() over () as id from b0)",
+        "size as (select greatest((select count(*) from a), (select count(*) from b)) + 1 + 20 as h)",
+    ]
+    sets = range(1, 2 ** len(_ACCOUNT))
+    for mask in sets:
+        chosen = [c for at, c in enumerate(_ACCOUNT) if mask >> at & 1]
+        text = " || ' // ' || ".join(f"coalesce({c}::varchar, '')" for c in chosen)
+        for side in "ab":
+            ctes.append(
+                f"{side}{mask}k as (select id, {text} as k, count(*) over (partition by {text}) as n"
+                f" from {side})"
+            )
+        earlier = "".join(
+            f" and a.id not in (select ida from link{m}) and b.id not in (select idb from link{m})"
+            for m in range(1, mask)
+        )
+        ctes.append(
+            f"""link{mask} as (
+            select a.id as ida, b.id as idb from a{mask}k a join b{mask}k b on a.k = b.k
+            where a.n = 1 and b.n = 1 and greatest((select max(n) from a{mask}k),
+              (select max(n) from b{mask}k)) < 0.1 * (select h from size){earlier})"""
+        )
+    ctes.append(
+        "links as (" + " union all ".join(f"select * from link{m}" for m in sets) + ")"
+    )
+    both = ", ".join(f"a.{c} as old_{c}, b.{c} as new_{c}" for c in _ACCOUNT)
+    listed = ", ".join(
+        f"case when a.{c} is distinct from b.{c} then '{c}' end" for c in _ACCOUNT
+    )
+    differs = " or ".join(f"a.{c} is distinct from b.{c}" for c in _ACCOUNT)
+    old = ", ".join(f"{c} as old_{c}, null as new_{c}" for c in _ACCOUNT)
+    new = ", ".join(f"null as old_{c}, {c} as new_{c}" for c in _ACCOUNT)
+    return "with " + ",\n".join(ctes) + f"""
+    select '->' as action, {both}, concat_ws(',', {listed}) as changed
+    from links join a on a.id = ida join b on b.id = idb where {differs}
+    union all by name
+    select '---' as action, {old}, '' as changed from a where id not in (select ida from links)
+    union all by name
+    select '+++' as action, {new}, '' as changed from b where id not in (select idb from links)"""
+
+
+def _plain(cell: str) -> str:
+    return f"lower(trim({cell}))"
+
+
+_LOOSE = {
+    "o_totalprice": "coalesce(abs(l.o_totalprice - r.o_totalprice) < 0.01, false)"
+    " or l.o_totalprice is not distinct from r.o_totalprice",
+    "o_orderstatus": _is(_plain("l.o_orderstatus"), _plain("r.o_orderstatus")),
+}
+
+_COLUMN_MARKS = [
+    ("o_orderkey", "", "bigint", "bigint"),
+    ("o_orderdate", ":", "timestamp_ntz", "timestamp_ntz"),
+    ("o_custkey", "", "bigint", "bigint"),
+    ("o_orderstatus", "", "string", "string"),
+    ("price", "(o_totalprice)", "double", "double"),
+    ("note", "+++", None, "string"),
+    ("o_orderpriority", "---", "string", None),
+]
+
+DIFF_SCHEMA = f"""with marks(column_name, marker, old_type, new_type) as (values {
+    ", ".join("(" + ", ".join("null" if v is None else _text(v) for v in row) + ")"
+              for row in _COLUMN_MARKS)
+}), cells as (select unnest(string_split(changed, ',')) as column_name from ({DIFF_RESHAPED})
+    where action = '->')
+select m.*, (select count(*) from cells c where c.column_name = m.column_name) as changed_cells
+from marks m"""
+
+DIFF_SUMMARY = f"""with changes as ({DIFF_RESHAPED}), counts as (
+  select cast(count(*) filter (action = '+++') as bigint) as row_inserts,
+    cast(count(*) filter (action = '---') as bigint) as row_deletes,
+    cast(count(*) filter (action = '->') as bigint) as row_updates,
+    (select count(distinct u) from (select unnest(string_split(changed, ',')) as u from changes
+      where action = '->')) as col_updates,
+    (select count(*) from ({SNAPSHOTS["orders_before"]})) as row_count_initial,
+    (select count(*) from ({SNAPSHOTS["orders_reshaped"]})) as row_count_final
+  from changes)
+select *, 1::bigint as col_inserts, 1::bigint as col_deletes, 1::bigint as col_renames,
+  1::bigint as col_reorders, 6::bigint as col_count_initial, 6::bigint as col_count_final,
+  true as different from counts"""
+
+_CONTEXT_DIFF = _diff(
+    SNAPSHOTS["orders_all"], SNAPSHOTS["orders_corrected"], ["o_orderkey"], _ORDER_DATA,
+    keep="true",
+)
+DIFF_CONTEXT = f"""with dated as (
+    select action, o_orderkey, coalesce(new_o_orderdate, old_o_orderdate) as order_day
+    from ({_CONTEXT_DIFF})),
+  placed as (select *, row_number() over w - 1 as position,
+      max(case when action <> '' then 1 else 0 end)
+        over (order by order_day, o_orderkey rows between 1 preceding and 1 following) as near
+    from dated window w as (order by order_day, o_orderkey))
+select cast(position as bigint) as position, action, o_orderkey, order_day from placed where near = 1"""
+
 ORACLES: dict[str, str] = {
     "level_filter": _query(
         ROWS, levelled(),
@@ -416,4 +653,44 @@ ORACLES: dict[str, str] = {
         select l_orderkey, l_linenumber, count(*) as n_rows from lineitem
         group by l_orderkey, l_linenumber having count(*) > 1""",
     **{f"stage_{name}": _staged(name) for name in RAW_TABLES},
+    "diff_keyed": DIFF_KEYED,
+    "diff_acts": _diff(
+        SNAPSHOTS["orders_before"], SNAPSHOTS["orders_after"], ["o_orderkey"],
+        [c for c in _ORDER_DATA if c != "o_orderstatus"], ("note",), keep="action in ('->', '+')",
+    ),
+    "diff_duplicate_keys": _diff(
+        SNAPSHOTS["orders_before"], SNAPSHOTS["orders_after"], ["o_custkey"],
+        ["o_orderkey", *_ORDER_DATA[1:]], ("note",),
+    ),
+    "diff_normalised_key": _diff(
+        SNAPSHOTS["customers_before"], SNAPSHOTS["customers_after"], ["c_name", "c_nationkey"],
+        ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
+        match={"c_name": "lower(trim({}.c_name))"},
+        same={"c_name": _is(_plain("l.c_name"), _plain("r.c_name"))},
+    ),
+    "diff_epsilon": _diff(
+        SNAPSHOTS["orders_all"], SNAPSHOTS["orders_reformatted"], ["o_orderkey"], _ORDER_DATA,
+        same=_LOOSE,
+    ),
+    "diff_schema": DIFF_SCHEMA,
+    "diff_summary": DIFF_SUMMARY,
+    "diff3": _diff3(),
+    "merge3": _merge3(),
+    "apply_patch": SNAPSHOTS["orders_after"],
+    "diff_keyless": _keyless(),
+    "diff_context": DIFF_CONTEXT,
+    "drop_blank_rows": f"""select flag, status from ({SNAPSHOTS["lines_with_blanks"]})
+        where flag is not null""",
+    "drop_trailing_blank_rows": f"""with lines as ({SNAPSHOTS["lines_with_blanks"]})
+        select * from lines
+        where l_quantity <= (select max(l_quantity) from lines where flag is not null)""",
+    "ingest_tables": """
+        select o_orderkey, o_orderdate, o_totalprice, c_name, n_name
+        from orders join customer on o_custkey = c_custkey
+        join nation on c_nationkey = n_nationkey""",
+    "format_roundtrip": """
+        select c.*, f.format from customer c
+        cross join (values ('csv'), ('tsv'), ('ssv'), ('psv'), ('ndjson')) as f(format)""",
+    "layers_daily": f"select * from ({O3_DAILY}) union all select * from ({NO2_DAILY})",
+    "layers_annual": f"select * from ({O3_ANNUAL}) union all select * from ({NO2_ANNUAL})",
 }

@@ -1,6 +1,7 @@
 """The registered queries: every operator over whole tables."""
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -26,12 +27,25 @@ from obsengine.operators.quality import duplicate_keys
 from obsengine.operators.rolling import moving_mean
 from obsengine.operators.spine import gap_fill, spine_hours
 from obsengine.operators.staging import STAGING_COLUMNS, stage
+from obsengine.operators.tablediff.columns import column_changes
+from obsengine.operators.tablediff.compare import diff_columns, diff_rows, diff_summary
+from obsengine.operators.tablediff.context import drop_blank_rows, with_context
+from obsengine.operators.tablediff.equality import Equality
+from obsengine.operators.tablediff.keyless import diff_keyless
+from obsengine.operators.tablediff.merge import diff3, merge3, with_conflict_texts
+from obsengine.operators.tablediff.patch import apply_patch
+from obsengine.plans.layers import build_layers
 from obsengine.plans.marts import fct_annual, fct_daily
 from obsengine.plans.no2 import DAILY_INDICATORS as NO2_DAILY
 from obsengine.plans.no2 import no2_annual, no2_daily, nox_annual
 from obsengine.plans.o3 import o3_annual, o3_daily
 from obsengine.schema import LEVEL, SERIES
+from obsengine.session import fresh_folder
 from obsengine.sources import events as ev
+from obsengine.sources.formats import SEPARATORS, read_table, write_table
+from obsengine.sources.snapshots import snapshot
+from obsengine.sources.stores import FolderStore
+from obsengine.sources.tables import ingest_tables, load_tables
 from obsengine.sources.trade import RAW_TABLES, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,6 +235,137 @@ def q_dq_unique_key(spark, folder):
     return duplicate_keys(ev.table(spark, folder, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
+ORDER_KEY = ["o_orderkey"]
+
+
+def _pair(spark, folder, before="orders_before", after="orders_after"):
+    return snapshot(spark, folder, before), snapshot(spark, folder, after)
+
+
+def q_diff_keyed(spark, folder):
+    return diff_rows(*_pair(spark, folder), ORDER_KEY)
+
+
+def q_diff_acts(spark, folder):
+    return diff_rows(
+        *_pair(spark, folder), ORDER_KEY, ignore=["o_orderstatus"], acts=["update", "column"]
+    )
+
+
+def q_diff_duplicate_keys(spark, folder):
+    return diff_rows(*_pair(spark, folder), ["o_custkey"])
+
+
+def q_diff_normalised_key(spark, folder):
+    before, after = _pair(spark, folder, "customers_before", "customers_after")
+    plain = Equality(ignore_whitespace=True, ignore_case=True)
+    return diff_rows(before, after, ["c_name", "c_nationkey"], equality=plain, text_keys=True)
+
+
+def q_diff_epsilon(spark, folder):
+    loose = Equality(epsilon=0.01, ignore_whitespace=True, ignore_case=True)
+    return diff_rows(
+        *_pair(spark, folder, "orders_all", "orders_reformatted"), ORDER_KEY, equality=loose
+    )
+
+
+def q_diff_schema(spark, folder):
+    before, after = _pair(spark, folder, after="orders_reshaped")
+    renames = {"o_totalprice": "price"}
+    diff = diff_rows(before, after, ORDER_KEY, renames=renames)
+    return diff_columns(diff, column_changes(before, after, renames))
+
+
+def q_diff_summary(spark, folder):
+    before, after = _pair(spark, folder, after="orders_reshaped")
+    return diff_summary(before, after, ORDER_KEY, renames={"o_totalprice": "price"})
+
+
+def _family(spark, folder):
+    return [snapshot(spark, folder, f"orders_{n}") for n in ("before", "local", "remote")]
+
+
+def q_diff3(spark, folder):
+    return diff3(*_family(spark, folder), ORDER_KEY)
+
+
+def q_merge3(spark, folder):
+    return with_conflict_texts(merge3(*_family(spark, folder), ORDER_KEY))
+
+
+def q_apply_patch(spark, folder):
+    before, after = _pair(spark, folder)
+    changes = column_changes(before, after)
+    return apply_patch(before, diff_rows(before, after, ORDER_KEY), ORDER_KEY, changes)
+
+
+def q_diff_keyless(spark, folder):
+    return diff_keyless(*_pair(spark, folder, "accounts_before", "accounts_after"))
+
+
+def q_diff_context(spark, folder):
+    rows = diff_rows(
+        *_pair(spark, folder, "orders_all", "orders_corrected"), ORDER_KEY, keep_equal=True
+    )
+    day = F.coalesce("new_o_orderdate", "old_o_orderdate")
+    dated = rows.withColumn("order_day", day)
+    placed = with_context(dated, ["order_day", *ORDER_KEY])
+    return placed.select("position", "action", *ORDER_KEY, "order_day")
+
+
+def q_drop_blank_rows(spark, folder):
+    lines = snapshot(spark, folder, "lines_with_blanks")
+    return drop_blank_rows(lines.select("flag", "status"))
+
+
+def q_drop_trailing_blank_rows(spark, folder):
+    return drop_blank_rows(snapshot(spark, folder, "lines_with_blanks"), order_by="l_quantity")
+
+
+def q_ingest_tables(spark, folder):
+    names = ["nation", "customer", "orders"]
+    base = fresh_folder(spark, "landed")
+    ingest_tables(lambda name: ev.table(spark, folder, name), base, names)
+    landed = load_tables(spark, base, names)
+    return (
+        landed["orders"]
+        .join(landed["customer"], F.col("o_custkey") == F.col("c_custkey"))
+        .join(landed["nation"], F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("o_orderkey", "o_orderdate", "o_totalprice", "c_name", "n_name")
+    )
+
+
+def q_format_roundtrip(spark, folder):
+    customers = ev.table(spark, folder, "customer")
+    base = fresh_folder(spark, "formats")
+    parts = []
+    for kind in [*SEPARATORS, "ndjson"]:
+        path = write_table(customers, f"{base}/customer.{kind}")
+        parts.append(
+            read_table(spark, path, customers.schema).withColumn("format", F.lit(kind))
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _layers(spark, folder):
+    events = _events(spark, folder)
+    raw = {
+        "rqa_dati_aria_cor": ev.raw_measurements(events),
+        "rqa_configurazioni": ev.raw_configurations(events),
+        "rqa_parametri": ev.raw_parameters(events),
+    }
+    store = FolderStore(spark, fresh_folder(spark, "layers"))
+    return build_layers(raw, store, ev.EVENTS_START, ev.EVENTS_END)
+
+
+def q_layers_daily(spark, folder):
+    return _layers(spark, folder)["fct_daily"]
+
+
+def q_layers_annual(spark, folder):
+    return _layers(spark, folder)["fct_annual"]
+
+
 QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): function
     for name, function in list(globals().items())
