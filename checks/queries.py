@@ -85,7 +85,7 @@ def q_exceedance_counts(spark, folder):
 
 
 def q_consecutive_3h(spark, folder):
-    hours = level_hours(_observations(spark, folder, "O3"), "O3", "data_day", unique_hours=True)
+    hours = level_hours(_observations(spark, folder, "O3"), "O3", "data_day")
     flag = exceeds(F.col("val_param"), 240)
     run = consecutive_sum(F.col("flag"), SERIES + ["data_day", LEVEL], ["data_da"])
     return hours.withColumn("flag", flag).select(
@@ -94,8 +94,8 @@ def q_consecutive_3h(spark, folder):
 
 
 def _no2_figures(spark, folder):
-    hours = level_hours(_observations(spark, folder, "NO2"), "NO2", "data_day", unique_hours=True)
-    daily = daily_figures(hours, [200], 400)
+    prep = _observations(spark, folder, "NO2")
+    daily = daily_figures(prep, "NO2", [200], 400, unique_hours=True)
     return with_year_to_date(
         daily,
         {"ytd_over_200": F.col("count_over_200"), "ytd_count_val": F.col("count_val_param")},
@@ -181,7 +181,8 @@ def q_nox_annual(spark, folder):
 def q_annual_stats(spark, folder):
     rows = ev.event_measurements(_events(spark, folder, "O3"))
     figures = annual_figures(
-        level_hours(rows, "O3", "anno"),
+        rows,
+        "O3",
         [100, 180],
         percentiles={"p98_val_param": 0.98, "median_val_param": 0.5},
         stddev_digits=2,

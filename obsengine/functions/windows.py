@@ -14,22 +14,25 @@ def consecutive_sum(flag: Column, partition: list, order: list, steps: int = 3)
     return F.sum(flag).over(w)
 
 
-def run_hits(flag: Column, copies: Column | None, w: WindowSpec) -> Column:
-    """How many rows of this block end a run of three flagged rows.
+def run_hits(zeros: Column, ones: Column, w: WindowSpec) -> Column:
+    """How many rows end a run of three flagged rows, for rows merged by time.
 
-    A block is ``copies`` equal rows (``None``: one).  The two rows before the
-    block are found with ``lag``, whatever the size of the earlier blocks, so a
-    heap of copies costs one window row.
+    Each window row stands for ``zeros`` unflagged and then ``ones`` flagged rows.
+    Only the last two rows before matter, so two steps back are enough whatever
+    the counts are.
     """
-    last = F.coalesce(F.lag(flag, 1).over(w), F.lit(0))
-    if copies is None:
-        second = F.coalesce(F.lag(flag, 2).over(w), F.lit(0))
-        return (flag * last * second).cast("bigint")
-    second = F.when(F.lag(copies, 1).over(w) >= 2, last).otherwise(
-        F.coalesce(F.lag(flag, 2).over(w), F.lit(0))
+    none = F.lit(0)
+    last_ones = F.coalesce(F.lag(ones, 1).over(w), none)
+    last_zeros = F.coalesce(F.lag(zeros, 1).over(w), none)
+    ones_before = F.coalesce(F.lag(ones, 2).over(w), none)
+    carried = (
+        F.when(last_ones >= 2, 2)
+        .when((last_ones == 1) & ((last_zeros > 0) | (ones_before == 0)), 1)
+        .when(last_ones == 1, 2)
+        .otherwise(0)
     )
-    carried = last * (1 + second)
-    return F.when(flag == 1, F.greatest(F.lit(0), copies - 2 + carried)).otherwise(0).cast("bigint")
+    run = ones + F.when(zeros == 0, carried).otherwise(0)
+    return F.when(ones > 0, F.greatest(none, run - 2)).otherwise(none).cast("bigint")
 
 
 def year_to_date(partition: list, day: str) -> WindowSpec:

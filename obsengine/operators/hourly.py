@@ -1,6 +1,13 @@
-"""Hourly measurements per level, and their daily and annual figures."""
+"""Hourly measurements per level, and their daily and annual figures.
 
-from collections.abc import Sequence
+``unique_hours=True`` states that a series has at most one row per time (see
+``operators.quality.has_unique_hours``).  A series then has at most 24 hourly rows
+a day and 8784 a year, so rows are shuffled once, to their series and period, and
+all else happens there.  Without that statement equal times are merged by a
+pre-aggregation, so that no series, day or heap of copies is ever gathered.
+"""
+
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -8,9 +15,11 @@ from pyspark.sql import functions as F
 from obsengine.functions.scalar import elapsed_days, theoretical_hours
 from obsengine.functions.windows import run_hits, year_to_date
 from obsengine.operators.levels import LEVELS, Level, explode_levels, in_any_level
+from obsengine.operators.percentiles import exact_percentiles, join_same_groups
 from obsengine.schema import LEVEL, SERIES
 
 _CODES = ["cod_valid", "cod_validaz", "cod_validaz_reg"]
+_YEAR_KEYS = [*SERIES, "anno", LEVEL]
 
 
 def exceeds(value: Column, threshold: float) -> Column:
@@ -18,75 +27,84 @@ def exceeds(value: Column, threshold: float) -> Column:
     return F.when(F.round(value) > threshold, F.lit(1)).otherwise(F.lit(0))
 
 
+def _rows_of(prep: DataFrame, pollutant: str, levels: Sequence[Level]) -> DataFrame:
+    return (
+        prep.filter((F.col("sigla_param") == pollutant) & in_any_level(levels))
+        .select(*SERIES, "data_da", "val_param", *_CODES)
+        .withColumn("data_day", F.col("data_da").cast("date"))
+        .withColumn("anno", F.year("data_da"))
+    )
+
+
 def level_hours(
-    prep: DataFrame,
-    pollutant: str,
-    near: str,
-    levels: Sequence[Level] = LEVELS,
-    unique_hours: bool = False,
+    prep: DataFrame, pollutant: str, near: str, levels: Sequence[Level] = LEVELS
 ) -> DataFrame:
     """Measurements of a pollutant, one row per level, placed by series and ``near``.
 
-    ``near`` is ``data_day`` or ``anno``: everything computed later within a
-    series and that period then needs no further shuffle.  The rows are placed
-    before they are repeated per level.  Equal rows are merged into one with
-    their number in ``copies``, pre-aggregated before the shuffle, so that a heap
-    of copies never lands in one task; ``unique_hours=True`` states that the
-    series hours are unique (see ``operators.quality``) and saves that step.
+    ``near`` is ``data_day`` or ``anno``.  The rows are placed before they are
+    repeated per level, and windows and groups within that period need no further
+    shuffle.
     """
-    rows = prep.filter((F.col("sigla_param") == pollutant) & in_any_level(levels)).select(
-        *SERIES, "data_da", "val_param", *_CODES
-    )
-    if not unique_hours:
-        rows = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
-    placed = (
-        rows.withColumn("data_day", F.col("data_da").cast("date"))
-        .withColumn("anno", F.year("data_da"))
-        .repartition(*SERIES, near)
-    )
+    placed = _rows_of(prep, pollutant, levels).repartition(*SERIES, near)
     return explode_levels(placed, levels).drop(*_CODES)
 
 
-def _copies(hours: DataFrame) -> Column | None:
-    return F.col("copies") if "copies" in hours.columns else None
-
-
-def _sum_of(value: Column, copies: Column | None) -> Column:
-    return F.sum(value if copies is None else value * copies).cast("bigint")
-
-
-def _count_of(value: Column, copies: Column | None) -> Column:
-    if copies is None:
-        return F.count(value)
-    return F.coalesce(F.sum(F.when(value.isNotNull(), copies)), F.lit(0).cast("bigint"))
+def _one_row_figures(thresholds: Sequence[int], run_threshold: int | None) -> dict[str, Column]:
+    value = F.col("val_param")
+    figures = {"n": value.isNotNull().cast("bigint"), "top": F.round(value)}
+    figures |= {f"over_{t}": exceeds(value, t).cast("bigint") for t in thresholds}
+    if run_threshold is not None:
+        figures["ones"] = exceeds(value, run_threshold).cast("bigint")
+        figures["zeros"] = 1 - figures["ones"]
+    return figures
 
 
-def _with_run_hits(hours: DataFrame, threshold: float, also: Sequence[str] = ()) -> DataFrame:
-    """Add ``hits``: ends of runs of three rows of a day over the threshold."""
-    day = Window.partitionBy(*SERIES, *also, "data_day", LEVEL).orderBy("data_da", "val_param")
-    flagged = hours.withColumn("over_run", exceeds(F.col("val_param"), threshold))
-    return flagged.withColumn("hits", run_hits(F.col("over_run"), _copies(hours), day))
+def _day_window(*more: str):
+    return Window.partitionBy(*SERIES, *more, "data_day", LEVEL).orderBy("data_da")
 
 
 def daily_figures(
-    hours: DataFrame, thresholds: Sequence[int], run_threshold: int
+    prep: DataFrame,
+    pollutant: str,
+    thresholds: Sequence[int],
+    run_threshold: int,
+    unique_hours: bool = False,
+    levels: Sequence[Level] = LEVELS,
 ) -> DataFrame:
-    """Per series, level and day: count, maximum, exceedances, runs of three hours."""
-    copies = _copies(hours)
-    value = F.col("val_param")
+    """Per series, level and day: count, maximum, exceedances, runs of three hours.
+
+    A run counts the rows left in the level, so a missing hour does not break it,
+    and ends at midnight.  Among rows of one time the lower values come first.
+    """
+    figures = _one_row_figures(thresholds, run_threshold)
+    if unique_hours:
+        cells = level_hours(prep, pollutant, "data_day", levels).select(
+            *SERIES, "data_da", "data_day", "anno", LEVEL, *[e.alias(n) for n, e in figures.items()]
+        )
+    else:
+        merged = [
+            (F.max(e) if n == "top" else F.sum(e)).alias(n) for n, e in figures.items()
+        ]
+        cells = (
+            explode_levels(_rows_of(prep, pollutant, levels), levels)
+            .groupBy(*SERIES, "data_da", "data_day", "anno", LEVEL)
+            .agg(*merged)
+            .repartition(*SERIES, "data_day")
+        )
+    hits = run_hits(F.col("zeros"), F.col("ones"), _day_window())
     return (
-        _with_run_hits(hours, run_threshold)
+        cells.withColumn("hits", hits)
         .groupBy(*SERIES, "data_day", "anno", LEVEL)
         .agg(
-            _count_of(value, copies).alias("count_val_param"),
-            F.max(F.round(value)).alias("max_val_param"),
-            *[_sum_of(exceeds(value, t), copies).alias(f"count_over_{t}") for t in thresholds],
+            F.sum("n").alias("count_val_param"),
+            F.max("top").alias("max_val_param"),
+            *[F.sum(f"over_{t}").alias(f"count_over_{t}") for t in thresholds],
             F.sum("hits").alias("count_superi_3h"),
         )
     )
 
 
-def with_year_to_date(daily: DataFrame, sums: dict[str, Column]) -> DataFrame:
+def with_year_to_date(daily: DataFrame, sums: Mapping[str, Column]) -> DataFrame:
     """Add running sums since the first available day of the year, and its age in days.
 
     The partition holds one row per day, 366 at most.
@@ -101,51 +119,58 @@ def with_year_to_date(daily: DataFrame, sums: dict[str, Column]) -> DataFrame:
 
 
 def annual_figures(
-    hours: DataFrame,
+    prep: DataFrame,
+    pollutant: str,
     thresholds: Sequence[int] = (),
     run_threshold: int | None = None,
-    percentiles: dict[str, float] | None = None,
+    percentiles: Mapping[str, float] | None = None,
     stddev_digits: int | None = None,
     mean: tuple[float, int] = (1.0, 0),
+    unique_hours: bool = False,
+    levels: Sequence[Level] = LEVELS,
 ) -> DataFrame:
     """Per series, level and year: counts, exceedances, runs, mean, spread, percentiles.
 
     Percentiles are exact and interpolated.  ``mean`` is a factor and the digits
     to round the scaled mean to.
     """
-    copies = _copies(hours)
     value = F.col("val_param")
     factor, digits = mean
-    if copies is None:
-        average, deviation = F.avg(value), F.stddev_samp(value)
-    else:
-        n = F.sum(F.when(value.isNotNull(), copies))
-        total = F.sum(value * copies)
-        squares = F.sum(value * value * copies)
-        average = total / n
-        spread = F.greatest(squares - total * total / n, F.lit(0.0))
-        deviation = F.when(n > 1, F.sqrt(spread / F.nullif(n - 1, F.lit(0))))
-    scaled = average if factor == 1.0 else average * factor
-    figures = [
-        _count_of(value, copies).alias("count_val_param"),
+    average = F.avg(value) if factor == 1.0 else F.avg(value) * factor
+    aggregates = [
+        F.count(value).alias("count_val_param"),
         F.min("data_day").alias("first_day"),
         F.max("data_day").alias("last_day"),
         F.round(F.max(value)).alias("max_val_param"),
-        F.round(scaled, digits).alias("mean_val_param"),
+        F.round(average, digits).alias("mean_val_param"),
+        *[F.sum(exceeds(value, t)).alias(f"count_over_{t}") for t in thresholds],
     ]
-    figures += [_sum_of(exceeds(value, t), copies).alias(f"count_over_{t}") for t in thresholds]
-    if run_threshold is not None:
-        hours = _with_run_hits(hours, run_threshold, also=["anno"])
-        figures.append(F.sum("hits").alias("count_superi_3h"))
-    for name, share in (percentiles or {}).items():
-        exact = F.percentile(value, share, 1 if copies is None else copies)
-        figures.append(F.round(exact).alias(name))
     if stddev_digits is not None:
-        figures.append(F.round(deviation, stddev_digits).alias("stddev_val_param"))
+        deviation = F.round(F.stddev_samp(value), stddev_digits)
+        aggregates.append(deviation.alias("stddev_val_param"))
+    shares = percentiles or {}
+    if unique_hours:
+        hours = level_hours(prep, pollutant, "anno", levels)
+        if run_threshold is not None:
+            flag = exceeds(value, run_threshold).cast("bigint")
+            hours = hours.withColumn("ones", flag).withColumn("zeros", 1 - F.col("ones"))
+            hits = run_hits(F.col("zeros"), F.col("ones"), _day_window("anno"))
+            hours = hours.withColumn("hits", hits)
+            aggregates.append(F.sum("hits").alias("count_superi_3h"))
+        exact = [F.round(F.percentile(value, p)).alias(n) for n, p in shares.items()]
+        annual = hours.groupBy(*_YEAR_KEYS).agg(*aggregates, *exact)
+    else:
+        hours = explode_levels(_rows_of(prep, pollutant, levels), levels)
+        annual = hours.groupBy(*_YEAR_KEYS).agg(*aggregates)
+        if run_threshold is not None:
+            daily = daily_figures(prep, pollutant, [], run_threshold, levels=levels)
+            runs = daily.groupBy(*_YEAR_KEYS).agg(F.sum("count_superi_3h").alias("count_superi_3h"))
+            annual = join_same_groups(annual, runs, _YEAR_KEYS)
+        if shares:
+            exact = exact_percentiles(hours, _YEAR_KEYS, "val_param", shares)
+            annual = join_same_groups(annual, exact, _YEAR_KEYS)
+            annual = annual.withColumns({n: F.round(n) for n in shares})
     first, last = F.col("first_day"), F.col("last_day")
-    return (
-        hours.groupBy(*SERIES, "anno", LEVEL)
-        .agg(*figures)
-        .withColumn("available_days_in_year", elapsed_days(last, first))
-        .withColumn("available_hours_in_year", theoretical_hours(first, last))
+    return annual.withColumn("available_days_in_year", elapsed_days(last, first)).withColumn(
+        "available_hours_in_year", theoretical_hours(first, last)
     )

@@ -47,8 +47,9 @@ def build_layers(
     prep = store.table(
         SILVER, "data_prep", data_prep(*[out[t] for t in _PREP_TABLES]), ["sigla_param"]
     )
-    assert_unique(prep)
     unique = has_unique_hours(prep)
+    if not unique:
+        assert_unique(prep)
     out["data_prep"] = prep
     if set(raw) >= _LOOKUP_TABLES:
         out["data_lookup"] = store.table(SILVER, "data_lookup", dim_lookup(out))

@@ -3,12 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsengine.operators.hourly import (
-    annual_figures,
-    daily_figures,
-    level_hours,
-    with_year_to_date,
-)
+from obsengine.operators.hourly import annual_figures, daily_figures, with_year_to_date
 from obsengine.operators.indicators import AnnualIndicator, DailyIndicator, unpivot_indicators
 from obsengine.operators.levels import LEVELS, pick_level
 from obsengine.schema import SERIES
@@ -130,9 +125,7 @@ def _mean_rows(daily_mean: DataFrame) -> DataFrame:
 
 def no2_daily(prep: DataFrame, daily_mean: DataFrame, unique_hours: bool = False) -> DataFrame:
     """Daily NO2 indicators; the daily mean repeats as often as its source rows do."""
-    daily = daily_figures(
-        level_hours(prep, "NO2", "data_day", unique_hours=unique_hours), [HOURLY_LIMIT], ALARM_LIMIT
-    )
+    daily = daily_figures(prep, "NO2", [HOURLY_LIMIT], ALARM_LIMIT, unique_hours)
     empty = F.lit(None).cast("struct<mean:double,n:bigint>")
     with_means = daily.join(_mean_rows(daily_mean), SERIES + ["data_day"], "left").withColumn(
         "level_means",
@@ -160,17 +153,18 @@ def no2_annual(prep: DataFrame, unique_hours: bool = False) -> DataFrame:
 
 def _no2_only(prep: DataFrame, unique_hours: bool) -> DataFrame:
     figures = annual_figures(
-        level_hours(prep, "NO2", "anno", unique_hours=unique_hours),
+        prep,
+        "NO2",
         [HOURLY_LIMIT, UPPER_ASSESSMENT, LOWER_ASSESSMENT],
         ALARM_LIMIT,
         percentiles={"p98_val_param": 0.98, "median_val_param": 0.5},
         stddev_digits=2,
+        unique_hours=unique_hours,
     )
     return unpivot_indicators(figures, F.col("anno"), ANNUAL_INDICATORS)
 
 
 def nox_annual(prep: DataFrame, unique_hours: bool = False) -> DataFrame:
     """Annual NOX mean as NO2, with its own bounds and counts."""
-    hours = level_hours(prep, "NOX", "anno", unique_hours=unique_hours)
-    figures = annual_figures(hours, mean=(NOX_AS_NO2, 1))
+    figures = annual_figures(prep, "NOX", mean=(NOX_AS_NO2, 1), unique_hours=unique_hours)
     return unpivot_indicators(figures, F.col("anno"), NOX_INDICATORS)

@@ -4,12 +4,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsengine.functions.scalar import validity_flag
-from obsengine.operators.hourly import (
-    annual_figures,
-    daily_figures,
-    level_hours,
-    with_year_to_date,
-)
+from obsengine.operators.hourly import annual_figures, daily_figures, with_year_to_date
 from obsengine.operators.indicators import AnnualIndicator, DailyIndicator, unpivot_indicators
 from obsengine.operators.levels import LEVELS, pick_level
 from obsengine.schema import SERIES
@@ -113,11 +108,7 @@ def _moving_mean_days(moving: DataFrame) -> DataFrame:
 
 def o3_daily(prep: DataFrame, moving: DataFrame, unique_hours: bool = False) -> DataFrame:
     """Daily ozone indicators; days without an hourly value at a level have none there."""
-    daily = daily_figures(
-        level_hours(prep, "O3", "data_day", unique_hours=unique_hours),
-        [INFORMATION_LIMIT],
-        ALARM_LIMIT,
-    )
+    daily = daily_figures(prep, "O3", [INFORMATION_LIMIT], ALARM_LIMIT, unique_hours)
     means = pick_level({lv.code: F.col(f"means_{lv.code}") for lv in LEVELS})
     figures = (
         daily.join(_moving_mean_days(moving), SERIES + ["data_day"], "left")
@@ -154,11 +145,13 @@ def _moving_mean_years(moving: DataFrame) -> DataFrame:
 def o3_annual(prep: DataFrame, moving: DataFrame, unique_hours: bool = False) -> DataFrame:
     """Annual ozone indicators."""
     annual = annual_figures(
-        level_hours(prep, "O3", "anno", unique_hours=unique_hours),
+        prep,
+        "O3",
         [INFORMATION_LIMIT],
         ALARM_LIMIT,
         percentiles={"p98_val_param": 0.98, "median_val_param": 0.5},
         stddev_digits=0,
+        unique_hours=unique_hours,
     )
     none = F.lit(0).cast("bigint")
     valid = pick_level({lv.code: F.col(f"valid_{lv.code}") for lv in LEVELS})

@@ -41,9 +41,7 @@ def _channel(position: int) -> Column:
 
 
 def _station() -> Column:
-    return F.concat(
-        F.lit("S"), F.floor(F.col("user_id") / USERS_PER_STATION).cast("bigint").cast("string")
-    )
+    return F.concat(F.lit("S"), F.expr(f"user_id div {USERS_PER_STATION}").cast("string"))
 
 
 def hourly_cells(events: DataFrame) -> DataFrame:
