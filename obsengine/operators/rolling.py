@@ -81,10 +81,8 @@ def moving_mean(
     def chunk(col):
         return F.floor(col / chunk_hours)
 
-    pieces = cells.withColumn(
-        "chunk",
-        F.explode(F.array_distinct(F.array(chunk(F.col("hour")), chunk(F.col("hour") + tail)))),
-    )
+    reach = F.sequence(chunk(F.col("hour")), chunk(F.col("hour") + tail))
+    pieces = cells.withColumn("chunk", F.explode(reach))
     by_hour = Window.partitionBy(*SERIES, "chunk").orderBy("hour")
     next_hour = F.coalesce(F.lead("hour").over(by_hour), F.col("hour") + spare + 1)
     filled = pieces.withColumn(

@@ -30,52 +30,47 @@ def align_rows(
     """One row per key with one struct per side, NULL where the side has no such row.
 
     Rows link only when their key is unique on their own side; every row whose
-    key repeats there stands alone.  All sides meet in one aggregation by key, so
-    each table is shuffled once and NULL keys meet like any other.  Repeated keys
-    collapse before the shuffle, so a key with a large share of all rows never
-    lands in one task; its rows are then read back one by one.
+    key repeats there stands alone and takes no part in the join, so the join
+    meets each key at most once per side and no key can make it uneven.  NULL
+    keys meet like any other.
 
-    Runs one job on the key columns unless ``keys_unique`` is set.
+    Unless ``keys_unique`` is set, runs one job that counts the keys.
     """
-    side = F.col("_side")
-    tagged = reduce(
-        DataFrame.unionByName,
-        [
-            df.select(
-                *keys,
-                F.lit(name).alias("_side"),
-                *[
-                    (F.struct("*") if other == name else _empty_like(sides[other])).alias(other)
-                    for other in sides
-                ],
-            )
-            for name, df in sides.items()
-        ],
-    )
-    rows = {name: F.any_value(name, F.lit(True)) for name in sides}
-    if keys_unique:
-        return tagged.groupBy(*keys).agg(*[rows[n].alias(n) for n in sides])
-    counts = {name: F.count_if(side == name) for name in sides}
-    linked = (
-        tagged.groupBy(*keys)
-        .agg(*[F.when(counts[n] == 1, rows[n]).alias(n) for n in sides])
-        .filter(reduce(lambda x, y: x | y, [F.col(n).isNotNull() for n in sides]))
-    )
+    packed = {
+        name: df.select(*keys, F.struct("*").alias(name)) for name, df in sides.items()
+    }
     alone = []
-    for name, df in sides.items():
-        repeated = repeated_keys(df, keys)
-        if not repeated.isEmpty():
-            alone.append(
-                rows_with_keys(df, repeated, keys).select(
-                    *keys,
-                    *[
-                        (F.struct("*") if other == name else _empty_like(sides[other])).alias(other)
-                        for other in sides
-                    ],
-                )
+    if not keys_unique and _any_repeats(sides, keys):
+        for name, df in packed.items():
+            repeated = repeated_keys(sides[name], keys)
+            alone.append(rows_with_keys(df, repeated, keys))
+            packed[name] = df.alias("a").join(
+                repeated.alias("b"), same_keys("a", "b", keys), "left_anti"
             )
-    return reduce(DataFrame.unionByName, alone, linked)
+    linked = reduce(lambda a, b: _meet(a, b, keys), packed.values())
+    for rows in alone:
+        linked = linked.unionByName(rows, allowMissingColumns=True)
+    return linked
+
+
+def _any_repeats(sides: Mapping[str, DataFrame], keys: Sequence[str]) -> bool:
+    """Whether a key occurs twice on one side; reads the key columns only."""
+    marked = [
+        df.select(*keys, *[F.lit(int(other == name)).alias(f"_{other}") for other in sides])
+        for name, df in sides.items()
+    ]
+    counts = (
+        reduce(DataFrame.union, marked)
+        .groupBy(*keys)
+        .agg(*[F.sum(f"_{name}").alias(f"_{name}") for name in sides])
+    )
+    twice = reduce(lambda a, b: a | b, [F.col(f"_{name}") > 1 for name in sides])
+    return not counts.filter(twice).isEmpty()
 
 
-def _empty_like(df: DataFrame) -> Column:
-    return F.lit(None).cast(df.schema)
+def _meet(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    joined = a.alias("a").join(b.alias("b"), same_keys("a", "b", keys), "full")
+    either = [F.coalesce(F.col(f"a.`{k}`"), F.col(f"b.`{k}`")).alias(k) for k in keys]
+    rows = [F.col(f"{t}.`{c}`") for t, df in (("a", a), ("b", b)) for c in df.columns]
+    kept = [r for r, c in zip(rows, [*a.columns, *b.columns]) if c not in keys]
+    return joined.select(*either, *kept)

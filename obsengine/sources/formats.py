@@ -8,26 +8,38 @@ from pyspark.sql.types import StructType
 # Cell separator by extension.
 SEPARATORS = {"csv": ",", "tsv": "\t", "ssv": ";", "psv": "\U0001f4a9"}
 
-# NULL and an empty text are told apart, and line breaks inside cells survive.
-_DELIMITED = {"header": "true", "nullValue": "\\N", "emptyValue": "", "escape": '"'}
+# NULL, empty text and outer blanks survive a round trip.
+_DELIMITED = {
+    "header": "true",
+    "nullValue": "\\N",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def extension(path: str) -> str:
     return PurePosixPath(path).suffix.lower().removeprefix(".")
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str | None = None,
+    line_breaks: bool = True,
+) -> DataFrame:
     """Read a delimited, JSON or line-JSON table.
 
     Without a schema, delimited cells are text and JSON columns are the union of
-    the keys over all rows.  A ``.json`` file holds one array of rows, so each
-    file is one task; ``.ndjson`` files are split.
+    the keys over all rows.  Delimited cells may hold line breaks; a file that is
+    known to have none is split among tasks with ``line_breaks=False``.  A
+    ``.json`` file holds one array of rows and is one task; ``.ndjson`` is split.
     """
     kind = extension(path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind in SEPARATORS:
-        options = {**_DELIMITED, "sep": SEPARATORS[kind], "multiLine": "true"}
-        return reader.options(**options).csv(path)
+        options = {**_DELIMITED, "sep": SEPARATORS[kind], "emptyValue": ""}
+        return reader.options(**options, multiLine=line_breaks).csv(path)
     if kind == "json":
         return reader.option("multiLine", "true").json(path)
     if kind == "ndjson":
