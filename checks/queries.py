@@ -21,7 +21,7 @@ from obsengine.operators.hourly import (
     with_year_to_date,
 )
 from obsengine.operators.indicators import unpivot_indicators
-from obsengine.operators.levels import LEVELS, explode_levels
+from obsengine.operators.levels import LEVELS, explode_levels, sum_by_level
 from obsengine.operators.prep import data_prep, dim_lookup
 from obsengine.operators.quality import duplicate_keys
 from obsengine.operators.rolling import moving_mean
@@ -75,12 +75,19 @@ def q_level_filter(spark, folder):
     return explode_levels(rows).select(*SERIES, "data_da", "val_param", LEVEL)
 
 
+def _by_day(rows):
+    return rows.withColumn("data_day", F.col("data_da").cast("date")), [*SERIES, "data_day"]
+
+
 def q_exceedance_counts(spark, folder):
-    rows = explode_levels(ev.event_measurements(_events(spark, folder)))
+    rows, keys = _by_day(ev.event_measurements(_events(spark, folder)))
     value = F.col("val_param")
-    return rows.groupBy(*SERIES, F.col("data_da").cast("date").alias("data_day"), LEVEL).agg(
-        F.count(value).alias("n_values"),
-        *[F.sum(exceeds(value, t)).alias(f"over_{t}") for t in (100, 140, 180, 200, 240, 400)],
+    limits = (100, 140, 180, 200, 240, 400)
+    return sum_by_level(
+        rows,
+        keys,
+        {"n_values": value.isNotNull().cast("bigint")}
+        | {f"over_{t}": exceeds(value, t) for t in limits},
     )
 
 
@@ -115,10 +122,8 @@ def q_unpivot_indicators(spark, folder):
 
 
 def q_validity(spark, folder):
-    rows = explode_levels(ev.event_measurements(_events(spark, folder)))
-    hours = rows.groupBy(*SERIES, F.col("data_da").cast("date").alias("data_day"), LEVEL).agg(
-        F.count("val_param").alias("observed")
-    )
+    rows, keys = _by_day(ev.event_measurements(_events(spark, folder)))
+    hours = sum_by_level(rows, keys, {"observed": F.col("val_param").isNotNull().cast("bigint")})
     # A level's share of one day, of one hour, and of nothing expected.
     expected = {"day": F.lit(24), "hour": F.lit(1), "none": F.lit(0)}
     return hours.select(

@@ -27,6 +27,10 @@ def hour_start(number: Column) -> Column:
     return day.cast("timestamp_ntz") + F.make_dt_interval(hours=hour)
 
 
+def seconds_past_hour(ts: Column) -> Column:
+    return F.minute(ts) * 60 + F.extract(F.lit("SECOND"), ts)
+
+
 def one_hour() -> Column:
     return F.expr("interval 1 hour")
 

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsengine.operators.levels import LEVELS, Level
+from obsengine.operators.levels import LEVELS, Level, in_any_level, in_level, level_mask
 from obsengine.schema import SERIES
 
 # Least valid hours of a day, frequency code of daily samplers.
@@ -13,19 +13,6 @@ MIN_VALID_HOURS = 18
 DAILY_FREQUENCY = "CG"
 
 
-def _level_aggregates(level: Level) -> list[Column]:
-    kept = level.condition()
-    daily = kept & (F.col("cod_freq") == DAILY_FREQUENCY)
-    value = F.col("val_param")
-    return [
-        F.round(F.avg(F.when(kept, value)), 2).alias(f"mean_{level.suffix}"),
-        F.count(F.when(kept, value)).alias(f"count_{level.suffix}"),
-        F.round(F.avg(F.when(daily, value)), 2).alias(f"cg_mean_{level.suffix}"),
-        F.count(F.when(daily, value)).alias(f"cg_count_{level.suffix}"),
-        F.count(F.when(daily, 1)).alias(f"cg_rows_{level.suffix}"),
-    ]
-
-
 def _candidates(level: Level, min_valid: int) -> Column:
     """The day's rows of one level: the gated mean, then the ungated daily-sampler one."""
 
@@ -44,8 +31,40 @@ def _candidates(level: Level, min_valid: int) -> Column:
 
 
 def _per_day(prep: DataFrame, levels: Sequence[Level]) -> DataFrame:
-    keys = [*SERIES, F.col("data_da").cast("date").alias("data")]
-    return prep.groupBy(*keys).agg(*[a for level in levels for a in _level_aggregates(level)])
+    """Mean, count and daily-sampler share of every level in one row per series and day.
+
+    Values are added up per set of levels first: three running figures per row to
+    shuffle, whatever the number of levels.
+    """
+    value = F.col("val_param")
+    parts = (
+        prep.filter(in_any_level(levels))
+        .groupBy(
+            *SERIES,
+            F.col("data_da").cast("date").alias("data"),
+            level_mask(levels).alias("_mask"),
+            F.coalesce(F.col("cod_freq") == DAILY_FREQUENCY, F.lit(False)).alias("_daily"),
+        )
+        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"), F.count("*").alias("_rows"))
+    )
+
+    def figures(kept: Column, prefix: str, suffix: str) -> list[Column]:
+        none = F.lit(0).cast("bigint")
+        n = F.coalesce(F.sum(F.when(kept, F.col("_n"))), none)
+        mean = F.sum(F.when(kept, F.col("_sum"))) / F.nullif(n, none)
+        return [
+            F.round(mean, 2).alias(f"{prefix}mean_{suffix}"),
+            n.alias(f"{prefix}count_{suffix}"),
+        ]
+
+    aggregates = []
+    for at, level in enumerate(levels):
+        kept = in_level(F.col("_mask"), at)
+        daily = kept & F.col("_daily")
+        aggregates += figures(kept, "", level.suffix)
+        aggregates += figures(daily, "cg_", level.suffix)
+        aggregates.append(F.sum(F.when(daily, F.col("_rows"))).alias(f"cg_rows_{level.suffix}"))
+    return parts.groupBy(*SERIES, "data").agg(*aggregates)
 
 
 def daily_mean(prep: DataFrame, level: Level, min_valid: int = MIN_VALID_HOURS) -> DataFrame:
@@ -55,7 +74,7 @@ def daily_mean(prep: DataFrame, level: Level, min_valid: int = MIN_VALID_HOURS)
     the gate, so one of them with enough values has two rows for that day.
     """
     return (
-        _per_day(prep.filter(level.condition()), [level])
+        _per_day(prep, [level])
         .select(*SERIES, "data", F.inline(_candidates(level, min_valid)))
         .select(
             *SERIES,

@@ -7,30 +7,43 @@ all else happens there.  Without that statement equal times are merged by a
 pre-aggregation, so that no series, day or heap of copies is ever gathered.
 """
 
+import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from obsengine.functions.scalar import elapsed_days, theoretical_hours
 from obsengine.functions.windows import run_hits, year_to_date
-from obsengine.operators.levels import LEVELS, Level, explode_levels, in_any_level
+from obsengine.operators.levels import (
+    LEVELS,
+    Level,
+    explode_levels,
+    explode_mask,
+    in_any_level,
+    level_mask,
+    sum_by_level,
+)
 from obsengine.operators.percentiles import exact_percentiles, join_same_groups
 from obsengine.schema import LEVEL, SERIES
 
-_CODES = ["cod_valid", "cod_validaz", "cod_validaz_reg"]
 _YEAR_KEYS = [*SERIES, "anno", LEVEL]
 
 
 def exceeds(value: Column, threshold: float) -> Column:
-    """1 when the rounded value is over the threshold, else 0 (also for NULL)."""
-    return F.when(F.round(value) > threshold, F.lit(1)).otherwise(F.lit(0))
+    """1 when the rounded value is over the threshold, else 0 (also for NULL).
+
+    Values round half away from zero, so this is a comparison with the half step
+    over the threshold; rounding every value would cost far more.
+    """
+    step = math.floor(threshold) + 0.5
+    over = value >= step if step > 0 else value > step
+    return F.when(over, F.lit(1)).otherwise(F.lit(0))
 
 
-def _rows_of(prep: DataFrame, pollutant: str, levels: Sequence[Level]) -> DataFrame:
+def _rows_of(prep: DataFrame, pollutant: str) -> DataFrame:
     return (
-        prep.filter((F.col("sigla_param") == pollutant) & in_any_level(levels))
-        .select(*SERIES, "data_da", "val_param", *_CODES)
+        prep.filter(F.col("sigla_param") == pollutant)
         .withColumn("data_day", F.col("data_da").cast("date"))
         .withColumn("anno", F.year("data_da"))
     )
@@ -45,21 +58,16 @@ def level_hours(
     repeated per level, and windows and groups within that period need no further
     shuffle.
     """
-    placed = _rows_of(prep, pollutant, levels).repartition(*SERIES, near)
-    return explode_levels(placed, levels).drop(*_CODES)
-
-
-def _one_row_figures(thresholds: Sequence[int], run_threshold: int | None) -> dict[str, Column]:
-    value = F.col("val_param")
-    figures = {"n": value.isNotNull().cast("bigint"), "top": F.round(value)}
-    figures |= {f"over_{t}": exceeds(value, t).cast("bigint") for t in thresholds}
-    if run_threshold is not None:
-        figures["ones"] = exceeds(value, run_threshold).cast("bigint")
-        figures["zeros"] = 1 - figures["ones"]
-    return figures
+    placed = (
+        _rows_of(prep, pollutant)
+        .filter(in_any_level(levels))
+        .select(*SERIES, "data_da", "data_day", "anno", "val_param", level_mask(levels).alias("_mask"))
+        .repartition(*SERIES, near)
+    )
+    return explode_mask(placed, "_mask", levels)
 
 
-def _day_window(*more: str):
+def _day_window(*more: str) -> WindowSpec:
     return Window.partitionBy(*SERIES, *more, "data_day", LEVEL).orderBy("data_da")
 
 
@@ -76,28 +84,24 @@ def daily_figures(
     A run counts the rows left in the level, so a missing hour does not break it,
     and ends at midnight.  Among rows of one time the lower values come first.
     """
-    figures = _one_row_figures(thresholds, run_threshold)
+    value = F.col("val_param")
+    flag = exceeds(value, run_threshold).cast("bigint")
+    sums = {"n": value.isNotNull().cast("bigint"), "ones": flag, "zeros": 1 - flag}
+    sums |= {f"over_{t}": exceeds(value, t).cast("bigint") for t in thresholds}
     if unique_hours:
-        cells = level_hours(prep, pollutant, "data_day", levels).select(
-            *SERIES, "data_da", "data_day", "anno", LEVEL, *[e.alias(n) for n, e in figures.items()]
-        )
+        hours = level_hours(prep, pollutant, "data_day", levels)
+        cells = hours.withColumns({**sums, "top": value})
     else:
-        merged = [
-            (F.max(e) if n == "top" else F.sum(e)).alias(n) for n, e in figures.items()
-        ]
-        cells = (
-            explode_levels(_rows_of(prep, pollutant, levels), levels)
-            .groupBy(*SERIES, "data_da", "data_day", "anno", LEVEL)
-            .agg(*merged)
-            .repartition(*SERIES, "data_day")
-        )
+        keys = [*SERIES, "data_da", "data_day", "anno"]
+        merged = sum_by_level(_rows_of(prep, pollutant), keys, sums, {"top": value}, levels)
+        cells = merged.repartition(*SERIES, "data_day")
     hits = run_hits(F.col("zeros"), F.col("ones"), _day_window())
     return (
         cells.withColumn("hits", hits)
         .groupBy(*SERIES, "data_day", "anno", LEVEL)
         .agg(
             F.sum("n").alias("count_val_param"),
-            F.max("top").alias("max_val_param"),
+            F.round(F.max("top")).alias("max_val_param"),
             *[F.sum(f"over_{t}").alias(f"count_over_{t}") for t in thresholds],
             F.sum("hits").alias("count_superi_3h"),
         )
@@ -160,7 +164,7 @@ def annual_figures(
         exact = [F.round(F.percentile(value, p)).alias(n) for n, p in shares.items()]
         annual = hours.groupBy(*_YEAR_KEYS).agg(*aggregates, *exact)
     else:
-        hours = explode_levels(_rows_of(prep, pollutant, levels), levels)
+        hours = explode_levels(_rows_of(prep, pollutant), levels)
         annual = hours.groupBy(*_YEAR_KEYS).agg(*aggregates)
         if run_threshold is not None:
             daily = daily_figures(prep, pollutant, [], run_threshold, levels=levels)

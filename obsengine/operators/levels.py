@@ -1,12 +1,13 @@
 """Validation levels: three overlapping subsets of the measurements.
 
 A row may belong to several levels.  Instead of one filtered copy of a plan per
-level, ``explode_levels`` repeats each row once per level it belongs to, and the
-level code becomes part of every later group or window key.
+level, a row carries its levels as a bit mask and is repeated once per level as
+late as possible; the level code then is part of every later group or window key.
 """
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -43,17 +44,68 @@ LEVELS = (
 
 
 def in_any_level(levels: Sequence[Level] = LEVELS) -> Column:
-    """True when at least one level keeps the row (NULL codes fail a level)."""
-    keep = F.lit(False)
-    for level in levels:
-        keep = keep | F.coalesce(level.condition(), F.lit(False))
-    return keep
+    """Filter for rows in at least one level, in a form scans understand (NULL fails)."""
+    return reduce(lambda a, b: a | b, [level.condition() for level in levels])
+
+
+def level_mask(levels: Sequence[Level] = LEVELS) -> Column:
+    """The levels of a row as the bits of one number, narrower than codes to shuffle."""
+    bits = [F.when(level.condition(), 1 << at).otherwise(0) for at, level in enumerate(levels)]
+    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def in_level(mask: Column, at: int) -> Column:
+    """Whether the mask holds the level at this place."""
+    return mask.bitwiseAND(1 << at) != 0
+
+
+def explode_mask(df: DataFrame, mask: str, levels: Sequence[Level] = LEVELS) -> DataFrame:
+    """Repeat each row once per level of its mask, which is replaced by the level code.
+
+    The possible code lists are literals, so no list is built per row, and the
+    partitioning of ``df`` stays.
+    """
+    lists = [
+        F.array(*[F.lit(lv.code) for at, lv in enumerate(levels) if mask_value >> at & 1])
+        for mask_value in range(1 << len(levels))
+    ]
+    lists[0] = lists[0].cast("array<string>")
+    codes = F.element_at(F.array(*lists), F.col(mask) + 1)
+    return df.withColumn(LEVEL, F.explode(codes)).drop(mask)
 
 
 def explode_levels(df: DataFrame, levels: Sequence[Level] = LEVELS) -> DataFrame:
     """Repeat each row once per level whose condition it meets."""
-    codes = F.array(*[F.when(level.condition(), F.lit(level.code)) for level in levels])
-    return df.withColumn(LEVEL, F.explode(F.array_compact(codes)))
+    return explode_mask(df.withColumn("_mask", level_mask(levels)), "_mask", levels)
+
+
+def sum_by_level(
+    df: DataFrame,
+    keys: Sequence[str],
+    sums: Mapping[str, Column],
+    maxima: Mapping[str, Column] | None = None,
+    levels: Sequence[Level] = LEVELS,
+) -> DataFrame:
+    """Sums and maxima per keys and level.
+
+    Rows are first added up per mask, of which there are few, so that the levels
+    only repeat the groups and never the rows.
+    """
+    maxima = maxima or {}
+    once = (
+        df.filter(in_any_level(levels))
+        .withColumn("_mask", level_mask(levels))
+        .groupBy(*keys, "_mask")
+        .agg(
+            *[F.sum(e).alias(n) for n, e in sums.items()],
+            *[F.max(e).alias(n) for n, e in maxima.items()],
+        )
+    )
+    return (
+        explode_mask(once, "_mask", levels)
+        .groupBy(*keys, LEVEL)
+        .agg(*[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima])
+    )
 
 
 def level_name(levels: Sequence[Level] = LEVELS) -> Column:
@@ -61,7 +113,7 @@ def level_name(levels: Sequence[Level] = LEVELS) -> Column:
     return pick_level({level.code: F.lit(level.name) for level in levels})
 
 
-def pick_level(by_code: dict) -> Column:
+def pick_level(by_code: Mapping[str, Column]) -> Column:
     """Choose among expressions by the level code of the row."""
     chosen = None
     for code, expr in by_code.items():

@@ -37,12 +37,10 @@ def exact_percentiles(
     are cut at approximate percentiles, and only the pieces that hold a wanted
     rank are put in order.
     """
-    counts = (
-        df.filter(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("_v"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    cuts = counts.groupBy(*keys).agg(
+    known = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
+    counts = known.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # Sketches of fixed size, merged before and after the shuffle.
+    cuts = known.groupBy(*keys).agg(
         F.percentile_approx("_v", [i / PIECES for i in range(1, PIECES)]).alias("_cuts")
     )
     below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))

@@ -2,12 +2,13 @@
 
 from collections.abc import Sequence
 from datetime import datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from obsengine.functions.scalar import hour_number, hour_start, one_hour
-from obsengine.operators.levels import LEVELS, Level
+from obsengine.functions.scalar import hour_number, hour_start, one_hour, seconds_past_hour
+from obsengine.operators.levels import LEVELS, Level, in_any_level, in_level, level_mask
 from obsengine.operators.spine import SPINE_END, SPINE_START, ntz
 from obsengine.schema import SERIES
 
@@ -43,40 +44,39 @@ def moving_mean(
     """
     tail = window_hours - 1
     spare = window_hours - min_valid
-    # A spine that does not start on the full hour is moved there and back.
-    offset = timedelta(minutes=start.minute, seconds=start.second, microseconds=start.microsecond)
-    first = start - offset
-    last = first + (end - start) // timedelta(hours=1) * timedelta(hours=1)
-    hour = hour_number(F.col("moment"))
+    hours = (end - start) // timedelta(hours=1)
+    past = timedelta(minutes=start.minute, seconds=start.second, microseconds=start.microsecond)
+    end_hour = (start - datetime(1970, 1, 1)) // timedelta(hours=1) + hours
     on_spine = (
-        (F.col("moment") >= ntz(first))
-        & (F.col("moment") < ntz(last))
-        & (F.col("moment") == hour_start(hour))
+        (F.col("data_da") >= ntz(start))
+        & (F.col("data_da") < ntz(start + timedelta(hours=hours)))
+        & (seconds_past_hour(F.col("data_da")) == past.total_seconds())
         & (F.col("data_a") == F.col("data_da") + one_hour())
     )
     sums = [f"s_{level.suffix}" for level in levels]
     counts = [f"n_{level.suffix}" for level in levels]
+    value, mask = F.col("val_param"), F.col("_mask")
+    in_levels = [in_level(mask, at) for at in range(len(levels))]
+    per_level = {s: F.when(kept, value) for s, kept in zip(sums, in_levels)}
+    per_level |= {
+        n: F.when(kept, F.lit(1).cast("bigint")) for n, kept in zip(counts, in_levels)
+    }
+    # A row without a value or a level is like an empty hour.
     cells = (
-        prep.filter(F.col("sigla_param").isin(*pollutants))
-        .withColumn("moment", F.col("data_da") - F.lit(offset))
-        .filter(on_spine)
-        .dropna(subset=SERIES)
-        .withColumn("hour", hour)
+        prep.filter(F.col("sigla_param").isin(*pollutants) & in_any_level(levels) & on_spine)
+        .dropna(subset=[*SERIES, "val_param"])
         .select(
             *SERIES,
-            "hour",
-            *[F.when(lv.condition(), F.col("val_param")).alias(s) for lv, s in zip(levels, sums)],
+            hour_number(F.col("data_da")).alias("hour"),
+            "val_param",
+            level_mask(levels).alias("_mask"),
         )
     )
-    if unique_hours:
-        cells = cells.select(
-            "*", *[F.col(s).isNotNull().cast("bigint").alias(n) for s, n in zip(sums, counts)]
-        )
-    else:
+    if not unique_hours:
         cells = cells.groupBy(*SERIES, "hour").agg(
-            *[F.sum(s).alias(s) for s in sums],
-            *[F.count(s).alias(n) for s, n in zip(sums, counts)],
+            *[F.sum(e).alias(n) for n, e in per_level.items()]
         )
+        per_level = {n: F.col(n) for n in per_level}
 
     def chunk(col):
         return F.floor(col / chunk_hours)
@@ -85,34 +85,29 @@ def moving_mean(
     pieces = cells.withColumn("chunk", F.explode(reach))
     by_hour = Window.partitionBy(*SERIES, "chunk").orderBy("hour")
     next_hour = F.coalesce(F.lead("hour").over(by_hour), F.col("hour") + spare + 1)
-    filled = pieces.withColumn(
-        "gap_hours",
-        F.sequence(F.col("hour"), F.least(next_hour - 1, F.col("hour") + spare)),
-    ).select(*SERIES, "chunk", "hour", F.explode("gap_hours").alias("at"), *sums, *counts)
     own = F.col("at") == F.col("hour")
-    filled = filled.select(
-        *SERIES,
-        "chunk",
-        "at",
-        *[F.when(own, F.col(c)).alias(c) for c in sums + counts],
+    filled = (
+        pieces.withColumn("until", F.least(next_hour - 1, F.col("hour") + spare))
+        .withColumn("at", F.explode(F.sequence("hour", "until")))
+        .select(*SERIES, "chunk", "at", *[F.when(own, e).alias(n) for n, e in per_level.items()])
     )
     frame = Window.partitionBy(*SERIES, "chunk").orderBy("at").rangeBetween(-tail, 0)
-    windowed = filled.select(
-        *SERIES,
-        "chunk",
-        "at",
-        *[F.sum(c).over(frame).alias(c) for c in sums + counts],
-    ).filter((chunk(F.col("at")) == F.col("chunk")) & (F.col("at") < hour_number(ntz(last))))
+    enough = {n: F.col(n) >= min_valid for n in counts}
+    windowed = (
+        filled.select(
+            *SERIES, "chunk", "at", *[F.sum(n).over(frame).alias(n) for n in sums + counts]
+        )
+        .filter((chunk(F.col("at")) == F.col("chunk")) & (F.col("at") < end_hour))
+        # A count over the gate implies a mean.
+        .filter(reduce(lambda a, b: a | b, enough.values()))
+    )
     gated = []
     for level, s, n in zip(levels, sums, counts):
-        enough = F.col(n) >= min_valid
         mean = F.round(F.col(s) / F.col(n), 2)
-        gated.append(F.when(enough, mean).alias(f"mv_avg_{level.suffix}"))
-        gated.append(F.when(enough, F.col(n)).alias(f"valori_validi_mv_avg_{level.suffix}"))
-    any_mean = F.coalesce(*[F.col(f"mv_avg_{level.suffix}") for level in levels]).isNotNull()
+        gated.append(F.when(enough[n], mean).alias(f"mv_avg_{level.suffix}"))
+        gated.append(F.when(enough[n], F.col(n)).alias(f"valori_validi_mv_avg_{level.suffix}"))
     return (
-        windowed.withColumn("data_da", hour_start(F.col("at")) + F.lit(offset))
+        windowed.withColumn("data_da", hour_start(F.col("at")) + F.lit(past))
         .withColumn("data_a", F.col("data_da") + one_hour())
         .select("data_da", "data_a", *SERIES, *gated)
-        .filter(any_mean)
     )
