@@ -54,6 +54,10 @@ LEVELS = {
 }
 
 
+def _query(*ctes: str, select: str) -> str:
+    return "with " + ",\n".join(ctes) + "\n" + select
+
+
 def levelled(where: str = "true") -> str:
     """CTE ``hours``: one filtered copy of the measurements per level."""
     return "hours as (" + " union all ".join(
@@ -153,6 +157,29 @@ moving_days as (""" + " union all ".join(
 
 MOVING = ", ".join([SPINE, FILLED, _moving()])
 
+# Hours with any number of rows: every row of the eight hours up to each spine hour.
+_EIGHT_HOURS = ", ".join(
+    f"round(avg(case when {cond} then val_param end), 2) as m_{suffix},"
+    f" count(case when {cond} then val_param end) as n_{suffix}"
+    for _, suffix, cond in LEVELS.values()
+)
+MERGED = _query(
+    ROWS, SPINE, f"""measured as (select * from obs where sigla_param in ('CO', 'O3')),
+series as (select distinct {SERIES} from measured),
+windowed as (
+  select s.data_da, s.data_a, {", ".join("p." + c for c in SERIES.split(", "))}, {_EIGHT_HOURS}
+  from spine s cross join series p
+  join measured d on d.cod_ubic = p.cod_ubic and d.cod_conf = p.cod_conf
+    and d.sigla_param = p.sigla_param
+    and d.data_da between s.data_da - interval 7 hour and s.data_da
+  group by all)""",
+    select=f"""select data_da, data_a, {SERIES}, """ + ", ".join(
+        f"case when n_{s} >= 6 then m_{s} end as mv_avg_{s},"
+        f" case when n_{s} >= 6 then n_{s} end as valori_validi_mv_avg_{s}"
+        for _, s, _ in LEVELS.values()
+    ) + " from windowed where n_val >= 6 or n_val_cor >= 6 or n_cert >= 6",
+)
+
 
 def _daily_mean(suffix: str, cond: str, source: str = "obs") -> str:
     body = f"""select {SERIES}, round(avg(val_param), 2) as media_giornaliera_{suffix},
@@ -213,10 +240,6 @@ def annual_branch(ind, source: str) -> str:
       {_coverage(ind.rilevati, ind.teorici)} from {source}"""
 
 
-def _query(*ctes: str, select: str) -> str:
-    return "with " + ",\n".join(ctes) + "\n" + select
-
-
 def _unpivot(branch, indicators, source: str) -> str:
     return " union all ".join(branch(ind, source) for ind in indicators)
 
@@ -569,6 +592,19 @@ ORACLES: dict[str, str] = {
         select=f"select {SERIES}, data_da, lvl as cod_liv_validazione, over_240 as flag,"
         " cast(run3 as bigint) as run_sum from flagged",
     ),
+    "daily_figures": _query(
+        ROWS, levelled("sigla_param = 'NO2'"),
+        flagged(400, [200]).replace("order by data_da", "order by data_da, val_param"),
+        daily([200]),
+        select=f"select {SERIES}, data_day, anno, lvl as cod_liv_validazione, count_val_param,"
+        " max_val_param, count_over_200, count_superi_3h from daily",
+    ),
+    "exact_percentiles": "select l_returnflag, l_linestatus, "
+    + ", ".join(
+        f"round(percentile_cont({p}) within group (order by l_extendedprice), 2) as {n}"
+        for n, p in (("p02", 0.02), ("p50", 0.5), ("p98", 0.98))
+    )
+    + " from lineitem group by l_returnflag, l_linestatus",
     "ytd_sums": _query(
         *_NO2_RUNNING,
         select=f"select {SERIES}, data_day, lvl as cod_liv_validazione, available_days_ytd,"
@@ -597,6 +633,7 @@ ORACLES: dict[str, str] = {
         select data_da, data_da + interval 1 hour as data_a from hours""",
     "gap_fill": _query(OBS, SPINE, FILLED, select="select * from filled"),
     "moving_8h": _query(OBS, MOVING, select="select * from moving"),
+    "moving_8h_merged": MERGED,
     "o3_daily": O3_DAILY,
     "no2_daily": NO2_DAILY,
     "o3_annual": O3_ANNUAL,

@@ -22,6 +22,7 @@ from obsengine.operators.hourly import (
 )
 from obsengine.operators.indicators import unpivot_indicators
 from obsengine.operators.levels import LEVELS, explode_levels, sum_by_level
+from obsengine.operators.percentiles import exact_percentiles
 from obsengine.operators.prep import data_prep, dim_lookup
 from obsengine.operators.quality import duplicate_keys
 from obsengine.operators.rolling import moving_mean
@@ -109,6 +110,21 @@ def _no2_figures(spark, folder):
     )
 
 
+def q_daily_figures(spark, folder):
+    """Hours with any number of rows: merged before they are placed."""
+    rows = ev.event_measurements(_events(spark, folder, "NO2"))
+    return daily_figures(rows, "NO2", [200], 400)
+
+
+def q_exact_percentiles(spark, folder):
+    lines = ev.table(spark, folder, "lineitem")
+    shares = {"p02": 0.02, "p50": 0.5, "p98": 0.98}
+    found = exact_percentiles(lines, ["l_returnflag", "l_linestatus"], "l_extendedprice", shares)
+    return found.select(
+        "l_returnflag", "l_linestatus", *[F.round(name, 2).alias(name) for name in shares]
+    )
+
+
 def q_ytd_sums(spark, folder):
     return _no2_figures(spark, folder).select(
         *SERIES, "data_day", LEVEL, "available_days_ytd", "ytd_over_200", "ytd_count_val"
@@ -160,6 +176,12 @@ def q_moving_8h(spark, folder):
     return _moving(_observations(spark, folder, "CO", "O3"))
 
 
+def q_moving_8h_merged(spark, folder):
+    """Hours with any number of rows."""
+    rows = ev.event_measurements(_events(spark, folder, "CO", "O3"))
+    return moving_mean(rows, ev.EVENTS_START, ev.EVENTS_END)
+
+
 def q_o3_daily(spark, folder):
     prep = _observations(spark, folder, "O3")
     return o3_daily(prep, _moving(prep, "O3"), unique_hours=True)

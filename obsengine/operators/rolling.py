@@ -37,13 +37,14 @@ def moving_mean(
 
     Both are NULL under ``min_valid`` valid hours; hours NULL at every level are
     left out.  The result equals a row window over the gap-filled series, but the
-    full series x spine grid is never built: a window with enough valid hours
-    ends at most ``window_hours - min_valid`` hours after a measured one, so only
-    those empty hours are added.  ``unique_hours=True`` states that a series has
-    at most one row per hour and saves the pre-aggregation that merges copies.
+    full series x spine grid is never built: only the empty hours are added that
+    follow a measured one closely enough for the window to hold enough values.
+    ``unique_hours=True`` states that a series has at most one row per hour and
+    saves the pre-aggregation that merges the rows of an hour, all of which count.
     """
     tail = window_hours - 1
-    spare = window_hours - min_valid
+    # One hour may hold enough rows for the whole window unless hours are unique.
+    spare = window_hours - min_valid if unique_hours else tail
     hours = (end - start) // timedelta(hours=1)
     past = timedelta(minutes=start.minute, seconds=start.second, microseconds=start.microsecond)
     end_hour = (start - datetime(1970, 1, 1)) // timedelta(hours=1) + hours

@@ -40,15 +40,22 @@ def _channel(position: int) -> Column:
     return chosen.otherwise(F.lit(CHANNELS[-1][position]))
 
 
+def _station_number() -> Column:
+    return F.expr(f"user_id div {USERS_PER_STATION}")
+
+
 def _station() -> Column:
-    return F.concat(F.lit("S"), F.expr(f"user_id div {USERS_PER_STATION}").cast("string"))
+    return F.concat(F.lit("S"), F.col("station").cast("string"))
+
+
+def _hour() -> Column:
+    return F.col("ts").cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("ts"))
 
 
 def hourly_cells(events: DataFrame) -> DataFrame:
     """One row per station, event type and hour; counted before the shuffle."""
-    hour = F.col("ts").cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("ts"))
     return events.groupBy(
-        _station().alias("cod_ubic"), "event_type", hour.alias("data_da")
+        _station_number().alias("station"), "event_type", _hour().alias("data_da")
     ).agg(F.max("value").alias("top_value"), F.max("event_id").alias("last_id"))
 
 
@@ -60,11 +67,10 @@ def of_pollutants(events: DataFrame, *pollutants: str) -> DataFrame:
 
 def event_measurements(events: DataFrame) -> DataFrame:
     """Each event as a measurement of its hour, so an hour may hold many rows."""
-    hour = F.col("ts").cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("ts"))
     cells = events.select(
-        _station().alias("cod_ubic"),
+        _station_number().alias("station"),
         "event_type",
-        hour.alias("data_da"),
+        _hour().alias("data_da"),
         F.col("value").alias("top_value"),
         F.col("event_id").alias("last_id"),
     )
@@ -79,7 +85,7 @@ def observations(events: DataFrame) -> DataFrame:
 def _measured(cells: DataFrame) -> DataFrame:
     last = F.col("last_id")
     return cells.select(
-        "cod_ubic",
+        _station().alias("cod_ubic"),
         _channel(1).alias("cod_conf"),
         F.concat(F.lit("P"), _channel(1).cast("string")).alias("cod_param"),
         "data_da",
@@ -98,7 +104,7 @@ def raw_measurements(events: DataFrame) -> DataFrame:
     """The same measurements as a raw table: upper-case names, text columns, open codes."""
     last = F.col("last_id")
     return hourly_cells(events).select(
-        F.col("cod_ubic").alias("COD_UBIC"),
+        _station().alias("COD_UBIC"),
         _channel(1).cast("string").alias("COD_CONF"),
         F.col("data_da").cast("string").alias("DATA_DA"),
         (F.col("data_da") + one_hour()).cast("string").alias("DATA_A"),
@@ -113,11 +119,11 @@ def raw_configurations(events: DataFrame) -> DataFrame:
     """One configuration per station and event type."""
     conf = _channel(1).cast("string")
     return (
-        events.select(_station().alias("COD_UBIC"), "event_type")
+        events.select(_station_number().alias("station"), "event_type")
         .distinct()
         .select(
             conf.alias("COD_CONF"),
-            "COD_UBIC",
+            _station().alias("COD_UBIC"),
             F.concat(F.lit("P"), conf).alias("COD_PARAM"),
             F.lit("E1").alias("COD_ENTE"),
             F.lit("M1").alias("COD_MIS"),
