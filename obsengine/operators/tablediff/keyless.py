@@ -1,6 +1,7 @@
 """Aligning two tables without a key."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -58,43 +59,44 @@ def link_rows(
 
     Each set links the rows whose text is unique in both whole tables and that no
     earlier set linked.  A set whose most frequent text holds a tenth of the rows
-    is skipped.  Up to ``2 ** len(columns) - 1`` passes, each over the rows still
-    open only; runs jobs.
+    is skipped.  Up to ``2 ** len(columns) - 1`` passes; after the first only the
+    rows still open are shuffled, and the whole tables are merely searched for the
+    texts found there.  Runs jobs.
     """
     height = max(left.count(), right.count()) + 1
-    links = None
+    open_left, open_right = left, right
+    links: list[DataFrame] = []
     fine: list[set] = []
     used_sets = 0
     last = 2 ** len(columns) - 1
     for mask in range(1, last + 1):
         chosen = [c for at, c in enumerate(columns) if mask >> at & 1]
         text = equality.key_text(chosen).alias(_TEXT)
-        a, b = left.select("_id", text), right.select("_id", text)
+        whole = [df.select("_id", text) for df in (left, right)]
         # More columns only split texts further, so a set over a fine one is fine.
         if not any(known <= set(chosen) for known in fine):
-            if _top_frequency(a, b) / (height + COARSE_SLACK) < COARSE_SHARE:
+            if _top_frequency(*whole) / (height + COARSE_SLACK) < COARSE_SHARE:
                 fine.append(set(chosen))
             elif used_sets or mask < last:
                 continue
         used_sets += 1
-        if links is None:
-            links = _once(a, "left_id").join(_once(b, "right_id"), _TEXT)
-            links = links.select("left_id", "right_id").checkpoint()
-            continue
-        taken_a = links.select(F.col("left_id").alias("_id"))
-        taken_b = links.select(F.col("right_id").alias("_id"))
-        open_a, open_b = a.join(taken_a, "_id", "left_anti"), b.join(taken_b, "_id", "left_anti")
-        if open_a.isEmpty():
+        found = _once(open_left.select("_id", text), "left_id").join(
+            _once(open_right.select("_id", text), "right_id"), _TEXT
+        )
+        if links:
+            # Unique among the open rows; a linked row may hold the same text.
+            for rows in whole:
+                searched = rows.join(found.select(_TEXT), _TEXT, "left_semi")
+                found = found.join(_once(searched, "_one").select(_TEXT), _TEXT, "left_semi")
+        found = found.select("left_id", "right_id").checkpoint()
+        links.append(found)
+        open_left = open_left.join(found, F.col("_id") == F.col("left_id"), "left_anti")
+        open_right = open_right.join(found, F.col("_id") == F.col("right_id"), "left_anti")
+        open_left, open_right = open_left.checkpoint(), open_right.checkpoint()
+        if open_left.isEmpty() or open_right.isEmpty():
             break
-        fresh = _once(open_a, "left_id").join(_once(open_b, "right_id"), _TEXT)
-        # A text also on a linked row is not unique in the whole table.
-        for rows, taken in ((a, taken_a), (b, taken_b)):
-            candidates = rows.join(taken, "_id", "left_semi").join(
-                fresh.select(_TEXT), _TEXT, "left_semi"
-            )
-            fresh = fresh.join(candidates.select(_TEXT).distinct(), _TEXT, "left_anti")
-        links = links.unionByName(fresh.select("left_id", "right_id")).checkpoint()
-    return links
+    none = left.sparkSession.createDataFrame([], "left_id bigint, right_id bigint")
+    return reduce(DataFrame.unionByName, links, none)
 
 
 def diff_keyless(
