@@ -94,6 +94,28 @@ def diff3(
     ).filter(F.col("action").isNotNull())
 
 
+def three_way_patch(diff: DataFrame, data: Sequence[str]) -> DataFrame:
+    """A three-way difference as a patch for the local table; conflicting cells stay.
+
+    ``data`` names the compared columns: those of all three tables but the keys.
+    """
+    others = [c for c in diff.columns if not c.startswith(tuple(f"{s}_" for s in _SIDES))]
+    added = [c.removeprefix("remote_") for c in diff.columns if c.startswith("remote_")]
+    added = [c for c in added if c not in data]
+    changed, clashing = (F.split(c, ",") for c in ("changed", "conflicts"))
+    insert = F.col("action") == INSERT
+    cells = []
+    for c in data:
+        taken = F.array_contains(changed, c) & ~F.array_contains(clashing, c)
+        cells.append(F.col(f"local_{c}").alias(f"old_{c}"))
+        new = F.when(insert | taken, F.col(f"remote_{c}")).otherwise(F.col(f"local_{c}"))
+        cells.append(new.alias(f"new_{c}"))
+    cells += [F.col(f"remote_{c}").alias(f"new_{c}") for c in added]
+    action = F.when(F.col("action") == CONFLICT, UPDATE).otherwise(F.col("action"))
+    kept = [c for c in others if c not in ("action", "changed", "conflicts")]
+    return diff.select(action.alias("action"), *kept, *cells, "changed")
+
+
 def conflict_text(p: Column, mine: Column, theirs: Column) -> Column:
     """Fixed format of a conflicting cell: parent in brackets, local, remote."""
 

@@ -16,6 +16,8 @@ def local_session(name: str, cores: int = 8, **settings: str) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        # Call sites in error messages cost several calls to the JVM per expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in settings.items():
         builder = builder.config(key, value)

@@ -13,7 +13,12 @@ from obsengine.operators.tablediff.compare import (
 from obsengine.operators.tablediff.context import drop_blank_rows, with_context, with_positions
 from obsengine.operators.tablediff.equality import Equality
 from obsengine.operators.tablediff.keyless import diff_keyless, pick_columns
-from obsengine.operators.tablediff.merge import diff3, merge3, with_conflict_texts
+from obsengine.operators.tablediff.merge import (
+    diff3,
+    merge3,
+    three_way_patch,
+    with_conflict_texts,
+)
 from obsengine.operators.tablediff.patch import apply_patch
 from tests.conftest import rows
 
@@ -158,6 +163,20 @@ def test_merge3(spark, unique):
     assert texts["1"] == "((( 1 ))) 2 /// 3"
 
 
+def test_three_way_patch_gives_the_merge(spark):
+    rng = random.Random(4)
+    schema = "k int, v string, x int"
+
+    def version(keep):
+        return [(k, rng.choice("abc"), rng.choice([1, 2, None])) for k in range(80) if rng.random() < keep]
+
+    parent, local, remote = (frame(spark, version(k), schema) for k in (0.9, 0.8, 0.8))
+    patch = three_way_patch(diff3(parent, local, remote, ["k"]), ["v", "x"])
+    patched = apply_patch(local, patch, ["k"])
+    merged = merge3(parent, local, remote, ["k"]).drop("conflicts", "conflict_count")
+    assert rows(patched) == rows(merged)
+
+
 def test_merge3_columns(spark):
     parent = frame(spark, [(1, "a", "b")], "k int, x string, y string")
     local = frame(spark, [(1, "b", "new")], "k int, y string, mine string")
