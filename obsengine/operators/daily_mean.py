@@ -1,6 +1,7 @@
 """Daily means with a coverage gate."""
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +14,10 @@ MIN_VALID_HOURS = 18
 DAILY_FREQUENCY = "CG"
 
 
+def _has_row(level: Level, min_valid: int) -> Column:
+    return (F.col(f"count_{level.suffix}") >= min_valid) | (F.col(f"cg_rows_{level.suffix}") > 0)
+
+
 def _candidates(level: Level, min_valid: int) -> Column:
     """The day's rows of one level: the gated mean, then the ungated daily-sampler one."""
 
@@ -22,11 +27,13 @@ def _candidates(level: Level, min_valid: int) -> Column:
             F.col(f"{prefix}count_{level.suffix}").alias("n"),
         )
 
-    return F.array_compact(
-        F.array(
-            F.when(F.col(f"count_{level.suffix}") >= min_valid, row("")),
-            F.when(F.col(f"cg_rows_{level.suffix}") > 0, row("cg_")),
-        )
+    gated, daily = row(""), row("cg_")
+    enough = F.col(f"count_{level.suffix}") >= min_valid
+    sampled = F.col(f"cg_rows_{level.suffix}") > 0
+    return (
+        F.when(enough & sampled, F.array(gated, daily))
+        .when(enough, F.array(gated))
+        .when(sampled, F.array(daily))
     )
 
 
@@ -75,7 +82,8 @@ def daily_mean(prep: DataFrame, level: Level, min_valid: int = MIN_VALID_HOURS)
     """
     return (
         _per_day(prep, [level])
-        .select(*SERIES, "data", F.inline(_candidates(level, min_valid)))
+        .filter(_has_row(level, min_valid))
+        .select(*SERIES, "data", F.inline_outer(_candidates(level, min_valid)))
         .select(
             *SERIES,
             F.col("mean").alias(f"media_giornaliera_{level.suffix}"),
@@ -94,38 +102,35 @@ def daily_mean_levels(
     (at most two per level) are combined within the aggregated row.  Full joins
     never match NULL keys, so there each level's rows stand alone.
     """
-    sides = {level.suffix: _candidates(level, min_valid) for level in levels}
+    suffixes = [level.suffix for level in levels]
     empty = F.lit(None).cast("struct<mean:double,n:bigint>")
+    any_row = reduce(lambda a, b: a | b, [_has_row(level, min_valid) for level in levels])
+    days = (
+        _per_day(prep, levels)
+        .filter(any_row)
+        .select(
+            "data", *SERIES, *[_candidates(lv, min_valid).alias(f"_{lv.suffix}") for lv in levels]
+        )
+    )
 
     def combined(done: dict, left: list) -> Column:
         if not left:
             return F.array(F.struct(*[v.alias(k) for k, v in done.items()]))
-        suffix = left[0]
-        rows = F.when(F.size(sides[suffix]) > 0, sides[suffix]).otherwise(F.array(empty))
-        return F.flatten(F.transform(rows, lambda r: combined({**done, suffix: r}, left[1:])))
+        rows = F.coalesce(F.col(f"_{left[0]}"), F.array(empty))
+        return F.flatten(F.transform(rows, lambda r: combined({**done, left[0]: r}, left[1:])))
 
     def alone(suffix: str) -> Column:
+        rows = F.coalesce(F.col(f"_{suffix}"), F.array().cast("array<struct<mean:double,n:bigint>>"))
         return F.transform(
-            sides[suffix],
-            lambda r: F.struct(*[(r if k == suffix else empty).alias(k) for k in sides]),
+            rows, lambda r: F.struct(*[(r if k == suffix else empty).alias(k) for k in suffixes])
         )
 
-    null_key = F.lit(False)
-    for key in [*SERIES, "data"]:
-        null_key = null_key | F.col(key).isNull()
-    any_row = F.lit(False)
-    for side in sides.values():
-        any_row = any_row | (F.size(side) > 0)
-    rows = F.when(null_key, F.concat(*[alone(s) for s in sides])).otherwise(
-        combined({}, list(sides))
+    null_key = reduce(lambda a, b: a | b, [F.col(key).isNull() for key in [*SERIES, "data"]])
+    rows = F.when(null_key, F.concat(*[alone(s) for s in suffixes])).otherwise(
+        combined({}, suffixes)
     )
     measures = []
-    for suffix in sides:
+    for suffix in suffixes:
         measures.append(F.col(f"{suffix}.mean").alias(f"media_giornaliera_{suffix}"))
         measures.append(F.col(f"{suffix}.n").alias(f"valori_validi_gg_{suffix}"))
-    return (
-        _per_day(prep, levels)
-        .filter(any_row)
-        .select("data", *SERIES, F.inline(rows))
-        .select("data", *SERIES, *measures)
-    )
+    return days.select("data", *SERIES, F.inline_outer(rows)).select("data", *SERIES, *measures)

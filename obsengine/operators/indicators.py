@@ -83,10 +83,11 @@ def unpivot_indicators(
     rows = F.array(*[indicator.row() for indicator in indicators])
     if more_rows is not None:
         rows = F.concat(rows, more_rows)
+    # The rows are never empty; the outer form saves a filter that would build them twice.
     return figures.select(
         period,
         *SERIES,
         level_name().alias("livello_validazione"),
         LEVEL,
-        F.inline(rows),
+        F.inline_outer(rows),
     )

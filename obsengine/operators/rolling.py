@@ -83,13 +83,14 @@ def moving_mean(
         return F.floor(col / chunk_hours)
 
     reach = F.sequence(chunk(F.col("hour")), chunk(F.col("hour") + tail))
-    pieces = cells.withColumn("chunk", F.explode(reach))
+    # Neither list is ever empty; the outer form saves a filter that would build it twice.
+    pieces = cells.withColumn("chunk", F.explode_outer(reach))
     by_hour = Window.partitionBy(*SERIES, "chunk").orderBy("hour")
     next_hour = F.coalesce(F.lead("hour").over(by_hour), F.col("hour") + spare + 1)
     own = F.col("at") == F.col("hour")
     filled = (
         pieces.withColumn("until", F.least(next_hour - 1, F.col("hour") + spare))
-        .withColumn("at", F.explode(F.sequence("hour", "until")))
+        .withColumn("at", F.explode_outer(F.sequence("hour", "until")))
         .select(*SERIES, "chunk", "at", *[F.when(own, e).alias(n) for n, e in per_level.items()])
     )
     frame = Window.partitionBy(*SERIES, "chunk").orderBy("at").rangeBetween(-tail, 0)
