@@ -601,7 +601,7 @@ ORACLES: dict[str, str] = {
     ),
     "exact_percentiles": "select l_returnflag, l_linestatus, "
     + ", ".join(
-        f"round(percentile_cont({p}) within group (order by l_extendedprice), 2) as {n}"
+        f"round(percentile_cont({p}) within group (order by round(l_extendedprice * 100))) as {n}"
         for n, p in (("p02", 0.02), ("p50", 0.5), ("p98", 0.98))
     )
     + " from lineitem group by l_returnflag, l_linestatus",

@@ -117,12 +117,11 @@ def q_daily_figures(spark, folder):
 
 
 def q_exact_percentiles(spark, folder):
-    lines = ev.table(spark, folder, "lineitem")
+    cents = F.round(F.col("l_extendedprice") * 100)
+    lines = ev.table(spark, folder, "lineitem").withColumn("cents", cents)
     shares = {"p02": 0.02, "p50": 0.5, "p98": 0.98}
-    found = exact_percentiles(lines, ["l_returnflag", "l_linestatus"], "l_extendedprice", shares)
-    return found.select(
-        "l_returnflag", "l_linestatus", *[F.round(name, 2).alias(name) for name in shares]
-    )
+    found = exact_percentiles(lines, ["l_returnflag", "l_linestatus"], "cents", shares)
+    return found.withColumns({name: F.round(name) for name in shares})
 
 
 def q_ytd_sums(spark, folder):

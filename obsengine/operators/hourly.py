@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from obsengine.functions.scalar import elapsed_days, theoretical_hours
 from obsengine.functions.windows import run_hits, year_to_date
+from obsengine.operators.keys import join_same_groups
 from obsengine.operators.levels import (
     LEVELS,
     Level,
@@ -24,7 +25,7 @@ from obsengine.operators.levels import (
     level_mask,
     sum_by_level,
 )
-from obsengine.operators.percentiles import exact_percentiles, join_same_groups
+from obsengine.operators.percentiles import exact_percentiles
 from obsengine.schema import LEVEL, SERIES
 
 _YEAR_KEYS = [*SERIES, "anno", LEVEL]

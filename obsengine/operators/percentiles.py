@@ -6,27 +6,12 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsengine.operators.keys import join_same_groups, same_keys
+
 # Pieces a group's distinct values are cut into; a task orders one piece.
 PIECES = 64
 
 
-def null_safe(a: str, b: str, keys: Sequence[str]) -> Column:
-    """Join condition on aliased tables under which NULL meets NULL."""
-    return reduce(
-        lambda x, y: x & y, [F.col(f"{a}.`{k}`").eqNullSafe(F.col(f"{b}.`{k}`")) for k in keys]
-    )
-
-
-def join_same_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join on group keys that may be NULL, keeping one copy of the keys."""
-    extra = [c for c in right.columns if c not in keys]
-    return (
-        left.alias("a")
-        .join(right.alias("b"), null_safe("a", "b", keys), "left")
-        .select("a.*", *[F.col(f"b.`{c}`") for c in extra])
-    )
-
-
 def exact_percentiles(
     df: DataFrame, keys: Sequence[str], value: str, shares: Mapping[str, float]
 ) -> DataFrame:
@@ -70,9 +55,9 @@ def exact_percentiles(
     pieces = sizes.filter(wanted).withColumn("_start", start).drop("_size", "_end")
     inside = Window.partitionBy(*keys, "_piece").orderBy("_v")
     ranked = (
-        placed.alias("a")
-        .join(pieces.alias("b"), null_safe("a", "b", [*keys, "_piece"]))
-        .select("a.*", "b._start", "b._last")
+        placed.alias("_a")
+        .join(pieces.alias("_b"), same_keys("_a", "_b", [*keys, "_piece"]))
+        .select("_a.*", "_b._start", "_b._last")
         .withColumn("_to", F.col("_start") + F.sum("_n").over(inside))
         .withColumn("_from", F.col("_to") - F.col("_n"))
     )

@@ -2,6 +2,44 @@
 
 from pyspark.sql import DataFrame
 
+# The column order of the lookup table.
+DIM_LOOKUP_COLUMNS = [
+    "cod_ubic",
+    "descr_ubic",
+    "via_ubic",
+    "cod_prov",
+    "nom_prov",
+    "cod_com",
+    "nom_com",
+    "cmirl_lat",
+    "cmirl_lon",
+    "data_disattiv",
+    "cod_eu",
+    "cod_tzona",
+    "tipo_zona",
+    "cod_conf",
+    "cod_param",
+    "cod_ente",
+    "descr_ente",
+    "t_rete",
+    "descr_t_rete",
+    "flag_privata",
+    "cod_mis",
+    "sigla_mis",
+    "cod_freq",
+    "descr_freq",
+    "station_cl_eu",
+    "desc_eu",
+    "flg_pub",
+    "descr_param",
+    "sigla_param",
+    "cod_metodo",
+    "metodo",
+    "flag_pubblico",
+    "cod_elemento",
+    "inquinante",
+]
+
 # No join here carries a broadcast hint.  Spark broadcasts a side by itself when
 # its statistics (or, with AQE, its measured shuffle size) stay under
 # spark.sql.autoBroadcastJoinThreshold, and otherwise shuffles, where AQE splits
@@ -58,12 +96,3 @@ def dim_lookup(staged: dict[str, DataFrame]) -> DataFrame:
         .join(location, "cod_ubic")
         .select(*DIM_LOOKUP_COLUMNS)
     )
-
-
-# The column order of the lookup table.
-DIM_LOOKUP_COLUMNS = """
-    cod_ubic descr_ubic via_ubic cod_prov nom_prov cod_com nom_com cmirl_lat cmirl_lon
-    data_disattiv cod_eu cod_tzona tipo_zona cod_conf cod_param cod_ente descr_ente t_rete
-    descr_t_rete flag_privata cod_mis sigla_mis cod_freq descr_freq station_cl_eu desc_eu
-    flg_pub descr_param sigla_param cod_metodo metodo flag_pubblico cod_elemento inquinante
-""".split()

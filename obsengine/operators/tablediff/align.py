@@ -3,15 +3,10 @@
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def same_keys(a: str, b: str, keys: Sequence[str]) -> Column:
-    """Null-safe join condition between two aliased tables."""
-    return reduce(
-        lambda x, y: x & y, [F.col(f"{a}.`{k}`").eqNullSafe(F.col(f"{b}.`{k}`")) for k in keys]
-    )
+from obsengine.operators.keys import same_keys
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -21,7 +16,7 @@ def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def rows_with_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``wanted``."""
-    return df.alias("a").join(wanted.alias("b"), same_keys("a", "b", keys), "left_semi")
+    return df.alias("_a").join(wanted.alias("_b"), same_keys("_a", "_b", keys), "left_semi")
 
 
 def align_rows(
@@ -44,8 +39,8 @@ def align_rows(
         for name, df in packed.items():
             repeated = repeated_keys(sides[name], keys)
             alone.append(rows_with_keys(df, repeated, keys))
-            packed[name] = df.alias("a").join(
-                repeated.alias("b"), same_keys("a", "b", keys), "left_anti"
+            packed[name] = df.alias("_a").join(
+                repeated.alias("_b"), same_keys("_a", "_b", keys), "left_anti"
             )
     linked = reduce(lambda a, b: _meet(a, b, keys), packed.values())
     for rows in alone:
@@ -69,8 +64,8 @@ def _any_repeats(sides: Mapping[str, DataFrame], keys: Sequence[str]) -> bool:
 
 
 def _meet(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
-    joined = a.alias("a").join(b.alias("b"), same_keys("a", "b", keys), "full")
-    either = [F.coalesce(F.col(f"a.`{k}`"), F.col(f"b.`{k}`")).alias(k) for k in keys]
-    rows = [F.col(f"{t}.`{c}`") for t, df in (("a", a), ("b", b)) for c in df.columns]
+    joined = a.alias("_a").join(b.alias("_b"), same_keys("_a", "_b", keys), "full")
+    either = [F.coalesce(F.col(f"_a.`{k}`"), F.col(f"_b.`{k}`")).alias(k) for k in keys]
+    rows = [F.col(f"{t}.`{c}`") for t, df in (("_a", a), ("_b", b)) for c in df.columns]
     kept = [r for r, c in zip(rows, [*a.columns, *b.columns]) if c not in keys]
     return joined.select(*either, *kept)

@@ -37,23 +37,23 @@ def apply_patch(
         patch.filter(F.col("action").isin(DELETE, UPDATE, ADDED_CELLS))
         .drop("changed")
         .distinct()
-        .alias("p")
+        .alias("_p")
     )
-    match = [F.col(f"t.`{k}`").eqNullSafe(F.col(f"p.`{k}`")) for k in keys]
-    match += [F.col(f"t.`{c}`").eqNullSafe(F.col(f"p.`old_{c}`")) for c in shown]
-    action = F.col("p.action")
+    match = [F.col(f"_t.`{k}`").eqNullSafe(F.col(f"_p.`{k}`")) for k in keys]
+    match += [F.col(f"_t.`{c}`").eqNullSafe(F.col(f"_p.`old_{c}`")) for c in shown]
+    action = F.col("_p.action")
     kept = [c for c in table.columns if c not in dropped]
     changed = (
-        table.alias("t")
+        table.alias("_t")
         .join(changes, reduce(lambda a, b: a & b, match), "left")
         .filter(action.isNull() | (action != DELETE))
         .select(
             *[
-                F.when(action.isNotNull(), F.col(f"p.`new_{c}`"))
-                .otherwise(F.col(f"t.`{c}`"))
+                F.when(action.isNotNull(), F.col(f"_p.`new_{c}`"))
+                .otherwise(F.col(f"_t.`{c}`"))
                 .alias(c)
                 if c in renewed
-                else F.col(f"t.`{c}`").alias(c)
+                else F.col(f"_t.`{c}`").alias(c)
                 for c in kept
             ]
         )

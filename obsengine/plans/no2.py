@@ -22,8 +22,7 @@ DAILY_INDICATORS = (
         "count_over_200", "24", "count_val_param",
     ),
     DailyIndicator(
-        "Biossido di azoto (NO2): numero di medie orarie superiori al valore limite orario"
-        " da inizio anno",
+        "Biossido di azoto (NO2): numero di medie orarie superiori al valore limite orario da inizio anno",
         "200 µg/m3", "", "",
         "ytd_over_200", "available_days_ytd * 24", "ytd_count_val",
     ),

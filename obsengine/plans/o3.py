@@ -47,8 +47,7 @@ DAILY_INDICATORS = (
         "max_mv_avg", "24", "count_mv_avg",
     ),
     DailyIndicator(
-        "Ozono (O3): numero di giorni con medie su 8 ore massime giornaliere superiori"
-        " al valore obiettivo a lungo termine da inizio anno",
+        "Ozono (O3): numero di giorni con medie su 8 ore massime giornaliere superiori al valore obiettivo a lungo termine da inizio anno",
         "obiettivo: 120 µg/m3", "", "",
         "ytd_8h_over_120", "available_days_ytd", "ytd_valid_days",
     ),
@@ -56,8 +55,7 @@ DAILY_INDICATORS = (
 
 ANNUAL_INDICATORS = (
     AnnualIndicator(
-        "Ozono (O3): numero di giorni con medie su 8 ore massime giornaliere superiori"
-        " al valore obiettivo a lungo termine",
+        "Ozono (O3): numero di giorni con medie su 8 ore massime giornaliere superiori al valore obiettivo a lungo termine",
         "120 µg/m3", "", "",
         "days_over_120", "available_days_in_year", "valid_days_8h",
     ),
@@ -101,7 +99,7 @@ def _moving_mean_days(moving: DataFrame) -> DataFrame:
         .groupBy(*SERIES, F.col("data_da").cast("date").alias("data_day"))
         .agg(
             *[F.count(f"mv_avg_{lv.suffix}").alias(f"means_{lv.code}") for lv in LEVELS],
-            *[F.max(F.round(f"mv_avg_{lv.suffix}")).alias(f"top_{lv.code}") for lv in LEVELS],
+            *[F.round(F.max(f"mv_avg_{lv.suffix}")).alias(f"top_{lv.code}") for lv in LEVELS],
         )
     )
 

@@ -34,10 +34,12 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def _channel(position: int) -> Column:
-    chosen = F
-    for channel in CHANNELS[:-1]:
+    """One attribute of the event's channel; the last channel takes all other types."""
+    *named, rest = CHANNELS
+    chosen = F.when(F.col("event_type") == named[0][0], F.lit(named[0][position]))
+    for channel in named[1:]:
         chosen = chosen.when(F.col("event_type") == channel[0], F.lit(channel[position]))
-    return chosen.otherwise(F.lit(CHANNELS[-1][position]))
+    return chosen.otherwise(F.lit(rest[position]))
 
 
 def _station_number() -> Column:

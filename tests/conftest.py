@@ -25,6 +25,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def rows(df, *order):
+def rows(df):
     """Sorted list of tuples."""
     return sorted((tuple(r) for r in df.collect()), key=repr)

@@ -316,7 +316,11 @@ def test_year_change_restarts_the_running_sums(spark):
 
 
 def test_output_contracts(spark):
-    data = [measurement(h, 50 + h, sigla=s, conf=c) for c, s in enumerate(["O3", "NO2", "NOX"]) for h in range(30)]
+    data = [
+        measurement(h, 50 + h, sigla=s, conf=c)
+        for c, s in enumerate(["O3", "NO2", "NOX"])
+        for h in range(30)
+    ]
     prep = prep_frame(spark, data)
     moving = moving_mean(prep, DAY, DAY + timedelta(days=2))
     for daily in (o3_daily(prep, moving), no2_daily(prep, daily_mean_levels(prep))):

@@ -52,6 +52,21 @@ def test_daily_figures_shuffle_the_hours_once(spark):
     assert len(exchanges(annual)) == 2
 
 
+def test_unknown_hours_are_added_up_before_any_shuffle(spark):
+    from obsengine.operators.hourly import daily_figures
+    from obsengine.operators.rolling import moving_mean
+
+    rows = ev.event_measurements(ev.of_pollutants(ev.table(spark, SMALL, "events"), "O3"))
+    for df in (
+        daily_figures(rows, "O3", [180], 240),
+        moving_mean(rows, ev.EVENTS_START, ev.EVENTS_END),
+    ):
+        # Read from the scan upwards, a partial sum comes before the first exchange.
+        lines = [line for line in reversed(plan(df).split("\n")) if line.strip()]
+        first = next(i for i, line in enumerate(lines) if "Exchange" in line)
+        assert any("partial_sum" in line for line in lines[:first])
+
+
 def test_annual_figures_shuffle_the_hours_once(spark):
     from obsengine.operators.hourly import annual_figures
 
