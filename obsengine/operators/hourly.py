@@ -93,9 +93,14 @@ def daily_figures(
         hours = level_hours(prep, pollutant, "data_day", levels)
         cells = hours.withColumns({**sums, "top": value})
     else:
-        keys = [*SERIES, "data_da", "data_day", "anno"]
-        merged = sum_by_level(_rows_of(prep, pollutant), keys, sums, {"top": value}, levels)
-        cells = merged.repartition(*SERIES, "data_day")
+        cells = sum_by_level(
+            _rows_of(prep, pollutant),
+            [*SERIES, "data_da", "data_day", "anno"],
+            sums,
+            {"top": value},
+            levels,
+            place_by=[*SERIES, "data_day"],
+        )
     hits = run_hits(F.col("zeros"), F.col("ones"), _day_window())
     return (
         cells.withColumn("hits", hits)

@@ -85,11 +85,13 @@ def sum_by_level(
     sums: Mapping[str, Column],
     maxima: Mapping[str, Column] | None = None,
     levels: Sequence[Level] = LEVELS,
+    place_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Sums and maxima per keys and level.
 
     Rows are first added up per mask, of which there are few, so that the levels
-    only repeat the groups and never the rows.
+    only repeat the groups and never the rows.  The groups are placed by some of
+    their keys (``place_by``, all by default), and stay there in the result.
     """
     maxima = maxima or {}
     once = (
@@ -101,8 +103,9 @@ def sum_by_level(
             *[F.max(e).alias(n) for n, e in maxima.items()],
         )
     )
+    placed = once.repartition(*(place_by or keys))
     return (
-        explode_mask(once, "_mask", levels)
+        explode_mask(placed, "_mask", levels)
         .groupBy(*keys, LEVEL)
         .agg(*[F.sum(n).alias(n) for n in sums], *[F.max(n).alias(n) for n in maxima])
     )

@@ -42,6 +42,8 @@ def moving_mean(
     ``unique_hours=True`` states that a series has at most one row per hour and
     saves the pre-aggregation that merges the rows of an hour, all of which count.
     """
+    if not 1 <= min_valid <= window_hours:
+        raise ValueError("min_valid must lie between 1 and window_hours")
     tail = window_hours - 1
     # One hour may hold enough rows for the whole window unless hours are unique.
     spare = window_hours - min_valid if unique_hours else tail

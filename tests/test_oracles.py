@@ -22,6 +22,27 @@ def test_query_equals_sql(spark, duck, name):
     assert difference(spark, duck, QUERIES[name], ORACLES[name], MEDIUM) is None
 
 
+@pytest.mark.parametrize("name", ["fct_daily", "data_prep", "gap_fill", "stage_rqa_ubicazioni"])
+def test_results_do_not_depend_on_the_session_zone(spark, duck, name):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert difference(spark, duck, QUERIES[name], ORACLES[name], MEDIUM) is None
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("name", ["dim_lookup", "fct_annual", "diff_duplicate_keys", "apply_patch"])
+def test_results_do_not_depend_on_the_join_strategy(spark, duck, name):
+    changed = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    for key, value in changed.items():
+        spark.conf.set(key, value)
+    try:
+        assert difference(spark, duck, QUERIES[name], ORACLES[name], MEDIUM) is None
+    finally:
+        for key in changed:
+            spark.conf.unset(key)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry_module
 

@@ -65,6 +65,8 @@ def test_unknown_hours_are_added_up_before_any_shuffle(spark):
         lines = [line for line in reversed(plan(df).split("\n")) if line.strip()]
         first = next(i for i, line in enumerate(lines) if "Exchange" in line)
         assert any("partial_sum" in line for line in lines[:first])
+    # Once to add up, once to place by day; windows and groups follow there.
+    assert len(exchanges(plan(daily_figures(rows, "O3", [180], 240)))) == 2
 
 
 def test_annual_figures_shuffle_the_hours_once(spark):
