@@ -1,0 +1,25 @@
+"""Stages of the training-text pipeline."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+from obsengine.llm import bpe
+from obsengine.llm.queries import BYTE_BPE
+from obsengine.session import fresh_folder
+
+
+def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every text that is left, checked by decoding them."""
+    return bpe.round_trip_digests(docs.select("doc_id", "text"), BYTE_BPE)
+
+
+STAGES = [("bpe", encode_stage)]
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``; each one's rows are written and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        folder = fresh_folder(spark, f"stage-{name}")
+        stage(spark, docs, sf_dir).write.parquet(folder)
+        docs = spark.read.parquet(folder)
+    return docs
