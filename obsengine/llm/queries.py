@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsengine.llm import bpe, rans
+from obsengine.llm import bpe, langid, rans, toxicity
+from obsengine.llm.columns import id_remainder
 from obsengine.session import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,14 +25,44 @@ def op1_rans(spark, folder):
     return rans.read_folder(spark, files).drop("ids")
 
 
+def language_model(documents: DataFrame) -> langid.Model:
+    """Fitted on the documents that are not held out (crc32 of the id modulo 4 is not 2)."""
+    return langid.fit(documents.where(id_remainder("doc_id", 4) != 2))
+
+
+def op5_langid(spark, folder):
+    documents = _table(spark, folder, "documents")
+    rows = documents.select(
+        "doc_id", (id_remainder("doc_id", 4) == 2).alias("held_out"), "text"
+    )
+    return langid.predict(rows, language_model(documents)).drop("text")
+
+
 def op7_bpe(spark, folder):
     documents = _table(spark, folder, "documents").select("doc_id", "text")
     return bpe.round_trip_digests(documents, BYTE_BPE)
 
 
+def toxicity_lexicon(spark: SparkSession, folder: str, documents: DataFrame) -> toxicity.Lexicon:
+    """Learned from the labels that are not held out (crc32 of the id modulo 5 is not 0)."""
+    labels = _table(spark, folder, "labels").where(id_remainder("doc_id", 5) != 0)
+    each = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    return toxicity.fit(documents.select("doc_id", "text").join(each, "doc_id"))
+
+
+def op8_toxicity(spark, folder):
+    documents = _table(spark, folder, "documents")
+    rows = documents.select(
+        "doc_id", (id_remainder("doc_id", 5) == 0).alias("held_out"), "text"
+    )
+    return toxicity.score(rows, toxicity_lexicon(spark, folder, documents)).drop("text")
+
+
 QUERIES: dict[str, Query] = {
     "op1_rans": op1_rans,
+    "op5_langid": op5_langid,
     "op7_bpe": op7_bpe,
+    "op8_toxicity": op8_toxicity,
 }
 
 #: DuckDB SQL for the queries that SQL can express.
