@@ -16,47 +16,71 @@ _UNSAFE_SPACE = re.compile(r" (?<=\s )(?:\s|\Z)")
 CHUNK_CHARS = 1_000_000
 
 
+#: Marks that are tokens of their own after a word.
+_MARKS = ",.;:!?"
+
+
 class PieceCache:
-    """Ids of texts as little-endian unsigned 32-bit integers, through cached pieces.
+    """Ids of texts as little-endian unsigned integers, through cached pieces.
 
     ``encode_pieces`` maps distinct strings to the bytes of their ids.  The cache is emptied
-    when it holds ``max_entries`` pieces, so a worker's memory is bounded.
+    when it holds ``max_entries`` pieces, so a worker's memory is bounded.  A piece is kept
+    without the space before it; one that begins a text is kept with a space in front.
     """
 
     def __init__(
         self,
         encode_pieces: Callable[[list[str]], list[bytes]],
         special: tuple[str, ...] = (),
-        max_entries: int = 400_000,
+        max_entries: int = 600_000,
     ):
         self._encode_pieces = encode_pieces
         self._special = special
         self._max_entries = max_entries
         self._cache: dict[str, bytes] = {}
+        self._marks = dict(zip(_MARKS, encode_pieces(list(_MARKS)), strict=True))
 
-    def _cut(self, text: str) -> list[str] | None:
-        """Pieces of a text, or None where cutting at spaces could change its tokens."""
-        if _UNSAFE_SPACE.search(text) or any(s in text for s in self._special):
-            return None
-        first, *rest = text.split(" ")
-        pieces = [" " + piece for piece in rest]
-        if first:
-            pieces.insert(0, first)
-        return pieces
+    def _learn(self, missing: set[str]) -> None:
+        cache = self._cache
+        marked = {p: p[:-1] for p in missing if p[-1:] in self._marks and p[:-1].removeprefix(" ").isalpha()}
+        plain = missing.difference(marked).union(w for w in marked.values() if w not in cache)
+        texts = [p[1:] if p[:1] == " " else " " + p for p in plain]
+        cache.update(zip(plain, self._encode_pieces(texts), strict=True))
+        marks = self._marks
+        cache.update((p, cache[word] + marks[p[-1]]) for p, word in marked.items())
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(text) for text in texts]
-        wanted = set().union(*(pieces for pieces in cut if pieces is not None))
         cache = self._cache
-        missing = [piece for piece in wanted if piece not in cache]
-        if len(cache) + len(missing) > self._max_entries:
-            cache.clear()
-            missing = list(wanted)
-        cache.update(zip(missing, self._encode_pieces(missing), strict=True))
-        whole = [text for text, pieces in zip(texts, cut, strict=True) if pieces is None]
+        flat: list[str] = []
+        sizes: list[int] = []
+        whole: list[str] = []
+        for text in texts:
+            if _UNSAFE_SPACE.search(text) or any(s in text for s in self._special):
+                whole.append(text)
+                sizes.append(-1)
+                continue
+            pieces = text.split(" ")
+            pieces[0] = " " + pieces[0]
+            flat += pieces
+            sizes.append(len(pieces))
+        found = list(map(cache.get, flat))
+        if None in found:
+            missing = {p for p, ids in zip(flat, found, strict=True) if ids is None}
+            if len(cache) + len(missing) > self._max_entries:
+                cache.clear()
+                missing = set(flat)
+            self._learn(missing)
+            found = list(map(cache.__getitem__, flat))
         uncut = iter(self._encode_pieces(whole)) if whole else iter(())
-        get = cache.__getitem__
-        return [next(uncut) if pieces is None else b"".join(map(get, pieces)) for pieces in cut]
+        out: list[bytes] = []
+        at = 0
+        for size in sizes:
+            if size < 0:
+                out.append(next(uncut))
+            else:
+                out.append(b"".join(found[at : at + size]))
+                at += size
+        return out
 
 
 def text_chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]]:

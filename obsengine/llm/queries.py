@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsengine.llm import bpe, langid, rans, toxicity
+from obsengine.llm import bpe, jaccard, langid, rans, toxicity
 from obsengine.llm.columns import id_remainder
 from obsengine.session import fresh_folder
 
@@ -58,11 +58,16 @@ def op8_toxicity(spark, folder):
     return toxicity.score(rows, toxicity_lexicon(spark, folder, documents)).drop("text")
 
 
+def op9_jaccard(spark, folder):
+    return jaccard.jaccard_groups(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_rans": op1_rans,
     "op5_langid": op5_langid,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
+    "op9_jaccard": op9_jaccard,
 }
 
 #: DuckDB SQL for the queries that SQL can express.

@@ -18,6 +18,7 @@ ordered by their ids and stay separate documents; no documents give an empty fol
 back as no rows.
 """
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
@@ -73,7 +74,7 @@ def encode_block(
     lengths: list[int],
     ids: np.ndarray,
     table: FrequencyTable,
-    lanes: int = 512,
+    lanes: int = 2048,
     interval: int = 256,
 ) -> bytes:
     """The bytes of one block; ``ids`` are those of all its documents in order."""
@@ -81,6 +82,7 @@ def encode_block(
     rows = -(-n // lanes)
     states = np.full(lanes, _LOW, np.uint64)
     freq, start, bits = table.freq, table.start, np.uint64(table.bits)
+    total = np.uint64(1) << bits
     bound = (_LOW >> bits) << np.uint64(32)
     words: list[np.ndarray] = []
     n_words = 0
@@ -96,8 +98,9 @@ def encode_block(
             words.append((out & _MASK32).astype("<u4"))
             n_words += len(out)
             x[over] = out >> np.uint64(32)
-        quotient, rest = np.divmod(x, f)
-        states[: len(symbols)] = (quotient << bits) + rest + start[symbols]
+        quotient = x // f
+        x += quotient * (total - f) + start[symbols]
+        states[: len(symbols)] = x
         if row % interval == 0:
             part = ids[row * lanes : (row + interval) * lanes].astype("<u4")
             checks.append(zlib.crc32(part.tobytes()))
@@ -183,10 +186,15 @@ class Block:
             yield key, ids[end - int(length) : end]
 
 
-@lru_cache(maxsize=2)
-def _library(path: str, max_pieces: int) -> PieceCache:
-    import os
+def id_kind(tokenizer: str) -> str:
+    """The narrowest little-endian integers that hold every id of a tokenizer file."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if Tokenizer.from_file(tokenizer).get_vocab_size() <= 1 << 16 else "<u4"
+
 
+@lru_cache(maxsize=2)
+def _library(path: str, kind: str, max_pieces: int) -> PieceCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -196,7 +204,7 @@ def _library(path: str, max_pieces: int) -> PieceCache:
 
     def encode(pieces: list[str]) -> list[bytes]:
         found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
+        return [np.array(e.ids, kind).tobytes() for e in found]
 
     special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
     return PieceCache(encode, special, max_pieces)
@@ -208,48 +216,48 @@ def tokenize(
     end_id: int | None,
     key: str = "doc_id",
     text: str = "text",
-    max_pieces: int = 300_000,
+    max_pieces: int = 600_000,
 ) -> DataFrame:
-    """``key``, ``n_tokens`` and ``ids`` (little-endian u32) of each text, ``end_id`` appended."""
-    end = b"" if end_id is None else struct.pack("<I", end_id)
+    """``key``, ``n_tokens`` and ``ids`` (integers of ``id_kind``) of each text.
+
+    ``end_id`` is appended to every text.  One row in each chunk of texts also has ``symbols``
+    and ``counts`` of all ids of the chunk, so frequencies need no second look at the ids.
+    """
+    kind = id_kind(tokenizer)
+    end = b"" if end_id is None else np.array([end_id], kind).tobytes()
+    width = np.dtype(kind).itemsize
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _library(tokenizer, max_pieces)
+        encoder = _library(tokenizer, kind, max_pieces)
         for batch in batches:
             for start, texts in text_chunks(batch, 1):
                 ids = [found + end for found in encoder.encode(texts)]
+                counts = np.bincount(np.frombuffer(b"".join(ids), kind))
+                used = np.flatnonzero(counts)
+                rest = [None] * (len(ids) - 1)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(start, len(texts)),
-                        pa.array([len(i) // 4 for i in ids], pa.int64()),
+                        pa.array([len(i) // width for i in ids], pa.int64()),
                         pa.array(ids, pa.binary()),
+                        pa.array([used, *rest], pa.list_(pa.int64())),
+                        pa.array([counts[used], *rest], pa.list_(pa.int64())),
                     ],
-                    names=["key", "n_tokens", "ids"],
+                    names=["key", "n_tokens", "ids", "symbols", "counts"],
                 )
 
     rows = docs.select(F.col(key).cast("long"), F.col(text).cast("string"))
-    return map_arrow(rows, run, "key long, n_tokens long, ids binary")
+    return map_arrow(
+        rows, run, "key long, n_tokens long, ids binary, symbols array<long>, counts array<long>"
+    )
 
 
 def symbol_counts(tokens: DataFrame) -> DataFrame:
-    """Occurrences of each id: added up per task, then shuffled as at most a row a symbol."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            for value in batch.column(0):
-                ids = np.frombuffer(value.as_buffer(), "<u4")
-                if len(ids):
-                    found = np.bincount(ids, minlength=len(counts))
-                    found[: len(counts)] += counts
-                    counts = found
-        used = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(used.astype(np.int64)), pa.array(counts[used])], names=["symbol", "n"]
-        )
-
-    parts = map_arrow(tokens.select("ids"), run, "symbol long, n long")
-    return parts.groupBy("symbol").agg(F.sum("n").alias("n"))
+    """Occurrences of each id in ``tokens``, from the counts of its chunks."""
+    pairs = tokens.where("symbols is not null").select(
+        F.inline(F.arrays_zip("symbols", "counts"))
+    )
+    return pairs.groupBy("symbols").agg(F.sum("counts").alias("n")).toDF("symbol", "n")
 
 
 def write_folder(
@@ -259,9 +267,9 @@ def write_folder(
     end_id: int | None = None,
     key: str = "doc_id",
     text: str = "text",
-    block_tokens: int = 1 << 18,
+    block_tokens: int = 1 << 20,
     file_tokens: int = 1 << 23,
-    lanes: int = 512,
+    lanes: int = 2048,
     interval: int = 256,
 ) -> str:
     """Encode the texts of ``docs`` into a new folder of this format and return it.
@@ -285,6 +293,7 @@ def write_folder(
         f"{folder}/table"
     )
     shared = spark.sparkContext.broadcast(freq)
+    kind = id_kind(tokenizer)
     files = int(counts.sum() // file_tokens) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -309,7 +318,7 @@ def write_folder(
         for batch in batches:
             for k, value in zip(batch.column(0), batch.column(1), strict=True):
                 keys.append(k.as_py())
-                pending.append(np.frombuffer(value.as_buffer(), "<u4").copy())
+                pending.append(np.frombuffer(value.as_py(), kind))
                 size += len(pending[-1])
                 if size >= block_tokens:
                     yield block()
