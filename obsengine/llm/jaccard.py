@@ -154,6 +154,7 @@ def linked_pairs(
             has = np.zeros((len(sets), step), np.float32)
             has[owner[begin:end], column[begin:end] - i * step] = 1
             common += has[left] @ has[right].T
+    common = common.astype(np.float64)
     enough = common * (1 + threshold) >= threshold * (sizes[left][:, None] + sizes[right]) - 1e-6
     return np.nonzero(enough & (left[:, None] != right))
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsengine.llm import bpe, jaccard, langid, rans, toxicity
+from obsengine.llm import bpe, embeddings, jaccard, langid, rans, toxicity
 from obsengine.llm.columns import id_remainder
 from obsengine.session import fresh_folder
 
@@ -25,6 +25,10 @@ def op1_rans(spark, folder):
     return rans.read_folder(spark, files).drop("ids")
 
 
+def op2_embeddings(spark, folder):
+    return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def language_model(documents: DataFrame) -> langid.Model:
     """Fitted on the documents that are not held out (crc32 of the id modulo 4 is not 2)."""
     return langid.fit(documents.where(id_remainder("doc_id", 4) != 2))
@@ -64,11 +68,9 @@ def op9_jaccard(spark, folder):
 
 QUERIES: dict[str, Query] = {
     "op1_rans": op1_rans,
+    "op2_embeddings": op2_embeddings,
     "op5_langid": op5_langid,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
     "op9_jaccard": op9_jaccard,
 }
-
-#: DuckDB SQL for the queries that SQL can express.
-ORACLES: dict[str, str] = {}
