@@ -48,4 +48,111 @@ from (select a as doc_id, min(b) as class_id from reach group by a) c
 left join (select a, count(*) as n_links from pairs group by a) n on n.a = c.doc_id
 """
 
-ORACLES: dict[str, str] = {"op2_embeddings": OP2, "op9_jaccard": OP9}
+OP4 = r"""
+with docs as (
+  select doc_id, lang, source,
+    case try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4
+      when 0 then 'web' when 1 then 'books' when 2 then 'code' when 3 then 'news' end as domain,
+    len(regexp_extract_all(text, '[^ \t\n\r\f\x0B]+')) as n_tokens
+  from documents),
+leaves as (
+  select domain, lang, source, sum(n_tokens) as available, 3 * sum(n_tokens) as capacity,
+    case domain when 'web' then 4 when 'books' then 3 when 'code' then 2 else 1 end as dw,
+    case lang when 'en' then 5 when 'de' then 2 when 'fr' then 2 else 1 end as lw
+  from docs where n_tokens > 0 group by domain, lang, source),
+{domains},
+{langs},
+{sources},
+chosen as (
+  select d.*, l.available, s.got // l.available as epochs, s.got % l.available as rest
+  from docs d join leaves l using (domain, lang, source) join sources s using (domain, lang, source)
+  where d.n_tokens > 0),
+whole as (
+  select doc_id, domain, lang, source, n_tokens, unnest(range(epochs::bigint)) as epoch,
+    n_tokens as taken
+  from chosen),
+ordered as (
+  select *, sum(n_tokens) over (partition by domain, lang, source
+      order by md5('1:' || cast(epochs::bigint as varchar) || ':' || cast(doc_id as varchar)), doc_id)
+    - n_tokens as start
+  from chosen)
+select doc_id, domain, lang, source, cast(n_tokens as bigint) as n_tokens,
+  cast(epoch as int) as epoch, cast(taken as bigint) as taken from whole
+union all
+select doc_id, domain, lang, source, n_tokens, cast(epochs as int), cast(least(n_tokens, rest - start) as bigint)
+from ordered where start < rest
+"""
+
+
+def _level(name: str, keys: str, weight: str, budget: str, parent: str) -> str:
+    """Shares of one level: ``keys`` name a node, ``parent`` its family."""
+    family = f"partition by {parent}" if parent else ""
+    return f"""{name}_n as (
+  select {keys}, sum(capacity) as capacity, any_value({weight}) as weight, any_value(budget) as budget
+  from ({budget}) group by {keys}),
+{name}_f as (
+  select *, capacity * sum(weight) over (w rows between current row and unbounded following)
+    <= (budget - coalesce(sum(capacity) over (w rows between unbounded preceding and 1 preceding), 0))
+      * weight as filled
+  from {name}_n window w as ({family} order by capacity / weight, {keys})),
+{name}_p as (
+  select *, budget - sum(if(filled, capacity, 0)) over ({family}) as spare,
+    sum(if(filled, 0, weight)) over ({family}) as rivals
+  from {name}_f),
+{name}_q as (
+  select *, if(filled, capacity, spare * weight // rivals) as part,
+    if(filled, -1, spare * weight % rivals) as remainder
+  from {name}_p),
+{name} as (
+  select {keys}, part + if(not filled and row_number() over (
+      {family} order by remainder desc, {keys}) <= budget - sum(part) over ({family}), 1, 0) as got
+  from {name}_q)"""
+
+
+OP4 = (
+    OP4.replace(
+        "{domains}",
+        _level(
+            "domains", "domain", "dw",
+            "select *, (select cast(floor(sum(available) * 0.6) as hugeint) from leaves) as budget"
+            " from leaves", "",
+        ),
+    )
+    .replace(
+        "{langs}",
+        _level(
+            "langs", "domain, lang", "lw",
+            "select l.*, d.got as budget from leaves l join domains d using (domain)", "domain",
+        ),
+    )
+    .replace(
+        "{sources}",
+        _level(
+            "sources", "domain, lang, source", "1",
+            "select l.*, g.got as budget from leaves l join langs g using (domain, lang)",
+            "domain, lang",
+        ),
+    )
+)
+
+OP6 = r"""
+with counts as (
+  select doc_id, source, lang, text,
+    len(regexp_extract_all(text, '[^ \t\n\r\f\x0B]+')) as spaced,
+    len(regexp_extract_all(text, '[^ \t\n\r\f\x0B.,!?]+|[.,!?]')) as marked,
+    len(regexp_extract_all(text, '[0-9]')) as digits,
+    row_number() over (partition by text order by doc_id) as turn
+  from documents)
+select source, lang, 'spaced-1' as version, count(*) as n_docs, cast(sum(spaced) as bigint) as n_tokens
+from counts where turn = 1 group by source, lang
+union all
+select source, lang, 'marked-1', count(*), cast(sum(marked + digits) as bigint)
+from counts where turn = 1 group by source, lang
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_embeddings": OP2,
+    "op4_mixing": OP4,
+    "op6_rollup": OP6,
+    "op9_jaccard": OP9,
+}

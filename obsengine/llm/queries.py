@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsengine.llm import bpe, embeddings, jaccard, langid, rans, toxicity
+from obsengine.llm import bpe, embeddings, jaccard, langid, mixing, rans, rollup, toxicity
 from obsengine.llm.columns import id_remainder
 from obsengine.session import fresh_folder
 
@@ -29,6 +29,87 @@ def op2_embeddings(spark, folder):
     return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+#: Target weights of the mix; sources that are not named weigh the same.
+MIX_LEVELS = ["domain", "lang", "source"]
+MIX_WEIGHTS = {
+    "domain": {"web": 4, "books": 3, "code": 2, "news": 1},
+    "lang": {"en": 5, "de": 2, "fr": 2, "es": 1},
+}
+#: The domain of a source, by the number in its name.
+DOMAIN = """case try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4
+  when 0 then 'web' when 1 then 'books' when 2 then 'code' when 3 then 'news' end"""
+
+
+def with_tree(documents: DataFrame) -> DataFrame:
+    """``doc_id``, the levels of the tree and the number of words of every document."""
+    return documents.select(
+        "doc_id",
+        F.expr(DOMAIN).alias("domain"),
+        "lang",
+        "source",
+        mixing.word_count(F.col("text")).alias("n_tokens"),
+    )
+
+
+def op4_mixing(spark, folder):
+    documents = with_tree(_table(spark, folder, "documents"))
+    return mixing.mix(documents, MIX_LEVELS, MIX_WEIGHTS, share=0.6, max_epochs=3)
+
+
+#: Patterns whose matches are the tokens of two tokenizer versions.
+SPACED = "[^ \\t\\n\\r\\f\\x0B]+"
+MARKED = "[^ \\t\\n\\r\\f\\x0B.,!?]+|[.,!?]"
+
+
+def op6_rollup(spark, folder):
+    """Loads all documents under two versions, withdraws later copies, revises texts with digits.
+
+    The second batch is delivered twice.  Revised texts count every digit by itself.
+    """
+    work = fresh_folder(spark, "rollup")
+    text = F.col("text")
+    spaced, marked = (
+        F.coalesce(F.regexp_count(text, F.lit(p)), F.lit(0)).cast("long")
+        for p in (SPACED, MARKED)
+    )
+    digits = F.coalesce(F.regexp_count(text, F.lit("[0-9]")), F.lit(0)).cast("long")
+    _table(spark, folder, "documents").select(
+        "doc_id", "source", "lang", F.md5(text).alias("digest"),
+        spaced.alias("spaced"), marked.alias("marked"), digits.alias("digits"),
+    ).write.parquet(f"{work}/counts")
+    counts = spark.read.parquet(f"{work}/counts")
+    first = counts.groupBy("digest").agg(F.min("doc_id").alias("first"))
+    copies = counts.join(first, "digest").where("doc_id <> first")
+    originals = counts.join(first, "digest").where("doc_id = first and digits > 0")
+    none = F.lit(None).cast("long")
+
+    def both(rows: DataFrame, op: str, old: bool) -> DataFrame:
+        version = F.explode(
+            F.array(
+                F.struct(F.lit("spaced-1").alias("version"), F.col("spaced").alias("n")),
+                F.struct(F.lit("marked-1").alias("version"), F.col("marked").alias("n")),
+            )
+        )
+        flat = rows.select("source", "lang", version.alias("v"))
+        new, gone = (none, F.col("v.n")) if old else (F.col("v.n"), none)
+        return flat.select(
+            F.lit(op).alias("op"), "source", "lang", "v.version",
+            new.alias("n_tokens"), gone.alias("old_tokens"),
+        )
+
+    revised = originals.select(
+        F.lit("revise").alias("op"), "source", "lang", F.lit("marked-1").alias("version"),
+        (F.col("marked") + F.col("digits")).alias("n_tokens"), F.col("marked").alias("old_tokens"),
+    )
+    totals = rollup.TokenRollup(spark, f"{work}/totals")
+    totals.apply("load", both(counts, "insert", old=False))
+    totals.apply("copies", both(copies, "delete", old=True))
+    totals.compact()
+    totals.apply("copies", both(copies, "delete", old=True))
+    totals.apply("digits", revised)
+    return totals.totals()
+
+
 def language_model(documents: DataFrame) -> langid.Model:
     """Fitted on the documents that are not held out (crc32 of the id modulo 4 is not 2)."""
     return langid.fit(documents.where(id_remainder("doc_id", 4) != 2))
@@ -69,7 +150,9 @@ def op9_jaccard(spark, folder):
 QUERIES: dict[str, Query] = {
     "op1_rans": op1_rans,
     "op2_embeddings": op2_embeddings,
+    "op4_mixing": op4_mixing,
     "op5_langid": op5_langid,
+    "op6_rollup": op6_rollup,
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
     "op9_jaccard": op9_jaccard,
