@@ -13,6 +13,7 @@ result column replaces an input column of the same name.
 import hashlib
 import heapq
 import json
+import struct
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -39,7 +40,7 @@ def byte_letters() -> dict[str, int]:
 class BytePairCodec:
     """Encoder and decoder of one byte-level BPE file."""
 
-    def __init__(self, path: str, max_words: int = 400_000):
+    def __init__(self, path: str, max_words: int = 1_000_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab = spec["model"]["vocab"]
@@ -63,9 +64,9 @@ class BytePairCodec:
         self._specials = regex.compile(
             "(" + "|".join(regex.escape(s) for s in self._special) + ")"
         ) if self._special else None
-        self._words: dict[str, bytes] = {}
-        self._max_words = max_words
-        self._pieces = PieceCache(self._encode_pieces, tuple(self._special), max_words)
+        self._pieces = PieceCache(
+            self._word, self._encode_one, tuple(self._special), max_words
+        )
 
     def merge(self, word: bytes) -> list[int]:
         """Ids of one pre-token."""
@@ -102,16 +103,8 @@ class BytePairCodec:
         return [i for i in ids if i >= 0]
 
     def _word(self, word: str) -> bytes:
-        found = self._words.get(word)
-        if found is None:
-            if len(self._words) >= self._max_words:
-                self._words.clear()
-            ids = self.merge(word.encode("utf-8", "replace"))
-            found = self._words[word] = np.array(ids, "<u4").tobytes()
-        return found
-
-    def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        return [self._encode_one(piece) for piece in pieces]
+        ids = self.merge(word.encode("utf-8", "replace"))
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _encode_one(self, text: str) -> bytes:
         if self._specials is None:
@@ -119,7 +112,7 @@ class BytePairCodec:
         out = []
         for part in self._specials.split(text):
             if part in self._special:
-                out.append(np.array([self._special[part]], "<u4").tobytes())
+                out.append(struct.pack("<I", self._special[part]))
             else:
                 out.extend(map(self._word, self._split.findall(part)))
         return b"".join(out)

@@ -17,69 +17,55 @@ CHUNK_CHARS = 1_000_000
 
 
 #: Marks that are tokens of their own after a word.
-_MARKS = ",.;:!?"
+_MARKS = frozenset(",.;:!?")
 
 
-class PieceCache:
-    """Ids of texts as little-endian unsigned integers, through cached pieces.
+class PieceCache(dict):
+    """Ids of texts as bytes, through cached pieces.
 
-    ``encode_pieces`` maps distinct strings to the bytes of their ids.  The cache is emptied
-    when it holds ``max_entries`` pieces, so a worker's memory is bounded.  A piece is kept
-    without the space before it; one that begins a text is kept with a space in front.
+    ``encode_word`` gets a word with the space before it (or without one at the start of a
+    text), ``encode_text`` any text; both return the bytes of its ids.  A key is a piece without
+    the space before it; the first piece of a text is kept with a space in front.  The cache is
+    emptied when it holds ``max_entries`` pieces, so a worker's memory is bounded.
     """
 
     def __init__(
         self,
-        encode_pieces: Callable[[list[str]], list[bytes]],
+        encode_word: Callable[[str], bytes],
+        encode_text: Callable[[str], bytes],
         special: tuple[str, ...] = (),
-        max_entries: int = 600_000,
+        max_entries: int = 1_000_000,
     ):
-        self._encode_pieces = encode_pieces
+        super().__init__()
+        self._encode_word = encode_word
+        self._encode_text = encode_text
         self._special = special
         self._max_entries = max_entries
-        self._cache: dict[str, bytes] = {}
-        self._marks = dict(zip(_MARKS, encode_pieces(list(_MARKS)), strict=True))
+        self._marks = {mark: encode_text(mark) for mark in _MARKS}
 
-    def _learn(self, missing: set[str]) -> None:
-        cache = self._cache
-        marked = {p: p[:-1] for p in missing if p[-1:] in self._marks and p[:-1].removeprefix(" ").isalpha()}
-        plain = missing.difference(marked).union(w for w in marked.values() if w not in cache)
-        texts = [p[1:] if p[:1] == " " else " " + p for p in plain]
-        cache.update(zip(plain, self._encode_pieces(texts), strict=True))
-        marks = self._marks
-        cache.update((p, cache[word] + marks[p[-1]]) for p, word in marked.items())
+    def __missing__(self, piece: str) -> bytes:
+        plain = piece.removeprefix(" ")
+        if plain.isalpha():
+            found = self._encode_word(plain if plain is not piece else " " + piece)
+        elif piece[-1:] in _MARKS and plain[:-1].isalpha():
+            found = self[piece[:-1]] + self._marks[piece[-1]]
+        else:
+            found = self._encode_text(plain if plain is not piece else " " + piece)
+        self[piece] = found
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cache = self._cache
-        flat: list[str] = []
-        sizes: list[int] = []
-        whole: list[str] = []
+        out: list[bytes] = []
+        get = self.__getitem__
         for text in texts:
             if _UNSAFE_SPACE.search(text) or any(s in text for s in self._special):
-                whole.append(text)
-                sizes.append(-1)
+                out.append(self._encode_text(text))
                 continue
+            if len(self) > self._max_entries:
+                self.clear()
             pieces = text.split(" ")
             pieces[0] = " " + pieces[0]
-            flat += pieces
-            sizes.append(len(pieces))
-        found = list(map(cache.get, flat))
-        if None in found:
-            missing = {p for p, ids in zip(flat, found, strict=True) if ids is None}
-            if len(cache) + len(missing) > self._max_entries:
-                cache.clear()
-                missing = set(flat)
-            self._learn(missing)
-            found = list(map(cache.__getitem__, flat))
-        uncut = iter(self._encode_pieces(whole)) if whole else iter(())
-        out: list[bytes] = []
-        at = 0
-        for size in sizes:
-            if size < 0:
-                out.append(next(uncut))
-            else:
-                out.append(b"".join(found[at : at + size]))
-                at += size
+            out.append(b"".join(map(get, pieces)))
         return out
 
 

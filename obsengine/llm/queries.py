@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsengine.llm import bpe, embeddings, jaccard, langid, mixing, rans, rollup, toxicity
+from obsengine.llm import bpe, embeddings, jaccard, langid, mixing, rans, rollup, spotsigs, toxicity
 from obsengine.llm.columns import id_remainder
 from obsengine.session import fresh_folder
 
@@ -22,7 +22,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def op1_rans(spark, folder):
     documents = _table(spark, folder, "documents")
     files = rans.write_folder(documents, fresh_folder(spark, "rans"), BYTE_BPE, end_id=2)
-    return rans.read_folder(spark, files).drop("ids")
+    return rans.read_folder(spark, files, with_ids=False)
 
 
 def op2_embeddings(spark, folder):
@@ -147,6 +147,31 @@ def op9_jaccard(spark, folder):
     return jaccard.jaccard_groups(_table(spark, folder, "documents"))
 
 
+def op10_spotsigs(spark, folder):
+    documents = _table(spark, folder, "documents")
+    # About 4,000 documents a slice; a slice is sorted by id in one task.
+    slices = max(1, round(documents.count() / 4000))
+    rows = spotsigs.with_next(documents, slices)
+    edit = spotsigs.edited(F.col("text"), F.col("next_text"))
+    compared = rows.withColumn("edited", edit).select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        spotsigs.signatures(F.col("text")).alias("own"),
+        spotsigs.signatures(F.col("edited")).alias("changed"),
+        spotsigs.signatures(F.col("next_text")).alias("following"),
+    )
+    return compared.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        spotsigs.fingerprint(F.col("own")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("changed")).alias("edited_fingerprint"),
+        spotsigs.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
+        spotsigs.likeness(F.col("own"), F.col("following")).alias("near_next"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_rans": op1_rans,
     "op2_embeddings": op2_embeddings,
@@ -156,4 +181,5 @@ QUERIES: dict[str, Query] = {
     "op7_bpe": op7_bpe,
     "op8_toxicity": op8_toxicity,
     "op9_jaccard": op9_jaccard,
+    "op10_spotsigs": op10_spotsigs,
 }

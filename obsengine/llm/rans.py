@@ -18,6 +18,7 @@ ordered by their ids and stay separate documents; no documents give an empty fol
 back as no rows.
 """
 
+import json
 import os
 import struct
 import zlib
@@ -30,6 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from obsengine.llm.bpe import byte_letters
 from obsengine.llm.pieces import PieceCache, text_chunks
 from obsengine.llm.workers import map_arrow
 
@@ -202,12 +204,39 @@ def _library(path: str, kind: str, max_pieces: int) -> PieceCache:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode(pieces: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
-        return [np.array(e.ids, kind).tobytes() for e in found]
+    pack = "H" if kind == "<u2" else "I"
+    letters = {byte: letter for letter, byte in byte_letters().items()}
+
+    def encode(text: str) -> bytes:
+        ids = tokenizer.encode(text, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}{pack}", *ids)
+
+    split_words = tokenizer.model.tokenize
+
+    def encode_word(word: str) -> bytes:
+        # A word is one pre-token, so the model alone gives its ids.
+        if word.isascii() and word[0] == " ":
+            mapped = letters[32] + word[1:]
+        else:
+            mapped = "".join(map(letters.__getitem__, word.encode()))
+        ids = [t.id for t in split_words(mapped)]
+        return struct.pack(f"<{len(ids)}{pack}", *ids)
 
     special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-    return PieceCache(encode, special, max_pieces)
+    by_word = encode_word if _is_byte_level(path) else encode
+    return PieceCache(by_word, encode, special, max_pieces)
+
+
+def _is_byte_level(path: str) -> bool:
+    """Whether a tokenizer file only splits byte-level pre-tokens, so that words stand alone."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    before = spec.get("pre_tokenizer") or {}
+    return (
+        spec.get("normalizer") is None
+        and before.get("type") == "ByteLevel"
+        and not before.get("add_prefix_space")
+    )
 
 
 def tokenize(
@@ -216,7 +245,7 @@ def tokenize(
     end_id: int | None,
     key: str = "doc_id",
     text: str = "text",
-    max_pieces: int = 600_000,
+    max_pieces: int = 1_000_000,
 ) -> DataFrame:
     """``key``, ``n_tokens`` and ``ids`` (integers of ``id_kind``) of each text.
 
@@ -365,11 +394,13 @@ def file_starts(spark: SparkSession, folder: str) -> DataFrame:
     return F.broadcast(starts) if heads.count() <= MAX_BROADCAST_FILES else starts
 
 
-def read_folder(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFrame:
+def read_folder(
+    spark: SparkSession, folder: str, key: str = "doc_id", with_ids: bool = True
+) -> DataFrame:
     """``key``, ``start``, ``n_tokens``, ``ids_crc32`` and ``ids`` of every document.
 
     ``start`` counts the ids of all documents before it.  Every block is decoded from its
-    bytes; select the columns wanted and the rest is not carried on.
+    bytes; without ``with_ids`` only the digests leave the tasks.
     """
     rows = spark.read.parquet(f"{folder}/table").collect()
     freq = np.zeros(max(r.symbol for r in rows) + 1, np.int64)
@@ -385,7 +416,7 @@ def read_folder(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFr
                 out: list[tuple] = []
                 for k, ids in Block(data.as_py()).documents(table):
                     raw = ids.astype("<u4").tobytes()
-                    out.append((k, inside, len(ids), zlib.crc32(raw), raw))
+                    out.append((k, inside, len(ids), zlib.crc32(raw), raw if with_ids else None))
                     inside += len(ids)
                 columns = list(zip(*out, strict=True))
                 kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -406,5 +437,5 @@ def read_folder(spark: SparkSession, folder: str, key: str = "doc_id") -> DataFr
         (F.col("file_start") + F.col("inside")).alias("start"),
         "n_tokens",
         "ids_crc32",
-        "ids",
+        *(["ids"] if with_ids else []),
     )
