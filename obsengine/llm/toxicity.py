@@ -153,7 +153,8 @@ def _copy_key(text: str, width: int = 3) -> int:
 
 
 def fit(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
     text: str = "text",
     label: str = "toxic",
     key: str = "doc_id",
@@ -166,14 +167,18 @@ def fit(
     longest: int = 8,
     exceptions: tuple[str, ...] = EXCEPTIONS,
 ) -> Lexicon:
-    """Learn a lexicon from rows with ``label`` 0 or 1; other labels and null texts are left out.
+    """Learn a lexicon from texts whose ``key`` has a ``label`` of 0 or 1 in ``labels``.
 
-    The sample has about ``per_label`` rows of each label at most, and the lexicon
-    ``max_entries`` entries, so what reaches the driver is bounded.  An entry needs
+    Null texts, null keys and other labels are left out; of several labels the largest counts.
+    The sample has about ``per_label`` keys of each label at most, so it can be broadcast to the
+    texts, and the lexicon ``max_entries`` entries, so what reaches the driver is bounded.  An entry needs
     ``min_support`` toxic texts that are no copies of each other and a ``min_share`` of them.
     """
-    rows = labelled.where(F.col(label).isin(0, 1) & F.col(text).isNotNull())
-    sample = bounded_sample(rows, label, key, per_label, [text, label])
+    each = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
+    each = each.groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
+    chosen = bounded_sample(each, "toxic", key, per_label, [key, "toxic"])
+    texts = docs.where(F.col(text).isNotNull()).select(key, F.col(text).alias("text"))
+    source = texts.join(F.broadcast(chosen), key).select("text", "toxic")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -182,7 +187,6 @@ def fit(
                 [*batch.columns, pa.array(keys, pa.int64())], names=["text", "toxic", "copy"]
             )
 
-    source = sample.select(F.col(text).alias("text"), F.col(label).cast("int").alias("toxic"))
     once = (
         map_arrow(source, keyed, "text string, toxic int, copy long")
         .groupBy("copy", "toxic")
