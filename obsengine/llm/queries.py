@@ -131,8 +131,7 @@ def op7_bpe(spark, folder):
 def toxicity_lexicon(spark: SparkSession, folder: str, documents: DataFrame) -> toxicity.Lexicon:
     """Learned from the labels that are not held out (crc32 of the id modulo 5 is not 0)."""
     labels = _table(spark, folder, "labels").where(id_remainder("doc_id", 5) != 0)
-    each = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    return toxicity.fit(documents.select("doc_id", "text").join(each, "doc_id"))
+    return toxicity.fit(documents.select("doc_id", "text"), labels)
 
 
 def op8_toxicity(spark, folder):
@@ -151,15 +150,19 @@ def op10_spotsigs(spark, folder):
     documents = _table(spark, folder, "documents")
     # About 4,000 documents a slice; a slice is sorted by id in one task.
     slices = max(1, round(documents.count() / 4000))
-    rows = spotsigs.with_next(documents, slices)
+    marked = documents.select(
+        "doc_id", F.coalesce("text", F.lit("")).alias("text"),
+        spotsigs.signatures(F.col("text")).alias("own"),
+    )
+    rows = spotsigs.with_next(marked, slices, "doc_id", ["text", "own"])
     edit = spotsigs.edited(F.col("text"), F.col("next_text"))
     compared = rows.withColumn("edited", edit).select(
         "doc_id",
+        "own",
+        "next_own",
         F.length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        spotsigs.signatures(F.col("text")).alias("own"),
         spotsigs.signatures(F.col("edited")).alias("changed"),
-        spotsigs.signatures(F.col("next_text")).alias("following"),
     )
     return compared.select(
         "doc_id",
@@ -168,7 +171,7 @@ def op10_spotsigs(spark, folder):
         spotsigs.fingerprint(F.col("own")).alias("fingerprint"),
         spotsigs.fingerprint(F.col("changed")).alias("edited_fingerprint"),
         spotsigs.likeness(F.col("own"), F.col("changed")).alias("near_edited"),
-        spotsigs.likeness(F.col("own"), F.col("following")).alias("near_next"),
+        spotsigs.likeness(F.col("own"), F.col("next_own")).alias("near_next"),
     )
 
 

@@ -2,8 +2,9 @@
 
 Every content word that follows a run of common words starts a signature: a hash of the last
 common word of the run, that content word and the next ones, ``chain`` in all.  A text's
-fingerprint is its set of signatures; a text with words but without a signature has one of all
-its words.  Two fingerprints are compared by Jaccard similarity.  For joins, sets are
+fingerprint is its set of signatures.  So that lists and other texts with few common words have
+signatures too, one content word in eight, chosen by its hash, starts one like a common word;
+a text with fewer than six signatures also has one for every two neighbouring words.  Two fingerprints are compared by Jaccard similarity.  For joins, sets are
 partitioned by length so that sets too different in length never meet, and a pair is only
 looked at when it shares one of the rarest signatures that a similar set must contain.
 
@@ -29,32 +30,44 @@ ANCHORS = (
     "con", "de", "del", "el", "es", "los", "las", "no", "por", "se", "su", "una", "y",
 )
 
+MIN_LONG = -(1 << 63)
+
 _GAP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 
-def signatures(text: Column, chain: int = 3) -> Column:
-    """Sorted distinct signatures of a text as an array of longs."""
+def signatures(text: Column, chain: int = 3, min_spots: int = 6) -> Column:
+    """Sorted distinct signatures of a text as an array of longs.
+
+    With fewer than ``min_spots`` spots every pair of neighbouring words counts as well.
+    """
     words = F.concat(
         F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _GAP, " "), F.lit(" ")
     )
-    common = "|".join(ANCHORS)
-    marked = F.split(
-        F.trim(F.regexp_replace(words, f" (?:(?:{common}) )*+(?<= ({common}) )", " $1\u0001")), " +"
-    )
+    # Glue every common word to the word after it, so that a run of them and the content word
+    # behind it become one piece.
+    glued = F.regexp_replace(words, f"(?<= )({'|'.join(ANCHORS)}) ", "$1\u0001")
+    marked = F.split(F.trim(glued), " +")
     # Words beside their followers, so that each word is looked at once.
     plain = F.transform(marked, lambda w: F.substring_index(w, "\u0001", -1))
     after = [F.slice(plain, F.lit(k + 1), F.size(plain)).alias(f"w{k}") for k in range(1, chain)]
     spots = F.filter(
         F.arrays_zip(marked.alias("w0"), *after),
-        lambda z: F.contains(z["w0"], F.lit("\u0001")) & ~F.endswith(z["w0"], F.lit("\u0001")),
+        lambda z: ~F.endswith(z["w0"], F.lit("\u0001"))
+        & (F.contains(z["w0"], F.lit("\u0001")) | (F.pmod(F.xxhash64(z["w0"]), F.lit(8)) == 0)),
+    )
+    found = F.transform(
+        spots,
+        lambda z: F.xxhash64(
+            F.substring_index(z["w0"], "\u0001", -2), *(z[f"w{k}"] for k in range(1, chain))
+        ),
     )
-    found = F.transform(spots, lambda z: F.xxhash64(*(z[f"w{k}"] for k in range(chain))))
-    whole = F.trim(words)
-    return F.when(F.size(found) > 0, F.array_sort(F.array_distinct(found))).otherwise(
-        F.when(whole != "", F.array(F.xxhash64(whole))).otherwise(
-            F.array().cast("array<bigint>")
-        )
+    every = F.filter(plain, lambda w: w != "")
+    neighbours = F.transform(
+        F.arrays_zip(every.alias("w0"), F.slice(every, F.lit(2), F.size(every)).alias("w1")),
+        lambda z: F.xxhash64(z["w0"], z["w1"]),
     )
+    enough = F.when(F.size(found) >= min_spots, found).otherwise(F.concat(found, neighbours))
+    return F.array_sort(F.array_distinct(enough))
 
 
 def fingerprint(found: Column) -> Column:
@@ -130,45 +143,44 @@ def similar(
     return members.union(pairs)
 
 
-def with_next(
-    docs: DataFrame, slices: int, key: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """``key``, ``text`` and ``next_text``: the text of the next row in ascending ``key``.
+def with_next(rows: DataFrame, slices: int, key: str, columns: list[str]) -> DataFrame:
+    """``key``, ``columns`` and ``next_<column>`` of the next row in ascending ``key``.
 
     The row after the last is the first.  Rows are dealt by quantiles of the key into
     ``slices`` ranges; the first row of each range is copied to the range before it, so no task
-    holds more than a range.
+    holds more than a range.  Rows of one key are ordered by ``columns``.
     """
-    rows = docs.select(
-        F.col(key).cast("long").alias("key"),
-        F.coalesce(F.col(text), F.lit("")).alias("text"),
-    ).withColumn("n", F.length("text"))
+    rows = rows.select(F.col(key).cast("long").alias("key"), *columns)
     shares = [i / slices for i in range(1, slices)]
-    cuts = sorted({int(c) for c in rows.approxQuantile("key", shares, 0.2 / slices)}) if shares else []
+    cuts = rows.approxQuantile("key", shares, 0.2 / slices) if shares else []
     place = F.lit(0)
     if cuts:
-        bounds = F.array(*(F.lit(c).cast("long") for c in cuts))
+        bounds = F.array(*(F.lit(int(c)).cast("long") for c in sorted(set(cuts))))
         place = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col("key"))), F.lit(0))
     placed = rows.withColumn("slice", place)
-    heads = placed.groupBy("slice").agg(
-        F.min(F.struct(F.col("key").isNotNull().alias("known"), "key", "n", "text")).alias("head")
+    # Of each slice the smallest key; its rows are few, so only they are ordered by content.
+    heads = placed.groupBy("slice").agg(F.min(F.coalesce("key", F.lit(MIN_LONG))).alias("least"))
+    least = placed.join(F.broadcast(heads), "slice").where(
+        F.coalesce("key", F.lit(MIN_LONG)) == F.col("least")
     )
-    # A row a slice: the slice before it takes a copy of its first row.
-    before = Window.orderBy("slice")
-    targets = F.lag("slice").over(before)
+    first = least.groupBy("slice").agg(F.min(F.struct("key", *columns)).alias("head"))
+    # One row a slice: it goes to the slice before, that of the first slice to the last.
+    earlier = F.lag("slice").over(Window.orderBy("slice"))
     last = F.max("slice").over(Window.partitionBy(F.lit(1)))
-    copies = heads.select(
-        F.coalesce(targets, last).alias("slice"), F.col("head.text").alias("text"), F.lit(True).alias("copy"),
-        F.col("head.key").alias("key"), F.col("head.n").alias("n"),
-    )
-    own = placed.select("slice", "text", F.lit(False).alias("copy"), "key", "n")
-    order = Window.partitionBy("slice").orderBy("copy", F.col("key").asc_nulls_first(), "n", "text")
+    copies = first.select(
+        F.coalesce(earlier, last).alias("slice"), "head.*", F.lit(True).alias("copy")
+    )
+    own = placed.withColumn("copy", F.lit(False))
+    order = Window.partitionBy("slice").orderBy(
+        "copy", F.col("key").asc_nulls_first(), *columns
+    )
     return (
         own.unionByName(copies)
         .repartition(slices, "slice")
-        .withColumn("next_text", F.lead("text").over(order))
+        .withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
         .where("not copy")
-        .select(F.col("key").alias(key), "text", "next_text")
+        .withColumnRenamed("key", key)
+        .drop("copy", "slice")
     )
 
 
