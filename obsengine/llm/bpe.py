@@ -163,10 +163,13 @@ def decode(
     return keep_rows_with(docs, ids, [(text, "string")], column)
 
 
-def round_trip_digests(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
+def round_trip_digests(
+    docs: DataFrame, path: str, text: str = "text", with_ids: bool = False
+) -> DataFrame:
     """``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` of each row, texts left out.
 
-    Ids and decoded texts are made as by ``encode`` and ``decode`` but stay inside the task.
+    Ids and decoded texts are made as by ``encode`` and ``decode`` but stay inside the task,
+    unless ``with_ids`` asks for ``token_ids`` as bytes.
     """
 
     def column(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[list[pa.Array]]:
@@ -175,19 +178,24 @@ def round_trip_digests(docs: DataFrame, path: str, text: str = "text") -> DataFr
             counts: list[int] = []
             id_digests: list[str] = []
             text_digests: list[str] = []
+            kept: list[bytes] = []
             for _, texts in text_chunks(batch, at):
                 for ids in coder.encode(texts):
                     counts.append(len(ids) // 4)
                     id_digests.append(hashlib.sha256(ids).hexdigest())
                     decoded = coder.decode(ids).encode()
                     text_digests.append(hashlib.sha256(decoded).hexdigest())
+                    if with_ids:
+                        kept.append(ids)
             yield [
                 pa.array(counts, pa.int64()),
                 pa.array(id_digests, pa.string()),
                 pa.array(text_digests, pa.string()),
+                *([pa.array(kept, pa.binary())] if with_ids else []),
             ]
 
     added = [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
+    added += [("token_ids", "binary")] if with_ids else []
     return keep_rows_with(docs, text, added, column).drop(text)
 
 

@@ -56,3 +56,14 @@ def id_remainder(key: str, divisor: int) -> Column:
     """crc32 of an id written as text, modulo ``divisor``; a null id counts as the empty text."""
     text = F.coalesce(F.col(_quoted(key)).cast("string"), F.lit(""))
     return F.crc32(text.cast("binary")) % divisor
+
+
+def row_digest(key: str, text: str) -> Column:
+    """A digest by which rows of equal key and text are one; nulls count as empty."""
+    return F.md5(
+        F.concat_ws(
+            ":",
+            F.coalesce(F.col(_quoted(key)).cast("string"), F.lit("")),
+            F.coalesce(F.col(_quoted(text)), F.lit("")),
+        )
+    )

@@ -236,13 +236,15 @@ def fit(
     key: str = "doc_id",
     order: int = 4,
     per_language: int = 2_500,
-    margin: float = 1.25,
+    margin: float = 1.5,
+    floor: float = 0.8,
 ) -> Model:
     """Fit on a bounded sample of rows with a language and a text.
 
     The n-grams of the sample reach the driver; their number is bounded by the sample.  The
     limit of rejection is ``margin`` times the largest cross-entropy that the calibrating fifth
-    of the sample has in its own language.
+    of the sample has in its own language, and never below ``floor`` times that of characters
+    drawn evenly, since a small fifth says little about rare texts.
     """
     rows = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).cast("string").alias("text"),
@@ -280,7 +282,10 @@ def fit(
         sample.where("fold = 0").select("text", "lang"), run, "lang string, entropy double"
     )
     worst = {r.lang: r.worst for r in held.groupBy("lang").agg(F.max("entropy").alias("worst")).collect()}
-    model.limits = np.array([margin * worst.get(lang, np.inf) for lang in model.languages])
+    least = -floor * np.log(model.floor[0])
+    model.limits = np.array(
+        [max(least, margin * worst.get(lang, np.inf)) for lang in model.languages]
+    )
     return model
 
 

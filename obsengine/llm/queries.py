@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsengine.llm import bpe, embeddings, jaccard, langid, mixing, rans, rollup, spotsigs, toxicity
+from obsengine.llm import bpe, embeddings, jaccard, langid, licenses, mixing, rans, rollup, spotsigs, toxicity
 from obsengine.llm.columns import id_remainder
 from obsengine.session import fresh_folder
 
@@ -29,6 +29,10 @@ def op2_embeddings(spark, folder):
     return embeddings.near_duplicates(_table(spark, folder, "embeddings"))
 
 
+def op3_licenses(spark, folder):
+    return licenses.summarise(_table(spark, folder, "documents"))
+
+
 #: Target weights of the mix; sources that are not named weigh the same.
 MIX_LEVELS = ["domain", "lang", "source"]
 MIX_WEIGHTS = {
@@ -40,10 +44,10 @@ DOMAIN = """case try_cast(regexp_extract(source, '([0-9]+)$', 1) as int) % 4
   when 0 then 'web' when 1 then 'books' when 2 then 'code' when 3 then 'news' end"""
 
 
-def with_tree(documents: DataFrame) -> DataFrame:
-    """``doc_id``, the levels of the tree and the number of words of every document."""
+def with_tree(documents: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``key``, the levels of the tree and the number of words of every document."""
     return documents.select(
-        "doc_id",
+        key,
         F.expr(DOMAIN).alias("domain"),
         "lang",
         "source",
@@ -178,6 +182,7 @@ def op10_spotsigs(spark, folder):
 QUERIES: dict[str, Query] = {
     "op1_rans": op1_rans,
     "op2_embeddings": op2_embeddings,
+    "op3_licenses": op3_licenses,
     "op4_mixing": op4_mixing,
     "op5_langid": op5_langid,
     "op6_rollup": op6_rollup,
