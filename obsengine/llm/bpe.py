@@ -65,7 +65,7 @@ class BytePairCodec:
             "(" + "|".join(regex.escape(s) for s in self._special) + ")"
         ) if self._special else None
         self._pieces = PieceCache(
-            self._word, self._encode_one, tuple(self._special), max_words
+            self._split.findall, self._word, self._encode_one, tuple(self._special), max_words
         )
 
     def merge(self, word: bytes) -> list[int]:

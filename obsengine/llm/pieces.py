@@ -23,20 +23,22 @@ _MARKS = frozenset(",.;:!?")
 class PieceCache(dict):
     """Ids of texts as bytes, through cached pieces.
 
-    ``encode_word`` gets a word with the space before it (or without one at the start of a
-    text), ``encode_text`` any text; both return the bytes of its ids.  A key is a piece without
+    ``split`` cuts a piece into pre-tokens, ``encode_word`` gets one of them and ``encode_text``
+    any text; both return the bytes of its ids.  A key is a piece without
     the space before it; the first piece of a text is kept with a space in front.  The cache is
     emptied when it holds ``max_entries`` pieces, so a worker's memory is bounded.
     """
 
     def __init__(
         self,
+        split: Callable[[str], list[str]],
         encode_word: Callable[[str], bytes],
         encode_text: Callable[[str], bytes],
         special: tuple[str, ...] = (),
         max_entries: int = 1_000_000,
     ):
         super().__init__()
+        self._split = split
         self._encode_word = encode_word
         self._encode_text = encode_text
         self._special = special
@@ -45,12 +47,17 @@ class PieceCache(dict):
 
     def __missing__(self, piece: str) -> bytes:
         plain = piece.removeprefix(" ")
+        text = plain if plain is not piece else " " + piece
         if plain.isalpha():
-            found = self._encode_word(plain if plain is not piece else " " + piece)
+            found = self._encode_word(text)
         elif piece[-1:] in _MARKS and plain[:-1].isalpha():
             found = self[piece[:-1]] + self._marks[piece[-1]]
         else:
-            found = self._encode_text(plain if plain is not piece else " " + piece)
+            tokens = self._split(text)
+            if len(tokens) == 1:
+                found = self._encode_word(text)
+            else:
+                found = b"".join([self[t[1:] if t[0] == " " else " " + t] for t in tokens])
         self[piece] = found
         return found
 

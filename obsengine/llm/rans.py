@@ -22,16 +22,17 @@ import json
 import os
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from obsengine.llm.bpe import byte_letters
+from obsengine.llm.bpe import PRE_TOKEN, byte_letters
 from obsengine.llm.pieces import PieceCache, text_chunks
 from obsengine.llm.workers import map_arrow
 
@@ -196,7 +197,7 @@ def id_kind(tokenizer: str) -> str:
 
 
 @lru_cache(maxsize=2)
-def _library(path: str, kind: str, max_pieces: int) -> PieceCache:
+def _library(path: str, kind: str, max_pieces: int) -> "PieceCache | WholeTexts":
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
@@ -223,8 +224,21 @@ def _library(path: str, kind: str, max_pieces: int) -> PieceCache:
         return struct.pack(f"<{len(ids)}{pack}", *ids)
 
     special = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
-    by_word = encode_word if _is_byte_level(path) else encode
-    return PieceCache(by_word, encode, special, max_pieces)
+    if not _is_byte_level(path):
+        return WholeTexts(encode)
+    return PieceCache(
+        regex.compile(PRE_TOKEN).findall, encode_word, encode, special, max_pieces
+    )
+
+
+class WholeTexts:
+    """Encodes whole texts one by one, for tokenizers whose texts cannot be cut at spaces."""
+
+    def __init__(self, encode_text: Callable[[str], bytes]):
+        self._encode_text = encode_text
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        return [self._encode_text(text) for text in texts]
 
 
 def _is_byte_level(path: str) -> bool:
