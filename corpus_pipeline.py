@@ -28,17 +28,23 @@ ORACLE_SQL = None
 MIX_SHARE = 0.8
 
 
+def _judged(docs: DataFrame, judge) -> DataFrame:
+    """Rows that ``judge`` keeps; its columns never meet those of ``docs`` by name."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    plain = judge(docs.toDF(*names), names[docs.columns.index("text")])
+    return plain.select(*names).toDF(*docs.columns)
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents whose toxicity score reaches 0.5."""
     lexicon = toxicity_lexicon(spark, sf_dir, docs)
-    scored = toxicity.score(docs.withColumn("__text", F.col("text")), lexicon, "__text")
-    return scored.where("predicted = 0").select(*docs.columns)
+    return _judged(docs, lambda rows, text: toxicity.score(rows, lexicon, text).where("predicted = 0"))
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters or unlike every language learned from the others."""
-    predicted = langid.predict(docs, language_model(docs))
-    return predicted.where(~F.col("rejected")).select(*docs.columns)
+    model = language_model(docs)
+    return _judged(docs, lambda rows, text: langid.predict(rows, model, text).where("not rejected"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from obsengine.llm.columns import keep_rows_with
 from obsengine.llm.pieces import PieceCache, text_chunks
@@ -197,17 +196,3 @@ def round_trip_digests(
     added = [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
     added += [("token_ids", "binary")] if with_ids else []
     return keep_rows_with(docs, text, added, column).drop(text)
-
-
-def ids_array(ids) -> F.Column:
-    """The bytes of ids as an array of longs, in built-in functions."""
-    hexed = F.hex(ids)
-    swapped = F.transform(
-        F.sequence(F.lit(0), F.length(hexed) / 8 - 1),
-        lambda i: F.conv(
-            F.concat(*(F.substring(hexed, i.cast("int") * 8 + k, F.lit(2)) for k in (7, 5, 3, 1))),
-            16,
-            10,
-        ).cast("long"),
-    )
-    return F.when(F.length(ids) > 0, swapped).otherwise(F.array().cast("array<bigint>"))

@@ -216,7 +216,7 @@ def _library(path: str, kind: str, max_pieces: int) -> "PieceCache | WholeTexts"
 
     def encode_word(word: str) -> bytes:
         # A word is one pre-token, so the model alone gives its ids.
-        if word.isascii() and word[0] == " ":
+        if word[0] == " " and word.isascii() and word[1:].isalpha():
             mapped = letters[32] + word[1:]
         else:
             mapped = "".join(map(letters.__getitem__, word.encode()))

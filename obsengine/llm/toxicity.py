@@ -46,7 +46,8 @@ SIGN_LETTERS = {
 #: Phrases in which a lexicon entry is harmless.
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "class clown", "clown fish", "stupid simple")
 
-_SIGN = re.compile(r"[01345789@$!|](?=[^\W\d_])|(?<=[^\W\d_])[01345789@$!|](?=[\w@$!|])")
+#: Signs count as letters where a letter follows them.
+_SIGN = re.compile(r"[01345789@$!|]+(?=[^\W\d_])")
 _LIKE = {ord(k): v for k, v in LOOK_ALIKES.items()}
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -57,7 +58,7 @@ def fold(text: str) -> str:
     if any(c in text for c in LOOK_ALIKES):
         text = text.translate(_LIKE)
     if any(c in text for c in SIGN_LETTERS):
-        text = _SIGN.sub(lambda m: SIGN_LETTERS[m[0]], text)
+        text = _SIGN.sub(lambda m: "".join(SIGN_LETTERS[c] for c in m[0]), text)
     return text
 
 
