@@ -38,9 +38,9 @@ def pour(budget, children):
     return whole
 
 
-def brute_budgets(leaves, budget, epochs):
+def brute_budgets(leaves, budget, epochs, weights=WEIGHTS):
     def weight(level, name):
-        return WEIGHTS.get(level, {}).get(name, 1)
+        return weights.get(level, {}).get(name, 1)
 
     leaves = {k: n for k, n in leaves.items() if all(map(weight, LEVELS, k))}
     budget = min(budget, epochs * sum(leaves.values()))
