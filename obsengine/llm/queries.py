@@ -154,19 +154,16 @@ def op10_spotsigs(spark, folder):
     documents = _table(spark, folder, "documents")
     # About 4,000 documents a slice; a slice is sorted by id in one task.
     slices = max(1, round(documents.count() / 4000))
-    marked = documents.select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"),
-        spotsigs.signatures(F.col("text")).alias("own"),
-    )
-    rows = spotsigs.with_next(marked, slices, "doc_id", ["text", "own"])
+    rows = spotsigs.with_next(
+        documents, slices, derive=lambda d: spotsigs.with_signatures(d, "text", "own")
+    )
     edit = spotsigs.edited(F.col("text"), F.col("next_text"))
-    compared = rows.withColumn("edited", edit).select(
-        "doc_id",
-        "own",
-        "next_own",
-        F.length("text").cast("long").alias("n_chars"),
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        spotsigs.signatures(F.col("edited")).alias("changed"),
+    texts = rows.select(
+        "doc_id", "own", "next_own", F.length("text").cast("long").alias("n_chars"),
+        edit.alias("edited"),
+    )
+    compared = spotsigs.with_signatures(texts, "edited", "changed").withColumn(
+        "edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)
     )
     return compared.select(
         "doc_id",

@@ -16,6 +16,8 @@ and likeness 1 to each other, 0 to all others; equal texts have equal fingerprin
 come first in the order of ids, and rows with one id are ordered by length, then by text.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,39 +37,48 @@ MIN_LONG = -(1 << 63)
 _GAP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 
-def signatures(text: Column, chain: int = 3, min_spots: int = 6) -> Column:
-    """Sorted distinct signatures of a text as an array of longs.
+def with_signatures(
+    docs: DataFrame, text: str, signatures: str, chain: int = 3, min_spots: int = 6
+) -> DataFrame:
+    """``docs`` with the sorted distinct signatures of a text as an array of longs.
 
-    With fewer than ``min_spots`` spots every pair of neighbouring words counts as well.
+    With fewer than ``min_spots`` spots every pair of neighbouring words counts as well.  Each
+    step is a projection of its own that later ones refer to more than once, so Spark evaluates
+    it once a row.
     """
-    words = F.concat(
-        F.lit(" "), F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), _GAP, " "), F.lit(" ")
+    line = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), _GAP, " ")
+    words = docs.withColumn("__words", F.split(F.trim(line), " "))
+    w = F.col("__words")
+    # Content words, each with the common word right before it, if any.
+    marked = F.transform(
+        w,
+        lambda x, i: F.when(x.isin(*ANCHORS) | (x == ""), None)
+        .when((i > 0) & F.get(w, i - 1).isin(*ANCHORS), F.concat(F.get(w, i - 1), F.lit(" "), x))
+        .otherwise(x),
     )
-    # Glue every common word to the word after it, so that a run of them and the content word
-    # behind it become one piece.
-    glued = F.regexp_replace(words, f"(?<= )({'|'.join(ANCHORS)}) ", "$1\u0001")
-    marked = F.split(F.trim(glued), " +")
-    # Words beside their followers, so that each word is looked at once.
-    plain = F.transform(marked, lambda w: F.substring_index(w, "\u0001", -1))
-    after = [F.slice(plain, F.lit(k + 1), F.size(plain)).alias(f"w{k}") for k in range(1, chain)]
+    found = words.withColumn("__marked", F.filter(marked, lambda x: x.isNotNull()))
+    m = F.col("__marked")
+    found = found.withColumn("__plain", F.transform(m, lambda x: F.substring_index(x, " ", -1)))
+    p = F.col("__plain")
+    # Words beside their followers; a word without a common word starts a chain by its hash.
+    after = [F.slice(p, F.lit(k + 1), F.size(p)).alias(f"w{k}") for k in range(1, chain)]
     spots = F.filter(
-        F.arrays_zip(marked.alias("w0"), *after),
-        lambda z: ~F.endswith(z["w0"], F.lit("\u0001"))
-        & (F.contains(z["w0"], F.lit("\u0001")) | (F.pmod(F.xxhash64(z["w0"]), F.lit(8)) == 0)),
+        F.arrays_zip(m.alias("w0"), *after),
+        lambda z: F.contains(z["w0"], F.lit(" "))
+        | (F.pmod(F.xxhash64(z["w0"]), F.lit(8)) == 0),
     )
-    found = F.transform(
-        spots,
-        lambda z: F.xxhash64(
-            F.substring_index(z["w0"], "\u0001", -2), *(z[f"w{k}"] for k in range(1, chain))
-        ),
-    )
-    every = F.filter(plain, lambda w: w != "")
+    chains = F.transform(spots, lambda z: F.xxhash64(*(z[f"w{k}"] for k in range(chain))))
+    found = found.withColumn("__found", chains)
     neighbours = F.transform(
-        F.arrays_zip(every.alias("w0"), F.slice(every, F.lit(2), F.size(every)).alias("w1")),
+        F.arrays_zip(w.alias("w0"), F.slice(w, F.lit(2), F.size(w)).alias("w1")),
         lambda z: F.xxhash64(z["w0"], z["w1"]),
     )
-    enough = F.when(F.size(found) >= min_spots, found).otherwise(F.concat(found, neighbours))
-    return F.array_sort(F.array_distinct(enough))
+    f = F.col("__found")
+    few = F.when(w[0] == "", f).otherwise(F.concat(f, neighbours))
+    enough = F.when(F.size(f) >= min_spots, f).otherwise(few)
+    return found.withColumn(signatures, F.array_sort(F.array_distinct(enough))).drop(
+        "__words", "__marked", "__plain", "__found"
+    )
 
 
 def fingerprint(found: Column) -> Column:
@@ -105,8 +116,8 @@ def similar(
     ``b`` another of its keys, likeness 1) and ``kind`` = ``pair`` between classes.  Texts
     without words take no part.
     """
-    sets = docs.select(F.col(key).alias("key"), signatures(F.col(text)).alias("set"))
-    sets = sets.where(F.size("set") > 0)
+    texts = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    sets = with_signatures(texts, "text", "set").where(F.size("set") > 0).drop("text")
     classes = sets.groupBy("set").agg(F.min("key").alias("id"))
     members = (
         sets.join(classes, "set")
@@ -143,14 +154,23 @@ def similar(
     return members.union(pairs)
 
 
-def with_next(rows: DataFrame, slices: int, key: str, columns: list[str]) -> DataFrame:
-    """``key``, ``columns`` and ``next_<column>`` of the next row in ascending ``key``.
+def with_next(
+    docs: DataFrame,
+    slices: int,
+    key: str = "doc_id",
+    text: str = "text",
+    derive: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+) -> DataFrame:
+    """``key``, ``text``, what ``derive`` adds, and each but the key of the next row as ``next_``.
 
-    The row after the last is the first.  Rows are dealt by quantiles of the key into
-    ``slices`` ranges; the first row of each range is copied to the range before it, so no task
-    holds more than a range.  Rows of one key are ordered by ``columns``.
+    Next is the row with the next key; the row after the last is the first, and rows of one key
+    are ordered by their text.  Rows are dealt by quantiles of the key into ``slices`` ranges;
+    the first row of each range is copied to the range before it, so no task holds more than a
+    range.  ``derive`` runs once a row, after the shuffle.
     """
-    rows = rows.select(F.col(key).cast("long").alias("key"), *columns)
+    rows = docs.select(
+        F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")
+    )
     shares = [i / slices for i in range(1, slices)]
     cuts = rows.approxQuantile("key", shares, 0.2 / slices) if shares else []
     place = F.lit(0)
@@ -158,28 +178,26 @@ def with_next(rows: DataFrame, slices: int, key: str, columns: list[str]) -> Dat
         bounds = F.array(*(F.lit(int(c)).cast("long") for c in sorted(set(cuts))))
         place = F.coalesce(F.size(F.filter(bounds, lambda c: c <= F.col("key"))), F.lit(0))
     placed = rows.withColumn("slice", place)
-    # Of each slice the smallest key; its rows are few, so only they are ordered by content.
-    heads = placed.groupBy("slice").agg(F.min(F.coalesce("key", F.lit(MIN_LONG))).alias("least"))
-    least = placed.join(F.broadcast(heads), "slice").where(
-        F.coalesce("key", F.lit(MIN_LONG)) == F.col("least")
-    )
-    first = least.groupBy("slice").agg(F.min(F.struct("key", *columns)).alias("head"))
-    # One row a slice: it goes to the slice before, that of the first slice to the last.
+    # The smallest key of each slice, a row a slice, finds the few rows that may come first.
+    known = F.coalesce("key", F.lit(MIN_LONG))
+    heads = placed.groupBy("slice").agg(F.min(known).alias("least"))
+    least = placed.join(F.broadcast(heads), "slice").where(known == F.col("least"))
+    first = least.groupBy("slice").agg(F.min(F.struct("key", "text")).alias("head"))
+    # The first row of a slice goes to the slice before, that of the first slice to the last.
     earlier = F.lag("slice").over(Window.orderBy("slice"))
     last = F.max("slice").over(Window.partitionBy(F.lit(1)))
     copies = first.select(
-        F.coalesce(earlier, last).alias("slice"), "head.*", F.lit(True).alias("copy")
+        "head.*", F.coalesce(earlier, last).alias("slice"), F.lit(True).alias("copy")
     )
     own = placed.withColumn("copy", F.lit(False))
-    order = Window.partitionBy("slice").orderBy(
-        "copy", F.col("key").asc_nulls_first(), *columns
-    )
+    dealt = derive(own.unionByName(copies).repartition(slices, "slice"))
+    order = Window.partitionBy("slice").orderBy("copy", F.col("key").asc_nulls_first(), "text")
+    follow = [c for c in dealt.columns if c not in ("key", "slice", "copy")]
     return (
-        own.unionByName(copies)
-        .repartition(slices, "slice")
-        .withColumns({f"next_{c}": F.lead(c).over(order) for c in columns})
+        dealt.withColumns({f"next_{c}": F.lead(c).over(order) for c in follow})
         .where("not copy")
         .withColumnRenamed("key", key)
+        .withColumnRenamed("text", text)
         .drop("copy", "slice")
     )
 

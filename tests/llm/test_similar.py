@@ -191,7 +191,7 @@ def frame_of(spark, docs):
 @pytest.mark.parametrize("slices", [1, 3, 50])
 def test_next_document(spark, slices):
     docs = [(i * i, f"text {i}") for i in range(20)]
-    found = spotsigs.with_next(frame_of(spark, docs).repartition(4), slices, "doc_id", ["text"])
+    found = spotsigs.with_next(frame_of(spark, docs).repartition(4), slices)
     texts = [t for _, t in docs]
     wanted = [(k, t, n) for (k, t), n in zip(docs, [*texts[1:], texts[0]], strict=True)]
     assert sorted(tuple(r) for r in found.collect()) == wanted
@@ -199,12 +199,12 @@ def test_next_document(spark, slices):
 
 def test_next_document_with_odd_keys(spark):
     docs = [(None, "n"), (3, "b"), (3, "a"), (3, "a"), (9, "z")]
-    found = spotsigs.with_next(frame_of(spark, docs), 2, "doc_id", ["text"])
+    found = spotsigs.with_next(frame_of(spark, docs), 2)
     assert rows(found) == sorted(
         [(None, "n", "a"), (3, "a", "a"), (3, "a", "b"), (3, "b", "z"), (9, "z", "n")], key=repr
     )
-    assert rows(spotsigs.with_next(frame_of(spark, docs[:1]), 1, "doc_id", ["text"])) == [(None, "n", "n")]
-    assert spotsigs.with_next(frame_of(spark, []), 1, "doc_id", ["text"]).count() == 0
+    assert rows(spotsigs.with_next(frame_of(spark, docs[:1]), 1)) == [(None, "n", "n")]
+    assert spotsigs.with_next(frame_of(spark, []), 1).count() == 0
 
 
 def brute_signatures(text):
@@ -228,7 +228,7 @@ def test_signatures_follow_common_words(spark):
     texts = [text, text + " zebra", "", None, "the", "of " * 20_000 + "end", "x", "a\u0001b the c"]
     texts += [" ".join(random.Random(i).choices(["the", "of", *"bcdfghjk"], k=60)) for i in range(20)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = frame.select("doc_id", spotsigs.signatures(F.col("text"), min_spots=0).alias("s")).collect()
+    found = spotsigs.with_signatures(frame, "text", "s", min_spots=0).collect()
     sets = {r.doc_id: set(r.s) for r in found}
     for r in found:
         assert r.s == sorted(set(r.s))
@@ -236,11 +236,8 @@ def test_signatures_follow_common_words(spark):
     for i in range(8, 28):
         assert len(sets[i]) >= len(set(brute_signatures(texts[i])))
     assert sets[2] == sets[3] == set()
-    like = frame.alias("x").join(frame.alias("y"), F.expr("x.doc_id = y.doc_id"))
-    own = like.select(
-        spotsigs.likeness(spotsigs.signatures(F.col("x.text")), spotsigs.signatures(F.col("y.text")))
-    )
-    assert {r[0] for r in own.collect()} == {1.0}
+    own = spotsigs.with_signatures(frame, "text", "s")
+    assert {r[0] for r in own.select(spotsigs.likeness(F.col("s"), F.col("s"))).collect()} == {1.0}
 
 
 def test_similar_fingerprints(spark):
@@ -249,7 +246,7 @@ def test_similar_fingerprints(spark):
     frame = frame_of(spark, docs)
     sets = {
         r.doc_id: frozenset(r.s)
-        for r in frame.select("doc_id", spotsigs.signatures(F.col("text")).alias("s")).collect()
+        for r in spotsigs.with_signatures(frame, "text", "s").collect()
     }
     found = spotsigs.similar(frame, 0.6).collect()
     first = {}
