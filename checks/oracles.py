@@ -727,7 +727,7 @@ ORACLES: dict[str, str] = {
         join nation on c_nationkey = n_nationkey""",
     "format_roundtrip": """
         select c.*, f.format from customer c
-        cross join (values ('csv'), ('tsv'), ('ssv'), ('psv'), ('ndjson')) as f(format)""",
+        cross join (values ('csv'), ('tsv'), ('ssv'), ('psv'), ('json'), ('ndjson')) as f(format)""",
     "layers_daily": f"select * from ({O3_DAILY}) union all select * from ({NO2_DAILY})",
     "layers_annual": f"select * from ({O3_ANNUAL}) union all select * from ({NO2_ANNUAL})",
 }

@@ -366,7 +366,7 @@ def q_format_roundtrip(spark, folder):
     customers = ev.table(spark, folder, "customer")
     base = fresh_folder(spark, "formats")
     parts = []
-    for kind in [*SEPARATORS, "ndjson"]:
+    for kind in [*SEPARATORS, "json", "ndjson"]:
         path = write_table(customers, f"{base}/customer.{kind}")
         parts.append(
             read_table(spark, path, customers.schema).withColumn("format", F.lit(kind))

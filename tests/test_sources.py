@@ -1,5 +1,5 @@
 import pytest
-from pyspark.errors import AnalysisException
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
 from obsengine.plans.layers import build_layers
@@ -55,15 +55,36 @@ def test_ingest_never_overwrites(spark, tmp_path):
 TRICKY = [("a", 1), ("", 2), (None, 3), ('q"uo,te;', 4), ("line\nbreak\ttab", None), ("  x ", 6)]
 
 
-@pytest.mark.parametrize("kind", ["csv", "tsv", "ssv", "psv", "ndjson"])
+@pytest.mark.parametrize("kind", ["csv", "tsv", "ssv", "psv", "json", "ndjson"])
 def test_formats_keep_every_cell(spark, tmp_path, kind):
     df = spark.createDataFrame(TRICKY, "t string, n int")
-    path = write_table(df, str(tmp_path / f"t.{kind}"))
-    assert rows(read_table(spark, path, df.schema)) == rows(df)
+    path = write_table(df.repartition(3), str(tmp_path / f"t.{kind}"), line_breaks=True)
+    assert rows(read_table(spark, path, df.schema, line_breaks=True)) == rows(df)
     with pytest.raises(AnalysisException):
         write_table(df, path)
 
 
+@pytest.mark.parametrize("kind", ["csv", "json"])
+def test_every_row_of_every_file_comes_back(spark, tmp_path, kind):
+    df = spark.range(100).selectExpr("id", "cast(id as string) as t").repartition(2)
+    path = write_table(df, str(tmp_path / f"t.{kind}"))
+    assert rows(read_table(spark, path, df.schema)) == rows(df)
+    copied = copy_table(spark, path, str(tmp_path / "u.json"))
+    assert read_table(spark, copied).count() == 100
+
+
+def test_line_breaks_are_refused_unless_asked_for(spark, tmp_path):
+    df = spark.createDataFrame([("a\nb",)], "t string")
+    with pytest.raises(PySparkException, match="line break"):
+        write_table(df, str(tmp_path / "t.csv"))
+
+
+def test_format_named_by_the_caller(spark, tmp_path):
+    df = spark.createDataFrame([("a", "1")], "t string, n string")
+    path = write_table(df, str(tmp_path / "table.data"), kind="tsv")
+    assert rows(read_table(spark, path, kind="tsv")) == rows(df)
+
+
 def test_line_json_columns_are_the_union_of_keys(spark, tmp_path):
     (tmp_path / "t.ndjson").write_text('{"a": 1}\n{"b": "x"}\n')
     assert set(read_table(spark, str(tmp_path / "t.ndjson")).columns) == {"a", "b"}
@@ -71,7 +92,7 @@ def test_line_json_columns_are_the_union_of_keys(spark, tmp_path):
 
 def test_json_array(spark, tmp_path):
     (tmp_path / "t.json").write_text('[{"a": 1},\n {"a": 2, "b": "x"}]')
-    assert read_table(spark, str(tmp_path / "t.json")).count() == 2
+    assert read_table(spark, str(tmp_path / "t.json"), json_array=True).count() == 2
 
 
 def test_copy_and_unknown_format(spark, tmp_path):
