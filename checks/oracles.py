@@ -523,6 +523,36 @@ def _plain(cell: str) -> str:
     return f"lower(trim({cell}))"
 
 
+# A changed customer takes the new row, spelling included; the others stay as they were.
+PATCH_TEXT_KEY = f"""with {_snapshot_ctes(l="customers_before", r="customers_after")},
+  pairs as (select l.*, r.c_name as n_name, r.c_acctbal as n_bal, r.c_mktsegment as n_seg,
+      l.c_acctbal is distinct from r.c_acctbal or l.c_mktsegment is distinct from r.c_mktsegment
+        as changed
+    from l join r on lower(trim(l.c_name)) = lower(trim(r.c_name))
+      and l.c_nationkey = r.c_nationkey)
+  select case when changed then n_name else c_name end as c_name, c_nationkey,
+    case when changed then n_bal else c_acctbal end as c_acctbal,
+    case when changed then n_seg else c_mktsegment end as c_mktsegment
+  from pairs"""
+
+
+def _patch_three_way() -> str:
+    cells = ", ".join(
+        f"case when {_is('p.' + c, 'l.' + c)} then r.{c} else l.{c} end as {c}" for c in _ORDER_DATA
+    )
+    names = ", ".join(["o_orderkey", *_ORDER_DATA])
+    return f"""with {_FAMILY}
+    select p.o_orderkey, {cells}, l.local_note, r.remote_note
+    from p join l on p.o_orderkey = l.o_orderkey join r on p.o_orderkey = r.o_orderkey
+    union all by name
+    select {names}, local_note, null as remote_note from l
+      where o_orderkey not in (select o_orderkey from p)
+    union all by name
+    select {names}, null as local_note, remote_note from r
+      where o_orderkey not in (select o_orderkey from p)"""
+
+
+
 _LOOSE = {
     "o_totalprice": "coalesce(abs(l.o_totalprice - r.o_totalprice) < 0.01, false)"
     " or l.o_totalprice is not distinct from r.o_totalprice",
@@ -557,7 +587,7 @@ DIFF_SUMMARY = f"""with changes as ({DIFF_RESHAPED}), counts as (
     (select count(*) from ({SNAPSHOTS["orders_reshaped"]})) as row_count_final
   from changes)
 select *, 1::bigint as col_inserts, 1::bigint as col_deletes, 1::bigint as col_renames,
-  1::bigint as col_reorders, 6::bigint as col_count_initial, 6::bigint as col_count_final,
+  1::bigint as col_reorders, 0::bigint as col_type_changes, 6::bigint as col_count_initial, 6::bigint as col_count_final,
   true as different from counts"""
 
 _CONTEXT_DIFF = _diff(
@@ -714,6 +744,8 @@ ORACLES: dict[str, str] = {
     "diff3": _diff3(),
     "merge3": _merge3(),
     "apply_patch": SNAPSHOTS["orders_after"],
+    "patch_text_key": PATCH_TEXT_KEY,
+    "patch_three_way": _patch_three_way(),
     "diff_keyless": _keyless(),
     "diff_context": DIFF_CONTEXT,
     "drop_blank_rows": f"""select flag, status from ({SNAPSHOTS["lines_with_blanks"]})

@@ -29,11 +29,21 @@ from obsengine.operators.rolling import moving_mean
 from obsengine.operators.spine import gap_fill, spine_hours
 from obsengine.operators.staging import STAGING_COLUMNS, stage
 from obsengine.operators.tablediff.columns import column_changes
-from obsengine.operators.tablediff.compare import diff_columns, diff_rows, diff_summary
+from obsengine.operators.tablediff.compare import (
+    diff_columns,
+    diff_rows,
+    diff_summary,
+    with_listed,
+)
 from obsengine.operators.tablediff.context import drop_blank_rows, with_context
 from obsengine.operators.tablediff.equality import Equality
 from obsengine.operators.tablediff.keyless import diff_keyless
-from obsengine.operators.tablediff.merge import diff3, merge3, with_conflict_texts
+from obsengine.operators.tablediff.merge import (
+    diff3,
+    merge3,
+    three_way_patch,
+    with_conflict_texts,
+)
 from obsengine.operators.tablediff.patch import apply_patch
 from obsengine.plans.layers import build_layers
 from obsengine.plans.marts import fct_annual, fct_daily
@@ -270,30 +280,45 @@ def _pair(spark, folder, before="orders_before", after="orders_after"):
 
 
 def q_diff_keyed(spark, folder):
-    return diff_rows(*_pair(spark, folder), ORDER_KEY)
+    return with_listed(diff_rows(*_pair(spark, folder), ORDER_KEY))
 
 
 def q_diff_acts(spark, folder):
-    return diff_rows(
+    diff = diff_rows(
         *_pair(spark, folder), ORDER_KEY, ignore=["o_orderstatus"], acts=["update", "column"]
     )
+    return with_listed(diff)
 
 
 def q_diff_duplicate_keys(spark, folder):
-    return diff_rows(*_pair(spark, folder), ["o_custkey"])
+    return with_listed(diff_rows(*_pair(spark, folder), ["o_custkey"]))
+
+
+CUSTOMER_KEY = ["c_name", "c_nationkey"]
+
+
+def _text_key_diff(before, after):
+    plain = Equality(ignore_whitespace=True, ignore_case=True)
+    return diff_rows(before, after, CUSTOMER_KEY, equality=plain, text_keys=True)
 
 
 def q_diff_normalised_key(spark, folder):
+    return with_listed(
+        _text_key_diff(*_pair(spark, folder, "customers_before", "customers_after"))
+    )
+
+
+def q_patch_text_key(spark, folder):
     before, after = _pair(spark, folder, "customers_before", "customers_after")
-    plain = Equality(ignore_whitespace=True, ignore_case=True)
-    return diff_rows(before, after, ["c_name", "c_nationkey"], equality=plain, text_keys=True)
+    return apply_patch(before, _text_key_diff(before, after), CUSTOMER_KEY)
 
 
 def q_diff_epsilon(spark, folder):
     loose = Equality(epsilon=0.01, ignore_whitespace=True, ignore_case=True)
-    return diff_rows(
+    diff = diff_rows(
         *_pair(spark, folder, "orders_all", "orders_reformatted"), ORDER_KEY, equality=loose
     )
+    return with_listed(diff)
 
 
 def q_diff_schema(spark, folder):
@@ -313,7 +338,16 @@ def _family(spark, folder):
 
 
 def q_diff3(spark, folder):
-    return diff3(*_family(spark, folder), ORDER_KEY)
+    return with_listed(diff3(*_family(spark, folder), ORDER_KEY), "changed", "conflicts")
+
+
+def q_patch_three_way(spark, folder):
+    parent, local, remote = _family(spark, folder)
+    data = [c for c in parent.columns if c not in ORDER_KEY]
+    diff = diff3(parent, local, remote, ORDER_KEY)
+    patch = three_way_patch(diff, ORDER_KEY, data, ["remote_note"])
+    added = [c for c in column_changes(local, remote) if c.old is None]
+    return apply_patch(local, patch, ORDER_KEY, added)
 
 
 def q_merge3(spark, folder):
@@ -327,7 +361,7 @@ def q_apply_patch(spark, folder):
 
 
 def q_diff_keyless(spark, folder):
-    return diff_keyless(*_pair(spark, folder, "accounts_before", "accounts_after"))
+    return with_listed(diff_keyless(*_pair(spark, folder, "accounts_before", "accounts_after")))
 
 
 def q_diff_context(spark, folder):

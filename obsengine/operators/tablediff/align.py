@@ -3,15 +3,18 @@
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsengine.operators.keys import same_keys
 
+# The key of an aligned row.  Each side is one struct, so no column can meet this name.
+KEY = "_key"
+
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once; reads the key columns, counts before the shuffle."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
+    return df.groupBy(*_columns(keys)).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
 
 
 def rows_with_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -22,7 +25,7 @@ def rows_with_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> Dat
 def align_rows(
     sides: Mapping[str, DataFrame], keys: Sequence[str], keys_unique: bool = False
 ) -> DataFrame:
-    """One row per key with one struct per side, NULL where the side has no such row.
+    """One row per key: the struct ``_key`` and one struct per side, NULL where it has no such row.
 
     Rows link only when their key is unique on their own side; every row whose
     key repeats there stands alone and takes no part in the join, so the join
@@ -32,17 +35,21 @@ def align_rows(
     Unless ``keys_unique`` is set, runs one job that counts the keys.
     """
     packed = {
-        name: df.select(*keys, F.struct("*").alias(name)) for name, df in sides.items()
+        name: df.select(F.struct(*_columns(keys)).alias(KEY), F.struct("*").alias(name))
+        for name, df in sides.items()
     }
+    inner = [f"{KEY}.{k}" for k in keys]
     alone = []
     if not keys_unique and _any_repeats(sides, keys):
         for name, df in packed.items():
-            repeated = repeated_keys(sides[name], keys)
-            alone.append(rows_with_keys(df, repeated, keys))
+            repeated = repeated_keys(sides[name], keys).select(
+                F.struct(*_columns(keys)).alias(KEY)
+            )
+            alone.append(rows_with_keys(df, repeated, inner))
             packed[name] = df.alias("_a").join(
-                repeated.alias("_b"), same_keys("_a", "_b", keys), "left_anti"
+                repeated.alias("_b"), same_keys("_a", "_b", inner), "left_anti"
             )
-    linked = reduce(lambda a, b: _meet(a, b, keys), packed.values())
+    linked = reduce(lambda a, b: _meet(a, b, inner), packed.values())
     for rows in alone:
         linked = linked.unionByName(rows, allowMissingColumns=True)
     return linked
@@ -51,12 +58,12 @@ def align_rows(
 def _any_repeats(sides: Mapping[str, DataFrame], keys: Sequence[str]) -> bool:
     """Whether a key occurs twice on one side; reads the key columns only."""
     marked = [
-        df.select(*keys, *[F.lit(int(other == name)).alias(f"_{other}") for other in sides])
+        df.select(*_columns(keys), *[F.lit(int(other == name)).alias(f"_{other}") for other in sides])
         for name, df in sides.items()
     ]
     counts = (
         reduce(DataFrame.union, marked)
-        .groupBy(*keys)
+        .groupBy(*_columns(keys))
         .agg(*[F.sum(f"_{name}").alias(f"_{name}") for name in sides])
     )
     twice = reduce(lambda a, b: a | b, [F.col(f"_{name}") > 1 for name in sides])
@@ -65,7 +72,9 @@ def _any_repeats(sides: Mapping[str, DataFrame], keys: Sequence[str]) -> bool:
 
 def _meet(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     joined = a.alias("_a").join(b.alias("_b"), same_keys("_a", "_b", keys), "full")
-    either = [F.coalesce(F.col(f"_a.`{k}`"), F.col(f"_b.`{k}`")).alias(k) for k in keys]
-    rows = [F.col(f"{t}.`{c}`") for t, df in (("_a", a), ("_b", b)) for c in df.columns]
-    kept = [r for r, c in zip(rows, [*a.columns, *b.columns]) if c not in keys]
-    return joined.select(*either, *kept)
+    sides = [F.col(f"{t}.`{c}`") for t, df in (("_a", a), ("_b", b)) for c in df.columns if c != KEY]
+    return joined.select(F.coalesce(f"_a.{KEY}", f"_b.{KEY}").alias(KEY), *sides)
+
+
+def _columns(names: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{name}`") for name in names]

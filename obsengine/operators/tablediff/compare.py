@@ -27,8 +27,22 @@ def any_of(tests: Sequence[Column]) -> Column:
 
 
 def names_where(tests: Mapping[str, Column]) -> Column:
-    """Comma-separated names whose test holds."""
-    return F.concat_ws(",", *[F.when(test, F.lit(name)) for name, test in tests.items()])
+    """Array of the names whose test holds."""
+    if not tests:
+        return F.array().cast("array<string>")
+    return F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in tests.items()]))
+
+
+def with_listed(diff: DataFrame, *columns: str) -> DataFrame:
+    """Arrays of names as one text, joined by commas: for display only."""
+    return diff.withColumns({c: F.array_join(c, ",") for c in columns or ("changed",)})
+
+
+def check_names(columns: Sequence[str]) -> None:
+    """A difference names its cells after side and column; two must not end up alike."""
+    twice = sorted({c for c in columns if columns.count(c) > 1})
+    if twice:
+        raise ValueError(f"columns {twice} of the difference have the same name; rename the table's")
 
 
 def renamed(df: DataFrame, renames: Mapping[str, str] | None) -> DataFrame:
@@ -47,7 +61,7 @@ def diff_rows(
     keys_unique: bool = False,
     keep_equal: bool = False,
 ) -> DataFrame:
-    """What turns ``left`` into ``right``: action, keys, old and new cells, changed columns.
+    """What turns ``left`` into ``right``: action, keys, old and new cells, ``changed`` columns.
 
     ``+++`` marks a row only in ``right``, ``---`` one only in ``left``, ``->`` a
     linked pair with a changed cell, ``+`` one that only got data in a new column.
@@ -104,12 +118,13 @@ def mark_actions(
         .otherwise("")
     )
     kept = [ACTS[a] for a in acts] + ([""] if keep_equal else [])
-    cells = []
+    cells, names = [], ["action", *keys, "changed"]
     for c in data:
-        if c in old:
-            cells.append(old[c].alias(f"old_{c}"))
-        if c in new:
-            cells.append(new[c].alias(f"new_{c}"))
+        for side, there in (("old", old), ("new", new)):
+            if c in there:
+                cells.append(there[c].alias(f"{side}_{c}"))
+                names.append(f"{side}_{c}")
+    check_names(names)
     key_cells = [F.coalesce(new[k], old[k]).alias(k) for k in keys]
     return rows.select(
         action.alias("action"), *key_cells, *cells, names_where(changed).alias("changed")
@@ -120,7 +135,7 @@ def changed_cells(diff: DataFrame) -> DataFrame:
     """Number of changed cells per column."""
     return (
         diff.filter(F.col("action") == UPDATE)
-        .select(F.explode(F.split("changed", ",")).alias("column_name"))
+        .select(F.explode("changed").alias("column_name"))
         .groupBy("column_name")
         .agg(F.count(F.lit(1)).alias("changed_cells"))
     )
@@ -149,7 +164,7 @@ def diff_summary(
     changes = column_changes(left, right, renames, options.get("ignore", ()))
     diff = diff_rows(left, right, keys, renames=renames, **options)
     common = [c.name for c in changes if c.old is not None and c.new is not None]
-    action, listed = F.col("action"), F.split("changed", ",")
+    action, listed = F.col("action"), F.col("changed")
     none = F.lit(0).cast("bigint")
     updated_columns = [
         F.coalesce(F.max(F.array_contains(listed, c).cast("int")), F.lit(0)) for c in common
@@ -178,12 +193,15 @@ def diff_summary(
         "col_deletes": sum(c.new is None for c in changes),
         "col_renames": sum(c.old is not None and c.new not in (None, c.old) for c in changes),
         "col_reorders": sum(c.moved for c in changes),
+        "col_type_changes": sum(
+            None not in (c.old, c.new) and c.old_type != c.new_type for c in changes
+        ),
         "col_count_initial": len(left.columns),
         "col_count_final": len(right.columns),
     }
     for name, count in columns.items():
         summed = summed.withColumn(name, F.lit(count).cast("bigint"))
-    counted = [*total, "col_inserts", "col_deletes", "col_renames", "col_reorders"]
+    counted = [*total, *(name for name in columns if not name.startswith("col_count"))]
     different = reduce(lambda a, b: a + b, [F.col(n) for n in counted]) > 0
     return summed.withColumn("different", different)
 

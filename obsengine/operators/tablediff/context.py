@@ -65,13 +65,17 @@ def drop_blank_rows(df: DataFrame, order_by: str | None = None) -> DataFrame:
     """Drop rows whose cells are all NULL or empty text.
 
     With ``order_by`` only those after the last filled row in that order are
-    dropped; the ordering column itself does not count as a cell.
+    dropped; the ordering column itself does not count as a cell.  NULL comes first
+    in that order, and blank rows level with the last filled row are kept.
     """
     filled = F.lit(False)
     for name in df.columns:
         if name != order_by:
-            filled = filled | F.coalesce(F.col(name).cast("string") != "", F.lit(False))
+            filled = filled | F.coalesce(F.col(f"`{name}`").cast("string") != "", F.lit(False))
     if order_by is None:
         return df.filter(filled)
-    last_filled = df.filter(filled).agg(F.max(order_by)).scalar()
-    return df.filter(filled | (F.col(order_by) <= last_filled))
+    at = F.col(f"`{order_by}`")
+    last = df.filter(filled).agg(F.count(F.lit(1)).alias("n"), F.max(at).alias("at")).first()
+    if not last.n:
+        return df.filter(filled)
+    return df.filter(filled | at.isNull() | F.coalesce(at <= F.lit(last.at), F.lit(False)))

@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsengine.operators.tablediff.align import align_rows
+from obsengine.operators.tablediff.align import KEY, align_rows
 from obsengine.operators.tablediff.compare import (
     ADDED_CELLS,
     CONFLICT,
@@ -13,6 +13,7 @@ from obsengine.operators.tablediff.compare import (
     INSERT,
     UPDATE,
     any_of,
+    check_names,
     names_where,
 )
 from obsengine.operators.tablediff.equality import Equality
@@ -35,7 +36,7 @@ def align_three(
     keys: Sequence[str],
     keys_unique: bool = False,
 ) -> DataFrame:
-    """Rows of three tables; local and remote rows meet only through a parent row."""
+    """The key struct and the rows of three tables, which meet only through a parent row."""
     sides = dict(zip(_SIDES, (parent, local, remote)))
     rows = align_rows(sides, keys, keys_unique)
     nothing = {side: F.lit(None).cast(df.schema) for side, df in sides.items()}
@@ -47,8 +48,8 @@ def align_three(
         for side in ("local", "remote")
     }
     pieces = F.when(apart, F.array(only["local"], only["remote"])).otherwise(F.array(whole))
-    return rows.select(*keys, F.explode(pieces).alias("_row")).select(
-        *keys, *[F.col(f"_row.{s}").alias(s) for s in _SIDES]
+    return rows.select(KEY, F.explode(pieces).alias("_row")).select(
+        KEY, *[F.col(f"_row.{s}").alias(s) for s in _SIDES]
     )
 
 
@@ -85,35 +86,39 @@ def diff3(
     )
     cells = [_cell(side, c).alias(f"{side}_{c}") for c in data for side in _SIDES]
     cells += [_cell("remote", c).alias(f"remote_{c}") for c in added]
+    check_names(
+        ["action", "changed", "conflicts", *keys, *(f"remote_{c}" for c in added)]
+        + [f"{side}_{c}" for c in data for side in _SIDES]
+    )
     return rows.select(
         action.alias("action"),
-        *keys,
+        *[_cell(KEY, k).alias(k) for k in keys],
         *cells,
         names_where(changed).alias("changed"),
         names_where(conflict).alias("conflicts"),
     ).filter(F.col("action").isNotNull())
 
 
-def three_way_patch(diff: DataFrame, data: Sequence[str]) -> DataFrame:
+def three_way_patch(
+    diff: DataFrame, keys: Sequence[str], data: Sequence[str], added: Sequence[str] = ()
+) -> DataFrame:
     """A three-way difference as a patch for the local table; conflicting cells stay.
 
-    ``data`` names the compared columns: those of all three tables but the keys.
+    ``data`` names the compared columns, those of all three tables but the keys, and ``added``
+    those that only the remote table has.
     """
-    others = [c for c in diff.columns if not c.startswith(tuple(f"{s}_" for s in _SIDES))]
-    added = [c.removeprefix("remote_") for c in diff.columns if c.startswith("remote_")]
-    added = [c for c in added if c not in data]
-    changed, clashing = (F.split(c, ",") for c in ("changed", "conflicts"))
     insert = F.col("action") == INSERT
     cells = []
     for c in data:
-        taken = F.array_contains(changed, c) & ~F.array_contains(clashing, c)
-        cells.append(F.col(f"local_{c}").alias(f"old_{c}"))
-        new = F.when(insert | taken, F.col(f"remote_{c}")).otherwise(F.col(f"local_{c}"))
-        cells.append(new.alias(f"new_{c}"))
-    cells += [F.col(f"remote_{c}").alias(f"new_{c}") for c in added]
+        taken = F.array_contains("changed", c) & ~F.array_contains("conflicts", c)
+        mine, theirs = F.col(f"`local_{c}`"), F.col(f"`remote_{c}`")
+        cells.append(mine.alias(f"old_{c}"))
+        cells.append(F.when(insert | taken, theirs).otherwise(mine).alias(f"new_{c}"))
+    cells += [F.col(f"`remote_{c}`").alias(f"new_{c}") for c in added]
     action = F.when(F.col("action") == CONFLICT, UPDATE).otherwise(F.col("action"))
-    kept = [c for c in others if c not in ("action", "changed", "conflicts")]
-    return diff.select(action.alias("action"), *kept, *cells, "changed")
+    return diff.select(
+        action.alias("action"), *[F.col(f"`{k}`") for k in keys], *cells, "changed"
+    )
 
 
 def conflict_text(p: Column, mine: Column, theirs: Column) -> Column:
@@ -148,7 +153,7 @@ def merge3(
     names += [c for c in remote.columns if c not in parent.columns and c not in local.columns]
     for c in names:
         if c in keys:
-            merged.append(F.col(c))
+            merged.append(_cell(KEY, c).alias(c))
         elif c not in local.columns:
             merged.append(_cell("remote", c).alias(c))
         elif c not in remote.columns:

@@ -19,7 +19,8 @@ def apply_patch(
     """The table after a difference made by ``diff_rows``.
 
     Deletes and updates apply where the key and all old cells of the patch row
-    match; conflicting rows of a three-way difference are skipped.  ``columns``
+    match; conflicting rows of a three-way difference are skipped.  A difference by key text
+    has old and new key cells: the old ones find the row, whose key becomes the new one.  ``columns``
     adds, drops and renames columns.  Both kinds of change find their rows in one
     join, so the table is shuffled once, or not at all under a small patch.
     """
@@ -39,7 +40,9 @@ def apply_patch(
         .distinct()
         .alias("_p")
     )
-    match = [F.col(f"_t.`{k}`").eqNullSafe(F.col(f"_p.`{k}`")) for k in keys]
+    match = [
+        F.col(f"_t.`{k}`").eqNullSafe(F.col(f"_p.`{k}`")) for k in keys if k not in shown
+    ]
     match += [F.col(f"_t.`{c}`").eqNullSafe(F.col(f"_p.`old_{c}`")) for c in shown]
     action = F.col("_p.action")
     kept = [c for c in table.columns if c not in dropped]

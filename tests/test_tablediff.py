@@ -7,6 +7,7 @@ from obsengine.operators.tablediff.columns import column_changes
 from obsengine.operators.tablediff.compare import (
     TablesDiffer,
     assert_no_diff,
+    diff_columns,
     diff_rows,
     diff_summary,
 )
@@ -88,7 +89,7 @@ def test_text_keys(spark):
     left = frame(spark, [(None, "x", 1), ("null", "y", 1), ("A", "z", 1)], schema)
     right = frame(spark, [("", "x", 2), (None, "y", 1), ("a", "z", 1)], schema)
     diff = diff_rows(left, right, ["a", "b"], text_keys=True)
-    assert {(r.action, r.old_b, r.new_b, r.changed) for r in diff.collect()} == {
+    assert {(r.action, r.old_b, r.new_b, ",".join(r.changed)) for r in diff.collect()} == {
         ("->", "x", "x", "a,v"),
         ("->", "y", "y", "a"),
         ("---", "z", None, ""),
@@ -134,7 +135,7 @@ def three(spark):
 @pytest.mark.parametrize("unique", [True, False])
 def test_diff3(spark, unique):
     got = {
-        (r.k, r.action): (r.changed, r.conflicts)
+        (r.k, r.action): (",".join(r.changed), ",".join(r.conflicts))
         for r in diff3(*three(spark), ["k"], keys_unique=unique).collect()
     }
     assert got == {
@@ -171,7 +172,7 @@ def test_three_way_patch_gives_the_merge(spark):
         return [(k, rng.choice("abc"), rng.choice([1, 2, None])) for k in range(80) if rng.random() < keep]
 
     parent, local, remote = (frame(spark, version(k), schema) for k in (0.9, 0.8, 0.8))
-    patch = three_way_patch(diff3(parent, local, remote, ["k"]), ["v", "x"])
+    patch = three_way_patch(diff3(parent, local, remote, ["k"]), ["k"], ["v", "x"])
     patched = apply_patch(local, patch, ["k"])
     merged = merge3(parent, local, remote, ["k"]).drop("conflicts", "conflict_count")
     assert rows(patched) == rows(merged)
@@ -264,7 +265,10 @@ def test_keyless_links_unique_content(spark):
     schema = "a string, b int, c string"
     left = frame(spark, [(f"n{i}", i % 7, "s") for i in range(60)], schema)
     right = frame(spark, [(f"n{i}", i % 7, "t" if i == 5 else "s") for i in range(3, 63)], schema)
-    got = [(r.action, r.old_a, r.new_a, r.changed) for r in diff_keyless(left, right).collect()]
+    got = [
+        (r.action, r.old_a, r.new_a, ",".join(r.changed))
+        for r in diff_keyless(left, right).collect()
+    ]
     assert sorted(got, key=repr) == sorted(
         [("---", f"n{i}", None, "") for i in range(3)]
         + [("+++", None, f"n{i}", "") for i in range(60, 63)]
@@ -287,3 +291,62 @@ def test_keyless_column_choice(spark):
     data = [tuple(i % n for n in (2, 50, 40, 30, 20, 10)) for i in range(200)]
     df = frame(spark, data, ", ".join(f"{n} int" for n in names))
     assert pick_columns(df, df) == ["b", "c", "d", "e", "f"]
+
+
+def test_patch_by_key_text_finds_the_old_spelling(spark):
+    left = frame(spark, [("Bob", 1), ("Ann", 2), ("Zed", 3)], "name string, v int")
+    right = frame(spark, [("BOB ", 9), ("ann", 2), ("New", 4)], "name string, v int")
+    plain = Equality(ignore_whitespace=True, ignore_case=True)
+    diff = diff_rows(left, right, ["name"], equality=plain, text_keys=True)
+    patched = apply_patch(left, diff, ["name"])
+    assert rows(patched) == [("Ann", 2), ("BOB ", 9), ("New", 4)]
+
+
+@pytest.mark.parametrize("key", ["old", "new", "parent", "local", "remote", "parent_id", "_a"])
+def test_any_key_name(spark, key):
+    schema = f"{key} int, v string, w string"
+    parent = frame(spark, [(1, "a", "x"), (2, "b", "x"), (3, "c", "x")], schema)
+    local = frame(spark, [(1, "a", "y"), (2, "b", "x"), (3, "c", "x")], schema)
+    remote = frame(spark, [(1, "z", "x"), (2, "q", "x"), (4, "d", "x")], schema)
+    diff = diff_rows(parent, local, [key])
+    assert [(r[key], r.action, r.changed) for r in diff.collect()] == [(1, "->", ["w"])]
+    three_way = diff3(parent, local, remote, [key])
+    patch = three_way_patch(three_way, [key], ["v", "w"])
+    merged = merge3(parent, local, remote, [key]).drop("conflicts", "conflict_count")
+    assert rows(apply_patch(local, patch, [key])) == rows(merged)
+    assert rows(merged) == [(1, "z", "y"), (2, "q", "x"), (4, "d", "x")]
+
+
+def test_clashing_names_are_an_error(spark):
+    left = frame(spark, [(1, "a")], "old_v int, v string")
+    with pytest.raises(ValueError, match="old_v"):
+        diff_rows(left, left, ["old_v"])
+
+
+def test_column_names_with_commas(spark):
+    left = frame(spark, [(1, "x", "y")], "k int, `a,b` string, a string")
+    right = frame(spark, [(1, "z", "y")], "k int, `a,b` string, a string")
+    diff = diff_rows(left, right, ["k"])
+    counts = diff_columns(diff, column_changes(left, right)).collect()
+    assert {r.column_name: r.changed_cells for r in counts} == {"k": 0, "a,b": 1, "a": 0}
+    assert diff_summary(left, right, ["k"]).first().col_updates == 1
+
+
+def test_a_changed_type_is_a_difference(spark):
+    left = frame(spark, [(1, 5)], "k int, v int")
+    right = left.withColumn("v", F.col("v").cast("string"))
+    summary = diff_summary(left, right, ["k"]).first()
+    assert (summary.row_updates, summary.col_type_changes, summary.different) == (0, 1, True)
+    with pytest.raises(TablesDiffer):
+        assert_no_diff(left, right, ["k"])
+
+
+def test_trailing_blank_rows_with_null_order(spark):
+    found = drop_blank_rows(
+        frame(spark, [(1, "a"), (None, ""), (2, ""), (3, "b"), (4, "")], "at int, t string"), "at"
+    )
+    assert rows(found) == sorted([(1, "a"), (None, ""), (2, ""), (3, "b")], key=repr)
+    blank = frame(spark, [(1, ""), (None, "")], "at int, t string")
+    assert drop_blank_rows(blank, "at").count() == 0
+    first = frame(spark, [(None, "x"), (None, ""), (1, "")], "at int, t string")
+    assert rows(drop_blank_rows(first, "at")) == sorted([(None, "x"), (None, "")], key=repr)
