@@ -116,8 +116,8 @@ def ytd(source: str, sums: dict[str, str]) -> str:
 
 SPINE = """spine as (
   select h as data_da, h + interval 1 hour as data_a
-  from generate_series(timestamp '2024-01-01', timestamp '2024-01-30 23:00:00',
-                       interval 1 hour) as s(h))"""
+  from (select unnest(generate_series(date_trunc('day', min(ts)),
+      date_trunc('day', max(ts)) + interval 23 hour, interval 1 hour)) as h from events))"""
 
 FILLED = f"""measured as (select * from obs where sigla_param in ('CO', 'O3')),
 series as (select distinct {SERIES} from measured),
@@ -622,6 +622,11 @@ ORACLES: dict[str, str] = {
         select=f"select {SERIES}, data_da, lvl as cod_liv_validazione, over_240 as flag,"
         " cast(run3 as bigint) as run_sum from flagged",
     ),
+    "run_hits": _query(
+        OBS, levelled("sigla_param = 'O3'"), flagged(240, []),
+        select=f"select {SERIES}, data_da, lvl as cod_liv_validazione,"
+        " cast(run3 = 3 as bigint) as hits from flagged",
+    ),
     "daily_figures": _query(
         ROWS, levelled("sigla_param = 'NO2'"),
         flagged(400, [200]).replace("order by data_da", "order by data_da, val_param"),
@@ -763,3 +768,7 @@ ORACLES: dict[str, str] = {
     "layers_daily": f"select * from ({O3_DAILY}) union all select * from ({NO2_DAILY})",
     "layers_annual": f"select * from ({O3_ANNUAL}) union all select * from ({NO2_ANNUAL})",
 }
+
+ORACLES["date_spine"] = ORACLES["hourly_spine"]
+# The configurations of the events have no owner, so the lookup is that of the orders.
+ORACLES["layers_lookup"] = ORACLES["dim_lookup"]

@@ -3,7 +3,7 @@
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from obsengine.functions.scalar import (
@@ -11,7 +11,7 @@ from obsengine.functions.scalar import (
     pct_validity,
     validity_flag,
 )
-from obsengine.functions.windows import consecutive_sum
+from obsengine.functions.windows import consecutive_sum, run_hits
 from obsengine.operators.daily_mean import daily_mean, daily_mean_levels
 from obsengine.operators.hourly import (
     annual_figures,
@@ -26,7 +26,7 @@ from obsengine.operators.percentiles import exact_percentiles
 from obsengine.operators.prep import data_prep, dim_lookup
 from obsengine.operators.quality import duplicate_keys
 from obsengine.operators.rolling import moving_mean
-from obsengine.operators.spine import gap_fill, spine_hours
+from obsengine.operators.spine import date_spine, gap_fill, spine_hours
 from obsengine.operators.staging import STAGING_COLUMNS, stage
 from obsengine.operators.tablediff.columns import column_changes
 from obsengine.operators.tablediff.compare import (
@@ -45,7 +45,7 @@ from obsengine.operators.tablediff.merge import (
     with_conflict_texts,
 )
 from obsengine.operators.tablediff.patch import apply_patch
-from obsengine.plans.layers import build_layers
+from obsengine.plans.layers import PREP_TABLES, build_layers
 from obsengine.plans.marts import fct_annual, fct_daily
 from obsengine.plans.no2 import DAILY_INDICATORS as NO2_DAILY
 from obsengine.plans.no2 import no2_annual, no2_daily, nox_annual
@@ -71,13 +71,10 @@ def _observations(spark: SparkSession, folder: str, *pollutants: str) -> DataFra
     return ev.observations(_events(spark, folder, *pollutants))
 
 
-def _moving(prep: DataFrame, *pollutants: str) -> DataFrame:
+def _moving(spark: SparkSession, folder: str, prep: DataFrame, *pollutants: str) -> DataFrame:
+    start, end = ev.event_period(_events(spark, folder))
     return moving_mean(
-        prep,
-        ev.EVENTS_START,
-        ev.EVENTS_END,
-        pollutants=pollutants or ("CO", "O3"),
-        unique_hours=True,
+        prep, start, end, pollutants=pollutants or ("CO", "O3"), unique_hours=True
     )
 
 
@@ -166,6 +163,20 @@ def q_daily_mean_levels(spark, folder):
     return daily_mean_levels(_observations(spark, folder))
 
 
+def q_date_spine(spark, folder):
+    return date_spine(spark, "hour", *ev.event_period(_events(spark, folder)))
+
+
+def q_run_hits(spark, folder):
+    """Hours that end a run of three above the alert limit, counted as the plans count them."""
+    hours = level_hours(_observations(spark, folder, "O3"), "O3", "data_day")
+    flag = exceeds(F.col("val_param"), 240)
+    rows = hours.withColumns({"ones": flag, "zeros": 1 - flag})
+    day = Window.partitionBy(*SERIES, "data_day", LEVEL).orderBy("data_da")
+    hits = run_hits(F.col("zeros"), F.col("ones"), day)
+    return rows.select(*SERIES, "data_da", LEVEL, hits.alias("hits"))
+
+
 def q_hourly_spine(spark, folder):
     day = F.col("ts").cast("date")
     period = _events(spark, folder).agg(
@@ -178,32 +189,37 @@ def q_hourly_spine(spark, folder):
 
 def q_gap_fill(spark, folder):
     prep = _observations(spark, folder, "CO", "O3")
-    return gap_fill(prep, ev.EVENTS_START, ev.EVENTS_END)
+    return gap_fill(prep, *ev.event_period(_events(spark, folder)))
 
 
 def q_moving_8h(spark, folder):
-    return _moving(_observations(spark, folder, "CO", "O3"))
+    return _moving(spark, folder, _observations(spark, folder, "CO", "O3"))
 
 
 def q_moving_8h_merged(spark, folder):
     """Hours with any number of rows."""
     rows = ev.event_measurements(_events(spark, folder, "CO", "O3"))
-    return moving_mean(rows, ev.EVENTS_START, ev.EVENTS_END)
+    return moving_mean(rows, *ev.event_period(_events(spark, folder)))
+
+
+def _o3(spark, folder, plan, prep):
+    return plan(prep, _moving(spark, folder, prep, "O3"), unique_hours=True)
+
+
+def _no2_daily(prep):
+    return no2_daily(prep, daily_mean_levels(prep), unique_hours=True)
 
 
 def q_o3_daily(spark, folder):
-    prep = _observations(spark, folder, "O3")
-    return o3_daily(prep, _moving(prep, "O3"), unique_hours=True)
+    return _o3(spark, folder, o3_daily, _observations(spark, folder, "O3"))
 
 
 def q_no2_daily(spark, folder):
-    prep = _observations(spark, folder, "NO2")
-    return no2_daily(prep, daily_mean_levels(prep), unique_hours=True)
+    return _no2_daily(_observations(spark, folder, "NO2"))
 
 
 def q_o3_annual(spark, folder):
-    prep = _observations(spark, folder, "O3")
-    return o3_annual(prep, _moving(prep, "O3"), unique_hours=True)
+    return _o3(spark, folder, o3_annual, _observations(spark, folder, "O3"))
 
 
 def q_no2_annual(spark, folder):
@@ -226,12 +242,24 @@ def q_annual_stats(spark, folder):
     return figures.drop("first_day", "last_day")
 
 
+def _prepared(spark, folder, *pollutants):
+    """Hours prepared once and written by pollutant, for plans that read them several times."""
+    store = FolderStore(spark, fresh_folder(spark, "prepared"))
+    hours = _observations(spark, folder, *pollutants)
+    written = store.table("silver", "data_prep", hours, ["sigla_param"])
+    return lambda *names: written.where(F.col("sigla_param").isin(*names))
+
+
 def q_fct_daily(spark, folder):
-    return fct_daily(q_o3_daily(spark, folder), q_no2_daily(spark, folder))
+    prepared = _prepared(spark, folder, "O3", "NO2")
+    o3 = _o3(spark, folder, o3_daily, prepared("O3"))
+    return fct_daily(o3, _no2_daily(prepared("NO2")))
 
 
 def q_fct_annual(spark, folder):
-    return fct_annual(q_o3_annual(spark, folder), q_no2_annual(spark, folder))
+    prepared = _prepared(spark, folder, "O3", "NO2", "NOX")
+    o3 = _o3(spark, folder, o3_annual, prepared("O3"))
+    return fct_annual(o3, no2_annual(prepared("NO2", "NOX"), unique_hours=True))
 
 
 def q_available_year_days(spark, folder):
@@ -408,15 +436,18 @@ def q_format_roundtrip(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
-def _layers(spark, folder):
-    events = _events(spark, folder)
-    raw = {
+def _event_tables(events):
+    return {
         "rqa_dati_aria_cor": ev.raw_measurements(events),
         "rqa_configurazioni": ev.raw_configurations(events),
         "rqa_parametri": ev.raw_parameters(events),
     }
+
+
+def _layers(spark, folder):
+    events = _events(spark, folder)
     store = FolderStore(spark, fresh_folder(spark, "layers"))
-    return build_layers(raw, store, ev.EVENTS_START, ev.EVENTS_END)
+    return build_layers(_event_tables(events), store, *ev.event_period(events), PREP_TABLES)
 
 
 def q_layers_daily(spark, folder):
@@ -427,6 +458,19 @@ def q_layers_annual(spark, folder):
     return _layers(spark, folder)["fct_annual"]
 
 
+def q_layers_lookup(spark, folder):
+    """All fifteen staged tables; the dimensions hold those of the events and of the orders."""
+    events = _events(spark, folder)
+    raw = {name: raw_table(spark, folder, name) for name in RAW_TABLES}
+    own = _event_tables(events)
+    raw["rqa_dati_aria_cor"] = own["rqa_dati_aria_cor"]
+    for name in ("rqa_configurazioni", "rqa_parametri"):
+        columns = [F.col(c).cast("string") for c in own[name].columns]
+        raw[name] = own[name].select(*columns).unionByName(raw[name].select(*columns))
+    store = FolderStore(spark, fresh_folder(spark, "layers"))
+    return build_layers(raw, store, *ev.event_period(events))["data_lookup"]
+
+
 QUERIES: dict[str, Query] = {
     name.removeprefix("q_"): function
     for name, function in list(globals().items())

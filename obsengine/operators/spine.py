@@ -12,6 +12,9 @@ from obsengine.schema import SERIES
 SPINE_START = datetime(2020, 11, 16)
 SPINE_END = datetime(2021, 3, 4)
 
+# Hours of one series that one row of the grid stands for before its hours are made.
+CHUNK_HOURS = 168
+
 
 def ntz(moment: datetime) -> Column:
     return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
@@ -36,16 +39,41 @@ def date_spine(
     )
 
 
+def period(moments: DataFrame, column: str) -> tuple[datetime, datetime] | None:
+    """Whole days from the first to the last moment, as start and end (excluded).  Runs a job."""
+    day = F.col(column).cast("date")
+    ends = moments.agg(
+        F.min(day).cast("timestamp_ntz").alias("start"),
+        F.date_add(F.max(day), 1).cast("timestamp_ntz").alias("end"),
+    ).first()
+    return None if ends.start is None else (ends.start, ends.end)
+
+
+def _chunk_hours(start: datetime, end: datetime) -> Column:
+    """Hour starts of the chunk that begins ``_chunk`` hours after ``start``."""
+    begin = ntz(start) + F.make_dt_interval(hours=F.col("_chunk"))
+    last = F.least(begin + F.make_dt_interval(hours=F.lit(CHUNK_HOURS)), ntz(end)) - one_hour()
+    return F.sequence(begin, last, one_hour())
+
+
 def gap_fill(prep: DataFrame, start: datetime, end: datetime) -> DataFrame:
     """Every hour of the spine for every series, with the measurement where there is one.
 
     A measurement matches on the series and on both ends of its hour, so one that
-    does not last exactly a spine hour is left out.
+    does not last exactly a spine hour is left out.  The series are few and small, so they
+    would be merged into one task; the grid is dealt by series and ``CHUNK_HOURS`` to a fixed
+    number of tasks before its hours are made.
     """
+    spark = prep.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    hours = max(0, (end - start) // timedelta(hours=1))
+    chunks = F.array(*(F.lit(at) for at in range(0, hours, CHUNK_HOURS))).cast("array<int>")
     grid = (
         prep.select(*SERIES)
         .distinct()
-        .withColumn("data_da", F.explode(spine_hours(ntz(start), ntz(end))))
+        .select(*SERIES, F.explode(chunks).alias("_chunk"))
+        .repartition(parts, *SERIES, "_chunk")
+        .select(*SERIES, F.explode(_chunk_hours(start, end)).alias("data_da"))
         .withColumn("data_a", F.col("data_da") + one_hour())
     )
     # Rows that cannot match stay out of the shuffle, however many there are.

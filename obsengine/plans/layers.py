@@ -1,5 +1,6 @@
 """All layers in dependency order: staged, prepared, indicators, published."""
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -18,7 +19,7 @@ from obsengine.sources.stores import CatalogStore, FolderStore, view
 # Layer names.
 BRONZE, SILVER, GOLD, UTILITIES = "bronze", "silver", "gold", "utilities"
 
-_PREP_TABLES = ("rqa_dati_aria_cor", "rqa_configurazioni", "rqa_parametri")
+PREP_TABLES = ("rqa_dati_aria_cor", "rqa_configurazioni", "rqa_parametri")
 _LOOKUP_TABLES = set(STAGING_COLUMNS) - {"rqa_dati_aria_cor", "v_rqa_rete_regionale_ipr"}
 
 
@@ -27,31 +28,37 @@ def build_layers(
     store: FolderStore | CatalogStore,
     start: datetime = SPINE_START,
     end: datetime = SPINE_END,
+    tables: Sequence[str] = tuple(STAGING_COLUMNS),
 ) -> dict[str, DataFrame]:
     """Build and store every table from the raw ones; runs jobs.
 
+    ``tables`` names the raw tables to stage; one that ``raw`` lacks is an error.
+
     The prepared measurements have many readers, so they are written once, by
     pollutant: each reader then scans its own folders only.  Their key is checked
     on the written table, which also tells whether the copy merge can be saved.
-    The lookup table is built when all its raw tables are given.
+    The lookup table is built when ``tables`` has all its raw tables.
     """
+    missing = sorted({*tables, *PREP_TABLES} - set(raw))
+    if missing:
+        raise ValueError(f"raw tables are missing: {', '.join(missing)}")
     out = {
         name: store.table(BRONZE, name, stage(name, raw[name]))
         for name in STAGING_COLUMNS
-        if name in raw
+        if name in tables or name in PREP_TABLES
     }
-    spark = out[_PREP_TABLES[0]].sparkSession
+    spark = out[PREP_TABLES[0]].sparkSession
     out["hourly_spine"] = store.table(
         UTILITIES, "hourly_spine", date_spine(spark, "hour", start, end)
     )
     prep = store.table(
-        SILVER, "data_prep", data_prep(*[out[t] for t in _PREP_TABLES]), ["sigla_param"]
+        SILVER, "data_prep", data_prep(*[out[t] for t in PREP_TABLES]), ["sigla_param"]
     )
     unique = has_unique_hours(prep)
     if not unique:
         assert_unique(prep)
     out["data_prep"] = prep
-    if set(raw) >= _LOOKUP_TABLES:
+    if set(out) >= _LOOKUP_TABLES:
         out["data_lookup"] = store.table(SILVER, "data_lookup", dim_lookup(out))
     means = store.table(SILVER, "daily_mean", daily_mean_levels(prep))
     moving = store.table(

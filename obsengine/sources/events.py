@@ -12,10 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsengine.functions.scalar import one_hour
-
-# The month covered by the events.
-EVENTS_START = datetime(2024, 1, 1)
-EVENTS_END = datetime(2024, 1, 31)
+from obsengine.operators.spine import period
 
 USERS_PER_STATION = 75
 
@@ -54,17 +51,31 @@ def _hour() -> Column:
     return F.col("ts").cast("date").cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour("ts"))
 
 
+def event_period(events: DataFrame) -> tuple[datetime, datetime]:
+    """The days the events cover, as start and end (excluded).  Runs a job.
+
+    Without events it is an empty period.
+    """
+    return period(events, "ts") or (datetime(1970, 1, 1), datetime(1970, 1, 1))
+
+
 def hourly_cells(events: DataFrame) -> DataFrame:
-    """One row per station, event type and hour; counted before the shuffle."""
+    """One row per station, channel and hour; counted before the shuffle.
+
+    Types that name no channel are mapped to the last one before grouping.
+    """
     return events.groupBy(
-        _station_number().alias("station"), "event_type", _hour().alias("data_da")
+        _station_number().alias("station"), _channel(0).alias("event_type"), _hour().alias("data_da")
     ).agg(F.max("value").alias("top_value"), F.max("event_id").alias("last_id"))
 
 
 def of_pollutants(events: DataFrame, *pollutants: str) -> DataFrame:
     """Events of some pollutants only, as a filter the Parquet scan understands."""
-    wanted = [channel[0] for channel in CHANNELS if channel[2] in pollutants]
-    return events.filter(F.col("event_type").isin(*wanted))
+    kind = F.col("event_type")
+    chosen = kind.isin(*[channel[0] for channel in CHANNELS if channel[2] in pollutants])
+    if CHANNELS[-1][2] in pollutants:  # which takes all types that name no channel
+        chosen = chosen | kind.isNull() | ~kind.isin(*[channel[0] for channel in CHANNELS])
+    return events.filter(chosen)
 
 
 def event_measurements(events: DataFrame) -> DataFrame:
@@ -121,7 +132,7 @@ def raw_configurations(events: DataFrame) -> DataFrame:
     """One configuration per station and event type."""
     conf = _channel(1).cast("string")
     return (
-        events.select(_station_number().alias("station"), "event_type")
+        events.select(_station_number().alias("station"), _channel(0).alias("event_type"))
         .distinct()
         .select(
             conf.alias("COD_CONF"),
@@ -140,7 +151,7 @@ def raw_parameters(events: DataFrame) -> DataFrame:
     """One parameter per event type."""
     conf = _channel(1).cast("string")
     return (
-        events.select("event_type")
+        events.select(_channel(0).alias("event_type"))
         .distinct()
         .select(
             F.concat(F.lit("P"), conf).alias("COD_PARAM"),

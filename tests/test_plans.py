@@ -1,6 +1,7 @@
 """What the physical plans must and must not hold."""
 
 import re
+from datetime import datetime
 
 import pytest
 
@@ -12,6 +13,9 @@ from obsengine.sources import events as ev
 from obsengine.sources.snapshots import snapshot
 from tests.conftest import SMALL
 
+# The days of the events of the test tables.
+JANUARY = datetime(2024, 1, 1), datetime(2024, 1, 31)
+
 
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
@@ -59,7 +63,7 @@ def test_unknown_hours_are_added_up_before_any_shuffle(spark):
     rows = ev.event_measurements(ev.of_pollutants(ev.table(spark, SMALL, "events"), "O3"))
     for df in (
         daily_figures(rows, "O3", [180], 240),
-        moving_mean(rows, ev.EVENTS_START, ev.EVENTS_END),
+        moving_mean(rows, *JANUARY),
     ):
         # Read from the scan upwards, a partial sum comes before the first exchange.
         lines = [line for line in reversed(plan(df).split("\n")) if line.strip()]
@@ -115,3 +119,17 @@ def test_declared_keys_join_once(spark):
     before, after = (snapshot(spark, SMALL, f"orders_{n}") for n in ("before", "after"))
     text = plan(diff_rows(before, after, ["o_orderkey"], keys_unique=True))
     assert text.count("FullOuter") == 1 and text.count("FileScan") == 2
+
+
+def test_gap_fill_is_dealt_to_many_tasks(spark):
+    from obsengine.operators.spine import gap_fill
+
+    series = spark.range(100_000).selectExpr(
+        "cast(id as string) as cod_ubic", "1 as cod_conf", "'O3' as sigla_param",
+        "timestamp_ntz'2024-01-01 00:00:00' as data_da", "timestamp_ntz'2024-01-01 01:00:00' as data_a",
+        "1.0 as val_param", "0 as cod_valid", "'V' as cod_validaz", "'V' as cod_validaz_reg",
+    )
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    text = plan(gap_fill(series, *JANUARY))
+    assert re.search(rf"REPARTITION_BY_NUM.*|hashpartitioning\(.*, {parts}\), REPARTITION_BY_NUM", text)

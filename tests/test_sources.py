@@ -1,7 +1,10 @@
+from datetime import datetime
+
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
 
+from obsengine.operators.spine import gap_fill
 from obsengine.plans.layers import build_layers
 from obsengine.session import fresh_folder, shared_folder
 from obsengine.sources import events as ev
@@ -18,6 +21,9 @@ from obsengine.sources.tables import (
 from obsengine.sources.trade import RAW_TABLES, raw_table
 from tests.conftest import SMALL, rows
 
+# The days of the events of the test tables.
+JANUARY = datetime(2024, 1, 1), datetime(2024, 1, 31)
+
 
 def test_jdbc_options():
     source = JdbcSource(
@@ -118,7 +124,7 @@ def test_layers_in_the_catalog(spark):
         "rqa_configurazioni": ev.raw_configurations(events),
         "rqa_parametri": ev.raw_parameters(events),
     }
-    built = build_layers(raw, CatalogStore(spark), ev.EVENTS_START, ev.EVENTS_END)
+    built = build_layers(raw, CatalogStore(spark), *JANUARY)
     assert spark.table("gold.fct_daily").count() == built["fct_daily"].count() > 0
     assert spark.table("gold.fct_annual").count() == built["fct_annual"].count() > 0
     assert spark.table("utilities.hourly_spine").count() == 720
@@ -126,3 +132,34 @@ def test_layers_in_the_catalog(spark):
     assert spark.table("o3_daily").columns == built["fct_daily"].columns
     views = {t.name for t in spark.catalog.listTables() if t.isTemporary}
     assert views >= {"o3_daily", "no2_daily", "o3_annual", "no2_annual"}
+
+
+def test_layers_want_their_tables(spark):
+    events = ev.table(spark, SMALL, "events")
+    raw = {"rqa_dati_aria_cor": ev.raw_measurements(events)}
+    with pytest.raises(ValueError, match="comuni.*rqa_configurazioni"):
+        build_layers(raw, CatalogStore(spark), *JANUARY)
+
+
+def test_other_event_types_fall_into_the_last_channel(spark):
+    hour = datetime(2024, 3, 5, 7, 10)
+    events = spark.createDataFrame(
+        [(1, hour, 1, "error", 2.0), (2, hour, 1, "other", 5.0), (3, hour, 1, None, 1.0)],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    )
+    found = ev.observations(events).collect()
+    assert [(r.sigla_param, r.val_param) for r in found] == [("PM10", 20.0)]
+    assert ev.raw_configurations(events).count() == ev.raw_parameters(events).count() == 1
+    assert ev.of_pollutants(events, "PM10").count() == 3 and ev.of_pollutants(events, "O3").count() == 0
+    assert ev.event_period(events) == (datetime(2024, 3, 5), datetime(2024, 3, 6))
+    assert ev.event_period(events.limit(0))[0] == ev.event_period(events.limit(0))[1]
+
+
+def test_events_of_another_month_fill_their_own_spine(spark):
+    events = spark.createDataFrame(
+        [(i, datetime(2023, 7, 1 + i // 24, i % 24, 5), 1, "view", float(i)) for i in range(30)],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    )
+    filled = gap_fill(ev.observations(events), *ev.event_period(events))
+    assert filled.count() == 48 and filled.where("val_param is not null").count() == 30
+    assert gap_fill(ev.observations(events.limit(0)), *ev.event_period(events.limit(0))).count() == 0
