@@ -5,8 +5,7 @@ chain per level, full joins, a complete spine, one branch per indicator) and
 shares no shape with the Spark plans it checks.
 """
 
-from obsengine.operators.staging import STAGING_COLUMNS
-from obsengine.plans import no2, o3
+from checks import expected
 from obsengine.sources.snapshots import SNAPSHOTS
 from obsengine.sources.trade import RAW_TABLES, VALUE_LISTS
 
@@ -225,19 +224,21 @@ _LEVEL_NAME = "case lvl " + " ".join(
 ) + " end as livello_validazione, lvl as cod_liv_validazione"
 
 
-def daily_branch(ind, source: str) -> str:
+def daily_branch(ind: tuple, source: str) -> str:
+    nome, riferimento, condizione, note, valore, teorici, rilevati = ind
     return f"""select data_day as data, {SERIES}, {_LEVEL_NAME},
-      {_text(ind.nome)} as nome_indicatore, {_text(ind.riferimento)} as riferimento_normativo,
-      {_text(ind.condizione)} as condizione_sul_limite, cast({ind.valore} as double) as valore,
-      {_text(ind.note)} as note_di_lavoro, {_coverage(ind.rilevati, ind.teorici)} from {source}"""
+      {_text(nome)} as nome_indicatore, {_text(riferimento)} as riferimento_normativo,
+      {_text(condizione)} as condizione_sul_limite, cast({valore} as double) as valore,
+      {_text(note)} as note_di_lavoro, {_coverage(rilevati, teorici)} from {source}"""
 
 
-def annual_branch(ind, source: str) -> str:
+def annual_branch(ind: tuple, source: str) -> str:
+    nome, limite, condizione, livello_critico, valore, teorici, rilevati = ind
     return f"""select anno, {SERIES}, {_LEVEL_NAME},
-      {_text(ind.nome)} as nome_indicatore, {_text(ind.limite)} as valore_limite,
-      {_text(ind.condizione)} as condizione_sul_limite,
-      {_text(ind.livello_critico)} as livello_critico, cast({ind.valore} as double) as valore,
-      {_coverage(ind.rilevati, ind.teorici)} from {source}"""
+      {_text(nome)} as nome_indicatore, {_text(limite)} as valore_limite,
+      {_text(condizione)} as condizione_sul_limite,
+      {_text(livello_critico)} as livello_critico, cast({valore} as double) as valore,
+      {_coverage(rilevati, teorici)} from {source}"""
 
 
 def _unpivot(branch, indicators, source: str) -> str:
@@ -262,7 +263,7 @@ checked as (
         "ytd_8h_over_120": "case when max_mv_avg > 120 and validita_8h = 'Si' then 1 else 0 end",
         "ytd_valid_days": "case when validita_8h = 'Si' then 1 else 0 end",
     }),
-    select=_unpivot(daily_branch, o3.DAILY_INDICATORS, "running"),
+    select=_unpivot(daily_branch, expected.O3_DAILY, "running"),
 )
 
 _NO2_RUNNING = [
@@ -280,8 +281,8 @@ _NO2_MEAN = "mean_rows as (" + " union all ".join(
 
 NO2_DAILY = _query(
     *_NO2_RUNNING, DAILY_MEANS, _NO2_MEAN,
-    select=_unpivot(daily_branch, no2.DAILY_INDICATORS, "running")
-    + " union all " + daily_branch(no2.DAILY_MEAN, "mean_rows"),
+    select=_unpivot(daily_branch, expected.NO2_DAILY, "running")
+    + " union all " + _unpivot(daily_branch, expected.NO2_DAILY_MEAN, "mean_rows"),
 )
 
 O3_ANNUAL = _query(
@@ -295,7 +296,7 @@ joined as (
   select h.*, coalesce(m.days_over_120, 0) as days_over_120,
     coalesce(m.valid_days_8h, 0) as valid_days_8h
   from annual h left join moving_years m on h.lvl = m.lvl and h.anno = m.anno and {_ON_SERIES})""",
-    select=_unpivot(annual_branch, o3.ANNUAL_INDICATORS, "joined"),
+    select=_unpivot(annual_branch, expected.O3_ANNUAL, "joined"),
 )
 
 _NOX = f"""nox as (
@@ -306,35 +307,22 @@ _NOX = f"""nox as (
 _NOX_HOURS = levelled("sigla_param = 'NOX'").replace("hours as", "nox_hours as", 1)
 
 NOX_ANNUAL = _query(
-    OBS, _NOX_HOURS, _NOX, select=_unpivot(annual_branch, no2.NOX_INDICATORS, "nox")
+    OBS, _NOX_HOURS, _NOX, select=_unpivot(annual_branch, expected.NOX_ANNUAL, "nox")
 )
 
 NO2_ANNUAL = _query(
     OBS, levelled("sigla_param = 'NO2'"), flagged(400, [100, 140, 200]),
     annual([200, 140, 100], 2), _NOX_HOURS, _NOX,
-    select=_unpivot(annual_branch, no2.ANNUAL_INDICATORS, "annual")
-    + " union all " + _unpivot(annual_branch, no2.NOX_INDICATORS, "nox"),
+    select=_unpivot(annual_branch, expected.NO2_ANNUAL, "annual")
+    + " union all " + _unpivot(annual_branch, expected.NOX_ANNUAL, "nox"),
 )
 
 
 def _staged(name: str) -> str:
     source, columns = RAW_TABLES[name]
-    parts = []
-    for column, kind, *new_name in STAGING_COLUMNS[name]:
-        alias = new_name[0] if new_name else column.lower()
-        expr = columns[column]
-        if kind == "clamped code":
-            expr = f"cast(case when cast({expr} as int) > 1 then 1 else cast({expr} as int) end as int)"
-        elif kind.endswith(" or blank"):
-            to = kind.removesuffix(" or blank").replace("timestamp_ntz", "timestamp")
-            expr = f"cast(nullif({expr}, '') as {to})"
-        else:
-            expr = f"cast({expr} as {kind.replace('timestamp_ntz', 'timestamp')})"
-        parts.append(f"{expr} as {alias}")
-    if name == "rqa_dati_aria_cor":
-        parts.append(f"cast(year(cast({columns['DATA_DA']} as timestamp)) as int) as anno")
+    raw = ", ".join(f"{expr} as {column}" for column, expr in columns.items())
     distinct = "distinct " if name in VALUE_LISTS else ""
-    return f"select {distinct}{', '.join(parts)} from {source}"
+    return f"select {expected.STAGED[name]} from (select {distinct}{raw} from {source})"
 
 
 def _snapshot_ctes(**names: str) -> str:
@@ -646,7 +634,7 @@ ORACLES: dict[str, str] = {
         " ytd_over_200, ytd_count_val from running",
     ),
     "unpivot_indicators": _query(
-        *_NO2_RUNNING, select=_unpivot(daily_branch, no2.DAILY_INDICATORS, "running")
+        *_NO2_RUNNING, select=_unpivot(daily_branch, expected.NO2_DAILY, "running")
     ),
     "validity": _query(
         ROWS, levelled(),
@@ -693,7 +681,8 @@ ORACLES: dict[str, str] = {
     "data_prep": _query(
         OBS,
         select="""select cod_ubic, cod_conf, 'P' || cod_conf as cod_param, data_da, data_a, val_param,
-          cod_valid, cod_validaz, cod_validaz_reg, anno, cod_freq, sigla_param from obs""",
+          cod_valid, cod_validaz, cod_validaz_reg, anno, cod_freq, sigla_param from obs
+        where cod_ubic <> 'S0' and sigla_param <> 'CO'""",
     ),
     "dim_lookup": "with "
     + ", ".join(

@@ -284,10 +284,12 @@ def _stage_query(name: str) -> Query:
 
 def q_data_prep(spark, folder):
     events = _events(spark, folder)
+    # CO has no parameter and station S0 no configuration: their measurements match nothing.
+    configurations = ev.raw_configurations(events).where("COD_UBIC <> 'S0'")
     return data_prep(
         stage("rqa_dati_aria_cor", ev.raw_measurements(events)),
-        stage("rqa_configurazioni", ev.raw_configurations(events)),
-        stage("rqa_parametri", ev.raw_parameters(events)),
+        stage("rqa_configurazioni", configurations),
+        stage("rqa_parametri", ev.raw_parameters(events).where("SIGLA_PARAM <> 'CO'")),
     )
 
 

@@ -1,6 +1,7 @@
 """Joins of the staged tables."""
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # The column order of the lookup table.
 DIM_LOOKUP_COLUMNS = [
@@ -40,10 +41,17 @@ DIM_LOOKUP_COLUMNS = [
     "inquinante",
 ]
 
-# No join here carries a broadcast hint.  Spark broadcasts a side by itself when
-# its statistics (or, with AQE, its measured shuffle size) stay under
-# spark.sql.autoBroadcastJoinThreshold, and otherwise shuffles, where AQE splits
-# a hot key.  The size of a dimension is therefore always checked.
+# Rows of a dimension that may be broadcast; they have a few short columns.
+SMALL_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
+    """A broadcast hint where a count finds ``max_rows`` rows at most.  Runs a job.
+
+    Larger tables are left to Spark: their statistics (or, with AQE, their measured
+    shuffle size) decide, and otherwise they are shuffled, where AQE splits a hot key.
+    """
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
 def data_prep(measurements: DataFrame, configurations: DataFrame, parameters: DataFrame) -> DataFrame:
@@ -72,8 +80,14 @@ def dim_lookup(staged: dict[str, DataFrame]) -> DataFrame:
     """One wide descriptive row per configuration.
 
     The snowflake arms are joined first, so the configurations are shuffled once
-    per arm and not once per table.
+    per arm and not once per table.  Units, frequencies and station classes have a
+    handful of codes: shuffling the configurations on one of them would leave most
+    tasks empty, so these tables are broadcast after a check of their size.  Runs jobs.
     """
+    units, frequencies, classes = (
+        broadcast_if_small(staged[name])
+        for name in ("t_unita_misura", "rqa_t_frequenze", "rqa_t_stclass_eu")
+    )
     location = (
         staged["rqa_ubicazioni"]
         .join(staged["province"], "cod_prov")
@@ -89,9 +103,9 @@ def dim_lookup(staged: dict[str, DataFrame]) -> DataFrame:
     return (
         staged["rqa_configurazioni"]
         .join(owner, "cod_ente")
-        .join(staged["t_unita_misura"], "cod_mis")
-        .join(staged["rqa_t_frequenze"], "cod_freq")
-        .join(staged["rqa_t_stclass_eu"], "station_cl_eu", "left")
+        .join(units, "cod_mis")
+        .join(frequencies, "cod_freq")
+        .join(classes, "station_cl_eu", "left")
         .join(parameter, "cod_param")
         .join(location, "cod_ubic")
         .select(*DIM_LOOKUP_COLUMNS)

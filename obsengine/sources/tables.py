@@ -27,6 +27,13 @@ TABLES = (
 )
 
 
+# Fixed value: the table of measurements, which is too large for a single read.
+LARGE_TABLES = ("rqa_dati_aria_cor",)
+
+# Rows a database driver hands over at a time; some keep the whole result without it.
+FETCH_SIZE = 10_000
+
+
 @dataclass(frozen=True)
 class Split:
     """How to read one table in parallel: a column, its bounds and the number of reads."""
@@ -39,16 +46,27 @@ class Split:
 
 @dataclass(frozen=True)
 class JdbcSource:
-    """Whole tables of one database schema; names are quoted, so their case counts."""
+    """Whole tables of one database schema; names are quoted, so their case counts.
+
+    Tables named in ``large`` are only read with a ``Split``.
+    """
 
     url: str
     schema: str
     properties: dict[str, str] = field(default_factory=dict)
     splits: dict[str, Split] = field(default_factory=dict)
+    large: Sequence[str] = LARGE_TABLES
 
     def options(self, table: str) -> dict[str, str]:
-        options = {**self.properties, "url": self.url, "dbtable": f'"{self.schema}"."{table}"'}
         split = self.splits.get(table)
+        if split is None and table in self.large:
+            raise ValueError(f"{table} is large: give a Split, so that it is read in parallel")
+        options = {
+            "fetchsize": str(FETCH_SIZE),
+            **self.properties,
+            "url": self.url,
+            "dbtable": f'"{self.schema}"."{table}"',
+        }
         if split is not None:
             options |= {
                 "partitionColumn": split.column,

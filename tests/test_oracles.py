@@ -54,3 +54,14 @@ def test_entry(spark):
     assert set(QUERIES) == set(ORACLES)
     assert set(entry_module.queries()) >= set(QUERIES)
     assert entry_module.oracle_sql().items() >= ORACLES.items()
+
+
+def test_a_swap_in_the_product_turns_a_check_red(spark, monkeypatch):
+    from obsengine.operators import staging
+
+    name = "rqa_t_reti"
+    query, sql = QUERIES[f"stage_{name}"], ORACLES[f"stage_{name}"]
+    assert difference(spark, connect(SMALL), query, sql, SMALL) is None
+    swapped = [("DESCR_T_RETE", "string", "t_rete"), ("T_RETE", "string", "descr_t_rete")]
+    monkeypatch.setitem(staging.STAGING_COLUMNS, name, swapped)
+    assert difference(spark, connect(SMALL), query, sql, SMALL) is not None

@@ -133,3 +133,14 @@ def test_gap_fill_is_dealt_to_many_tasks(spark):
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = plan(gap_fill(series, *JANUARY))
     assert re.search(rf"REPARTITION_BY_NUM.*|hashpartitioning\(.*, {parts}\), REPARTITION_BY_NUM", text)
+
+
+def test_lookup_never_exchanges_on_codes_of_few_values(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large statistics
+    try:
+        text = plan(QUERIES["dim_lookup"](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    for code in ("cod_mis", "cod_freq", "station_cl_eu"):
+        assert not [x for x in exchanges(text) if re.match(rf"(coalesce\()?{code}", x[1])]

@@ -25,6 +25,15 @@ from tests.conftest import SMALL, rows
 JANUARY = datetime(2024, 1, 1), datetime(2024, 1, 31)
 
 
+def test_the_measurements_are_only_read_in_parallel():
+    split = Split("DATA_DA", "2020-01-01", "2021-01-01", 64)
+    name = "rqa_dati_aria_cor"
+    with pytest.raises(ValueError, match="Split"):
+        JdbcSource("jdbc:x", "s").options(name)
+    assert JdbcSource("jdbc:x", "s", splits={name: split}).options(name)["numPartitions"] == "64"
+    assert JdbcSource("jdbc:x", "s", {"fetchsize": "5"}, large=()).options(name)["fetchsize"] == "5"
+
+
 def test_jdbc_options():
     source = JdbcSource(
         "jdbc:postgresql://host/db",
@@ -33,11 +42,13 @@ def test_jdbc_options():
         {"big": Split("DATA_DA", "2020-01-01", "2021-01-01", 64)},
     )
     assert source.options("small") == {
+        "fetchsize": "10000",
         "user": "u",
         "url": "jdbc:postgresql://host/db",
         "dbtable": '"Case"."small"',
     }
     assert source.options("big") == {
+        "fetchsize": "10000",
         "user": "u",
         "url": "jdbc:postgresql://host/db",
         "dbtable": '"Case"."big"',
