@@ -111,9 +111,10 @@ def q_consecutive_3h(spark, folder):
 def _no2_figures(spark, folder):
     prep = _observations(spark, folder, "NO2")
     daily = daily_figures(prep, "NO2", [200], 400, unique_hours=True)
+    daily = daily.withColumnRenamed("count_over_200", "count_over_limit")
     return with_year_to_date(
         daily,
-        {"ytd_over_200": F.col("count_over_200"), "ytd_count_val": F.col("count_val_param")},
+        {"ytd_over_limit": F.col("count_over_limit"), "ytd_count_val": F.col("count_val_param")},
     )
 
 
@@ -133,7 +134,12 @@ def q_exact_percentiles(spark, folder):
 
 def q_ytd_sums(spark, folder):
     return _no2_figures(spark, folder).select(
-        *SERIES, "data_day", LEVEL, "available_days_ytd", "ytd_over_200", "ytd_count_val"
+        *SERIES,
+        "data_day",
+        LEVEL,
+        "available_days_ytd",
+        F.col("ytd_over_limit").alias("ytd_over_200"),
+        "ytd_count_val",
     )
 
 

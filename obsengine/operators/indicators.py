@@ -10,6 +10,9 @@ from obsengine.functions.scalar import pct_validity, validity_flag
 from obsengine.operators.levels import level_name
 from obsengine.schema import LEVEL, SERIES
 
+# Fixed value: percent of the expected values from which an indicator is valid.
+MIN_SHARE = 75.0
+
 
 @dataclass(frozen=True)
 class DailyIndicator:
@@ -23,17 +26,20 @@ class DailyIndicator:
     teorici: str
     rilevati: str
 
-    def row(self) -> Column:
-        return self.row_of(F.expr(self.valore), F.expr(self.teorici), F.expr(self.rilevati))
+    def row(self, min_share: float = MIN_SHARE) -> Column:
+        cells = F.expr(self.valore), F.expr(self.teorici), F.expr(self.rilevati)
+        return self.row_of(*cells, min_share)
 
-    def row_of(self, value: Column, expected: Column, observed: Column) -> Column:
+    def row_of(
+        self, value: Column, expected: Column, observed: Column, min_share: float = MIN_SHARE
+    ) -> Column:
         return F.struct(
             F.lit(self.nome).alias("nome_indicatore"),
             F.lit(self.riferimento).alias("riferimento_normativo"),
             F.lit(self.condizione).alias("condizione_sul_limite"),
             value.cast("double").alias("valore"),
             F.lit(self.note).alias("note_di_lavoro"),
-            *_coverage(observed, expected),
+            *_coverage(observed, expected, min_share),
         )
 
 
@@ -49,7 +55,7 @@ class AnnualIndicator:
     teorici: str
     rilevati: str
 
-    def row(self) -> Column:
+    def row(self, min_share: float = MIN_SHARE) -> Column:
         observed, expected = F.expr(self.rilevati), F.expr(self.teorici)
         return F.struct(
             F.lit(self.nome).alias("nome_indicatore"),
@@ -57,16 +63,16 @@ class AnnualIndicator:
             F.lit(self.condizione).alias("condizione_sul_limite"),
             F.lit(self.livello_critico).alias("livello_critico"),
             F.expr(self.valore).cast("double").alias("valore"),
-            *_coverage(observed, expected),
+            *_coverage(observed, expected, min_share),
         )
 
 
-def _coverage(observed: Column, expected: Column) -> list[Column]:
+def _coverage(observed: Column, expected: Column, min_share: float) -> list[Column]:
     return [
         expected.cast("int").alias("dati_teorici"),
         observed.cast("bigint").alias("valori_rilevati"),
         pct_validity(observed, expected).alias("percentuale_validita"),
-        validity_flag(observed, expected).alias("validita_indicatore"),
+        validity_flag(observed, expected, min_share).alias("validita_indicatore"),
     ]
 
 
@@ -75,12 +81,14 @@ def unpivot_indicators(
     period: Column,
     indicators: Sequence[DailyIndicator] | Sequence[AnnualIndicator],
     more_rows: Column | None = None,
+    min_share: float = MIN_SHARE,
 ) -> DataFrame:
     """One row per indicator from each row of figures, in a single pass.
 
-    ``more_rows`` may add an array of already built indicator rows.
+    ``more_rows`` may add an array of already built indicator rows; ``min_share`` is the
+    percentage of expected values that makes an indicator valid.
     """
-    rows = F.array(*[indicator.row() for indicator in indicators])
+    rows = F.array(*[indicator.row(min_share) for indicator in indicators])
     if more_rows is not None:
         rows = F.concat(rows, more_rows)
     # The rows are never empty; the outer form saves a filter that would build them twice.

@@ -370,3 +370,41 @@ def test_unique_checks(spark):
     other = prep.unionByName(prep_frame(spark, [measurement(0, 1, minutes=30)]))
     assert_unique(other)
     assert not has_unique_hours(other)
+
+
+def test_plans_take_other_limits_gates_and_levels(spark):
+    from dataclasses import replace
+    from datetime import datetime, timedelta
+
+    from obsengine.operators.levels import LEVELS
+    from obsengine.operators.rolling import moving_mean
+    from obsengine.plans.no2 import NO2Rules, no2_annual
+    from obsengine.plans.o3 import O3Rules, o3_daily
+    from obsengine.sources import events as ev
+
+    start = datetime(2024, 1, 1)
+    events = spark.createDataFrame(
+        [(i * 30 + 1, start + timedelta(hours=i), 1, kind, 10.0 + i)
+         for i in range(14) for kind in ("view", "click")],
+        "event_id long, ts timestamp_ntz, user_id long, event_type string, value double",
+    )
+    prep = ev.observations(events)  # values 40, 44, ... 92
+    moving = moving_mean(prep, start, start + timedelta(days=1), unique_hours=True)
+
+    def daily(rules):
+        found = o3_daily(prep, moving, unique_hours=True, rules=rules).collect()
+        return {
+            r.nome_indicatore.split(": ")[1]: (r.valore, r.validita_indicatore)
+            for r in found if r.cod_liv_validazione == "VS"
+        }
+
+    name = "numero di medie orarie superiori al livello di informazione"
+    assert daily(O3Rules())[name] == (0.0, "No")
+    # Event ids of one hour in ten mark it as not valid, whatever the limit.
+    above = [4 * (10 + i) for i in range(14) if (i * 30 + 1) % 10]
+    assert daily(O3Rules(information=60, min_share=50))[name] == (sum(v > 60 for v in above), "Si")
+    one = O3Rules(levels=LEVELS[:1])
+    assert {r.cod_liv_validazione for r in o3_daily(prep, moving, True, one).collect()} == {"VS"}
+    same = replace(NO2Rules(), limit=60, upper=60, lower=50.5)
+    counts = [r.valore for r in no2_annual(prep, True, same).collect() if r.cod_liv_validazione == "VS"]
+    assert counts[:3] == [sum(v > 60 for v in above)] * 2 + [sum(v > 50 for v in above)]
