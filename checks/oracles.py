@@ -461,17 +461,17 @@ def _merge3() -> str:
 _ACCOUNT = ["c_acctbal", "c_mktsegment", "c_nationkey"]
 
 
-def _keyless() -> str:
-    """Each column set in turn, written out; rows are numbered for the linking."""
+def _keyless(before: str, after: str, cells: list[str], columns: list[str]) -> str:
+    """Each set of ``columns`` in turn, written out; rows are numbered for the linking."""
     ctes = [
-        _snapshot_ctes(a0="accounts_before", b0="accounts_after"),
+        _snapshot_ctes(a0=before, b0=after),
         "a as (select *, row_number() over () as id from a0)",
         "b as (select *, row_number() over () as id from b0)",
         "size as (select greatest((select count(*) from a), (select count(*) from b)) + 1 + 20 as h)",
     ]
-    sets = range(1, 2 ** len(_ACCOUNT))
+    sets = range(1, 2 ** len(columns))
     for mask in sets:
-        chosen = [c for at, c in enumerate(_ACCOUNT) if mask >> at & 1]
+        chosen = [c for at, c in enumerate(columns) if mask >> at & 1]
         text = " || ' // ' || ".join(f"coalesce({c}::varchar, '')" for c in chosen)
         for side in "ab":
             ctes.append(
@@ -491,13 +491,13 @@ def _keyless() -> str:
     ctes.append(
         "links as (" + " union all ".join(f"select * from link{m}" for m in sets) + ")"
     )
-    both = ", ".join(f"a.{c} as old_{c}, b.{c} as new_{c}" for c in _ACCOUNT)
+    both = ", ".join(f"a.{c} as old_{c}, b.{c} as new_{c}" for c in cells)
     listed = ", ".join(
-        f"case when a.{c} is distinct from b.{c} then '{c}' end" for c in _ACCOUNT
+        f"case when a.{c} is distinct from b.{c} then '{c}' end" for c in cells
     )
-    differs = " or ".join(f"a.{c} is distinct from b.{c}" for c in _ACCOUNT)
-    old = ", ".join(f"{c} as old_{c}, null as new_{c}" for c in _ACCOUNT)
-    new = ", ".join(f"null as old_{c}, {c} as new_{c}" for c in _ACCOUNT)
+    differs = " or ".join(f"a.{c} is distinct from b.{c}" for c in cells)
+    old = ", ".join(f"{c} as old_{c}, null as new_{c}" for c in cells)
+    new = ", ".join(f"null as old_{c}, {c} as new_{c}" for c in cells)
     return "with " + ",\n".join(ctes) + f"""
     select '->' as action, {both}, concat_ws(',', {listed}) as changed
     from links join a on a.id = ida join b on b.id = idb where {differs}
@@ -740,7 +740,12 @@ ORACLES: dict[str, str] = {
     "apply_patch": SNAPSHOTS["orders_after"],
     "patch_text_key": PATCH_TEXT_KEY,
     "patch_three_way": _patch_three_way(),
-    "diff_keyless": _keyless(),
+    "diff_keyless": _keyless("accounts_before", "accounts_after", _ACCOUNT, _ACCOUNT),
+    # The status has the fewest values of the six columns, so the other five are combined.
+    "diff_keyless_wide": _keyless(
+        "orders_all", "orders_corrected", ["o_orderkey", *_ORDER_DATA],
+        ["o_orderkey", "o_totalprice", "o_orderdate", "o_custkey", "o_orderpriority"],
+    ),
     "diff_context": DIFF_CONTEXT,
     "drop_blank_rows": f"""select flag, status from ({SNAPSHOTS["lines_with_blanks"]})
         where flag is not null""",

@@ -400,6 +400,11 @@ def q_diff_keyless(spark, folder):
     return with_listed(diff_keyless(*_pair(spark, folder, "accounts_before", "accounts_after")))
 
 
+def q_diff_keyless_wide(spark, folder):
+    """More columns than are combined; the two tables differ in prices and missing rows."""
+    return with_listed(diff_keyless(*_pair(spark, folder, "orders_all", "orders_corrected")))
+
+
 def q_diff_context(spark, folder):
     rows = diff_rows(
         *_pair(spark, folder, "orders_all", "orders_corrected"), ORDER_KEY, keep_equal=True

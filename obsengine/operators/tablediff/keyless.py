@@ -1,112 +1,158 @@
 """Aligning two tables without a key."""
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from obsengine.operators.tablediff.align import align_rows
 from obsengine.operators.tablediff.compare import mark_actions
 from obsengine.operators.tablediff.equality import Equality
-from obsengine.session import ensure_checkpoints
+from obsengine.session import ensure_checkpoints, fresh_folder
 
-# Most key columns tried, and when a column set is too coarse a key.
-MAX_COLUMNS = 5
-COARSE_SHARE = 0.1
-COARSE_SLACK = 20
 
-_TEXT = "_text"
+@dataclass(frozen=True)
+class KeylessRules:
+    """Which column sets serve as keys; the values are the usual ones.
+
+    The ``max_columns`` columns with most distinct values are combined.  A set is too coarse
+    when its most frequent text makes up ``coarse_share`` of the rows plus ``coarse_slack``;
+    when all are, the set of all columns is used.
+    """
+
+    max_columns: int = 5
+    coarse_share: float = 0.1
+    coarse_slack: int = 20
 
 
-def pick_columns(left: DataFrame, right: DataFrame, most: int = MAX_COLUMNS) -> list[str]:
-    """The common columns with most distinct values, counted approximately.  Runs a job."""
+def pick_columns(left: DataFrame, right: DataFrame, most: int = 5) -> list[str]:
+    """The common columns with most distinct values over both tables.  May run a job.
+
+    All columns are counted in one pass: their values are counted before the shuffle.
+    """
     common = [c for c in left.columns if c in right.columns]
     if len(common) <= most:
         return common
-    counts = [F.approx_count_distinct(c).alias(c) for c in common]
-    a, b = left.agg(*counts).first(), right.agg(*counts).first()
-    return sorted(common, key=lambda c: (-(a[c] + b[c]), common.index(c)))[:most]
 
+    def cells(df: DataFrame, side: int) -> DataFrame:
+        each = [
+            F.struct(F.lit(i).alias("at"), F.col(f"`{c}`").cast("string").alias("cell"))
+            for i, c in enumerate(common)
+        ]
+        return df.select(F.lit(side).alias("side"), F.inline(F.array(*each)))
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """Rows with a lasting number; checkpointed, as the number depends on the read."""
-    return df.withColumn("_id", F.monotonically_increasing_id()).checkpoint()
+    values = cells(left, 0).union(cells(right, 1)).where("cell is not null").distinct()
+    counts = {r["at"]: r["count"] for r in values.groupBy("at").count().collect()}
+    return sorted(common, key=lambda c: (-counts.get(common.index(c), 0), common.index(c)))[:most]
 
 
-def _once(df: DataFrame, name: str) -> DataFrame:
-    """Texts that occur on one row, with the number of that row."""
-    return (
-        df.groupBy(_TEXT)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min("_id").alias(name))
-        .filter("_n = 1")
-        .drop("_n")
-    )
+def _numbered(df: DataFrame, folder: str) -> DataFrame:
+    """Rows with a lasting number; written, as the number depends on the read."""
+    df.withColumn("_id", F.monotonically_increasing_id()).write.parquet(folder)
+    schema = StructType([*df.schema.fields, StructField("_id", LongType())])
+    return df.sparkSession.read.schema(schema).parquet(folder)
 
 
-def _top_frequency(left: DataFrame, right: DataFrame) -> int:
-    tops = [
-        df.groupBy(_TEXT).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-        for df in (left, right)
+def _texts(df: DataFrame, sets: Sequence[Sequence[str]], equality: Equality, left: int) -> DataFrame:
+    """A digest of the row's text for every column set."""
+    each = [
+        F.struct(F.lit(mask).alias("mask"), F.md5(equality.key_text(chosen)).alias("text"))
+        for mask, chosen in enumerate(sets, 1)
     ]
-    return max(tops)
+    return df.select("_id", F.lit(left).alias("left"), F.inline(F.array(*each)))
+
+
+def _usable(counts: DataFrame, sets: int, rules: KeylessRules) -> list[int]:
+    """Numbers of the column sets that are fine enough; one row a set is read.  Runs a job."""
+    found = {
+        r.mask: r
+        for r in counts.groupBy("mask")
+        .agg(
+            F.max(F.greatest("n_left", "n_right")).alias("top"),
+            F.greatest(F.sum("n_left"), F.sum("n_right")).alias("rows"),
+        )
+        .collect()
+    }
+    fine = [
+        mask
+        for mask, r in sorted(found.items())
+        if r.top / (r.rows + 1 + rules.coarse_slack) < rules.coarse_share
+    ]
+    return fine or [sets]
 
 
 def link_rows(
-    left: DataFrame, right: DataFrame, columns: Sequence[str], equality: Equality = Equality()
+    left: DataFrame,
+    right: DataFrame,
+    columns: Sequence[str],
+    equality: Equality = Equality(),
+    rules: KeylessRules = KeylessRules(),
 ) -> DataFrame:
     """Pairs (left_id, right_id) of numbered rows, found by column sets in turn.
 
     Each set links the rows whose text is unique in both whole tables and that no
-    earlier set linked.  A set whose most frequent text holds a tenth of the rows
-    is skipped.  Up to ``2 ** len(columns) - 1`` passes; after the first only the
-    rows still open are shuffled, and the whole tables are merely searched for the
-    texts found there.  Runs jobs.
+    earlier set linked.  The texts of all sets are counted in one pass over both
+    tables; what remains are pairs of unique texts.  A pair is a link when no
+    earlier pair of either row is left, which settles most pairs at once and the
+    others in a few further steps over ever fewer pairs.  Runs jobs.
     """
-    height = max(left.count(), right.count()) + 1
-    open_left, open_right = left, right
-    links: list[DataFrame] = []
-    fine: list[set] = []
-    used_sets = 0
-    last = 2 ** len(columns) - 1
-    for mask in range(1, last + 1):
-        chosen = [c for at, c in enumerate(columns) if mask >> at & 1]
-        text = equality.key_text(chosen).alias(_TEXT)
-        whole = [df.select("_id", text) for df in (left, right)]
-        # More columns only split texts further, so a set over a fine one is fine.
-        if not any(known <= set(chosen) for known in fine):
-            if _top_frequency(*whole) / (height + COARSE_SLACK) < COARSE_SHARE:
-                fine.append(set(chosen))
-            elif used_sets or mask < last:
-                continue
-        used_sets += 1
-        found = _once(open_left.select("_id", text), "left_id").join(
-            _once(open_right.select("_id", text), "right_id"), _TEXT
-        )
-        if links:
-            # Unique among the open rows; a linked row may hold the same text.
-            for rows in whole:
-                searched = rows.join(found.select(_TEXT), _TEXT, "left_semi")
-                found = found.join(_once(searched, "_one").select(_TEXT), _TEXT, "left_semi")
-        found = found.select("left_id", "right_id").checkpoint()
+    spark = left.sparkSession
+    folder = fresh_folder(spark, "keyless")
+    masks = range(1, 2 ** len(columns))
+    sets = [[c for at, c in enumerate(columns) if mask >> at & 1] for mask in masks]
+    texts = _texts(left, sets, equality, 1).union(_texts(right, sets, equality, 0))
+    is_left = F.col("left") == 1
+    counts = texts.groupBy("mask", "text").agg(
+        F.count_if(is_left).alias("n_left"),
+        F.count_if(~is_left).alias("n_right"),
+        F.min(F.when(is_left, F.col("_id"))).alias("left_id"),
+        F.min(F.when(~is_left, F.col("_id"))).alias("right_id"),
+    )
+    counts.drop("text").write.parquet(f"{folder}/counts")
+    counts = spark.read.schema(
+        "mask int, n_left bigint, n_right bigint, left_id bigint, right_id bigint"
+    ).parquet(f"{folder}/counts")
+    usable = _usable(counts, len(sets), rules)
+    pairs = counts.where("n_left = 1 and n_right = 1").where(F.col("mask").isin(usable))
+    pairs = pairs.select("mask", "left_id", "right_id")
+    links = []
+    kind = "mask int, left_id bigint, right_id bigint, linked boolean"
+    for step in range(len(usable)):
+        first = pairs
+        for side in ("left_id", "right_id"):
+            best = pairs.groupBy(side).agg(F.min("mask").alias(f"best_{side}"))
+            first = first.join(best, side)
+        linked = (F.col("mask") == F.col("best_left_id")) & (F.col("mask") == F.col("best_right_id"))
+        judged = first.select("mask", "left_id", "right_id", linked.alias("linked"))
+        judged.write.parquet(f"{folder}/{step}")
+        judged = spark.read.schema(kind).parquet(f"{folder}/{step}")
+        found = judged.where("linked").select("left_id", "right_id")
         links.append(found)
-        open_left = open_left.join(found, F.col("_id") == F.col("left_id"), "left_anti")
-        open_right = open_right.join(found, F.col("_id") == F.col("right_id"), "left_anti")
-        open_left, open_right = open_left.checkpoint(), open_right.checkpoint()
-        if open_left.isEmpty() or open_right.isEmpty():
+        pairs = judged.where("not linked").drop("linked")
+        for side in ("left_id", "right_id"):
+            pairs = pairs.join(found.select(side), side, "left_anti")
+        pairs = pairs.select("mask", "left_id", "right_id")
+        if step + 1 < len(usable) and pairs.isEmpty():
             break
-    none = left.sparkSession.createDataFrame([], "left_id bigint, right_id bigint")
-    return reduce(DataFrame.unionByName, links, none)
+    return reduce(DataFrame.unionByName, links)
 
 
 def diff_keyless(
-    left: DataFrame, right: DataFrame, equality: Equality = Equality(), keep_equal: bool = False
+    left: DataFrame,
+    right: DataFrame,
+    equality: Equality = Equality(),
+    keep_equal: bool = False,
+    rules: KeylessRules = KeylessRules(),
 ) -> DataFrame:
     """Row difference of two tables without a key.  Runs jobs."""
     ensure_checkpoints(left.sparkSession)
-    columns = pick_columns(left, right)
-    a, b = _numbered(left), _numbered(right)
-    links = link_rows(a, b, columns, equality)
+    columns = pick_columns(left, right, rules.max_columns)
+    folder = fresh_folder(left.sparkSession, "keyless-rows")
+    a, b = _numbered(left, f"{folder}/left"), _numbered(right, f"{folder}/right")
+    links = link_rows(a, b, columns, equality, rules)
     # The number of the linked left row is the key; an unlinked right row has its own.
     named_a = a.withColumnRenamed("_id", "_link").withColumn("_from", F.lit("left"))
     named_b = (

@@ -350,3 +350,56 @@ def test_trailing_blank_rows_with_null_order(spark):
     assert drop_blank_rows(blank, "at").count() == 0
     first = frame(spark, [(None, "x"), (None, ""), (1, "")], "at int, t string")
     assert rows(drop_blank_rows(first, "at")) == sorted([(None, "x"), (None, "")], key=repr)
+
+
+def test_keyless_matches_sets_in_turn(spark):
+    """Against the rule written out: each set links what no earlier set linked."""
+    rng = random.Random(2)
+    names = ["a", "b", "c"]
+    left = [(rng.randrange(60), rng.randrange(9), rng.randrange(40)) for _ in range(120)]
+    right = [
+        tuple(v if rng.random() > 0.1 else rng.randrange(60) for v in row)
+        for row in left
+        if rng.random() > 0.1
+    ]
+    links = {}
+    for mask in range(1, 8):
+        chosen = [i for i in range(3) if mask >> i & 1]
+        texts = [[tuple(r[i] for i in chosen) for r in side] for side in (left, right)]
+        tops = [max(side.count(t) for t in side) for side in texts]
+        if max(tops) / (max(len(left), len(right)) + 21) >= 0.1:
+            continue
+        for i, text in enumerate(texts[0]):
+            if texts[0].count(text) == 1 == texts[1].count(text):
+                j = texts[1].index(text)
+                if i not in links and j not in links.values():
+                    links[i] = j
+    wanted = sorted(
+        [("---", left[i], None) for i in range(len(left)) if i not in links]
+        + [("+++", None, r) for j, r in enumerate(right) if j not in links.values()]
+        + [("->", left[i], right[j]) for i, j in links.items() if left[i] != right[j]],
+        key=repr,
+    )
+    schema = "a int, b int, c int"
+    diff = diff_keyless(frame(spark, left, schema), frame(spark, right, schema))
+
+    def side(r, name):
+        cells = tuple(r[f"{name}_{c}"] for c in names)
+        return None if all(v is None for v in cells) else cells
+
+    got = sorted([(r.action, side(r, "old"), side(r, "new")) for r in diff.collect()], key=repr)
+    assert got == wanted
+
+
+def test_keyless_runs_few_jobs(spark):
+    schema = "a int, b int, v int"
+    left = frame(spark, [(i % 20, i // 20, i) for i in range(400)], schema)
+    right = frame(spark, [(i % 20, i // 20, i if i != 7 else -1) for i in range(400)], schema)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("keyless", "keyless")
+    try:
+        diff_keyless(left, right)
+        assert len(tracker.getJobIdsForGroup("keyless")) <= 15
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
