@@ -19,14 +19,14 @@ from obsengine.operators.keys import join_same_groups
 from obsengine.operators.levels import (
     LEVELS,
     Level,
-    explode_levels,
     explode_mask,
     in_any_level,
     level_mask,
     sum_by_level,
 )
-from obsengine.operators.percentiles import exact_percentiles
+from obsengine.operators.percentiles import attach_to_groups, exact_percentiles
 from obsengine.schema import LEVEL, SERIES
+from obsengine.session import fresh_folder
 
 _YEAR_KEYS = [*SERIES, "anno", LEVEL]
 
@@ -128,6 +128,66 @@ def with_year_to_date(daily: DataFrame, sums: Mapping[str, Column]) -> DataFrame
     )
 
 
+def _merged_annual(
+    prep: DataFrame,
+    pollutant: str,
+    thresholds: Sequence[int],
+    shares: Mapping[str, float],
+    stddev_digits: int | None,
+    mean: tuple[float, int],
+    levels: Sequence[Level],
+) -> DataFrame:
+    """Annual figures of hours with any number of rows, from one count of equal values.
+
+    Rows are added up per series, year, mask and value before they are shuffled, and the
+    levels repeat only those sums, which are written and feed every figure.  Runs jobs.
+    """
+    spark = prep.sparkSession
+    rows = _rows_of(prep, pollutant).filter(in_any_level(levels))
+    once = (
+        rows.withColumn("_mask", level_mask(levels))
+        .groupBy(*SERIES, "anno", "_mask", F.col("val_param").alias("v"))
+        .agg(F.count(F.lit(1)).alias("n"), F.min("data_day").alias("a"), F.max("data_day").alias("b"))
+    )
+    values = (
+        explode_mask(once, "_mask", levels)
+        .groupBy(*_YEAR_KEYS, "v")
+        .agg(F.sum("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b"))
+    )
+    folder = fresh_folder(spark, "annual")
+    values.write.parquet(folder)
+    values = spark.read.schema(values.schema).parquet(folder)
+
+    v, n = F.col("v"), F.col("n")
+    factor, digits = mean
+    average = F.sum(v * n) / F.sum(F.when(v.isNotNull(), n))
+    scaled = average if factor == 1.0 else average * factor
+    annual = values.groupBy(*_YEAR_KEYS).agg(
+        F.coalesce(F.sum(F.when(v.isNotNull(), n)), F.lit(0)).alias("count_val_param"),
+        F.min("a").alias("first_day"),
+        F.max("b").alias("last_day"),
+        F.round(F.max(v)).alias("max_val_param"),
+        F.round(scaled, digits).alias("mean_val_param"),
+        *[F.sum(exceeds(v, t) * n).alias(f"count_over_{t}") for t in thresholds],
+    )
+    if stddev_digits is not None:
+        # Squares are taken around the mean, so large values keep their digits.
+        means = values.groupBy(*_YEAR_KEYS).agg(average.alias("_mean"))
+        near = attach_to_groups(values.filter(v.isNotNull()), means, _YEAR_KEYS)
+        gap = v - F.col("_mean")
+        known = F.sum(n)
+        deviation = F.sqrt(F.sum(gap * gap * n) / F.when(known > 1, known - 1))
+        spread = near.groupBy(*_YEAR_KEYS).agg(
+            F.round(deviation, stddev_digits).alias("stddev_val_param")
+        )
+        annual = join_same_groups(annual, spread, _YEAR_KEYS)
+    if shares:
+        exact = exact_percentiles(values, _YEAR_KEYS, "v", shares, weight="n")
+        annual = join_same_groups(annual, exact, _YEAR_KEYS)
+        annual = annual.withColumns({name: F.round(name) for name in shares})
+    return annual
+
+
 def annual_figures(
     prep: DataFrame,
     pollutant: str,
@@ -170,16 +230,13 @@ def annual_figures(
         exact = [F.round(F.percentile(value, p)).alias(n) for n, p in shares.items()]
         annual = hours.groupBy(*_YEAR_KEYS).agg(*aggregates, *exact)
     else:
-        hours = explode_levels(_rows_of(prep, pollutant), levels)
-        annual = hours.groupBy(*_YEAR_KEYS).agg(*aggregates)
+        annual = _merged_annual(
+            prep, pollutant, thresholds, shares, stddev_digits, mean, levels
+        )
         if run_threshold is not None:
             daily = daily_figures(prep, pollutant, [], run_threshold, levels=levels)
             runs = daily.groupBy(*_YEAR_KEYS).agg(F.sum("count_superi_3h").alias("count_superi_3h"))
             annual = join_same_groups(annual, runs, _YEAR_KEYS)
-        if shares:
-            exact = exact_percentiles(hours, _YEAR_KEYS, "val_param", shares)
-            annual = join_same_groups(annual, exact, _YEAR_KEYS)
-            annual = annual.withColumns({n: F.round(n) for n in shares})
     first, last = F.col("first_day"), F.col("last_day")
     return annual.withColumn("available_days_in_year", elapsed_days(last, first)).withColumn(
         "available_hours_in_year", theoretical_hours(first, last)

@@ -7,34 +7,67 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsengine.operators.keys import join_same_groups, same_keys
+from obsengine.operators.prep import broadcast_if_small
+from obsengine.session import fresh_folder
 
-# Pieces a group's distinct values are cut into; a task orders one piece.
-PIECES = 64
+# Distinct values of a group that one task puts in order.
+PIECE_VALUES = 250_000
+
+
+def value_counts(
+    df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None
+) -> DataFrame:
+    """Rows per group and known value, written once for several readers.  Runs a job.
+
+    Columns: the keys, ``_v`` and ``_n``; values are counted before the shuffle.
+    """
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    known = df.filter(F.col(value).isNotNull())
+    counts = known.groupBy(*keys, F.col(value).alias("_v")).agg(n.alias("_n"))
+    folder = fresh_folder(df.sparkSession, "values")
+    counts.write.parquet(folder)
+    return df.sparkSession.read.schema(counts.schema).parquet(folder)
+
+
+def attach_to_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows with the columns of their group, whose size decides between broadcast and shuffle."""
+    return join_same_groups(rows, broadcast_if_small(groups), keys)
 
 
 def exact_percentiles(
-    df: DataFrame, keys: Sequence[str], value: str, shares: Mapping[str, float]
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    shares: Mapping[str, float],
+    weight: str | None = None,
+    piece_values: int = PIECE_VALUES,
 ) -> DataFrame:
     """Interpolated percentiles per group, one column per named share; NULLs are ignored.
 
     The built-in exact percentile gathers all distinct values of a group in one
-    task.  Here equal values are counted before the shuffle, each group's values
-    are cut at approximate percentiles, and only the pieces that hold a wanted
-    rank are put in order.
+    task.  Here equal values are counted once, and everything else reads those
+    counts: each group's distinct values are cut into pieces of about
+    ``piece_values``, and only the pieces that hold a wanted rank are put in order.
+    ``weight`` names a column that says how many rows a row stands for.  Runs jobs.
     """
-    known = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"))
-    counts = known.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_n"))
-    # Sketches of fixed size, merged before and after the shuffle.
-    cuts = known.groupBy(*keys).agg(
-        F.percentile_approx("_v", [i / PIECES for i in range(1, PIECES)]).alias("_cuts")
-    )
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
-    placed = join_same_groups(counts, cuts, keys).withColumn("_piece", below).drop("_cuts")
+    counts = value_counts(df, keys, value, weight)
+    widest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
+    pieces = max(1, -(-widest // piece_values))
+    placed = counts.withColumn("_piece", F.lit(0))
+    if pieces > 1:
+        # Sketches of fixed size, merged before and after the shuffle.
+        cuts = counts.groupBy(*keys).agg(
+            F.percentile_approx(
+                "_v", [i / pieces for i in range(1, pieces)], max(10_000, 10 * pieces)
+            ).alias("_cuts")
+        )
+        below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
+        placed = attach_to_groups(counts, cuts, keys).withColumn("_piece", below).drop("_cuts")
 
     by_piece = Window.partitionBy(*keys).orderBy("_piece")
     up_to = by_piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = by_piece.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # At most PIECES rows per group from here to the join.
+    # A row per group and piece from here to the join.
     sizes = (
         placed.groupBy(*keys, "_piece")
         .agg(F.sum("_n").alias("_size"))
@@ -52,11 +85,11 @@ def exact_percentiles(
     wanted = reduce(
         lambda a, b: a | b, [holds(r, start, end) for r in [*low.values(), *high.values()]]
     )
-    pieces = sizes.filter(wanted).withColumn("_start", start).drop("_size", "_end")
+    found = sizes.filter(wanted).withColumn("_start", start).drop("_size", "_end")
     inside = Window.partitionBy(*keys, "_piece").orderBy("_v")
     ranked = (
         placed.alias("_a")
-        .join(pieces.alias("_b"), same_keys("_a", "_b", [*keys, "_piece"]))
+        .join(found.alias("_b"), same_keys("_a", "_b", [*keys, "_piece"]))
         .select("_a.*", "_b._start", "_b._last")
         .withColumn("_to", F.col("_start") + F.sum("_n").over(inside))
         .withColumn("_from", F.col("_to") - F.col("_n"))

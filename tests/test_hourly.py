@@ -254,7 +254,8 @@ def test_single_value_has_no_deviation(spark, unique):
     assert (got.stddev_val_param, got.count_val_param) == (None, 1)
 
 
-def test_exact_percentiles_of_uneven_groups(spark):
+@pytest.mark.parametrize("piece", [40, 250_000])
+def test_exact_percentiles_of_uneven_groups(spark, piece):
     rng = np.random.default_rng(1)
     groups = {
         "wide": rng.normal(0, 100, 5000),
@@ -265,8 +266,12 @@ def test_exact_percentiles_of_uneven_groups(spark):
     }
     data = [(k, float(v)) for k, vs in groups.items() for v in vs] + [("empty", None), ("one", None)]
     df = spark.createDataFrame(data, "g string, v double").repartition(7)
-    got = exact_percentiles(df, ["g"], "v", {"a": 0.0, "b": 0.5, "c": 0.98, "d": 1.0})
+    shares = {"a": 0.0, "b": 0.5, "c": 0.98, "d": 1.0}
+    got = exact_percentiles(df, ["g"], "v", shares, piece_values=piece)
+    weighted = df.groupBy("g", "v").count()
+    again = exact_percentiles(weighted, ["g"], "v", shares, weight="count", piece_values=piece)
     found = {r.g: (r.a, r.b, r.c, r.d) for r in got.collect()}
+    assert found == {r.g: (r.a, r.b, r.c, r.d) for r in again.collect()}
     assert set(found) == set(groups)
     for name, values in groups.items():
         assert found[name] == pytest.approx(tuple(np.quantile(values, [0, 0.5, 0.98, 1])))
@@ -408,3 +413,24 @@ def test_plans_take_other_limits_gates_and_levels(spark):
     same = replace(NO2Rules(), limit=60, upper=60, lower=50.5)
     counts = [r.valore for r in no2_annual(prep, True, same).collect() if r.cod_liv_validazione == "VS"]
     assert counts[:3] == [sum(v > 60 for v in above)] * 2 + [sum(v > 50 for v in above)]
+
+
+def test_merged_annual_figures_keep_the_digits_of_large_values(spark):
+    from datetime import datetime, timedelta
+
+    start = datetime(2024, 1, 1)
+    values = [1e9 + (i % 7) for i in range(100)] + [None]
+    rows = [
+        ("S", 1, "O3", start + timedelta(hours=i % 50), v, 0, "V", "V") for i, v in enumerate(values)
+    ]
+    prep = spark.createDataFrame(
+        rows,
+        "cod_ubic string, cod_conf int, sigla_param string, data_da timestamp_ntz,"
+        " val_param double, cod_valid int, cod_validaz string, cod_validaz_reg string",
+    )
+    figures = annual_figures(prep, "O3", [5], percentiles={"p": 0.5}, stddev_digits=6)
+    known = np.array(values[:-1])
+    for r in figures.collect():
+        assert r.count_val_param == 100 and r.count_over_5 == 100
+        assert r.stddev_val_param == pytest.approx(known.std(ddof=1), abs=1e-6)
+        assert (r.max_val_param, r.mean_val_param) == (known.max(), round(known.mean()))
