@@ -737,6 +737,8 @@ ORACLES: dict[str, str] = {
     "diff_summary": DIFF_SUMMARY,
     "diff3": _diff3(),
     "merge3": _merge3(),
+    "diff_pruned": f"""select action, o_orderkey, old_o_orderstatus, new_o_orderstatus,
+        old_o_totalprice, new_o_totalprice, new_note, changed from ({DIFF_KEYED})""",
     "apply_patch": SNAPSHOTS["orders_after"],
     "patch_text_key": PATCH_TEXT_KEY,
     "patch_three_way": _patch_three_way(),

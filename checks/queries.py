@@ -35,7 +35,7 @@ from obsengine.operators.tablediff.compare import (
     diff_summary,
     with_listed,
 )
-from obsengine.operators.tablediff.context import drop_blank_rows, with_context
+from obsengine.operators.tablediff.context import drop_blank_rows, prune_columns, with_context
 from obsengine.operators.tablediff.equality import Equality
 from obsengine.operators.tablediff.keyless import diff_keyless
 from obsengine.operators.tablediff.merge import (
@@ -326,6 +326,12 @@ def q_diff_acts(spark, folder):
     return with_listed(diff)
 
 
+def q_diff_pruned(spark, folder):
+    before, after = _pair(spark, folder)
+    diff = diff_rows(before, after, ORDER_KEY)
+    return with_listed(prune_columns(diff, ORDER_KEY, column_changes(before, after), around=0))
+
+
 def q_diff_duplicate_keys(spark, folder):
     return with_listed(diff_rows(*_pair(spark, folder), ["o_custkey"]))
 

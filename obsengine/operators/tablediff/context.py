@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsengine.operators.tablediff.columns import ColumnChange
 from obsengine.session import ensure_checkpoints
 
 _PARTITION_BITS = 33  # of monotonically_increasing_id: the rest counts within the partition
@@ -79,3 +80,26 @@ def drop_blank_rows(df: DataFrame, order_by: str | None = None) -> DataFrame:
     if not last.n:
         return df.filter(filled)
     return df.filter(filled | at.isNull() | F.coalesce(at <= F.lit(last.at), F.lit(False)))
+
+
+def prune_columns(
+    diff: DataFrame, keys: Sequence[str], changes: Sequence[ColumnChange], around: int = 1
+) -> DataFrame:
+    """A difference without the cells of unchanged columns.
+
+    Kept are the keys, columns with a changed cell, added, dropped and renamed ones, and up to
+    ``around`` columns beside each of these in the order of ``changes``.  Runs a job that reads
+    a row a column.
+    """
+    counted = diff.select(F.explode("changed").alias("name")).distinct().collect()
+    touched = {r.name for r in counted}
+    active = [c.name in touched or c.old != c.new for c in changes]
+    near = {
+        c.name
+        for at, c in enumerate(changes)
+        if any(active[max(0, at - around) : at + around + 1])
+    }
+    known = {f"{side}_{c.name}" for c in changes for side in ("old", "new")}
+    shown = {f"{side}_{name}" for name in near for side in ("old", "new")}
+    kept = [c for c in diff.columns if c in keys or c not in known or c in shown]
+    return diff.select(*[F.col(f"`{c}`") for c in kept])

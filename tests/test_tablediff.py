@@ -11,7 +11,12 @@ from obsengine.operators.tablediff.compare import (
     diff_rows,
     diff_summary,
 )
-from obsengine.operators.tablediff.context import drop_blank_rows, with_context, with_positions
+from obsengine.operators.tablediff.context import (
+    drop_blank_rows,
+    prune_columns,
+    with_context,
+    with_positions,
+)
 from obsengine.operators.tablediff.equality import Equality
 from obsengine.operators.tablediff.keyless import diff_keyless, pick_columns
 from obsengine.operators.tablediff.merge import (
@@ -403,3 +408,16 @@ def test_keyless_runs_few_jobs(spark):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
+
+def test_pruned_columns_keep_their_neighbours(spark):
+    left = frame(spark, [(1, "a", "b", "c", "d", "e")], "k int, p string, q string, r string, s string, t string")
+    right = left.withColumn("r", F.lit("x"))
+    diff = diff_rows(left, right, ["k"])
+    changes = column_changes(left, right)
+
+    def shown(around):
+        columns = prune_columns(diff, ["k"], changes, around).columns
+        return [c.removeprefix("new_") for c in columns if c.startswith("new_")]
+
+    assert shown(0) == ["r"] and shown(1) == ["q", "r", "s"] and shown(9) == list("pqrst")
+
