@@ -32,6 +32,10 @@ from obsengine.llm.workers import map_arrow
 from obsengine.session import fresh_folder
 
 
+#: Tasks of one step; beyond it each task has more tiles, one after the other.
+MAX_PARTS = 100_000
+
+
 def directions(size: int, count: int, seed: int = 11) -> np.ndarray:
     """``count`` Gaussian directions for vectors of ``size`` components."""
     return np.random.default_rng([seed, size]).standard_normal((size, count))
@@ -128,7 +132,7 @@ def _tiles(nodes: DataFrame, n_nodes: int, tile: int, seed: int) -> DataFrame:
         project,
         "node string, label string, copies long, size int, place double, data binary",
     )
-    parts = max(1, n_nodes // (16 * tile))
+    parts = min(MAX_PARTS, max(1, n_nodes // (16 * tile)))
     ordered = placed.repartitionByRange(parts, "label", "size", "place").sortWithinPartitions(
         "label", "size", "place", "node"
     )
@@ -193,7 +197,7 @@ def _links(tiles: DataFrame, cosine: float, window: Window, seed: int) -> DataFr
     loaded = (
         pairs.join(body, "tile")
         .join(body.toDF("tile_b", "nodes_b", "copies_b", "data_b"), "tile_b")
-        .repartition(max(1, count // 8), "tile", "tile_b")
+        .repartition(min(MAX_PARTS, max(1, count // 8)), "tile", "tile_b")
     )
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -152,8 +152,8 @@ def op9_jaccard(spark, folder):
 
 def op10_spotsigs(spark, folder):
     documents = _table(spark, folder, "documents")
-    # About 4,000 documents a slice; a slice is sorted by id in one task.
-    slices = max(1, round(documents.count() / 4000))
+    # A slice is sorted by id in one task: about 4,000 documents, more from 400 million on.
+    slices = min(100_000, max(1, round(documents.count() / 4000)))
     rows = spotsigs.with_next(
         documents, slices, derive=lambda d: spotsigs.with_signatures(d, "text", "own")
     )

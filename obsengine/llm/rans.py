@@ -314,11 +314,12 @@ def write_folder(
     file_tokens: int = 1 << 23,
     lanes: int = 2048,
     interval: int = 256,
+    max_files: int = 100_000,
 ) -> str:
     """Encode the texts of ``docs`` into a new folder of this format and return it.
 
     Texts are tokenised once into ``folder``/tokens; that table gives the frequencies and is
-    then sorted into files of about ``file_tokens`` ids.  The frequency table has at most one
+    then sorted into files of about ``file_tokens`` ids, larger ones beyond ``max_files``.  The frequency table has at most one
     row a vocabulary entry, so the driver can hold it.
     """
     spark = docs.sparkSession
@@ -337,7 +338,7 @@ def write_folder(
     )
     shared = spark.sparkContext.broadcast(freq)
     kind = id_kind(tokenizer)
-    files = int(counts.sum() // file_tokens) + 1
+    files = min(max_files, int(counts.sum() // file_tokens) + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()

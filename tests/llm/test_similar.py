@@ -188,6 +188,15 @@ def frame_of(spark, docs):
     return spark.createDataFrame(docs, "doc_id long, text string")
 
 
+@pytest.mark.parametrize("n_cuts", [0, 1, 2, 10, 37])
+def test_slices_of_keys(spark, n_cuts):
+    cuts = [3 * i for i in range(n_cuts)]
+    keys = spark.createDataFrame([(k,) for k in [None, *range(-2, 120)]], "k long")
+    found = keys.select("k", spotsigs._slice_of(F.col("k"), cuts).alias("s")).collect()
+    for r in found:
+        assert r.s == (0 if r.k is None else sum(c <= r.k for c in cuts))
+
+
 @pytest.mark.parametrize("slices", [1, 3, 50])
 def test_next_document(spark, slices):
     docs = [(i * i, f"text {i}") for i in range(20)]
