@@ -132,7 +132,7 @@ def test_gap_fill_is_dealt_to_many_tasks(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     text = plan(gap_fill(series, *JANUARY))
-    assert re.search(rf"REPARTITION_BY_NUM.*|hashpartitioning\(.*, {parts}\), REPARTITION_BY_NUM", text)
+    assert re.search(rf"hashpartitioning\(.*, {parts}\), REPARTITION_BY_NUM", text)
 
 
 def test_lookup_never_exchanges_on_codes_of_few_values(spark):
