@@ -43,9 +43,33 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+# Paths handed out by this process, per application.
+_handed_out: dict[str, list[str]] = {}
+
+
 def fresh_folder(spark: SparkSession, label: str) -> str:
-    """A new path under the shared folder; nothing is created or removed."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path under the shared folder; nothing is created or removed.
+
+    What operators write there feeds their lazy results, so it stays until
+    ``drop_scratch`` is called.
+    """
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete what operators of this application wrote to fresh folders; returns their number.
+
+    Call it when their results have been used; results read later would fail.
+    """
+    paths = _handed_out.pop(spark.sparkContext.applicationId, [])
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    dropped = 0
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        dropped += target.getFileSystem(conf).delete(target, True)
+    return dropped
 
 
 def ensure_checkpoints(spark: SparkSession) -> None:

@@ -127,6 +127,19 @@ def test_shared_folder_is_the_configured_one(spark):
     assert fresh_folder(spark, "a") != fresh_folder(spark, "a")
 
 
+def test_scratch_is_dropped_on_request(spark, monkeypatch):
+    from obsengine import session
+
+    monkeypatch.setattr(session, "_handed_out", {})
+    path = fresh_folder(spark, "t")
+    fresh_folder(spark, "never-written")
+    spark.range(3).write.parquet(path)
+    assert spark.read.parquet(path).count() == 3
+    assert session.drop_scratch(spark) == 1 and session.drop_scratch(spark) == 0
+    with pytest.raises(AnalysisException):
+        spark.read.parquet(path)
+
+
 def test_layers_in_the_catalog(spark):
     events = ev.table(spark, SMALL, "events")
     raw = {name: raw_table(spark, SMALL, name) for name in RAW_TABLES}
