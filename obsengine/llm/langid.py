@@ -238,10 +238,11 @@ def fit(
     per_language: int = 2_500,
     margin: float = 1.5,
     floor: float = 0.8,
+    max_grams: int = 4_000_000,
 ) -> Model:
     """Fit on a bounded sample of rows with a language and a text.
 
-    The n-grams of the sample reach the driver; their number is bounded by the sample.  The
+    The n-grams of the sample reach the driver, the ``max_grams`` most frequent at most.  The
     limit of rejection is ``margin`` times the largest cross-entropy that the calibrating fifth
     of the sample has in its own language, and never below ``floor`` times that of characters
     drawn evenly, since a small fifth says little about rare texts.
@@ -255,7 +256,8 @@ def fit(
         rows, "lang", "key", per_language,
         ["text", "lang", F.pmod(F.xxhash64(F.lit(23), "key"), F.lit(5)).alias("fold")],
     )
-    grams = _gram_counts(sample.where("fold <> 0").select("text", "lang"), order).collect()
+    fitted = _gram_counts(sample.where("fold <> 0").select("text", "lang"), order)
+    grams = fitted.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).collect()
     counts: dict[str, dict[str, int]] = {}
     for r in grams:
         counts.setdefault(r.lang, {})[r.gram] = r.n

@@ -105,14 +105,22 @@ class TokenRollup:
         )
 
     def compact(self) -> None:
-        """Fold all committed batches into one table of totals; their folders stop counting."""
+        """Fold all committed batches into one table of totals and drop their folders.
+
+        The ids of the folded batches are written last, which is what makes the new table count;
+        only then are the folders dropped, so a failure in between changes no total.
+        """
         number = 1
         while self._exists(f"{self._folder}/folded/{number}/batches/_SUCCESS"):
             number += 1
         batches = self._deltas().select("batch").distinct()
+        gone = [self._path(r.batch) for r in batches.collect()]  # a row a batch
         folded = self._folded()
         if folded is not None:
             batches = batches.union(folded[1])
         base = f"{self._folder}/folded/{number}"
         self.totals().write.mode("overwrite").parquet(f"{base}/totals")
         batches.write.mode("overwrite").parquet(f"{base}/batches")
+        for path in gone:
+            target = self._spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(self._spark._jsc.hadoopConfiguration()).delete(target, True)
