@@ -6,9 +6,14 @@ from pyspark.sql import functions as F
 from obsengine.session import fresh_folder
 
 
+def settled(df: DataFrame, folder: str) -> DataFrame:
+    """A table written to ``folder`` and read back."""
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def _write(edges: DataFrame, folder: str) -> tuple[DataFrame, tuple]:
-    edges.write.parquet(folder)
-    written = edges.sparkSession.read.parquet(folder)
+    written = settled(edges, folder)
     state = written.agg(
         F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
     ).first()
@@ -34,13 +39,14 @@ def components(edges: DataFrame) -> DataFrame:
             current.select("b", "a")
         )
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
+        least = settled(least.select("u", F.least("u", "m").alias("m")), f"{folder}/least-{step}")
         large = (
             both.join(least, "u")
             .where(F.col("v") > F.col("u"))
             .select(F.col("v").alias("a"), F.col("m").alias("b"))
             .distinct()
         )
+        large = settled(large, f"{folder}/large-{step}")
         down = large.groupBy("a").agg(F.min("b").alias("m"))
         pulled = large.join(down, "a").where(F.col("b") != F.col("m")).select("b", "m")
         small = down.toDF("a", "b").union(pulled.toDF("a", "b")).distinct()

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsengine.llm.components import components
+from obsengine.llm.components import components, settled
 from obsengine.llm.pieces import text_chunks
 from obsengine.llm.vectors import MIX, spread, word_hashes
 from obsengine.llm.workers import map_arrow
@@ -120,8 +120,12 @@ def _signatures(
     return map_arrow(source, run, "key long, set_key string, n_grams long, buckets array<long>")
 
 
-def _candidate_groups(classes: DataFrame) -> DataFrame:
-    """``node`` and ``component`` of classes that share a bucket with another class."""
+def _candidate_groups(classes: DataFrame, folder: str) -> DataFrame:
+    """``node`` and ``component`` of classes that share a bucket with another class.
+
+    The buckets with several classes are written before they are joined, so that adaptive
+    execution can split a bucket that holds very many.
+    """
     placed = classes.select("node", F.explode("buckets").alias("bucket"))
     shared = (
         placed.groupBy("bucket")
@@ -129,6 +133,7 @@ def _candidate_groups(classes: DataFrame) -> DataFrame:
         .where("hub <> last")
         .drop("last")
     )
+    shared = settled(shared, folder)
     edges = placed.join(shared, "bucket").where("node <> hub")
     return components(edges.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
 
@@ -215,8 +220,7 @@ def jaccard_groups(
     folder = fresh_folder(spark, "jaccard")
 
     def written(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.parquet(f"{folder}/{name}")
+        return settled(df, f"{folder}/{name}")
 
     bands, rows = choose_bands(threshold, recall)
     signed = written(_signatures(docs, key, text, width, bands, rows), "signatures")
@@ -232,13 +236,14 @@ def jaccard_groups(
         .withColumn("node", F.xxhash64("set_key")),
         "classes",
     )
-    members = classes.drop("buckets").join(_candidate_groups(classes), "node")
+    groups = _candidate_groups(classes, f"{folder}/buckets")
+    members = classes.drop("buckets").join(groups, "node")
     sizes = members.groupBy("component").agg(
         F.greatest(
             F.ceil(F.count(F.lit(1)) / block_classes), F.ceil(F.sum("n_grams") / block_grams)
         ).alias("blocks")
     )
-    members = members.join(sizes, "component").withColumn(
+    members = members.join(written(sizes, "sizes"), "component").withColumn(
         "block", F.pmod(F.xxhash64(F.lit(5), "set_key"), "blocks")
     )
     links = written(_links(docs, members, key, text, width, threshold), "links")
@@ -255,7 +260,9 @@ def jaccard_groups(
             (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
         )
     )
+    described = written(described, "described")
     smallest = described.groupBy("component").agg(F.min("first").alias("class_id"))
+    smallest = written(smallest, "smallest")
     described = described.join(smallest, "component").select("set_key", "class_id", "n_links")
     known = signed.where("set_key is not null").join(described, "set_key")
     alone = signed.where("set_key is null").select(
