@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from obsengine.llm import bpe, embeddings, jaccard, langid, licenses, mixing, rans, rollup, spotsigs, toxicity
 from obsengine.llm.columns import id_remainder
+from obsengine.llm.components import settled
 from obsengine.session import fresh_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,9 +83,12 @@ def op6_rollup(spark, folder):
         spaced.alias("spaced"), marked.alias("marked"), digits.alias("digits"),
     ).write.parquet(f"{work}/counts")
     counts = spark.read.parquet(f"{work}/counts")
-    first = counts.groupBy("digest").agg(F.min("doc_id").alias("first"))
-    copies = counts.join(first, "digest").where("doc_id <> first")
-    originals = counts.join(first, "digest").where("doc_id = first and digits > 0")
+    repeated = counts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    # Written first, so that the join meets two plain shuffles and a digest of many copies splits.
+    repeated = settled(repeated.where("n > 1").drop("n"), f"{work}/repeated")
+    marked_copies = settled(counts.join(repeated, "digest", "left"), f"{work}/marked")
+    copies = marked_copies.where("doc_id <> first")
+    originals = marked_copies.where("(first is null or doc_id = first) and digits > 0")
     none = F.lit(None).cast("long")
 
     def both(rows: DataFrame, op: str, old: bool) -> DataFrame:
