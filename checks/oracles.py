@@ -737,6 +737,12 @@ ORACLES: dict[str, str] = {
     "diff_summary": DIFF_SUMMARY,
     "diff3": _diff3(),
     "merge3": _merge3(),
+    "diff_different": f"""with {_snapshot_ctes(l="orders_before", r="orders_after")},
+      shared as (select o_orderkey, {", ".join(_ORDER_DATA)} from r)
+      select 'same' as pair, exists (select * from l except all select * from l) as different
+      union all
+      select 'next', exists (select * from l except all select * from shared)
+        or exists (select * from shared except all select * from l)""",
     "diff_pruned": f"""select action, o_orderkey, old_o_orderstatus, new_o_orderstatus,
         old_o_totalprice, new_o_totalprice, new_note, changed from ({DIFF_KEYED})""",
     "apply_patch": SNAPSHOTS["orders_after"],

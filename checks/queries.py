@@ -375,6 +375,18 @@ def q_diff_summary(spark, folder):
     return diff_summary(before, after, ORDER_KEY, renames={"o_totalprice": "price"})
 
 
+def q_diff_different(spark, folder):
+    """What decides whether a comparison fails: a table with itself, and with its next state."""
+    before, after = _pair(spark, folder)
+    return reduce(
+        DataFrame.union,
+        [
+            diff_summary(before, other, ORDER_KEY).select(F.lit(name).alias("pair"), "different")
+            for name, other in (("same", before), ("next", after))
+        ],
+    )
+
+
 def _family(spark, folder):
     return [snapshot(spark, folder, f"orders_{n}") for n in ("before", "local", "remote")]
 
