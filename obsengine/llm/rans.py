@@ -206,7 +206,7 @@ def _library(path: str, kind: str, max_pieces: int) -> "PieceCache | WholeTexts"
     tokenizer.no_padding()
 
     pack = "H" if kind == "<u2" else "I"
-    letters = {byte: letter for letter, byte in byte_letters().items()}
+    letters = {byte: letter for letter, byte in byte_letters().items()}  # by Latin-1 code point
 
     def encode(text: str) -> bytes:
         ids = tokenizer.encode(text, add_special_tokens=False).ids
@@ -219,7 +219,7 @@ def _library(path: str, kind: str, max_pieces: int) -> "PieceCache | WholeTexts"
         if word[0] == " " and word.isascii() and word[1:].isalpha():
             mapped = letters[32] + word[1:]
         else:
-            mapped = "".join(map(letters.__getitem__, word.encode()))
+            mapped = word.encode().decode("latin-1").translate(letters)
         ids = [t.id for t in split_words(mapped)]
         return struct.pack(f"<{len(ids)}{pack}", *ids)
 
