@@ -39,7 +39,7 @@ def byte_letters() -> dict[str, int]:
 class BytePairCodec:
     """Encoder and decoder of one byte-level BPE file."""
 
-    def __init__(self, path: str, max_words: int = 1_000_000):
+    def __init__(self, path: str, max_words: int = 300_000):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         vocab = spec["model"]["vocab"]
