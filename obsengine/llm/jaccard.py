@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsengine.llm.components import components, settled
-from obsengine.llm.pieces import text_chunks
+from obsengine.llm.pieces import ARRAY_CHARS, text_chunks
 from obsengine.llm.vectors import MIX, spread, word_hashes
 from obsengine.llm.workers import map_arrow
 from obsengine.session import fresh_folder
@@ -101,7 +101,7 @@ def _signatures(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHash(bands, rows)
         for batch in batches:
-            for start, texts in text_chunks(batch, 1):
+            for start, texts in text_chunks(batch, 1, ARRAY_CHARS):
                 sets = shingle_sets(texts, width)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -287,7 +287,7 @@ def _links(
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start, texts in text_chunks(batch, 0):
+            for start, texts in text_chunks(batch, 0, ARRAY_CHARS):
                 sets = shingle_sets(texts, width)
                 part = batch.slice(start, len(texts))
                 same = [set_key(s) == k.as_py() for s, k in zip(sets, part.column(1), strict=True)]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from obsengine.llm.columns import keep_rows_with
-from obsengine.llm.pieces import text_chunks
+from obsengine.llm.pieces import ARRAY_CHARS, text_chunks
 from obsengine.llm.samples import bounded_sample
 from obsengine.llm.vectors import MIX, code_points, letter_table, spread
 from obsengine.llm.workers import map_arrow
@@ -301,7 +301,7 @@ def predict(
         fitted = shared.value
         for batch in batches:
             found: list[tuple] = []
-            for _, texts in text_chunks(batch, at):
+            for _, texts in text_chunks(batch, at, ARRAY_CHARS):
                 found.extend(fitted.predict(texts))
             kinds = [pa.string(), pa.float64(), pa.float64(), pa.bool_()]
             columns = list(zip(*found, strict=True)) or [()] * 4

@@ -12,8 +12,10 @@ import pyarrow as pa
 #: A space between white space, or between white space and the end: the cut would change tokens.
 _UNSAFE_SPACE = re.compile(r" (?<=\s )(?:\s|\Z)")
 
-#: Characters of text handled at a time inside one Arrow batch.
+#: Characters of text handled at a time inside one Arrow batch; fewer where a character takes
+#: many bytes of arrays.
 CHUNK_CHARS = 1_000_000
+ARRAY_CHARS = 300_000
 
 
 #: Marks that are tokens of their own after a word.
@@ -76,15 +78,17 @@ class PieceCache(dict):
         return out
 
 
-def text_chunks(batch: pa.RecordBatch, column: int) -> Iterator[tuple[int, list[str]]]:
-    """Row offset and texts (null: empty) of a batch, about ``CHUNK_CHARS`` characters at a time."""
+def text_chunks(
+    batch: pa.RecordBatch, column: int, chars: int = CHUNK_CHARS
+) -> Iterator[tuple[int, list[str]]]:
+    """Row offset and texts (null: empty) of a batch, about ``chars`` characters at a time."""
     texts: list[str] = []
     size = start = 0
     for row, value in enumerate(batch.column(column)):
         text = value.as_py() or ""
         texts.append(text)
         size += len(text)
-        if size >= CHUNK_CHARS:
+        if size >= chars:
             yield start, texts
             start, texts, size = row + 1, [], 0
     if texts:
