@@ -4,13 +4,14 @@ One model per language over the letters of a text: lower case, every run of othe
 one space, a text between spaces.  N-grams are 64-bit hashes in one sorted array per order,
 shared by the languages, beside a column per language of discounted probabilities and
 back-off weights.  The language with the lowest cross-entropy per character wins.  A text
-whose cross-entropy lies above what was calibrated for that language is marked as rejected.
+whose cross-entropy lies a margin above what is usual for that language is marked as rejected.
 
 The models are fitted on a bounded sample of labelled rows: ``per_language`` rows of each
 language at most, one in five of which only calibrates the rejection.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0 and rejected;
-without labelled rows every text is ``und``; between languages of equal cross-entropy the first
+without labelled rows every text is ``und``; a sample too small for a calibrating row rejects
+no text that has letters; between languages of equal cross-entropy the first
 in alphabetical order wins; equal texts get equal results; other columns are kept and replaced
 only where a result column has the same name.
 """
@@ -236,16 +237,16 @@ def fit(
     key: str = "doc_id",
     order: int = 4,
     per_language: int = 2_500,
-    margin: float = 1.5,
-    floor: float = 0.8,
+    quantile: float = 0.99,
+    margin: float = 1.25,
     max_grams: int = 4_000_000,
 ) -> Model:
     """Fit on a bounded sample of rows with a language and a text.
 
     The n-grams of the sample reach the driver, the ``max_grams`` most frequent at most.  The
-    limit of rejection is ``margin`` times the largest cross-entropy that the calibrating fifth
-    of the sample has in its own language, and never below ``floor`` times that of characters
-    drawn evenly, since a small fifth says little about rare texts.
+    limit of rejection lies ``margin`` nats above the ``quantile`` of the cross-entropies that
+    the calibrating fifth of the sample has in its own language.  A language without a row in
+    that fifth takes the quantile of the rows of all languages.
     """
     rows = labelled.where(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
         F.col(text).cast("string").alias("text"),
@@ -283,11 +284,11 @@ def fit(
     held = map_arrow(
         sample.where("fold = 0").select("text", "lang"), run, "lang string, entropy double"
     )
-    worst = {r.lang: r.worst for r in held.groupBy("lang").agg(F.max("entropy").alias("worst")).collect()}
-    least = -floor * np.log(model.floor[0])
-    model.limits = np.array(
-        [max(least, margin * worst.get(lang, np.inf)) for lang in model.languages]
-    )
+    usual = F.percentile("entropy", F.lit(quantile)).alias("usual")
+    found = {r.lang: r.usual for r in held.rollup("lang").agg(usual).collect()}
+    pooled = found.get(None)  # no row calibrates: nothing tells what is unlike a language
+    pooled = np.inf if pooled is None else pooled
+    model.limits = np.array([found.get(lang, pooled) + margin for lang in model.languages])
     return model
 
 

@@ -174,3 +174,43 @@ def test_language_held_out(spark):
     rows = found.join(documents, "doc_id").where("held_out").collect()
     assert sum(r.lang_pred == r.lang for r in rows) / len(rows) > 0.98
     assert not any(r.rejected for r in rows)
+
+
+ENGLISH = "the of and to in that was his he it with is for as had you not be her on at by which have or from this him but all she they were my are me one their so an said them we who would been will no when there if more out up into do any your what has man could other than our some very time upon about may its only now like little then can should made did us such great before must two these see know over much down after first mister good men own never most old shall day where those came come himself way work life without go make well through being long say might how am too even again many back here think every people went same last thought away under take found hand eyes still place while just also young yet though against things get ever give god years off face nothing right once another left part saw house world head three took new love always mrs put night each king between tell mind heart few because thing whom far seemed looked called whole set both got find done heard look name days told let lord country asked going seen better having home knew side something moment father among course hands woman enough words mother soon full end gave room almost small".split()  # noqa: E501, SIM905
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä."
+
+
+def many_scripts(seed, n):
+    """Texts of ``n`` rows each of English words and of 4,000 signs, few of them common."""
+    rnd = random.Random(seed)
+    signs = [chr(0x4E00 + i) for i in range(4000)]
+    weights = [1 / (i + 1) for i in range(4000)]
+    english = [" ".join(rnd.choices(ENGLISH, k=60)) for _ in range(n)]
+    return english, ["".join(rnd.choices(signs, weights, k=150)) for _ in range(n)]
+
+
+def test_rejection_does_not_depend_on_the_alphabet(spark):
+    english, signs = many_scripts(1, 300)
+    rows = [(i, t, "en") for i, t in enumerate(english)]
+    rows += [(1000 + i, t, "zh") for i, t in enumerate(signs)]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    rnd = random.Random(2)
+    letters = "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz ", k=400))
+    scrambled = "".join(rnd.sample(english[0], len(english[0])))
+    assert [p[3] for p in model.predict([FINNISH, letters, scrambled])] == [True] * 3
+    english, signs = many_scripts(3, 50)
+    found = model.predict(english + signs)
+    assert [p[0] for p in found] == ["en"] * 50 + ["zh"] * 50
+    assert not any(p[3] for p in found)
+
+
+def test_language_without_calibrating_rows_rejects(spark):
+    english, _ = many_scripts(4, 200)
+    ids = spark.range(5000).selectExpr("id", "pmod(xxhash64(23, id), 5) as fold")
+    fits = [r.id for r in ids.where("id >= 1000 and fold <> 0").limit(5).collect()]
+    rows = [(i, t, "en") for i, t in enumerate(english)]
+    rows += [(i, "der hund und die katze " * 9, "de") for i in fits]
+    model = langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert np.isfinite(model.limits).all() and model.limits[0] == model.limits[1]
+    foreign = model.predict(["ünd dier hünkatz öder zwykljix " * 9, "der hund und die katze"])
+    assert [(p[0], p[3]) for p in foreign] == [("de", True), ("de", False)]
