@@ -146,7 +146,7 @@ class Model:
 
 
 def _gram_counts(rows: DataFrame, order: int) -> DataFrame:
-    """Counts of the ``order``-grams, as strings, by language."""
+    """Counts of the ``order``-grams, as UTF-32 code points, by language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -160,73 +160,107 @@ def _gram_counts(rows: DataFrame, order: int) -> DataFrame:
                     gram_hashes(symbols, order)[-1][ends], return_index=True, return_counts=True
                 )
                 grams = symbols[ends[first][:, None] + np.arange(1 - order, 1)]
-                strings = [
-                    g.tobytes().decode("utf-32-le") for g in np.ascontiguousarray(grams, "<u4")
-                ]
+                flat = pa.py_buffer(np.ascontiguousarray(grams, "<u4"))
+                fixed = pa.Array.from_buffers(pa.binary(4 * order), len(n), [None, flat])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(n)), pa.array(strings), pa.array(n.astype(np.int64))],
+                    [
+                        pa.repeat(pa.scalar(lang, pa.string()), len(n)),
+                        fixed.cast(pa.binary()),
+                        pa.array(n.astype(np.int64)),
+                    ],
                     names=["lang", "gram", "n"],
                 )
 
-    parts = map_arrow(rows, run, "lang string, gram string, n long")
+    parts = map_arrow(rows, run, "lang string, gram binary, n long")
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _collected(counts: DataFrame, order: int) -> dict[str, tuple[np.ndarray, np.ndarray]]:
+    """All counts of ``_gram_counts`` on the driver: code points and counts by language."""
+    table = counts.toArrow()
+    langs = table["lang"].combine_chunks().dictionary_encode()
+    codes = langs.indices.to_numpy()
+    flat = table["gram"].cast(pa.binary(4 * order)).combine_chunks()
+    start = flat.offset * order
+    grams = np.frombuffer(flat.buffers()[1], "<u4")[start : start + len(flat) * order]
+    grams, n = grams.reshape(-1, order), table["n"].to_numpy()
+    names = langs.dictionary.to_pylist()
+    return {lang: (grams[codes == i], n[codes == i]) for i, lang in enumerate(names)}
+
+
+def _row_hashes(grams: np.ndarray) -> np.ndarray:
+    """The hash of each row of symbols, as ``gram_hashes`` has it; 0 for no symbol."""
+    hashes = np.zeros(len(grams), np.uint64)
+    for i in range(grams.shape[1]):
+        hashes = hashes * MIX + spread(grams[:, i].astype(np.uint64) + np.uint64(1))
+    return hashes
+
+
 def kneser_ney(counts: dict[str, dict[str, int]], order: int) -> Model:
     """The model of n-gram counts by language; every gram has ``order`` characters."""
+    return _kneser_ney(
+        {
+            lang: (
+                code_points(list(grams))[0].reshape(-1, order),
+                np.array(list(grams.values()), np.int64),
+            )
+            for lang, grams in counts.items()
+        },
+        order,
+    )
+
+
+def _kneser_ney(
+    counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int, rows: int = 1 << 18
+) -> Model:
+    """``kneser_ney`` from code points and counts; known grams are looked at ``rows`` at a time."""
     model = Model(sorted(counts), order)
-    vocabulary = {g[-1] for grams in counts.values() for g in grams}
     size = len(model.languages)
+    vocabulary = np.unique(np.concatenate([np.unique(g[:, -1]) for g, _ in counts.values()]))
     model.floor = np.full(size, 1.0 / (len(vocabulary) + 1))
-    gains: list[dict[str, np.ndarray]] = [{} for _ in range(order)]
-    weights: list[dict[str, np.ndarray]] = [{} for _ in range(order)]
-    for j, lang in enumerate(model.languages):
-        level = counts[lang]
+    gains: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(order)]
+    weights: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(order)]
+    for lang in model.languages:
+        grams, n = counts[lang]
         for k in range(order - 1, -1, -1):
-            ones = sum(1 for n in level.values() if n == 1)
-            twos = sum(1 for n in level.values() if n == 2)
+            ones, twos = int((n == 1).sum()), int((n == 2).sum())
             discount = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones + twos else 0.5
-            totals: dict[str, int] = {}
-            kinds: dict[str, int] = {}
-            for gram, n in level.items():
-                totals[gram[:-1]] = totals.get(gram[:-1], 0) + n
-                kinds[gram[:-1]] = kinds.get(gram[:-1], 0) + 1
-            for gram, n in level.items():
-                gains[k].setdefault(gram, np.zeros(size))[j] = (n - discount) / totals[gram[:-1]]
-            for context, n in totals.items():
-                row = weights[k].setdefault(context, np.ones(size))
-                row[j] = discount * kinds[context] / n
-            shorter: dict[str, int] = {}
-            for gram in level:  # in how many ways each shorter gram is continued to the left
-                shorter[gram[1:]] = shorter.get(gram[1:], 0) + 1
-            level = shorter
-
-    def hashed(grams: list[str]) -> np.ndarray:
-        if not grams or not grams[0]:
-            return np.zeros(len(grams), np.uint64)
-        width = len(grams[0])
-        symbols, _ = code_points(grams)
-        return gram_hashes(symbols, width)[-1][width - 1 :: width]
+            contexts, context = np.unique(_row_hashes(grams[:, :-1]), return_inverse=True)
+            totals = np.bincount(context, weights=n, minlength=len(contexts))
+            kinds = np.bincount(context, minlength=len(contexts))
+            gains[k].append((_row_hashes(grams), (n - discount) / totals[context]))
+            weights[k].append((contexts, discount * kinds / totals))
+            # In how many ways each shorter gram is continued to the left.
+            _, first, n = np.unique(
+                _row_hashes(grams[:, 1:]), return_index=True, return_counts=True
+            )
+            grams = grams[first, 1:]
+
+    def columns(keys: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]], other: float) -> np.ndarray:
+        """A row a key and one for unknown keys, a column a language, ``other`` where it has none."""
+        out = np.full((len(keys) + 1, size), other)
+        for j, (hashes, values) in enumerate(parts):
+            out[np.searchsorted(keys, hashes), j] = values
+        return out
 
     for k in range(order):
-        names = sorted(set(gains[k]) | (set(weights[k + 1]) if k + 1 < order else set()))
-        keys = hashed(names)
-        by_hash = np.argsort(keys, kind="stable")
-        names = [names[i] for i in by_hash]
-        nothing, full = np.zeros(size), np.ones(size)
-        model.keys.append(keys[by_hash])
-        model.gains.append(np.array([*(gains[k].get(g, nothing) for g in names), nothing]))
+        lower = weights[k + 1] if k + 1 < order else []
+        keys = np.unique(np.concatenate([h for h, _ in [*gains[k], *lower]]))
+        model.keys.append(keys)
+        model.gains.append(columns(keys, gains[k], 0.0))
         if k + 1 < order:
-            lower = np.array([*(weights[k + 1].get(g, full) for g in names), full])
-            model.weights.append(lower)
-    start = weights[0].get("", np.ones(size))
-    model.weights.insert(0, start[None, :])
-    known = list(gains[-1])
-    symbols, _ = code_points([known[i] for i in np.argsort(hashed(known))])
-    hashes = gram_hashes(symbols, order)
-    ends = np.arange(order - 1, len(symbols), order)
-    whole = model.log_probabilities([h[ends] for h in hashes], [h[ends - 1] for h in hashes[:-1]])
-    model.table = np.vstack([whole, np.zeros(size)])
+            model.weights.append(columns(keys, lower, 1.0))
+    model.weights.insert(0, np.array([[values[0] for _, values in weights[0]]]))
+    known = model.keys[-1]
+    model.table = np.zeros((len(known) + 1, size))
+    for lang in model.languages:
+        grams, _ = counts[lang]
+        for at in range(0, len(grams), rows):
+            some = grams[at : at + rows]
+            model.table[np.searchsorted(known, _row_hashes(some))] = model.log_probabilities(
+                [_row_hashes(some[:, order - 1 - k :]) for k in range(order)],
+                [_row_hashes(some[:, order - 2 - k : order - 1]) for k in range(order - 1)],
+            )
     return model
 
 
@@ -239,12 +273,11 @@ def fit(
     per_language: int = 2_500,
     quantile: float = 0.99,
     margin: float = 1.25,
-    max_grams: int = 4_000_000,
 ) -> Model:
     """Fit on a bounded sample of rows with a language and a text.
 
-    The n-grams of the sample reach the driver, the ``max_grams`` most frequent at most.  The
-    limit of rejection lies ``margin`` nats above the ``quantile`` of the cross-entropies that
+    All n-grams of the sample reach the driver, so the model grows with its languages and the
+    length of its texts.  The limit of rejection lies ``margin`` nats above the ``quantile`` of the cross-entropies that
     the calibrating fifth of the sample has in its own language.  A language without a row in
     that fifth takes the quantile of the rows of all languages.
     """
@@ -258,13 +291,10 @@ def fit(
         ["text", "lang", F.pmod(F.xxhash64(F.lit(23), "key"), F.lit(5)).alias("fold")],
     )
     fitted = _gram_counts(sample.where("fold <> 0").select("text", "lang"), order)
-    grams = fitted.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).collect()
-    counts: dict[str, dict[str, int]] = {}
-    for r in grams:
-        counts.setdefault(r.lang, {})[r.gram] = r.n
+    counts = _collected(fitted, order)
     if not counts:
         return Model([], order)
-    model = kneser_ney(counts, order)
+    model = _kneser_ney(counts, order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -214,3 +214,17 @@ def test_language_without_calibrating_rows_rejects(spark):
     assert np.isfinite(model.limits).all() and model.limits[0] == model.limits[1]
     foreign = model.predict(["ünd dier hünkatz öder zwykljix " * 9, "der hund und die katze"])
     assert [(p[0], p[3]) for p in foreign] == [("de", True), ("de", False)]
+
+
+def test_no_language_loses_rare_grams(spark):
+    # More than four million different n-grams, nearly all of them seen once.
+    rnd = np.random.default_rng(5)
+    rows = []
+    for i in range(24):
+        signs = rnd.integers(0, 64, 125_000)
+        for lang, first in (("aa", 0x4E00), ("zz", 0xAC00)):
+            rows.append((i, (signs + first).astype("<u4").tobytes().decode("utf-32-le"), lang))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(frame)
+    known = (model.gains[-1] > 0).sum(axis=0)
+    assert known[0] == known[1] and known.sum() > 4_000_000
