@@ -91,6 +91,120 @@ SHORT_NAMES = (
 #: Keywords that are common words, for which another word of the rule stands in.
 COMMON = ("mit", "isc", "python", "database", "domain", "artistic", "lesser")
 
+#: Names with their version in one word, or short names with a bare version, as
+#: label, keyword and wording.
+JOINED = (
+    *(("gpl", f"gplv{v}", f"(?:gnu )?gplv{v}(?: [0-9])?") for v in (1, 2, 3)),
+    *(("gpl", f"gpl{v}", f"(?:gnu )?gpl{v}(?: [0-9])?") for v in (1, 2, 3)),
+    *(("lgpl", f"lgplv{v}", f"(?:gnu )?lgplv{v}(?: [0-9])?") for v in (2, 3)),
+    *(("lgpl", f"lgpl{v}", f"(?:gnu )?lgpl{v}(?: [0-9])?") for v in (2, 3)),
+    *(("agpl", f"agplv{v}", f"(?:gnu )?agplv{v}(?: [0-9])?") for v in (1, 3)),
+    *(("agpl", f"agpl{v}", f"(?:gnu )?agpl{v}(?: [0-9])?") for v in (1, 3)),
+    ("gpl", "gpl", "gpl [123](?: [0-9])?"),
+    ("lgpl", "lgpl", "lgpl [23](?: [0-9])?"),
+    ("agpl", "agpl", "agpl [13](?: [0-9])?"),
+    ("apache", "apache", "apache (?:v(?:ersion)? ?)?[12] [01]"),
+    ("apache", "apache", "apache 2 license"),
+    ("apache", "apache2", "apache2"),
+    ("apache", "asl", "asl (?:v(?:ersion)? ?)?[12] [01]"),
+    ("apache", "apachev2", "apachev2(?: 0)?"),
+    ("mpl", "mpl", "mpl (?:v(?:ersion)? ?)?[12] [01]"),
+    ("mpl", "mplv2", "mplv2(?: 0)?"),
+    ("mpl", "mpl2", "mpl2(?: 0)?"),
+    ("epl", "epl", "epl (?:v(?:ersion)? ?)?[12] 0"),
+    ("epl", "eplv2", "eplv2(?: 0)?"),
+    ("epl", "eplv1", "eplv1(?: 0)?"),
+    ("bsl", "bsl", "bsl 1 0"),
+    ("artistic", "artistic", "artistic [12] 0"),
+    ("bsd-2-clause", "bsd2", "bsd2(?: clause)?"),
+    ("bsd-3-clause", "bsd3", "bsd3(?: clause)?"),
+    ("zlib", "zlib", "zlib acknowledgement"),
+    ("cc0", "cc0", "cc0 1 0"),
+)
+
+#: Sentences of license texts and of the notices put into files, written by hand
+#: from those texts, as label, keyword and wording.  They need not name the license.
+TEXTS = (
+    # MIT, X11 and their relatives
+    ("mit", "hereby", "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mit", "sublicense", "to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    ("mit", "substantial", "permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "noninfringement", "merchantability fitness for a particular purpose and noninfringement in no event shall the (?:authors or copyright holders|x consortium) be liable"),
+    ("mit-0", "sublicense", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided"),
+    ("ncsa", "sublicense", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal with the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software"),
+    # ISC and the notices it comes from
+    ("isc", "hereby", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", "hereby", "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted provided that the above"),
+    ("0bsd", "disclaims", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided as is and the author disclaims all warranties with regard to this software"),
+    ("isc", "disclaims", "the software is provided as is and (?:the author|isc|internet systems consortium) disclaims all warranties with regard to this software"),
+    ("hpnd", "permission", "permission to use copy modify and distribute this software and its documentation for any purpose"),
+    # BSD
+    ("bsd", "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("bsd", "redistributions", "redistributions of source code must retain the above copyright notice"),
+    ("bsd", "redistributions", "redistributions in binary form must reproduce the above copyright notice"),
+    ("bsd-3-clause", "endorse", "may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd-4-clause", "acknowledgement", "all advertising materials mentioning features or use of this software must display the following acknowledgement"),
+    ("bsd", "disclaimed", "the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("bsd", "bsd", "(?:use of this source code is )?governed by a bsd style license"),
+    # GPL family
+    ("gpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    ("lgpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license"),
+    ("agpl", "redistribute", "you can redistribute it and or modify it under the terms of the gnu affero general public license"),
+    ("gpl", "gnu", "you should have received a copy of the gnu general public license"),
+    ("lgpl", "gnu", "you should have received a copy of the gnu (?:lesser|library) general public license"),
+    ("agpl", "affero", "you should have received a copy of the gnu affero general public license"),
+    ("lgpl", "gnu", "gnu library general public license"),
+    ("gpl", "copyleft", "the gnu general public license is a free copyleft license"),
+    ("gpl", "freedom", "the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl", "verbatim", "you may copy and distribute verbatim copies of the program s source code as you receive it"),
+    ("gpl", "verbatim", "you may convey verbatim copies of the program s source code as you receive it"),
+    ("lgpl", "verbatim", "you may copy and distribute verbatim copies of the library s complete source code as you receive it"),
+    ("agpl", "interacting", "your modified version must prominently offer all users interacting with it remotely through a computer network"),
+    ("gfdl", "invariant", "with no invariant sections no front cover texts and no back cover texts"),
+    ("gfdl", "gnu", "permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license"),
+    # Apache
+    ("apache", "apache", "licensed to the apache software foundation asf under one or more contributor license agreements"),
+    ("apache", "compliance", "you may not use this file except in compliance with the license you may obtain a copy of the license at(?: https?)? www apache org"),
+    ("apache", "apache", "www apache org licenses license 2 0"),
+    ("apache", "irrevocable", "hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license to reproduce prepare derivative works"),
+    # Mozilla, Eclipse, Sun
+    ("mpl", "mozilla", "this source code form is subject to the terms of the mozilla public license"),
+    ("mpl", "mpl", "if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl", "mozilla", "the contents of this file are subject to the mozilla public license"),
+    ("epl", "eclipse", "this program and the accompanying materials are made available under the terms of the eclipse public license"),
+    ("epl", "agreement", "the accompanying program is provided under the terms of this eclipse public license agreement"),
+    ("cddl", "distribution", "the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cpl", "accompanying", "the accompanying program is provided under the terms of this common public license"),
+    # Others
+    ("zlib", "implied", "this software is provided as is without any express or implied warranty in no event will the authors be held liable"),
+    ("zlib", "altered", "altered source versions must be plainly marked as such and must not be misrepresented"),
+    ("zlib", "misrepresented", "the origin of this software must not be misrepresented"),
+    ("bsl", "boost", "distributed under the boost software license"),
+    ("bsl", "organization", "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("unlicense", "unencumbered", "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", "fuck", "do what the fuck you want to public license"),
+    ("wtfpl", "fuck", "you just do what the fuck you want to"),
+    ("cc0", "waived", "has waived all copyright and related or neighboring rights to this work"),
+    ("cc-by", "creativecommons", "creativecommons org licenses by [1-4] [0-9]"),
+    ("cc-by-sa", "creativecommons", "creativecommons org licenses by sa [1-4] [0-9]"),
+    ("cc-by-nc", "creativecommons", "creativecommons org licenses by nc [1-4] [0-9]"),
+    ("cc-by-nd", "creativecommons", "creativecommons org licenses by nd [1-4] [0-9]"),
+    ("cc-by-nc-sa", "creativecommons", "creativecommons org licenses by nc sa [1-4] [0-9]"),
+    ("cc-by-nc-nd", "creativecommons", "creativecommons org licenses by nc nd [1-4] [0-9]"),
+    ("cc0", "creativecommons", "creativecommons org publicdomain zero 1 0"),
+    ("artistic", "package", "the intent of this document is to state the conditions under which a package may be copied"),
+    ("artistic", "perl", "(?:free software )?you can redistribute it and or modify it under the same terms as perl itself"),
+    ("psf", "python", "psf is making python available to licensee on an as is basis"),
+    ("ofl", "font", "sil open font license"),
+    ("ofl", "font", "this font software is licensed under the sil open font license"),
+    ("eupl", "eupl", "licensed under the eupl"),
+    ("beerware", "beer", "the beer ware license"),
+    ("beerware", "beerware", "beerware license"),
+    ("openssl", "openssl", "this product includes software developed by the openssl project"),
+    ("public-domain", "domain", "(?:has been|is hereby|is) (?:placed|released|dedicated) (?:in|into|to) the public domain"),
+    ("proprietary", "prohibited", "unauthorized (?:copying|use|reproduction)(?: or distribution)? of this (?:file|software|program)(?: via any medium)? is strictly prohibited"),
+)
+
 #: Wordings before a name: priority, confidence, their keyword, their words.
 WORDINGS = (
     (1, 0.98, "spdx", "spdx license identifier "),
@@ -116,7 +230,7 @@ class Rule:
 
 
 def rules() -> list[Rule]:
-    """Every wording before every name, and full names alone, with their versions, in order."""
+    """Every wording before every name, full names alone, joined forms and sentences, in order."""
     found: list[Rule] = []
 
     def add(priority: int, keyword: str, label: str, confidence: float, words: str) -> None:
@@ -130,6 +244,10 @@ def rules() -> list[Rule]:
         word = "license" if keyword in COMMON and "license" in name else keyword
         add(3, word, label, 0.8, f"{name}{_VERSION}")
         add(4, word, label, PHRASE_CONFIDENCE, name)
+    for label, keyword, words in JOINED:
+        add(3, keyword, label, 0.8, words)
+    for label, keyword, words in TEXTS:
+        add(2, keyword, label, 0.9, words)
     for keyword, words in (("rights", "all rights reserved"), ("proprietary", "proprietary license")):
         add(4, keyword, "proprietary", 0.5, words)
     return found

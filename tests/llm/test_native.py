@@ -209,3 +209,47 @@ def test_there_are_hundreds_of_rules():
     found = licenses.rules()
     assert len(found) > 300 and len({(r.pattern, r.label) for r in found}) == len(found)
     assert all(re.compile(r.pattern) for r in found)
+
+
+#: Starts and sentences of real notices, and the labels they must have.
+NOTICES = (
+    ("License: GPLv2", "gpl"), ("GPLv3+", "gpl"), ("under LGPLv2.1 or later", "lgpl"), ("AGPLv3", "agpl"),
+    ("GPL-3.0-or-later", "gpl"), ("license = Apache-2.0", "apache"), ("MPL-2.0", "mpl"), ("MPLv2", "mpl"),
+    ('Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and '
+     'associated documentation files (the "Software"), to deal\nin the Software without restriction', "mit"),
+    ("The above copyright notice and this permission notice shall be included in all\ncopies or "
+     "substantial portions of the Software.", "mit"),
+    ("# Redistribution and use in source and binary forms, with or without\n# modification, are "
+     "permitted provided that the following conditions are met:", "bsd"),
+    (" * 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
+     "endorse or promote products derived from this software without specific prior written permission.",
+     "bsd-3-clause"),
+    ("Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without "
+     "fee is hereby granted, provided that the above", "isc"),
+    ('Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee '
+     'is hereby granted.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH '
+     "REGARD TO THIS SOFTWARE", "0bsd"),
+    ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU "
+     "General Public License as published by", "gpl"),
+    ("you may not use this file except in compliance with the License.\nYou may obtain a copy of the "
+     "License at\n\n    http://www.apache.org/licenses/LICENSE-2.0", "apache"),
+    ("If a copy of the MPL was not distributed with this\nfile, You can obtain one at "
+     "https://mozilla.org/MPL/2.0/.", "mpl"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("3. Altered source versions must be plainly marked as such, and must not be\nmisrepresented", "zlib"),
+    ("http://creativecommons.org/licenses/by-sa/4.0/", "cc-by-sa"),
+)
+
+
+def test_real_notices(spark):
+    frame = spark.createDataFrame(
+        [(i, text) for i, (text, _) in enumerate(NOTICES)], "doc_id long, text string"
+    )
+    found = {r.doc_id: r for r in licenses.summarise(frame).collect()}
+    assert [found[i].labels for i in range(len(NOTICES))] == [labels for _, labels in NOTICES]
+    assert [tuple(found[i])[1:] for i in range(len(NOTICES))] == [brute_scan(t) for t, _ in NOTICES]
+
+
+def test_signatures_have_their_keyword():
+    for _, keyword, words in licenses.JOINED + licenses.TEXTS:
+        assert re.search(rf"\b{keyword}\b", re.sub(r"\(\?:", " ", words)), words
