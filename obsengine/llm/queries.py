@@ -70,6 +70,7 @@ def op6_rollup(spark, folder):
     """Loads all documents under two versions, withdraws later copies, revises texts with digits.
 
     The second batch is delivered twice.  Revised texts count every digit by itself.
+    Null texts are copies of each other; of rows that share a text and an id one stays.
     """
     work = fresh_folder(spark, "rollup")
     text = F.col("text")
@@ -79,16 +80,19 @@ def op6_rollup(spark, folder):
     )
     digits = F.coalesce(F.regexp_count(text, F.lit("[0-9]")), F.lit(0)).cast("long")
     _table(spark, folder, "documents").select(
-        "doc_id", "source", "lang", F.md5(text).alias("digest"),
+        "doc_id", "source", "lang", F.coalesce(F.md5(text), F.lit("")).alias("digest"),
+        F.monotonically_increasing_id().alias("row"),
         spaced.alias("spaced"), marked.alias("marked"), digits.alias("digits"),
     ).write.parquet(f"{work}/counts")
     counts = spark.read.parquet(f"{work}/counts")
-    repeated = counts.groupBy("digest").agg(F.min("doc_id").alias("first"), F.count(F.lit(1)).alias("n"))
+    # The first row of a digest; rows of one id are told apart by their written number.
+    least = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))["row"]
+    repeated = counts.groupBy("digest").agg(least.alias("first"), F.count(F.lit(1)).alias("n"))
     # Written first, so that the join meets two plain shuffles and a digest of many copies splits.
     repeated = settled(repeated.where("n > 1").drop("n"), f"{work}/repeated")
     marked_copies = settled(counts.join(repeated, "digest", "left"), f"{work}/marked")
-    copies = marked_copies.where("doc_id <> first")
-    originals = marked_copies.where("(first is null or doc_id = first) and digits > 0")
+    copies = marked_copies.where("row <> first")
+    originals = marked_copies.where("(first is null or row = first) and digits > 0")
     none = F.lit(None).cast("long")
 
     def both(rows: DataFrame, op: str, old: bool) -> DataFrame:

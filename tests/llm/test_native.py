@@ -9,6 +9,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from obsengine.llm import licenses, mixing, rollup
+from obsengine.llm.queries import op6_rollup
 from obsengine.session import fresh_folder
 from tests.conftest import rows
 
@@ -253,3 +254,13 @@ def test_real_notices(spark):
 def test_signatures_have_their_keyword():
     for _, keyword, words in licenses.JOINED + licenses.TEXTS:
         assert re.search(rf"\b{keyword}\b", re.sub(r"\(\?:", " ", words)), words
+
+
+def test_rollup_keeps_one_row_a_text(spark, tmp_path):
+    docs = [(1, "a 1", "s", "en"), (1, "a 1", "s", "en"), (2, "a 1", "s", "en"), (None, "a 1", "s", "en"),
+            (3, None, "s", "en"), (4, None, "s", "en"), (None, None, "s", "en"), (5, "", "s", "en"),
+            (None, "b", "s", "en"), (None, "b", "s", "en")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string, source string, lang string")
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    wanted = [("s", "en", "marked-1", 4, 4), ("s", "en", "spaced-1", 4, 3)]
+    assert rows(op6_rollup(spark, str(tmp_path))) == wanted
