@@ -2,6 +2,7 @@
 
 import hashlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -133,3 +134,8 @@ def test_run(spark):
     total = spark.read.parquet(f"{SMALL}/documents.parquet").count()
     assert 0 < found.count() < total
     assert {"doc_id", "n_tokens", "token_ids"} <= set(found.columns)
+
+
+def test_there_is_one_pipeline():
+    stages = [p for p in Path(corpus_pipeline.__file__).parent.rglob("*.py") if "\nSTAGES = [" in p.read_text()]
+    assert stages == [Path(corpus_pipeline.__file__)] and len(corpus_pipeline.STAGES) == 5
