@@ -6,7 +6,20 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsengine.llm import bpe, embeddings, jaccard, langid, licenses, mixing, rans, rollup, spotsigs, toxicity
+from obsengine.llm import (
+    bpe,
+    embeddings,
+    jaccard,
+    langid,
+    licenses,
+    merkle,
+    mixing,
+    rans,
+    rollup,
+    spotsigs,
+    toxicity,
+    trie,
+)
 from obsengine.llm.columns import id_remainder
 from obsengine.llm.components import settled
 from obsengine.session import fresh_folder
@@ -184,6 +197,25 @@ def op10_spotsigs(spark, folder):
     )
 
 
+MERKLE_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle(spark, folder):
+    """A third of the rows, by crc32 of the id, are altered after the manifest is made."""
+    lowered = F.when(id_remainder("doc_id", 3) == 0, F.translate("text", _UPPER, _LOWER))
+    documents = _table(spark, folder, "documents")
+    manifest = merkle.manifest_of(documents, "doc_id", "lang", MERKLE_FIELDS, {"text": lowered})
+    return merkle.prove(manifest).withColumnRenamed("id", "doc_id")
+
+
+def op12_trie(spark, folder):
+    turns = _table(spark, folder, "conversations")
+    convs = settled(trie.sequences(turns), f"{fresh_folder(spark, 'conversations')}")
+    rebuilt = trie.with_shared_starts(convs, id_remainder("conv_id", 6), most=5)
+    return trie.nodes(rebuilt)
+
+
 QUERIES: dict[str, Query] = {
     "op1_rans": op1_rans,
     "op2_embeddings": op2_embeddings,
@@ -195,4 +227,6 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_jaccard": op9_jaccard,
     "op10_spotsigs": op10_spotsigs,
+    "op11_merkle": op11_merkle,
+    "op12_trie": op12_trie,
 }
