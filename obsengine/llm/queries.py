@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from obsengine.llm import (
     bpe,
     embeddings,
+    extraction,
     jaccard,
     langid,
     licenses,
@@ -216,6 +217,11 @@ def op12_trie(spark, folder):
     return trie.nodes(rebuilt)
 
 
+def op13_extraction(spark, folder):
+    pages = _table(spark, folder, "pages").select("page_id", "url", "html")
+    return extraction.extract(pages, weights=extraction.fit(pages)).drop("html")
+
+
 QUERIES: dict[str, Query] = {
     "op1_rans": op1_rans,
     "op2_embeddings": op2_embeddings,
@@ -229,4 +235,5 @@ QUERIES: dict[str, Query] = {
     "op10_spotsigs": op10_spotsigs,
     "op11_merkle": op11_merkle,
     "op12_trie": op12_trie,
+    "op13_extraction": op13_extraction,
 }
