@@ -512,11 +512,14 @@ def fit(
     """Weights of the text features, learned from at most ``sample_pages`` pages.
 
     The pages with the smallest hashes of ``key`` are the sample, ``BLOCKS_A_PAGE`` blocks of
-    each.  Logistic regression by Newton's method; ``hold`` is the strength that keeps the
+    each; their hashes are found first, from the keys alone, so that no task gathers more pages
+    than that.  Logistic regression by Newton's method; ``hold`` is the strength that keeps the
     weights near ``START``, which is also the result without a page that states anything.
     """
+    hashed = pages.select(F.col(_quoted(html)).alias("html"), F.xxhash64(_quoted(key)).alias("hash"))
+    last = hashed.select("hash").orderBy("hash").limit(sample_pages).agg(F.max("hash")).first()[0]
     sample = (
-        pages.select(F.col(_quoted(html)).alias("html"), F.xxhash64(_quoted(key)).alias("hash"))
+        hashed.where(F.col("hash") <= F.lit(last).cast("long"))
         .orderBy("hash", "html")
         .limit(sample_pages)
         .select("html")
