@@ -7,19 +7,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from obsengine.operators.keys import same_keys
+from obsengine.session import fresh_folder
 
 # The key of an aligned row.  Each side is one struct, so no column can meet this name.
 KEY = "_key"
 
 
-def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Keys that occur more than once; reads the key columns, counts before the shuffle."""
-    return df.groupBy(*_columns(keys)).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").drop("_n")
-
-
-def rows_with_keys(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is in ``wanted``."""
-    return df.alias("_a").join(wanted.alias("_b"), same_keys("_a", "_b", keys), "left_semi")
+# Tells the rows of repeated keys apart; 0 for all others.
+_ALONE = "_alone"
 
 
 def align_rows(
@@ -28,52 +23,62 @@ def align_rows(
     """One row per key: the struct ``_key`` and one struct per side, NULL where it has no such row.
 
     Rows link only when their key is unique on their own side; every row whose
-    key repeats there stands alone and takes no part in the join, so the join
-    meets each key at most once per side and no key can make it uneven.  NULL
-    keys meet like any other.
+    key repeats there stands alone.  Such a row joins under a number of its own
+    beside the key, so it meets no other row, no key can make the join uneven,
+    and every side is read once.  NULL keys meet like any other.
 
-    Unless ``keys_unique`` is set, runs one job that counts the keys.
+    Unless ``keys_unique`` is set, runs a job that counts the keys and writes those
+    that repeat.
     """
-    packed = {
-        name: df.select(F.struct(*_columns(keys)).alias(KEY), F.struct("*").alias(name))
-        for name, df in sides.items()
-    }
-    inner = [f"{KEY}.{k}" for k in keys]
-    alone = []
-    if not keys_unique and _any_repeats(sides, keys):
-        for name, df in packed.items():
-            repeated = repeated_keys(sides[name], keys).select(
-                F.struct(*_columns(keys)).alias(KEY)
-            )
-            alone.append(rows_with_keys(df, repeated, inner))
-            packed[name] = df.alias("_a").join(
-                repeated.alias("_b"), same_keys("_a", "_b", inner), "left_anti"
+    repeated = None if keys_unique else _repeated(sides, keys)
+    packed = {}
+    for at, (name, df) in enumerate(sides.items()):
+        rows = df.select(F.struct(*_columns(keys)).alias(KEY), F.struct("*").alias(name))
+        if repeated is not None:
+            mine = repeated.filter(F.col(f"_{name}") > 1).select(F.col("_keys").alias("_twice"))
+            met = [F.col(f"{KEY}.`{k}`").eqNullSafe(F.col(f"_twice._{i}")) for i, k in enumerate(keys)]
+            number = F.monotonically_increasing_id() * len(sides) + (at + 1)
+            alone = F.when(F.col("_twice").isNotNull(), number).otherwise(F.lit(0).cast("long"))
+            rows = rows.join(mine, reduce(lambda a, b: a & b, met), "left").select(
+                KEY, name, alone.alias(_ALONE)
             )
-    linked = reduce(lambda a, b: _meet(a, b, inner), packed.values())
-    for rows in alone:
-        linked = linked.unionByName(rows, allowMissingColumns=True)
-    return linked
+        packed[name] = rows
+    inner = [f"{KEY}.{k}" for k in keys] + ([] if repeated is None else [_ALONE])
+    return reduce(lambda a, b: _meet(a, b, inner), packed.values()).select(KEY, *sides)
 
 
-def _any_repeats(sides: Mapping[str, DataFrame], keys: Sequence[str]) -> bool:
-    """Whether a key occurs twice on one side; reads the key columns only."""
+def _repeated(sides: Mapping[str, DataFrame], keys: Sequence[str]) -> DataFrame | None:
+    """Keys that occur twice on one side, as ``_keys``, and their rows per side; None if there are none.
+
+    One tagged union of the key columns, counted before its one exchange.  Runs a job.
+    """
     marked = [
-        df.select(*_columns(keys), *[F.lit(int(other == name)).alias(f"_{other}") for other in sides])
+        df.select(
+            F.struct(*[F.col(f"`{k}`").alias(f"_{i}") for i, k in enumerate(keys)]).alias("_keys"),
+            *[F.lit(int(other == name)).alias(f"_{other}") for other in sides],
+        )
         for name, df in sides.items()
     ]
     counts = (
         reduce(DataFrame.union, marked)
-        .groupBy(*_columns(keys))
+        .groupBy("_keys")
         .agg(*[F.sum(f"_{name}").alias(f"_{name}") for name in sides])
     )
     twice = reduce(lambda a, b: a | b, [F.col(f"_{name}") > 1 for name in sides])
-    return not counts.filter(twice).isEmpty()
+    spark = counts.sparkSession
+    folder = fresh_folder(spark, "repeated-keys")
+    counts.filter(twice).write.parquet(folder)
+    found = spark.read.schema(counts.schema).parquet(folder)
+    return None if found.isEmpty() else found
 
 
 def _meet(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     joined = a.alias("_a").join(b.alias("_b"), same_keys("_a", "_b", keys), "full")
-    sides = [F.col(f"{t}.`{c}`") for t, df in (("_a", a), ("_b", b)) for c in df.columns if c != KEY]
-    return joined.select(F.coalesce(f"_a.{KEY}", f"_b.{KEY}").alias(KEY), *sides)
+    common = [c for c in (KEY, _ALONE) if c in a.columns]
+    sides = [
+        F.col(f"{t}.`{c}`") for t, df in (("_a", a), ("_b", b)) for c in df.columns if c not in common
+    ]
+    return joined.select(*[F.coalesce(f"_a.{c}", f"_b.{c}").alias(c) for c in common], *sides)
 
 
 def _columns(names: Sequence[str]) -> list[Column]:

@@ -1,6 +1,7 @@
 """Row differences of two snapshots."""
 
 from collections.abc import Collection, Mapping, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from obsengine.operators.tablediff.align import align_rows
 from obsengine.operators.tablediff.columns import ColumnChange, column_changes
+from obsengine.operators.tablediff.digests import unequal_rows
 from obsengine.operators.tablediff.equality import Equality
 
 # Action markers.
@@ -49,6 +51,26 @@ def renamed(df: DataFrame, renames: Mapping[str, str] | None) -> DataFrame:
     return df.withColumnsRenamed(dict(renames or {}))
 
 
+def _aligned(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    equality: Equality,
+    text_keys: bool,
+    keys_unique: bool,
+) -> tuple[DataFrame, list[str]]:
+    """Pairs of rows (``old``, ``new``), and the columns whose cells are compared."""
+    names = list(dict.fromkeys([*right.columns, *left.columns]))
+    if not text_keys:
+        rows = align_rows({"old": left, "new": right}, keys, keys_unique)
+        return rows, [n for n in names if n not in keys]
+    sides = {
+        side: df.withColumn(KEY_TEXT, equality.key_text(keys))
+        for side, df in {"old": left, "new": right}.items()
+    }
+    return align_rows(sides, [KEY_TEXT], keys_unique), names
+
+
 def diff_rows(
     left: DataFrame,
     right: DataFrame,
@@ -70,32 +92,23 @@ def diff_rows(
     """
     left = renamed(left, renames).drop(*ignore)
     right = right.drop(*ignore)
-    names = list(dict.fromkeys([*right.columns, *left.columns]))
-    by = list(keys)
-    if text_keys:
-        by = [KEY_TEXT]
-        sides = {
-            side: df.withColumn(KEY_TEXT, equality.key_text(keys))
-            for side, df in {"old": left, "new": right}.items()
-        }
-    else:
-        sides = {"old": left, "new": right}
-    data = names if text_keys else [n for n in names if n not in keys]
-    rows = align_rows(sides, by, keys_unique)
+    rows, data = _aligned(left, right, keys, equality, text_keys, keys_unique)
     return mark_actions(rows, left, right, data, keys, equality, acts, keep_equal)
 
 
-def mark_actions(
-    rows: DataFrame,
-    left: DataFrame,
-    right: DataFrame,
-    data: Sequence[str],
-    keys: Sequence[str],
-    equality: Equality = Equality(),
-    acts: Collection[str] = tuple(ACTS),
-    keep_equal: bool = False,
-) -> DataFrame:
-    """Action, keys and cells of aligned pairs with the structs ``old`` and ``new``."""
+@dataclass(frozen=True)
+class _Verdict:
+    """What a pair of rows is: columns by side, the action, and the test of each changed column."""
+
+    old: dict[str, Column]
+    new: dict[str, Column]
+    action: Column
+    changed: dict[str, Column]
+
+
+def _judge(
+    left: DataFrame, right: DataFrame, data: Sequence[str], equality: Equality
+) -> _Verdict:
     old_types, new_types = dict(left.dtypes), dict(right.dtypes)
     old = {c: F.col(f"old.`{c}`") for c in old_types}
     new = {c: F.col(f"new.`{c}`") for c in new_types}
@@ -117,6 +130,22 @@ def mark_actions(
         .when(any_of(filled), ADDED_CELLS)
         .otherwise("")
     )
+    return _Verdict(old, new, action, changed)
+
+
+def mark_actions(
+    rows: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
+    data: Sequence[str],
+    keys: Sequence[str],
+    equality: Equality = Equality(),
+    acts: Collection[str] = tuple(ACTS),
+    keep_equal: bool = False,
+) -> DataFrame:
+    """Action, keys and cells of aligned pairs with the structs ``old`` and ``new``."""
+    found = _judge(left, right, data, equality)
+    old, new = found.old, found.new
     kept = [ACTS[a] for a in acts] + ([""] if keep_equal else [])
     cells, names = [], ["action", *keys, "changed"]
     for c in data:
@@ -127,7 +156,7 @@ def mark_actions(
     check_names(names)
     key_cells = [F.coalesce(new[k], old[k]).alias(k) for k in keys]
     return rows.select(
-        action.alias("action"), *key_cells, *cells, names_where(changed).alias("changed")
+        found.action.alias("action"), *key_cells, *cells, names_where(found.changed).alias("changed")
     ).filter(F.col("action").isin(*kept))
 
 
@@ -157,36 +186,56 @@ def diff_summary(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
+    ignore: Sequence[str] = (),
+    equality: Equality = Equality(),
+    acts: Collection[str] = tuple(ACTS),
     renames: Mapping[str, str] | None = None,
-    **options,
+    text_keys: bool = False,
+    keys_unique: bool = False,
 ) -> DataFrame:
-    """One row of row, column and cell counts, and whether the tables differ."""
-    changes = column_changes(left, right, renames, options.get("ignore", ()))
-    diff = diff_rows(left, right, keys, renames=renames, **options)
+    """One row of row, column and cell counts, and whether the tables differ.
+
+    Sizes and differences are counted in one pass over the aligned rows.
+    """
+    changes = column_changes(left, right, renames, ignore)
+    a, b = renamed(left, renames).drop(*ignore), right.drop(*ignore)
+    rows, data = _aligned(a, b, keys, equality, text_keys, keys_unique)
+    return _counted(rows, a, b, data, changes, equality, acts, (len(left.columns), len(right.columns)))
+
+
+def _counted(
+    rows: DataFrame,
+    left: DataFrame,
+    right: DataFrame,
+    data: Sequence[str],
+    changes: Sequence[ColumnChange],
+    equality: Equality,
+    acts: Collection[str],
+    widths: tuple[int, int],
+    equal_rows: int = 0,
+) -> DataFrame:
+    """The summary of aligned rows; ``equal_rows`` more on either side are known to be equal."""
+    found = _judge(left, right, data, equality)
+    judged = rows.select(
+        F.col("old").isNotNull().alias("_old"),
+        F.col("new").isNotNull().alias("_new"),
+        F.when(found.action.isin(*[ACTS[a] for a in acts]), found.action).alias("_action"),
+        names_where(found.changed).alias("_changed"),
+    )
+    action = F.col("_action")
     common = [c.name for c in changes if c.old is not None and c.new is not None]
-    action, listed = F.col("action"), F.col("changed")
-    none = F.lit(0).cast("bigint")
-    updated_columns = [
-        F.coalesce(F.max(F.array_contains(listed, c).cast("int")), F.lit(0)) for c in common
+    # A changed cell counts where its row does.
+    updated = [
+        F.coalesce(F.max((action.isNotNull() & F.array_contains("_changed", c)).cast("int")), F.lit(0))
+        for c in common
     ]
-    total = {
-        "row_inserts": F.count_if(action == INSERT),
-        "row_deletes": F.count_if(action == DELETE),
-        "row_updates": F.count_if(action == UPDATE),
-        "col_updates": reduce(lambda a, b: a + b, updated_columns, none),
-    }
-    sizes = {"row_count_initial": left, "row_count_final": right}
-    # Three one-row tables, added up.
-    parts = [diff.agg(*[e.alias(n) for n, e in total.items()], *[none.alias(n) for n in sizes])]
-    for name, df in sizes.items():
-        parts.append(
-            df.agg(
-                *[none.alias(n) for n in total],
-                *[(F.count(F.lit(1)) if n == name else none).alias(n) for n in sizes],
-            )
-        )
-    summed = reduce(DataFrame.unionByName, parts).agg(
-        *[F.sum(n).cast("bigint").alias(n) for n in [*total, *sizes]]
+    summed = judged.agg(
+        F.count_if(action == INSERT).alias("row_inserts"),
+        F.count_if(action == DELETE).alias("row_deletes"),
+        F.count_if(action == UPDATE).alias("row_updates"),
+        reduce(lambda a, b: a + b, updated, F.lit(0)).cast("bigint").alias("col_updates"),
+        (F.count_if("_old") + equal_rows).alias("row_count_initial"),
+        (F.count_if("_new") + equal_rows).alias("row_count_final"),
     )
     columns = {
         "col_inserts": sum(c.old is None for c in changes),
@@ -196,18 +245,49 @@ def diff_summary(
         "col_type_changes": sum(
             None not in (c.old, c.new) and c.old_type != c.new_type for c in changes
         ),
-        "col_count_initial": len(left.columns),
-        "col_count_final": len(right.columns),
+        "col_count_initial": widths[0],
+        "col_count_final": widths[1],
     }
     for name, count in columns.items():
         summed = summed.withColumn(name, F.lit(count).cast("bigint"))
-    counted = [*total, *(name for name in columns if not name.startswith("col_count"))]
+    counted = ["row_inserts", "row_deletes", "row_updates", "col_updates"]
+    counted += [name for name in columns if not name.startswith("col_count")]
     different = reduce(lambda a, b: a + b, [F.col(n) for n in counted]) > 0
     return summed.withColumn("different", different)
 
 
+def unequal_summary(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    ignore: Sequence[str] = (),
+    equality: Equality = Equality(),
+    acts: Collection[str] = tuple(ACTS),
+    renames: Mapping[str, str] | None = None,
+    text_keys: bool = False,
+) -> dict | None:
+    """The summary of two tables that differ, or None.
+
+    Tables are compared by digests first (see ``unequal_rows``), so equal ones are each read
+    once and never joined.  Only rows of keys whose rows are not the same on both sides are
+    joined and make the counts of differences; a repeated key with the same rows on both sides
+    is no difference here.  Runs jobs.
+    """
+    changes = column_changes(left, right, renames, ignore)
+    a, b = renamed(left, renames).drop(*ignore), right.drop(*ignore)
+    rest = unequal_rows(a, b, keys, equality.key_text(keys) if text_keys else None)
+    if rest is None:
+        if all(c.marker == "" and c.old_type == c.new_type for c in changes):
+            return None
+        rest = a.limit(0), b.limit(0), a.count()
+    rows, data = _aligned(rest[0], rest[1], keys, equality, text_keys, keys_unique=False)
+    widths = len(left.columns), len(right.columns)
+    counts = _counted(rows, a, b, data, changes, equality, acts, widths, rest[2]).first().asDict()
+    return counts if counts["different"] else None
+
+
 def assert_no_diff(left: DataFrame, right: DataFrame, keys: Sequence[str], **options) -> None:
-    """Raise ``TablesDiffer`` with the summary if the tables differ.  Runs jobs."""
-    summary = diff_summary(left, right, keys, **options).first().asDict()
-    if summary["different"]:
+    """Raise ``TablesDiffer`` with the summary if the tables differ, as ``unequal_summary`` finds."""
+    summary = unequal_summary(left, right, keys, **options)
+    if summary is not None:
         raise TablesDiffer(str(summary))

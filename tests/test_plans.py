@@ -121,6 +121,27 @@ def test_declared_keys_join_once(spark):
     assert text.count("FullOuter") == 1 and text.count("FileScan") == 2
 
 
+@pytest.mark.parametrize("name", ["diff_keyed", "diff_duplicate_keys", "diff_summary", "diff3", "merge3"])
+def test_every_side_is_read_once(spark, name):
+    text = plan(QUERIES[name](spark, SMALL))
+    sides = 3 if name in ("diff3", "merge3") else 2
+    assert len(re.findall(r"FileScan parquet[^\n]*/orders\.parquet", text)) == sides
+
+
+def test_equal_tables_are_not_joined(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from obsengine.operators.tablediff.compare import unequal_summary
+
+    before = snapshot(spark, SMALL, "orders_before")
+
+    def no_join(*_, **__):
+        raise AssertionError("joined")
+
+    monkeypatch.setattr(DataFrame, "join", no_join)
+    assert unequal_summary(before, before.repartition(3), ["o_orderkey"]) is None
+
+
 def test_gap_fill_is_dealt_to_many_tasks(spark):
     from obsengine.operators.spine import gap_fill
 

@@ -10,6 +10,7 @@ from obsengine.operators.tablediff.compare import (
     diff_columns,
     diff_rows,
     diff_summary,
+    unequal_summary,
 )
 from obsengine.operators.tablediff.context import (
     drop_blank_rows,
@@ -130,6 +131,54 @@ def test_summary_and_assertion(spark):
         assert_no_diff(left, right, ["k"])
 
 
+def equal_tables(rows):
+    """Whether two lists of rows hold the same rows, in any order."""
+    return sorted(map(repr, rows[0])) == sorted(map(repr, rows[1]))
+
+
+def test_equal_tables_by_digests(spark):
+    schema = "k int, v string, w string"
+    rows = [(1, "a", None), (1, "a", None), (2, None, "b"), (None, "x", "y"), (None, "x", "y"), (3, "p", "q")]
+    left = frame(spark, rows, schema)
+    assert_no_diff(left, frame(spark, rows[::-1], schema).repartition(3), ["k"])
+    other = {
+        "once less": rows[1:], "once more": [*rows, rows[0]],
+        "swapped cells": [*rows[:5], (3, "q", "p")], "cell and NULL swapped": [*rows[:2], (2, "b", None), *rows[3:]],
+        "keys swapped": [(2, "a", None), (1, "a", None), (1, None, "b"), *rows[3:]],
+        "NULL for a key": [*rows[:5], (None, "p", "q")], "empty": [],
+    }
+    for name, data in other.items():
+        assert not equal_tables((rows, data)), name
+        for a, b in ((left, frame(spark, data, schema)), (frame(spark, data, schema), left)):
+            with pytest.raises(TablesDiffer):
+                assert_no_diff(a, b, ["k"])
+
+
+def test_only_unequal_keys_are_counted(spark):
+    left = frame(spark, [(1, "a"), (1, "a"), (2, "b"), (3, "c"), (4, "d")])
+    right = frame(spark, [(1, "a"), (1, "a"), (2, "x"), (3, "c"), (5, "e")])
+    found = unequal_summary(left, right, ["k"])
+    assert (found["row_updates"], found["row_deletes"], found["row_inserts"]) == (1, 1, 1)
+    assert (found["row_count_initial"], found["row_count_final"], found["col_updates"]) == (5, 5, 1)
+    loose = Equality(ignore_case=True, epsilon=0.5)
+    cased = frame(spark, [(1, "A"), (2, "1.2")]), frame(spark, [(1, "a"), (2, "1")])
+    assert unequal_summary(*cased, ["k"], equality=loose) is None
+    assert unequal_summary(*cased, ["k"]) is not None
+    assert unequal_summary(left, left.withColumnRenamed("v", "w"), ["k"], renames={"v": "w"}) is not None
+    assert unequal_summary(left, left.select("v", "k"), ["k"]) is not None
+    assert unequal_summary(left.limit(0), left.limit(0), ["k"]) is None
+
+
+def test_a_key_of_many_rows_is_dealt_out(spark):
+    left = spark.range(20_000).selectExpr("cast(if(id < 15000, 0, id) as int) as k", "cast(id as string) as v")
+    right = left.filter("v <> '15'")
+    diff = diff_rows(left, right, ["k"])
+    counts = {r.action: r["count"] for r in diff.groupBy("action").count().collect()}
+    assert counts == {"---": 15_000, "+++": 14_999}
+    text = diff._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Range (") == 2 and text.count("FullOuter") == 1
+
+
 def three(spark):
     parent = frame(spark, [(k, "1") for k in range(1, 8)])
     local = frame(spark, [(1, "2"), (2, "1"), (3, "2"), (4, "2"), (5, "1"), (7, "9"), (10, "l")])
