@@ -458,15 +458,43 @@ def _merge3() -> str:
       where o_orderkey not in (select o_orderkey from p)"""
 
 
+_ROLL = ["c_mktsegment", "zone", "amount"]
 _ACCOUNT = ["c_acctbal", "c_mktsegment", "c_nationkey"]
 
 
-def _keyless(before: str, after: str, cells: list[str], columns: list[str]) -> str:
+def _beside(links: str, way: str, top: int) -> str:
+    """Rows that follow (or, going up, precede) a linked pair at one distance with equal texts."""
+    if way == "down":
+        last, rows, step = "max", "unbounded preceding and 1 preceding", 1
+        outside = {"a": "null", "b": "null"}
+    else:
+        last, rows, step = "min", "1 following and unbounded following", -1
+        outside = {"a": "(select count(*) + 1 from a)", "b": "(select count(*) + 1 from b)"}
+    out = []
+    for side, other in ("ab", "ba"):
+        out.append(f"""{way}_{side}m as (select k.id, k.k, l.id{other} as mate
+          from {side}{top}k k left join {links} l on l.id{side} = k.id)""")
+        out.append(f"""{way}_{side} as (select f.id, f.k, coalesce(f.up, {outside[side]}) as anchor,
+            coalesce(x.mate, {outside[other]}) as base, {step} * (f.id - coalesce(f.up, {outside[side]})) as d
+          from (select *, {last}(case when mate is not null then id end) over (order by id
+            rows between {rows}) as up from {way}_{side}m) f
+          left join {way}_{side}m x on x.id = f.up
+          where f.mate is null and coalesce(f.up, {outside[side]}) is not null)""")
+    out.append(f"""{way}_met as (select a.id as ida, b.id as idb, a.base, a.d
+      from {way}_a a left join {way}_b b on b.anchor = a.base and b.d = a.d and b.k = a.k)""")
+    out.append(f"""{way} as (select ida, idb from {way}_met m
+      where d < coalesce((select min(d) from {way}_met e where e.base = m.base and e.idb is null), 1e18))""")
+    return ",\n".join(out)
+
+
+def _keyless(
+    before: str, after: str, cells: list[str], columns: list[str], order: str = ""
+) -> str:
     """Each set of ``columns`` in turn, written out; rows are numbered for the linking."""
     ctes = [
         _snapshot_ctes(a0=before, b0=after),
-        "a as (select *, row_number() over () as id from a0)",
-        "b as (select *, row_number() over () as id from b0)",
+        f"a as (select *, row_number() over ({order}) as id from a0)",
+        f"b as (select *, row_number() over ({order}) as id from b0)",
         "size as (select greatest((select count(*) from a), (select count(*) from b)) + 1 + 20 as h)",
     ]
     sets = range(1, 2 ** len(columns))
@@ -489,8 +517,15 @@ def _keyless(before: str, after: str, cells: list[str], columns: list[str]) -> s
               (select max(n) from b{mask}k)) < 0.1 * (select h from size){earlier})"""
         )
     ctes.append(
-        "links as (" + " union all ".join(f"select * from link{m}" for m in sets) + ")"
+        f"{'found' if order else 'links'} as ("
+        + " union all ".join(f"select * from link{m}" for m in sets)
+        + ")"
     )
+    if order:
+        ctes.append(_beside("found", "down", max(sets)))
+        ctes.append("after_down as (select * from found union all select * from down)")
+        ctes.append(_beside("after_down", "up", max(sets)))
+        ctes.append("links as (select * from after_down union all select * from up)")
     both = ", ".join(f"a.{c} as old_{c}, b.{c} as new_{c}" for c in cells)
     listed = ", ".join(
         f"case when a.{c} is distinct from b.{c} then '{c}' end" for c in cells
@@ -750,6 +785,9 @@ ORACLES: dict[str, str] = {
     "patch_three_way": _patch_three_way(),
     "diff_keyless": _keyless("accounts_before", "accounts_after", _ACCOUNT, _ACCOUNT),
     # The status has the fewest values of the six columns, so the other five are combined.
+    "diff_keyless_ordered": _keyless(
+        "roll_before", "roll_after", _ROLL, _ROLL, order="order by line"
+    ),
     "diff_keyless_wide": _keyless(
         "orders_all", "orders_corrected", ["o_orderkey", *_ORDER_DATA],
         ["o_orderkey", "o_totalprice", "o_orderdate", "o_custkey", "o_orderpriority"],

@@ -428,6 +428,11 @@ def q_diff_keyless_wide(spark, folder):
     return with_listed(diff_keyless(*_pair(spark, folder, "orders_all", "orders_corrected")))
 
 
+def q_diff_keyless_ordered(spark, folder):
+    """Lines with many equals, linked beside the lines that have none."""
+    return with_listed(diff_keyless(*_pair(spark, folder, "roll_before", "roll_after"), order=["line"]))
+
+
 def q_diff_context(spark, folder):
     rows = diff_rows(
         *_pair(spark, folder, "orders_all", "orders_corrected"), ORDER_KEY, keep_equal=True

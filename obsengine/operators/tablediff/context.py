@@ -22,12 +22,12 @@ def with_positions(df: DataFrame, order: Sequence[str], name: str = "position")
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
-        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("_ordinal", F.monotonically_increasing_id())
         .checkpoint()
     )
-    piece = F.shiftrightunsigned("_id", _PARTITION_BITS)
+    piece = F.shiftrightunsigned("_ordinal", _PARTITION_BITS)
     placed = placed.withColumn("_piece", piece).withColumn(
-        "_at", F.col("_id") - F.shiftleft("_piece", _PARTITION_BITS)
+        "_at", F.col("_ordinal") - F.shiftleft("_piece", _PARTITION_BITS)
     )
     before = Window.orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     # One row per partition, so this window and broadcast are bounded.
@@ -39,7 +39,7 @@ def with_positions(df: DataFrame, order: Sequence[str], name: str = "position")
     return (
         placed.join(F.broadcast(starts), "_piece")
         .withColumn(name, F.col("_start") + F.col("_at"))
-        .drop("_id", "_piece", "_at", "_start")
+        .drop("_ordinal", "_piece", "_at", "_start")
     )
 
 

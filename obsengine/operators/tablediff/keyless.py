@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from obsengine.operators.tablediff.align import align_rows
 from obsengine.operators.tablediff.compare import mark_actions
 from obsengine.operators.tablediff.equality import Equality
+from obsengine.operators.tablediff.neighbours import link_neighbours
 from obsengine.session import ensure_checkpoints, fresh_folder
 
 
@@ -234,12 +235,19 @@ def diff_keyless(
     equality: Equality = Equality(),
     keep_equal: bool = False,
     rules: KeylessRules = KeylessRules(),
+    order: Sequence[str] = (),
 ) -> DataFrame:
-    """Row difference of two tables without a key.  Runs jobs."""
+    """Row difference of two tables without a key.  Runs jobs.
+
+    ``order`` names columns of both tables that tell where a row stands and are not compared.
+    With them, rows that no column set links are linked with their like beside a linked row.
+    """
     ensure_checkpoints(left.sparkSession)
-    columns = pick_columns(left, right, rules.max_columns)
+    columns = pick_columns(left.drop(*order), right.drop(*order), rules.max_columns)
     a, b = _numbered(left, right, fresh_folder(left.sparkSession, "keyless-rows"))
     links = link_rows(a, b, columns, equality, rules)
+    if order:
+        links = links.union(link_neighbours(*_whole_texts(a, b, columns, equality, order), links, order))
     # The number of the linked left row is the key; an unlinked right row has its own.
     named_a = a.withColumnRenamed("_id", "_link").withColumn("_from", F.lit("left"))
     named_b = (
@@ -249,5 +257,19 @@ def diff_keyless(
         .drop("_id", "left_id")
     )
     rows = align_rows({"old": named_a, "new": named_b}, ["_link", "_from"], keys_unique=True)
-    names = list(dict.fromkeys([*right.columns, *left.columns]))
+    names = [c for c in dict.fromkeys([*right.columns, *left.columns]) if c not in order]
     return mark_actions(rows, left, right, names, [], equality, keep_equal=keep_equal)
+
+
+def _whole_texts(
+    left: DataFrame, right: DataFrame, columns: Sequence[str], equality: Equality, order: Sequence[str]
+) -> list[DataFrame]:
+    """Rows of each side with their number, order and the digest of all ``columns``."""
+    return [
+        df.select(
+            "_id",
+            *[F.xxhash64(F.lit(seed), *[equality.key_text([c]) for c in columns]).alias(n) for seed, n in ((1, "a"), (2, "b"))],
+            *[F.col(f"`{c}`") for c in order],
+        )
+        for df in (left, right)
+    ]

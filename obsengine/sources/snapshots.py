@@ -65,6 +65,16 @@ SNAPSHOTS = {
             as c_acctbal,
           c_mktsegment, c_nationkey
         from customer where c_acctbal > -500""",
+    # A till roll: most lines have many equals, every sixth names an amount.
+    "roll_before": """
+        select c_custkey as line, c_mktsegment, c_nationkey % 3 as zone,
+          case when c_custkey % 6 = 0 then c_acctbal end as amount
+        from customer""",
+    "roll_after": """
+        select c_custkey as line,
+          case when c_custkey % 29 = 0 then 'CLOSED' else c_mktsegment end as c_mktsegment,
+          c_nationkey % 3 as zone, case when c_custkey % 6 = 0 then c_acctbal end as amount
+        from customer where c_custkey % 13 <> 4""",
     "orders_all": f"select {ORDER_COLUMNS} from orders",
     "orders_corrected": """
         select o_orderkey, o_custkey, o_orderstatus,

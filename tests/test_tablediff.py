@@ -19,13 +19,14 @@ from obsengine.operators.tablediff.context import (
     with_positions,
 )
 from obsengine.operators.tablediff.equality import Equality
-from obsengine.operators.tablediff.keyless import diff_keyless, pick_columns
+from obsengine.operators.tablediff.keyless import KeylessRules, diff_keyless, pick_columns
 from obsengine.operators.tablediff.merge import (
     diff3,
     merge3,
     three_way_patch,
     with_conflict_texts,
 )
+from obsengine.operators.tablediff.neighbours import link_neighbours
 from obsengine.operators.tablediff.patch import apply_patch
 from tests.conftest import rows
 
@@ -470,3 +471,65 @@ def test_pruned_columns_keep_their_neighbours(spark):
 
     assert shown(0) == ["r"] and shown(1) == ["q", "r", "s"] and shown(9) == list("pqrst")
 
+
+
+def walk(left, right, links, rows, start):
+    """Links of equal rows at one distance from a linked pair, walking through ``rows``."""
+    mates, new = dict(links), {}
+    taken = set(mates.values())
+    here = (start, start) if start is not None else None
+    blocked = False
+    for i in rows:
+        if i in mates:
+            here, blocked = (i, mates[i]), False
+            continue
+        if here is None:
+            continue
+        j = here[1] + (i - here[0])
+        blocked = blocked or not 0 <= j < len(right) or j in taken or left[i] != right[j]
+        # A linked row on the other side ends the stretch.
+        if not blocked:
+            new[i] = j
+    return new
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_neighbours_against_a_walk(spark, seed):
+    rng = random.Random(seed)
+    left = [rng.choice("aab") if rng.random() < 0.7 else f"u{i}" for i in range(90)]
+    right = [t for t in left if rng.random() > 0.15]
+    right = [t if rng.random() > 0.08 else "c" for t in right]
+    links = {i: right.index(t) for i, t in enumerate(left) if left.count(t) == 1 == right.count(t)}
+    down = walk(left, right, links, range(len(left)), None)
+    after = links | down
+    n, m = len(left) - 1, len(right) - 1
+    flipped = {n - i: m - j for i, j in after.items()}
+    up = walk(left[::-1], right[::-1], flipped, range(len(left)), -1)
+    wanted = down | {n - i: m - j for i, j in up.items()}
+
+    def side(texts):
+        rows = [(1000 + i, hash(t) % 10**9, 7, i) for i, t in enumerate(texts)]
+        rng.shuffle(rows)
+        return frame(spark, rows, "_id long, a long, b long, line int")
+
+    found = link_neighbours(
+        side(left), side(right),
+        frame(spark, [(1000 + i, 1000 + j) for i, j in links.items()], "left_id long, right_id long"),
+        ["line"], block_rows=7,
+    )
+    got = {r.left_id - 1000: r.right_id - 1000 for r in found.collect()}
+    assert wanted and down and got == wanted
+
+
+def test_ordered_keyless_difference(spark):
+    schema = "line int, v string, w int"
+    left = frame(spark, [(1, "a", 1), (2, "x", 0), (3, "x", 0), (4, "x", 0), (5, "b", 2), (6, "x", 0)], schema)
+    right = frame(spark, [(11, "a", 1), (12, "x", 0), (13, "x", 0), (15, "b", 2), (16, "x", 0)], schema)
+    rules = KeylessRules(coarse_share=0.9)
+    bare = left.drop("line"), right.drop("line")
+    plain = diff_keyless(*bare, rules=rules).groupBy("action").count().collect()
+    assert {r.action: r["count"] for r in plain} == {"---": 4, "+++": 3}
+    ordered = diff_keyless(left, right, rules=rules, order=["line"])
+    assert [(r.action, r.old_v) for r in ordered.collect()] == [("---", "x")]
+    assert diff_keyless(left, left, rules=rules, order=["line"]).count() == 0
+    assert diff_keyless(left, left.limit(0), rules=rules, order=["line"]).count() == 6
