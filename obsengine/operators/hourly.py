@@ -24,9 +24,8 @@ from obsengine.operators.levels import (
     level_mask,
     sum_by_level,
 )
-from obsengine.operators.percentiles import attach_to_groups, exact_percentiles
+from obsengine.operators.percentiles import attach_to_groups, percentiles_of, placed_by_value
 from obsengine.schema import LEVEL, SERIES
-from obsengine.session import fresh_folder
 
 _YEAR_KEYS = [*SERIES, "anno", LEVEL]
 
@@ -142,7 +141,6 @@ def _merged_annual(
     Rows are added up per series, year, mask and value before they are shuffled, and the
     levels repeat only those sums, which are written and feed every figure.  Runs jobs.
     """
-    spark = prep.sparkSession
     rows = _rows_of(prep, pollutant).filter(in_any_level(levels))
     once = (
         rows.withColumn("_mask", level_mask(levels))
@@ -154,9 +152,7 @@ def _merged_annual(
         .groupBy(*_YEAR_KEYS, "v")
         .agg(F.sum("n").alias("n"), F.min("a").alias("a"), F.max("b").alias("b"))
     )
-    folder = fresh_folder(spark, "annual")
-    values.write.parquet(folder)
-    values = spark.read.schema(values.schema).parquet(folder)
+    values = placed_by_value(values, _YEAR_KEYS, "v")
 
     v, n = F.col("v"), F.col("n")
     factor, digits = mean
@@ -182,7 +178,7 @@ def _merged_annual(
         )
         annual = join_same_groups(annual, spread, _YEAR_KEYS)
     if shares:
-        exact = exact_percentiles(values, _YEAR_KEYS, "v", shares, weight="n")
+        exact = percentiles_of(values, _YEAR_KEYS, "v", "n", shares)
         annual = join_same_groups(annual, exact, _YEAR_KEYS)
         annual = annual.withColumns({name: F.round(name) for name in shares})
     return annual

@@ -14,19 +14,22 @@ from obsengine.session import fresh_folder
 PIECE_VALUES = 250_000
 
 
-def value_counts(
-    df: DataFrame, keys: Sequence[str], value: str, weight: str | None = None
-) -> DataFrame:
-    """Rows per group and known value, written once for several readers.  Runs a job.
+def placed_by_value(values: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Rows sorted by group and value over the whole table, written with their number ``_id``.
 
-    Columns: the keys, ``_v`` and ``_n``; values are counted before the shuffle.
+    The table is cut into ranges of equal size, so a group of many values is many tasks.  Numbers
+    rise with the order and have gaps between ranges.  Runs a job.
     """
-    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
-    known = df.filter(F.col(value).isNotNull())
-    counts = known.groupBy(*keys, F.col(value).alias("_v")).agg(n.alias("_n"))
-    folder = fresh_folder(df.sparkSession, "values")
-    counts.write.parquet(folder)
-    return df.sparkSession.read.schema(counts.schema).parquet(folder)
+    order = [*keys, value]
+    spark = values.sparkSession
+    sorted_rows = (
+        values.repartitionByRange(*order)
+        .sortWithinPartitions(*order)
+        .withColumn("_id", F.monotonically_increasing_id())
+    )
+    folder = fresh_folder(spark, "values")
+    sorted_rows.write.parquet(folder)
+    return spark.read.schema(sorted_rows.schema).parquet(folder)
 
 
 def attach_to_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -45,25 +48,36 @@ def exact_percentiles(
     """Interpolated percentiles per group, one column per named share; NULLs are ignored.
 
     The built-in exact percentile gathers all distinct values of a group in one
-    task.  Here equal values are counted once, and everything else reads those
-    counts: each group's distinct values are cut into pieces of about
-    ``piece_values``, and only the pieces that hold a wanted rank are put in order.
-    ``weight`` names a column that says how many rows a row stands for.  Runs jobs.
+    task.  Here equal values are counted once and the counts put in order over the whole table;
+    see ``percentiles_of``.  ``weight`` names a column that says how many rows a row stands for.
+    Runs jobs.
     """
-    counts = value_counts(df, keys, value, weight)
-    widest = counts.groupBy(*keys).count().agg(F.max("count")).first()[0] or 0
-    pieces = max(1, -(-widest // piece_values))
-    placed = counts.withColumn("_piece", F.lit(0))
-    if pieces > 1:
-        # Sketches of fixed size, merged before and after the shuffle.
-        cuts = counts.groupBy(*keys).agg(
-            F.percentile_approx(
-                "_v", [i / pieces for i in range(1, pieces)], max(10_000, 10 * pieces)
-            ).alias("_cuts")
-        )
-        below = F.size(F.filter("_cuts", lambda cut: cut < F.col("_v")))
-        placed = attach_to_groups(counts, cuts, keys).withColumn("_piece", below).drop("_cuts")
+    n = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    known = df.filter(F.col(value).isNotNull())
+    counts = known.groupBy(*keys, F.col(value).alias("_v")).agg(n.alias("_n"))
+    return percentiles_of(placed_by_value(counts, keys, "_v"), keys, "_v", "_n", shares, piece_values)
+
 
+def percentiles_of(
+    placed: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    weight: str,
+    shares: Mapping[str, float],
+    piece_values: int = PIECE_VALUES,
+) -> DataFrame:
+    """Percentiles of distinct values and their counts, as ``placed_by_value`` left them.
+
+    Every ``piece_values`` consecutive rows are a piece, told by the row's number alone, whatever
+    the number of pieces.  Running counts of the pieces of a group say which of them hold a
+    wanted rank, and only these are looked into.
+    """
+    placed = placed.filter(F.col(value).isNotNull()).select(
+        *keys,
+        F.col(value).alias("_v"),
+        F.col(weight).alias("_n"),
+        F.floor(F.col("_id") / piece_values).alias("_piece"),
+    )
     by_piece = Window.partitionBy(*keys).orderBy("_piece")
     up_to = by_piece.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     whole = by_piece.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
