@@ -79,20 +79,23 @@ def data_prep(measurements: DataFrame, configurations: DataFrame, parameters: Da
 def dim_lookup(staged: dict[str, DataFrame]) -> DataFrame:
     """One wide descriptive row per configuration.
 
-    The snowflake arms are joined first, so the configurations are shuffled once
-    per arm and not once per table.  Units, frequencies and station classes have a
-    handful of codes: shuffling the configurations on one of them would leave most
-    tasks empty, so these tables are broadcast after a check of their size.  Runs jobs.
+    The arms of the snowflake are joined first, so the configurations are shuffled once
+    per arm and not once per table, and their locations come first: where both tables are
+    kept in buckets of the location code, neither is shuffled for it.  Units, frequencies, station
+    classes, provinces, towns and zones have few codes: shuffling on one of them would leave
+    most tasks empty, so these tables are broadcast after a check of their size.  Runs jobs.
     """
-    units, frequencies, classes = (
-        broadcast_if_small(staged[name])
-        for name in ("t_unita_misura", "rqa_t_frequenze", "rqa_t_stclass_eu")
-    )
+    small = {
+        name: broadcast_if_small(staged[name])
+        for name in (
+            "t_unita_misura", "rqa_t_frequenze", "rqa_t_stclass_eu", "province", "comuni", "rqa_t_zona",
+        )
+    }
     location = (
         staged["rqa_ubicazioni"]
-        .join(staged["province"], "cod_prov")
-        .join(staged["comuni"], ["cod_com", "cod_prov"], "left")
-        .join(staged["rqa_t_zona"], "cod_tzona", "left")
+        .join(small["province"], "cod_prov")
+        .join(small["comuni"], ["cod_com", "cod_prov"], "left")
+        .join(small["rqa_t_zona"], "cod_tzona", "left")
     )
     parameter = (
         staged["rqa_parametri"]
@@ -102,11 +105,11 @@ def dim_lookup(staged: dict[str, DataFrame]) -> DataFrame:
     owner = staged["rqa_enti"].join(staged["rqa_t_reti"], "t_rete")
     return (
         staged["rqa_configurazioni"]
+        .join(location, "cod_ubic")
+        .join(small["t_unita_misura"], "cod_mis")
+        .join(small["rqa_t_frequenze"], "cod_freq")
+        .join(small["rqa_t_stclass_eu"], "station_cl_eu", "left")
         .join(owner, "cod_ente")
-        .join(units, "cod_mis")
-        .join(frequencies, "cod_freq")
-        .join(classes, "station_cl_eu", "left")
         .join(parameter, "cod_param")
-        .join(location, "cod_ubic")
         .select(*DIM_LOOKUP_COLUMNS)
     )

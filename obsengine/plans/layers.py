@@ -20,6 +20,8 @@ from obsengine.sources.stores import CatalogStore, FolderStore, view
 BRONZE, SILVER, GOLD, UTILITIES = "bronze", "silver", "gold", "utilities"
 
 PREP_TABLES = ("rqa_dati_aria_cor", "rqa_configurazioni", "rqa_parametri")
+#: Tables that meet on a key of many values, and that key.
+BUCKETED = {"rqa_configurazioni": ["cod_ubic"], "rqa_ubicazioni": ["cod_ubic"]}
 _LOOKUP_TABLES = set(STAGING_COLUMNS) - {"rqa_dati_aria_cor", "v_rqa_rete_regionale_ipr"}
 
 
@@ -37,13 +39,13 @@ def build_layers(
     The prepared measurements have many readers, so they are written once, by
     pollutant: each reader then scans its own folders only.  Their key is checked
     on the written table, which also tells whether the copy merge can be saved.
-    The lookup table is built when ``tables`` has all its raw tables.
+    Configurations and locations are kept by location code where the store can.  The lookup table is built when ``tables`` has all its raw tables.
     """
     missing = sorted({*tables, *PREP_TABLES} - set(raw))
     if missing:
         raise ValueError(f"raw tables are missing: {', '.join(missing)}")
     out = {
-        name: store.table(BRONZE, name, stage(name, raw[name]))
+        name: store.table(BRONZE, name, stage(name, raw[name]), bucket_by=BUCKETED.get(name, ()))
         for name in STAGING_COLUMNS
         if name in tables or name in PREP_TABLES
     }

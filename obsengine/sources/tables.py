@@ -44,17 +44,74 @@ class Split:
     reads: int
 
 
+@dataclass(frozen=True)
+class HashSplit:
+    """A table read in ``reads`` parts by a hash of a column, even where its values are not, and
+    its NULL keys in a part of their own.
+
+    ``hashed`` is the database's expression of a whole number from 0 to ``reads`` - 1 for a known key;
+    the default is PostgreSQL's.
+    """
+
+    column: str
+    reads: int
+    hashed: str = "mod(mod(hashtext(cast({column} as text))::bigint, {reads}) + {reads}, {reads})"
+
+    def predicates(self) -> list[str]:
+        name = _quoted(self.column)
+        part = self.hashed.format(column=name, reads=self.reads)
+        known = [f"{name} is not null and {part} = {i}" for i in range(self.reads)]
+        return [*known, f"{name} is null"]
+
+
+@dataclass(frozen=True)
+class RangeSplit:
+    """A table read in ranges of a column between sorted ``cuts`` (SQL literals), and its NULLs.
+
+    ``cuts_query`` asks the database for cuts that leave equally many rows in every range.
+    """
+
+    column: str
+    cuts: Sequence[str]
+
+    def predicates(self) -> list[str]:
+        name = _quoted(self.column)
+        cuts = list(dict.fromkeys(self.cuts))
+        if not cuts:
+            return [f"{name} is not null", f"{name} is null"]
+        inner = [f"{name} >= {a} and {name} < {b}" for a, b in zip(cuts, cuts[1:])]
+        return [f"{name} < {cuts[0]}", *inner, f"{name} >= {cuts[-1]}", f"{name} is null"]
+
+
+def cuts_query(schema: str, table: str, column: str, reads: int) -> str:
+    """PostgreSQL's query for the cuts of a ``RangeSplit`` of ``reads`` ranges, one a row, in order.
+
+    Equal cuts, which a frequent value gives, come once.
+    """
+    shares = ", ".join(str(round(i / reads, 9)) for i in range(1, reads))
+    name = _quoted(column)
+    return (
+        f"select distinct unnest(percentile_disc(array[{shares}]) within group (order by {name})) as cut"
+        f' from "{schema}"."{table}" order by cut'
+    )
+
+
+def _quoted(name: str) -> str:
+    return '"' + name.replace('"', '""') + '"'
+
+
 @dataclass(frozen=True)
 class JdbcSource:
     """Whole tables of one database schema; names are quoted, so their case counts.
 
-    Tables named in ``large`` are only read with a ``Split``.
+    Tables named in ``large`` are only read with a split: even steps between two bounds
+    (``Split``), a hash of the key (``HashSplit``) or ranges of equal counts (``RangeSplit``).
     """
 
     url: str
     schema: str
     properties: dict[str, str] = field(default_factory=dict)
-    splits: dict[str, Split] = field(default_factory=dict)
+    splits: dict[str, Split | HashSplit | RangeSplit] = field(default_factory=dict)
     large: Sequence[str] = LARGE_TABLES
 
     def options(self, table: str) -> dict[str, str]:
@@ -67,7 +124,7 @@ class JdbcSource:
             "url": self.url,
             "dbtable": f'"{self.schema}"."{table}"',
         }
-        if split is not None:
+        if isinstance(split, Split):
             options |= {
                 "partitionColumn": split.column,
                 "lowerBound": split.lower,
@@ -77,7 +134,12 @@ class JdbcSource:
         return options
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.format("jdbc").options(**self.options(table)).load()
+        options = self.options(table)
+        split = self.splits.get(table)
+        if isinstance(split, HashSplit | RangeSplit):
+            url, name = options.pop("url"), options.pop("dbtable")
+            return spark.read.jdbc(url, name, predicates=split.predicates(), properties=options)
+        return spark.read.format("jdbc").options(**options).load()
 
 
 def table_path(base: str, table: str) -> str:

@@ -1,5 +1,8 @@
+import random
+import re
 from datetime import datetime
 
+import duckdb
 import pytest
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import functions as F
@@ -9,11 +12,14 @@ from obsengine.plans.layers import build_layers
 from obsengine.session import fresh_folder, shared_folder
 from obsengine.sources import events as ev
 from obsengine.sources.formats import copy_table, read_table, write_table
-from obsengine.sources.stores import CatalogStore
+from obsengine.sources.stores import CatalogStore, FolderStore
 from obsengine.sources.tables import (
     TABLES,
+    HashSplit,
     JdbcSource,
+    RangeSplit,
     Split,
+    cuts_query,
     ingest_tables,
     load_tables,
     table_path,
@@ -59,6 +65,129 @@ def test_jdbc_options():
     }
 
 
+@pytest.mark.parametrize("keys", ["even", "skewed", "texts", "nulls", "empty"])
+def test_parts_are_disjoint_and_complete(keys):
+    rng = random.Random(keys)
+    values = {
+        "even": list(range(200)), "skewed": [7] * 150 + list(range(40)) + [None] * 30,
+        "texts": [rng.choice(["a", "b'c", "", "é", None]) for _ in range(90)], "nulls": [None] * 5, "empty": [],
+    }[keys]
+    kind = "varchar" if keys == "texts" else "bigint"
+    con = duckdb.connect()
+    con.execute(f'create table t ("K ey" {kind}, id int)')
+    for i, value in enumerate(values):
+        con.execute("insert into t values (?, ?)", [value, i])
+    cuts = [r[0] for r in con.execute(
+        'select distinct unnest(quantile_disc("K ey", [0.25, 0.5, 0.75])) as c from t order by c'
+    ).fetchall() if r[0] is not None]
+    literals = ["'" + c.replace("'", "''") + "'" if kind == "varchar" else str(c) for c in cuts]
+    splits = [
+        HashSplit("K ey", 5, "cast(hash({column}) % {reads} as int)"),
+        RangeSplit("K ey", literals), RangeSplit("K ey", literals * 2 if len(literals) == 1 else literals),
+    ]
+    for split in splits:
+        parts = [con.execute(f"select id from t where {p}").fetchall() for p in split.predicates()]
+        seen = [r[0] for part in parts for r in part]
+        assert sorted(seen) == list(range(len(values)))
+        assert len(parts[-1]) == values.count(None)
+        if keys == "even":
+            assert max(map(len, parts)) <= 80
+
+
+def test_splits_reach_the_reader():
+    split = HashSplit("COD_UBIC", 3)
+    source = JdbcSource("jdbc:x", "S", splits={"rqa_dati_aria_cor": split})
+    assert "numPartitions" not in source.options("rqa_dati_aria_cor")
+    assert split.predicates()[1].startswith('"COD_UBIC" is not null and mod(mod(hashtext(')
+    assert split.predicates()[1].endswith(" = 1") and split.predicates()[-1] == '"COD_UBIC" is null'
+    assert cuts_query("S", "t", "c", 4).count("0.25, 0.5, 0.75") == 1
+
+
+class _Reader:
+    """Stands in for a session: notes what a JDBC read asks for."""
+
+    def __init__(self):
+        self.read = self
+
+    def jdbc(self, url, table, predicates, properties):
+        self.asked = (url, table, predicates, properties)
+
+
+def test_parts_are_asked_for():
+    spark, split = _Reader(), RangeSplit("K", ["1", "5"])
+    JdbcSource("jdbc:x", "S", {"user": "u"}, {"t": split}).read(spark, "t")
+    where = ['"K" < 1', '"K" >= 1 and "K" < 5', '"K" >= 5', '"K" is null']
+    assert spark.asked == ("jdbc:x", '"S"."t"', where, {"fetchsize": "10000", "user": "u"})
+
+
+@pytest.fixture(params=["folder", "catalog"])
+def store(request, spark, tmp_path):
+    if request.param == "folder":
+        made = FolderStore(spark, str(tmp_path))
+        return made, lambda: made.read("silver", "t")
+    spark.sql("drop view if exists silver.t")
+    return CatalogStore(spark, buckets=3), lambda: spark.table("silver.t")
+
+
+def test_a_failed_rebuild_leaves_the_old_table(spark, store):
+    made, read = store
+    made.table("silver", "t", spark.range(5).toDF("n"))
+    broken = spark.range(0, 40, 1, 4).selectExpr("if(id = 39, raise_error('lost'), id) as n")
+    with pytest.raises(Exception, match="lost"):
+        made.table("silver", "t", broken.selectExpr("cast(n as bigint) as n"))
+    assert sorted(r.n for r in read().collect()) == [0, 1, 2, 3, 4]
+
+
+def test_a_table_may_be_made_from_itself(spark, store):
+    made, read = store
+    before = made.table("silver", "t", spark.range(4).toDF("n"))
+    after = made.table("silver", "t", before.union(read()).selectExpr("n + 1 as n"))
+    assert sorted(r.n for r in after.collect()) == [1, 1, 2, 2, 3, 3, 4, 4]
+    # The plan of the older table still reads its rows, until they are dropped.
+    assert before.count() == 4 and read().count() == 8
+    assert made.drop_old("silver", "t") >= 1
+    assert read().count() == 8 and made.drop_old("silver", "t") == 0
+
+
+def test_partitions_and_buckets_come_back(spark, store):
+    made, read = store
+    rows = spark.range(30).selectExpr("id as n", "id % 3 as part", "cast(id as string) as s")
+    made.table("silver", "t", rows, partition_by=["part"])
+    made.table("silver", "t", rows, bucket_by=["s"])
+    assert sorted(map(tuple, read().collect())) == sorted(map(tuple, rows.collect()))
+
+
+def test_two_runs_never_both_replace_a_folder(spark, tmp_path):
+    made = FolderStore(spark, str(tmp_path))
+    made.table("silver", "t", spark.range(1).toDF("n"))
+    with pytest.raises(RuntimeError, match="another run"):
+        made._point(f"{tmp_path}/silver/t", "late", 1)
+    assert made.read("silver", "t").count() == 1
+    with pytest.raises(ValueError, match="never"):
+        made.read("silver", "other")
+
+
+def test_lookup_moves_no_bucketed_row(spark):
+    from obsengine.operators.prep import dim_lookup
+    from obsengine.operators.staging import STAGING_COLUMNS, stage
+    from obsengine.plans.layers import BUCKETED
+
+    catalog = CatalogStore(spark, buckets=4)
+    names = set(STAGING_COLUMNS) - {"rqa_dati_aria_cor", "v_rqa_rete_regionale_ipr"}
+    staged = {
+        name: catalog.table("lookup", name, stage(name, raw_table(spark, SMALL, name)), bucket_by=BUCKETED.get(name, ()))
+        for name in names
+    }
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        text = dim_lookup(staged)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert text.count("Bucketed: true") == 2
+    assert not re.findall(r"Exchange hashpartitioning\((?:coalesce\()?cod_ubic", text)
+
+
 def test_ingest_never_overwrites(spark, tmp_path):
     base = str(tmp_path / "landed")
     written = ingest_tables(lambda name: spark.range(3).withColumn("t", F.lit(name)), base)
