@@ -3,8 +3,9 @@
 A batch is a table of changes.  An insert adds a count, a delete withdraws one, a revision
 withdraws the old count and adds the new one.  Each batch is added up to one small table of
 signed totals and written once under its id; the totals are the sum over all batches.  A batch
-whose id is already committed is not applied again, and one that failed half-way leaves nothing
-behind that counts, so a batch may be repeated at will.  ``compact`` folds committed batches
+counts from the moment its folder has the marker of a finished write; one whose id is already
+committed is not applied again, and files of one that failed half-way are neither read nor
+folded, so a batch may be repeated at will.  ``compact`` folds committed batches
 into one table and keeps their ids.
 
 Defined results: null sources, languages and versions are groups of their own; null counts
@@ -12,7 +13,6 @@ count as 0; an unknown kind of change raises an error; groups whose documents ar
 disappear; an empty batch commits and changes nothing; repeated rows of a batch each count.
 """
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,19 +82,27 @@ class TokenRollup:
         delta.write.mode("overwrite").parquet(self._path(batch))
         return True
 
-    def _deltas(self) -> DataFrame:
-        """Signed totals of all committed batches that are not compacted yet."""
-        try:
-            found = self._spark.read.schema(_DELTA).parquet(f"{self._folder}/deltas/*")
-        except AnalysisException:  # no batch yet
-            found = self._spark.createDataFrame([], _DELTA)
+    def _committed(self) -> list[str]:
+        """Folders of the batches that were written to the end, a name a batch."""
+        base = self._spark._jvm.org.apache.hadoop.fs.Path(f"{self._folder}/deltas")
+        files = base.getFileSystem(self._spark._jsc.hadoopConfiguration())
+        if not files.exists(base):
+            return []
+        names = sorted(f.getPath().getName() for f in files.listStatus(base) if f.isDirectory())
+        folders = [f"{self._folder}/deltas/{name}" for name in names]
+        return [folder for folder in folders if self._exists(f"{folder}/_SUCCESS")]
+
+    def _deltas(self, folders: list[str]) -> DataFrame:
+        """Signed totals of the batches in ``folders`` that are not compacted yet."""
+        if not folders:
+            return self._spark.createDataFrame([], _DELTA)
+        found = self._spark.read.schema(_DELTA).parquet(*folders)
         folded = self._folded()
         return found if folded is None else found.join(folded[1], "batch", "left_anti")
 
-    def totals(self) -> DataFrame:
-        """``source``, ``lang``, ``version``, ``n_docs`` and ``n_tokens`` of all live documents."""
+    def _summed(self, folders: list[str]) -> DataFrame:
         columns = [*GROUP, "n_docs", "n_tokens"]
-        rows = self._deltas().select(*columns)
+        rows = self._deltas(folders).select(*columns)
         folded = self._folded()
         if folded is not None:
             rows = rows.union(folded[0].select(*columns))
@@ -104,22 +112,29 @@ class TokenRollup:
             .where("n_docs <> 0 or n_tokens <> 0")
         )
 
+    def totals(self) -> DataFrame:
+        """``source``, ``lang``, ``version``, ``n_docs`` and ``n_tokens`` of all live documents."""
+        return self._summed(self._committed())
+
     def compact(self) -> None:
         """Fold all committed batches into one table of totals and drop their folders.
 
+        The batches are listed once, so one that commits meanwhile is left for the next time.
         The ids of the folded batches are written last, which is what makes the new table count;
-        only then are the folders dropped, so a failure in between changes no total.
+        only then are the folders dropped, so a failure in between changes no total.  Folders of
+        unfinished batches stay for their repeat.
         """
         number = 1
         while self._exists(f"{self._folder}/folded/{number}/batches/_SUCCESS"):
             number += 1
-        batches = self._deltas().select("batch").distinct()
-        gone = [self._path(r.batch) for r in batches.collect()]  # a row a batch
+        gone = self._committed()
+        names = [(bytes.fromhex(folder.rpartition("/")[2]).decode(),) for folder in gone]
+        batches = self._spark.createDataFrame(names, "batch string")  # a row a batch
         folded = self._folded()
         if folded is not None:
-            batches = batches.union(folded[1])
+            batches = batches.union(folded[1]).distinct()
         base = f"{self._folder}/folded/{number}"
-        self.totals().write.mode("overwrite").parquet(f"{base}/totals")
+        self._summed(gone).write.mode("overwrite").parquet(f"{base}/totals")
         batches.write.mode("overwrite").parquet(f"{base}/batches")
         for path in gone:
             target = self._spark._jvm.org.apache.hadoop.fs.Path(path)

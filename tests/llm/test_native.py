@@ -138,6 +138,28 @@ def test_rollup(spark):
     assert apply("bad", ("insert", "s", "en", "v1", 1, None))
 
 
+def test_files_without_a_marker_count_for_nothing(spark):
+    changes = "op string, source string, lang string, version string, n_tokens long, old_tokens long"
+    folder = fresh_folder(spark, "rollup-marker")
+    totals = rollup.TokenRollup(spark, folder)
+    one = spark.createDataFrame([("insert", "s", "en", "v", 10, None)], changes)
+    assert totals.apply("done", one)
+    # All files of a second batch are in place, only its marker is missing.
+    assert totals.apply("lost", one)
+    path = f"{folder}/deltas/{b'lost'.hex()}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    wanted = [("s", "en", "v", 1, 10)]
+    assert rows(totals.totals()) == wanted and not totals.committed("lost")
+    totals.compact()
+    assert rows(totals.totals()) == wanted
+    assert totals.committed("done") and not totals.committed("lost")
+    assert totals.apply("lost", one) and not totals.apply("done", one)
+    assert rows(totals.totals()) == [("s", "en", "v", 2, 20)]
+    totals.compact()
+    assert rows(totals.totals()) == [("s", "en", "v", 2, 20)] and totals.committed("lost")
+
+
 def test_unfinished_batch_counts_for_nothing(spark):
     folder = fresh_folder(spark, "rollup")
     totals = rollup.TokenRollup(spark, folder)
