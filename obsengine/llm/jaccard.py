@@ -30,11 +30,15 @@ from obsengine.session import fresh_folder
 
 
 def choose_bands(threshold: float, recall: float, max_hashes: int = 200) -> tuple[int, int]:
-    """Bands and rows: the most rows whose bands reach ``recall`` at ``threshold``."""
-    best = (1, 1)
+    """Bands and rows: the most rows whose bands reach ``recall`` at ``threshold``.
+
+    Of several rows only as many are taken as ``max_hashes`` allows; a single row has as many
+    bands as the recall needs, whatever that is.
+    """
+    best = (0, 0)
     for rows in range(1, 33):
         bands = math.ceil(math.log(1 - recall) / math.log1p(-(threshold**rows)))
-        if bands * rows <= max_hashes:
+        if rows == 1 or bands * rows <= max_hashes:
             best = (bands, rows)
     return best
 

@@ -1,19 +1,19 @@
 """Document fingerprints by spot signatures, in DataFrame operations.
 
 Every content word that follows a run of common words starts a signature: a hash of the last
-common word of the run, that content word and the next ones, ``chain`` in all.  A text's
-fingerprint is its set of signatures.  So that lists and other texts with few common words have
-signatures too, one content word in eight, chosen by its hash, starts one like a common word;
-a text with fewer than six signatures also has one for every two neighbouring words.  Two fingerprints are compared by Jaccard similarity.  For joins, sets are
-partitioned by length so that sets too different in length never meet, and a pair is only
-looked at when it shares one of the rarest signatures that a similar set must contain.
+common word of the run, that content word and the next ones, ``chain`` in all.  The start of the
+text and of every line counts as a common word, so that lists have signatures too; this holds
+for texts of any length.  A text's fingerprint is its set of signatures.  Two fingerprints are
+compared by Jaccard similarity.  For joins, sets are partitioned by length so that sets too
+different in length never meet, and a pair is only looked at when it shares one of the rarest
+signatures that a similar set must contain.
 
 Words are runs of characters other than ASCII white space, punctuation and signs, in lower
 case.
 
-Defined results: a null text is the empty text; texts without words have the empty fingerprint
+Defined results: a null text is the empty text; texts without content words have the empty fingerprint
 and likeness 1 to each other, 0 to all others; equal texts have equal fingerprints; null ids
-come first in the order of ids, and rows with one id are ordered by length, then by text.
+come first in the order of ids, and rows with one id are ordered by text.
 """
 
 import math
@@ -38,47 +38,37 @@ MIN_LONG = -(1 << 63)
 _GAP = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
 
 
-def with_signatures(
-    docs: DataFrame, text: str, signatures: str, chain: int = 3, min_spots: int = 6
-) -> DataFrame:
+#: Stands for the start of a text or line; a character for private use, so no word.
+_START = "\uE000"
+
+
+def with_signatures(docs: DataFrame, text: str, signatures: str, chain: int = 3) -> DataFrame:
     """``docs`` with the sorted distinct signatures of a text as an array of longs.
 
-    With fewer than ``min_spots`` spots every pair of neighbouring words counts as well.  Each
-    step is a projection of its own that later ones refer to more than once, so Spark evaluates
-    it once a row.
+    Each step is a projection of its own that later ones refer to more than once, so Spark
+    evaluates it once a row.
     """
-    line = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), _GAP, " ")
+    lines = F.regexp_replace(F.lower(F.coalesce(F.col(text), F.lit(""))), "[\\n\\r]+", f" {_START} ")
+    line = F.regexp_replace(F.concat(F.lit(f"{_START} "), lines), _GAP, " ")
     words = docs.withColumn("__words", F.split(F.trim(line), " "))
     w = F.col("__words")
+    anchors = (*ANCHORS, _START)
     # Content words, each with the common word right before it, if any.
     marked = F.transform(
         w,
-        lambda x, i: F.when(x.isin(*ANCHORS) | (x == ""), None)
-        .when((i > 0) & F.get(w, i - 1).isin(*ANCHORS), F.concat(F.get(w, i - 1), F.lit(" "), x))
+        lambda x, i: F.when(x.isin(*anchors), None)
+        .when((i > 0) & F.get(w, i - 1).isin(*anchors), F.concat(F.get(w, i - 1), F.lit(" "), x))
         .otherwise(x),
     )
     found = words.withColumn("__marked", F.filter(marked, lambda x: x.isNotNull()))
     m = F.col("__marked")
     found = found.withColumn("__plain", F.transform(m, lambda x: F.substring_index(x, " ", -1)))
     p = F.col("__plain")
-    # Words beside their followers; a word without a common word starts a chain by its hash.
     after = [F.slice(p, F.lit(k + 1), F.size(p)).alias(f"w{k}") for k in range(1, chain)]
-    spots = F.filter(
-        F.arrays_zip(m.alias("w0"), *after),
-        lambda z: F.contains(z["w0"], F.lit(" "))
-        | (F.pmod(F.xxhash64(z["w0"]), F.lit(8)) == 0),
-    )
+    spots = F.filter(F.arrays_zip(m.alias("w0"), *after), lambda z: F.contains(z["w0"], F.lit(" ")))
     chains = F.transform(spots, lambda z: F.xxhash64(*(z[f"w{k}"] for k in range(chain))))
-    found = found.withColumn("__found", chains)
-    neighbours = F.transform(
-        F.arrays_zip(w.alias("w0"), F.slice(w, F.lit(2), F.size(w)).alias("w1")),
-        lambda z: F.xxhash64(z["w0"], z["w1"]),
-    )
-    f = F.col("__found")
-    few = F.when(w[0] == "", f).otherwise(F.concat(f, neighbours))
-    enough = F.when(F.size(f) >= min_spots, f).otherwise(few)
-    return found.withColumn(signatures, F.array_sort(F.array_distinct(enough))).drop(
-        "__words", "__marked", "__plain", "__found"
+    return found.withColumn(signatures, F.array_sort(F.array_distinct(chains))).drop(
+        "__words", "__marked", "__plain"
     )
 
 
@@ -127,13 +117,21 @@ def similar(
                 F.lit(1.0).alias("likeness"))
     )
     size = F.size("set")
-    # A similar set shares one of the first size - ceil(t * size) + 1 signatures in rare order;
-    # hashes are as good as rare order when all signatures are about equally rare.
+    # A similar set shares one of the first size - ceil(t * size) + 1 signatures, rarest first.
     prefix = size - F.ceil(F.lit(threshold) * size) + 1
-    probe = classes.select(
+    spread = classes.select(
         "id",
         length_part(size, threshold).alias("part"),
-        F.explode(F.slice("set", F.lit(1), prefix.cast("int"))).alias("signature"),
+        prefix.alias("prefix"),
+        F.explode("set").alias("signature"),
+    )
+    sharing = spread.groupBy("signature").agg(F.count(F.lit(1)).alias("sets"))
+    rare = F.row_number().over(Window.partitionBy("id").orderBy("sets", "signature"))
+    probe = (
+        spread.join(sharing, "signature")
+        .withColumn("turn", rare)
+        .where("turn <= prefix")
+        .select("id", "part", "signature")
     )
     reach = probe.withColumn("part", F.explode(F.array(F.col("part"), F.col("part") + 1)))
     met = (
@@ -208,7 +206,8 @@ def with_next(
         "head.*", F.coalesce(earlier, last).alias("slice"), F.lit(True).alias("copy")
     )
     own = placed.withColumn("copy", F.lit(False))
-    dealt = derive(own.unionByName(copies).repartition(slices, "slice"))
+    # By range: a hash would put several slices into one partition and leave others empty.
+    dealt = derive(own.unionByName(copies).repartitionByRange(slices, "slice"))
     order = Window.partitionBy("slice").orderBy("copy", F.col("key").asc_nulls_first(), "text")
     follow = [c for c in dealt.columns if c not in ("key", "slice", "copy")]
     return (

@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from obsengine.llm import embeddings, jaccard, spotsigs
@@ -217,36 +218,65 @@ def test_next_document_with_odd_keys(spark):
 
 
 def brute_signatures(text):
-    text = re.sub(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ", (text or "").lower())
-    words, anchors = text.split(" "), set(spotsigs.ANCHORS)
-    words = [w for w in words if w]
-    content = [i for i, w in enumerate(words) if w not in anchors]
-    chains = []
-    for n, i in enumerate(content):
-        if i and words[i - 1] in anchors:
-            chains.append((words[i - 1], words[i], *(words[j] for j in content[n + 1 : n + 3])))
+    """Chains in order: the last common word (or a start), the content word, the next two."""
+    anchors, chains, content = set(spotsigs.ANCHORS), [], []
+    for line in re.split(r"[\n\r]+", (text or "").lower()):
+        before = "\uE000"
+        for word in re.sub(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", " ", line).split(" "):
+            if word and word not in anchors:
+                content.append((before, word))
+            before = word if word in anchors else before if not word else None
+    for n, (before, word) in enumerate(content):
+        if before is not None:
+            chains.append((before, word, *(w for _, w in content[n + 1 : n + 3])))
     return chains
 
 
+def brute_set(text):
+    """Signatures as Spark's hash of several texts gives them: each seeds the next."""
+    out = set()
+    for before, *words in brute_signatures(text):
+        value = 42
+        for word in (f"{before} {words[0]}", *words[1:]):
+            value = xxhash.xxh64_intdigest(word.encode(), seed=value)
+        out.add(value - (1 << 64) if value >> 63 else value)
+    return out
+
+
+def brute_likeness(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
 def test_signatures_follow_common_words(spark):
     text = "The cat and the of Dog runs, in a BIG house by night of"
     assert brute_signatures(text) == [
         ("the", "cat", "dog", "runs"), ("of", "dog", "runs", "big"), ("a", "big", "house", "night"),
         ("by", "night"),
     ]
-    texts = [text, text + " zebra", "", None, "the", "of " * 20_000 + "end", "x", "a\u0001b the c"]
-    texts += [" ".join(random.Random(i).choices(["the", "of", *"bcdfghjk"], k=60)) for i in range(20)]
+    assert brute_signatures("plain words\n\nnext of line") == [
+        ("\uE000", "plain", "words", "next"), ("\uE000", "next", "line"), ("of", "line"),
+    ]
+    texts = [text, text + " zebra", "", None, "the", "of " * 20_000 + "end", "x", "a\u0001b the c", "\n\r\n", "a\rb\nc"]
+    texts += [" ".join(random.Random(i).choices(["the", "of", *"bcdfghjk", "É", "\n", "-"], k=60)) for i in range(20)]
     frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    found = spotsigs.with_signatures(frame, "text", "s", min_spots=0).collect()
-    sets = {r.doc_id: set(r.s) for r in found}
-    for r in found:
-        assert r.s == sorted(set(r.s))
-    # As many signatures as different chains, beyond those that a hash starts.
-    for i in range(8, 28):
-        assert len(sets[i]) >= len(set(brute_signatures(texts[i])))
-    assert sets[2] == sets[3] == set()
-    own = spotsigs.with_signatures(frame, "text", "s")
-    assert {r[0] for r in own.select(spotsigs.likeness(F.col("s"), F.col("s"))).collect()} == {1.0}
+    for r in spotsigs.with_signatures(frame, "text", "s").collect():
+        assert r.s == sorted(brute_set(texts[r.doc_id])), texts[r.doc_id]
+
+
+@pytest.mark.parametrize("threshold, recall", [(0.01, 0.9), (0.03, 0.9995), (0.3, 0.99), (0.8, 0.9995), (0.99, 0.5)])
+def test_bands_reach_their_recall(threshold, recall):
+    bands, per_band = jaccard.choose_bands(threshold, recall)
+    assert 1 - (1 - threshold**per_band) ** bands >= recall
+    assert jaccard.choose_bands(0.8, 0.9995) == (26, 6)
+
+
+def test_likeness_has_no_step(spark):
+    """Texts of n and n + 1 equal parts are the more alike the longer they are."""
+    texts = [(n, " ".join(f"the wort{i}q" for i in range(n))) for n in range(1, 40)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    sets = {r.doc_id: set(r.s) for r in spotsigs.with_signatures(frame, "text", "s").collect()}
+    likes = [brute_likeness(sets[n], sets[n + 1]) for n in range(3, 39)]
+    assert all(a <= b for a, b in zip(likes, likes[1:])) and likes[-1] > 0.85
 
 
 def test_similar_fingerprints(spark):
@@ -285,6 +315,16 @@ def test_edited_texts(spark):
         )
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
     assert sum(r.near_edited > r.near_next for r in found) > 0.95 * len(found)
+    sets = [brute_set(d.text) for d in docs]
+    for i, (doc, r) in enumerate(zip(docs, found, strict=True)):
+        half = len(doc.text) // 2
+        following = docs[(i + 1) % len(docs)].text
+        changed = brute_set(doc.text[: len(doc.text) - half] + following[:half])
+        for print_, signatures in ((r.fingerprint, sets[i]), (r.edited_fingerprint, changed)):
+            joined = hashlib.sha256(",".join(map(str, sorted(signatures))).encode()).hexdigest()
+            assert print_ == (f"{len(signatures)}-{joined}" if signatures else "")
+        assert r.near_edited == pytest.approx(brute_likeness(sets[i], changed), abs=1e-12)
+        assert r.near_next == pytest.approx(brute_likeness(sets[i], sets[(i + 1) % len(docs)]), abs=1e-12)
     same = {}
     for doc, r in zip(docs, found, strict=True):
         same.setdefault(doc.text, set()).add(r.fingerprint)
