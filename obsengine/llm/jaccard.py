@@ -19,9 +19,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obsengine.llm.columns import _quoted
 from obsengine.llm.components import components, settled
 from obsengine.llm.pieces import ARRAY_CHARS, text_chunks
 from obsengine.llm.vectors import MIX, spread, word_hashes
@@ -99,6 +100,11 @@ class MinHash:
         return found.view(np.int64)
 
 
+def _key_type(docs: DataFrame, key: str) -> str:
+    """Keys are whole numbers or texts."""
+    return "string" if dict(docs.dtypes)[key] == "string" else "long"
+
+
 def _signatures(
     docs: DataFrame, key: str, text: str, width: int, bands: int, rows: int
 ) -> DataFrame:
@@ -120,8 +126,9 @@ def _signatures(
                     names=["key", "set_key", "n_grams", "buckets"],
                 )
 
-    source = docs.select(F.col(key).cast("long"), F.col(text).cast("string"))
-    return map_arrow(source, run, "key long, set_key string, n_grams long, buckets array<long>")
+    kind = _key_type(docs, key)
+    source = docs.select(F.col(key).cast(kind), F.col(text).cast("string"))
+    return map_arrow(source, run, f"key {kind}, set_key string, n_grams long, buckets array<long>")
 
 
 def _candidate_groups(classes: DataFrame, folder: str) -> DataFrame:
@@ -284,6 +291,36 @@ def jaccard_groups(
     )
 
 
+def row_key(key: str, text: str) -> Column:
+    """A text that tells rows by id and text and sorts them by id, null ids last."""
+    known = F.col(_quoted(key)).cast("long")
+    shifted = known.bitwiseAND(F.lit((1 << 63) - 1))  # negative ids moved up by 2^63
+    place = F.concat(F.when(known < 0, "0").otherwise("1"), F.lpad(shifted.cast("string"), 19, "0"))
+    digest = F.md5(F.coalesce(F.col(_quoted(text)), F.lit("")).cast("binary"))
+    return F.concat_ws(":", F.coalesce(place, F.lit("2")), digest)
+
+
+def first_of_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` with one row of each group of similar texts, the one with the smallest id.
+
+    Rows are told apart by id and text, so rows of one id are judged by their own texts.  Of rows
+    of one id and text the one whose other columns come first in their order stays, nulls first; wordless
+    texts are similar to nothing else, and a null text counts as the empty one.  Runs jobs.
+    """
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    at = {c: n for c, n in zip(docs.columns, names)}
+    plain = docs.toDF(*names)
+    keyed = plain.withColumn("row", row_key(at[key], at[text]))
+    groups = jaccard_groups(keyed.select("row", F.col(at[text]).alias("text")), "row", "text", **options)
+    folder = fresh_folder(docs.sparkSession, "kept")
+    kept = settled(groups.where("kept").groupBy("row").agg(F.count(F.lit(1)).alias("n")), f"{folder}/all")
+    single = keyed.join(kept.where("n = 1"), "row", "left_semi")
+    # Few as a rule, and of known size; copies are met before the shuffle, so many are no single task.
+    many = settled(kept.where("n > 1").select("row"), f"{folder}/repeated")
+    repeated = keyed.join(many, "row").groupBy("row").agg(F.min(F.struct(*names)).alias("one"))
+    return single.select(*names).union(repeated.select("one.*")).toDF(*docs.columns)
+
+
 def _links(
     docs: DataFrame, members: DataFrame, key: str, text: str, width: int, threshold: float
 ) -> DataFrame:
@@ -302,7 +339,7 @@ def _links(
                     names=["set_key", "component", "block", "blocks", "copies", "grams"],
                 )
 
-    texts = docs.select(F.col(key).cast("long").alias("first"), F.col(text).alias("body"))
+    texts = docs.select(F.col(key).cast(_key_type(docs, key)).alias("first"), F.col(text).alias("body"))
     wanted = members.join(texts, texts["first"].eqNullSafe(members["first"])).select(
         "body", "set_key", "component", "block", "blocks", "copies"
     )

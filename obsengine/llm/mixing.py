@@ -17,6 +17,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from obsengine.llm.columns import _quoted
 from obsengine.session import fresh_folder
 
 _BIG = "decimal(38,0)"
@@ -68,6 +69,20 @@ def _shares(nodes: DataFrame, parents: Sequence[str], child: str) -> DataFrame:
     return nodes.select(*parents, child, share.cast(_BIG).alias("budget"))
 
 
+def _plain(
+    levels: Sequence[str], weights: Mapping[str, Mapping[str, int]]
+) -> tuple[list[str], dict[str, Mapping[str, int]]]:
+    """Names of the levels that no column made here can meet, and the weights by them."""
+    names = [f"l{i}" for i in range(len(levels))]
+    return names, {n: weights[level] for n, level in zip(names, levels) if level in weights}
+
+
+def _distinct(names: Sequence[str]) -> None:
+    twice = sorted({n for n in names if names.count(n) > 1})
+    if twice:
+        raise ValueError(f"columns {twice} of the result would have the same name; rename them")
+
+
 def leaf_budgets(
     leaves: DataFrame,
     levels: Sequence[str],
@@ -79,6 +94,20 @@ def leaf_budgets(
 
     ``weights`` gives whole numbers by level and value; values not named weigh 1.
     """
+    out = [*levels, "available", "budget"]
+    _distinct(out)
+    names, by_name = _plain(levels, weights)
+    plain = leaves.select(*(F.col(_quoted(c)).alias(n) for c, n in zip(levels, names)), "available")
+    return _leaf_budgets(plain, names, by_name, budget, max_epochs).toDF(*out)
+
+
+def _leaf_budgets(
+    leaves: DataFrame,
+    levels: Sequence[str],
+    weights: Mapping[str, Mapping[str, int]],
+    budget: int,
+    max_epochs: int,
+) -> DataFrame:
     leaves = leaves.withColumn("capacity", (F.col("available") * max_epochs).cast(_BIG))
     for level in levels:
         leaves = leaves.withColumn(f"__{level}", _weight(level, weights))
@@ -121,8 +150,29 @@ def mix(
     The budget is ``share`` of all tokens.  ``taken`` is the length of the row's token prefix:
     all of it but for the last row of a leaf.  Rows of a leaf are ordered by a hash of seed,
     epoch and key; a leaf's running total is built from totals of slices of that order, so a
-    large leaf is many tasks.
+    large leaf is many tasks.  Levels and the key may have any names that the result can show.
     """
+    out = [key, *levels, tokens, "epoch", "taken"]
+    _distinct(out)
+    names, by_name = _plain(levels, weights)
+    plain = docs.select(
+        F.col(_quoted(key)).alias("k"),
+        *(F.col(_quoted(c)).alias(n) for c, n in zip(levels, names)),
+        F.col(_quoted(tokens)).alias("n"),
+    )
+    return _mix(plain, names, by_name, share, max_epochs, seed, "k", "n").toDF(*out)
+
+
+def _mix(
+    docs: DataFrame,
+    levels: Sequence[str],
+    weights: Mapping[str, Mapping[str, int]],
+    share: float,
+    max_epochs: int,
+    seed: int,
+    key: str,
+    tokens: str,
+) -> DataFrame:
     spark = docs.sparkSession
     folder = fresh_folder(spark, "mixing")
     docs.where(F.col(tokens) > 0).select(key, *levels, F.col(tokens).cast("long")).write.parquet(
@@ -133,7 +183,7 @@ def mix(
     leaves.write.parquet(f"{folder}/leaves")
     leaves = spark.read.parquet(f"{folder}/leaves")
     total = leaves.agg(F.sum("available")).first()[0] or 0
-    budgets = leaf_budgets(leaves, levels, weights, int(total * share), max_epochs)
+    budgets = _leaf_budgets(leaves, levels, weights, int(total * share), max_epochs)
     budgets = budgets.select(
         *levels,
         F.expr("budget div available").alias("__epochs"),

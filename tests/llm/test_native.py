@@ -99,6 +99,23 @@ def test_mix(spark, share, epochs):
         assert each == Counter({k: n * complete for k, n in again.items() if complete})
 
 
+def test_levels_may_have_any_name(spark):
+    inner = "budget capacity part available weight before rest left turn full spare open k n l0 l1".split()
+    rnd = random.Random(5)
+    table = [(i, rnd.choice("ab"), rnd.choice(["x", "y", None]), rnd.randrange(30)) for i in range(60)]
+    weights = [{"a": 3}, {"x": 2}]
+    plain = None
+    for first, second in zip(inner[::2], inner[1::2]):
+        docs = spark.createDataFrame(table, f"id long, `{first}` string, `{second}` string, size long")
+        named = {first: weights[0], second: weights[1]}
+        found = mixing.mix(docs, [first, second], named, 0.5, 2, key="id", tokens="size")
+        assert found.columns == ["id", first, second, "size", "epoch", "taken"]
+        plain = plain or rows(found)
+        assert rows(found) == plain and plain
+    with pytest.raises(ValueError, match="taken"):
+        mixing.mix(docs.withColumnRenamed("l0", "taken"), ["taken", "l1"], {}, 0.5, key="id", tokens="size")
+
+
 def test_mix_is_seeded_and_takes_empty_tables(spark):
     frame = spark.createDataFrame(documents(5, 200), DDL)
     one, same, other = (

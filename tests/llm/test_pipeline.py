@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 import __spark_entry__
 import corpus_pipeline
 from checks.compare import connect, difference
+from obsengine.llm import jaccard
 from obsengine.llm.oracles import ORACLES
 from obsengine.llm.queries import (
     BYTE_BPE,
@@ -78,6 +79,32 @@ def test_near_duplicate_stage(spark, documents):
     assert {(r[0], r[1]) for r in kept} == wanted and set(kept.values()) == {1}
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    text = " ".join(f"word{i}" for i in range(200))
+    other = " ".join(f"other{i}" for i in range(80))
+    table = [
+        (1, text, "en", "a", 1), (5, text + " end", "en", "a", 2), (5, other, "en", "a", 3),
+        (7, other, "de", "b", 4), (7, other, None, "z", 4), (7, other, "de", "a", None),
+        (-3, "short", None, None, None), (None, "short", None, None, None), (8, None, "x", "y", 0),
+        (8, "", "w", "y", 0), (9, "", "w", "y", 0), (None, None, None, None, None),
+    ]
+    docs = spark.createDataFrame(table, spark.read.parquet(f"{SMALL}/documents.parquet").schema)
+    kept = listed(stage("near_duplicates")(spark, docs, SMALL))
+    # The near copy of 1 goes although its id has another row, which stays for its copies.
+    assert kept == Counter(
+        [table[0], table[2], table[6], (8, None, "x", "y", 0), (9, "", "w", "y", 0), (None,) * 5]
+    )
+    alone = spark.createDataFrame(table[3:6], docs.schema)
+    assert listed(stage("near_duplicates")(spark, alone, SMALL)) == Counter([table[4]])
+
+
+def test_near_duplicates_keep_the_smallest_id(spark):
+    ids = [-(1 << 63), -5, -1, 0, 3, 12, (1 << 63) - 1, None]
+    frame = spark.createDataFrame([(i, "t") for i in ids], "doc_id long, text string")
+    keys = [r[0] for r in frame.select(jaccard.row_key("doc_id", "text")).collect()]
+    assert keys == sorted(keys) and len(set(keys)) == len(ids)
+
+
 def test_mixing_stage(spark, documents):
     kept = stage("mixing")(spark, documents, SMALL).collect()
     original = Counter()
