@@ -49,19 +49,16 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of similar texts, the one with the smallest id."""
-    groups = jaccard.jaccard_groups(docs)
-    kept = groups.where("kept").select(F.col("doc_id").alias("__id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    same = Window.partitionBy("doc_id", F.md5("text")).orderBy("doc_id")
-    return rows.withColumn("__turn", F.row_number().over(same)).where("__turn = 1").drop("__turn")
+    return jaccard.first_of_groups(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps what the target weights choose; the last text of a leaf is cut to its words."""
-    marked = docs.withColumn("__row", row_digest("doc_id", "text"))
+    leaf = [F.coalesce(F.concat(F.lit("="), F.col(c)), F.lit("")) for c in ("lang", "source")]
+    marked = docs.withColumn("__row", F.md5(F.concat_ws("/", row_digest("doc_id", "text"), *leaf)))
     tree = with_tree(marked, "__row")
     chosen = mixing.mix(tree, MIX_LEVELS, MIX_WEIGHTS, MIX_SHARE, key="__row")
-    # Rows that are equal share a digest: as many of them are kept as were chosen.
+    # Rows equal in id, text and leaf share a digest: as many of them are kept as were chosen.
     chosen = chosen.groupBy("__row").agg(
         F.count(F.lit(1)).alias("__chosen"),
         F.min("taken").alias("__least"),
