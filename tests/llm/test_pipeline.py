@@ -32,7 +32,7 @@ def test_queries_match_their_sql(spark, name):
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert "pipeline" in names and set(ORACLES) <= set(__spark_entry__.oracle_sql())
 
 
