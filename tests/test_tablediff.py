@@ -14,6 +14,7 @@ from obsengine.operators.tablediff.compare import (
 )
 from obsengine.operators.tablediff.context import (
     drop_blank_rows,
+    near_or_edge,
     prune_columns,
     with_context,
     with_positions,
@@ -308,6 +309,45 @@ def test_positions_and_context(spark):
     assert near == {p + d for p in hit for d in range(-2, 3) if 0 <= p + d < n}
 
 
+@pytest.mark.parametrize("around", [0, 1, 3])
+@pytest.mark.parametrize("gap", [1, 5, 1000])
+def test_context_over_ranges_of_any_size(spark, around, gap):
+    """Gap 1 cuts at so many rows that ranges are shorter than the context."""
+    rng = random.Random(around * 10 + gap)
+    table = [
+        (rng.choice(["", "", "", "", "->", "+++"]), rng.choice([None, 1.0, 2.0, 2.5]), k if k else None)
+        for k in range(90)
+    ]
+    diff = frame(spark, table, "action string, day double, k long")
+    want = sorted(table, key=lambda r: (r[1] is not None, r[1] or 0, r[2] is not None, r[2] or 0))
+    hit = [at for at, r in enumerate(want) if r[0]]
+    near = {at for p in hit for at in range(p - around, p + around + 1) if 0 <= at < len(want)}
+    got = with_context(diff, ["day", "k"], around, gap)
+    assert sorted((r.position, r.action, r.day, r.k) for r in got.collect()) == sorted(
+        ((at, *want[at]) for at in near), key=lambda r: r[0]
+    )
+
+
+def test_context_of_nothing(spark):
+    diff = frame(spark, [], "action string, k long")
+    assert with_context(diff, ["k"]).collect() == []
+    with pytest.raises(ValueError):
+        with_context(diff, ["k"], -1)
+
+
+def test_context_writes_edges_only(spark):
+    n = 60_000
+    action = F.when(F.col("id") % 10_000 == 5, "->").otherwise("")
+    diff = spark.range(n).select(action.alias("action"), F.xxhash64("id").alias("k"))
+    kept = near_or_edge(diff, ["k"], 2)
+    pieces = kept.select("_piece").distinct().count()
+    assert 1 < pieces <= 2 * int(spark.conf.get("spark.sql.shuffle.partitions")) + 1
+    assert kept.count() <= 5 * 6 + 4 * pieces
+    assert with_context(diff, ["k"], 2).count() <= 5 * 6
+    text = kept._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange") == 1 and "Exchange hashpartitioning(_piece" in text
+
+
 def test_blank_rows(spark):
     df = frame(spark, [(1, "a"), (2, ""), (3, "b"), (4, ""), (5, None)])
     assert [r.k for r in drop_blank_rows(df, order_by="k").orderBy("k").collect()] == [1, 2, 3]
