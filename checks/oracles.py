@@ -781,6 +781,7 @@ ORACLES: dict[str, str] = {
     "diff_pruned": f"""select action, o_orderkey, old_o_orderstatus, new_o_orderstatus,
         old_o_totalprice, new_o_totalprice, new_note, changed from ({DIFF_KEYED})""",
     "apply_patch": SNAPSHOTS["orders_after"],
+    "patch_stored": SNAPSHOTS["orders_reshaped"],
     "patch_text_key": PATCH_TEXT_KEY,
     "patch_three_way": _patch_three_way(),
     "diff_keyless": _keyless("accounts_before", "accounts_after", _ACCOUNT, _ACCOUNT),

@@ -45,7 +45,7 @@ from obsengine.operators.tablediff.merge import (
     three_way_patch,
     with_conflict_texts,
 )
-from obsengine.operators.tablediff.patch import apply_patch
+from obsengine.operators.tablediff.patch import apply_patch, with_schema_rows
 from obsengine.plans.layers import PREP_TABLES, build_layers
 from obsengine.plans.marts import fct_annual, fct_daily
 from obsengine.plans.no2 import DAILY_INDICATORS as NO2_DAILY
@@ -419,6 +419,16 @@ def q_apply_patch(spark, folder):
     return apply_patch(before, diff_rows(before, after, ORDER_KEY), ORDER_KEY, changes)
 
 
+def q_patch_stored(spark, folder):
+    """The patch is stored with its added, dropped and renamed columns and applied alone."""
+    before, after = _pair(spark, folder, after="orders_reshaped")
+    renames = {"o_totalprice": "price"}
+    diff = diff_rows(before, after, ORDER_KEY, renames=renames)
+    path = fresh_folder(spark, "patch")
+    with_schema_rows(diff, column_changes(before, after, renames)).write.parquet(path)
+    return apply_patch(before, spark.read.parquet(path), ORDER_KEY, None)
+
+
 def q_diff_keyless(spark, folder):
     return with_listed(diff_keyless(*_pair(spark, folder, "accounts_before", "accounts_after")))
 

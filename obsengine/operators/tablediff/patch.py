@@ -9,21 +9,55 @@ from pyspark.sql import functions as F
 from obsengine.operators.tablediff.columns import ColumnChange
 from obsengine.operators.tablediff.compare import ADDED_CELLS, DELETE, INSERT, UPDATE
 
+# Fixed value: action of a row that describes a column.
+SCHEMA = "!"
+
+
+def with_schema_rows(diff: DataFrame, columns: Sequence[ColumnChange]) -> DataFrame:
+    """A difference that carries its column changes, so that it can be stored and applied alone.
+
+    Each added, dropped or renamed column is a row of its own with the action ``!``; ``changed``
+    holds the old and new name and the old and new type, NULL where a side lacks the column, and
+    the other cells are NULL.
+    """
+    said = [
+        F.array(*[F.lit(v).cast("string") for v in (c.old, c.new, c.old_type, c.new_type)])
+        for c in columns
+        if c.old != c.new
+    ]
+    if not said:
+        return diff
+    cells = {"action": F.lit(SCHEMA), "changed": F.col("_said")}
+    described = diff.sparkSession.range(1).select(F.explode(F.array(*said)).alias("_said"))
+    return diff.unionByName(
+        described.select(
+            *[cells.get(n, F.lit(None)).cast(t).alias(n) for n, t in diff.dtypes]
+        )
+    )
+
+
+def schema_rows(patch: DataFrame) -> list[ColumnChange]:
+    """The column changes that a difference carries.  Runs a job that returns a row a column."""
+    found = patch.filter(F.col("action") == SCHEMA).select("changed").collect()
+    return sorted((ColumnChange(*r.changed) for r in found), key=lambda c: c.name)
+
 
 def apply_patch(
     table: DataFrame,
     patch: DataFrame,
     keys: Sequence[str],
-    columns: Sequence[ColumnChange] = (),
+    columns: Sequence[ColumnChange] | None = (),
 ) -> DataFrame:
     """The table after a difference made by ``diff_rows``.
 
     Deletes and updates apply where the key and all old cells of the patch row
     match; conflicting rows of a three-way difference are skipped.  A difference by key text
     has old and new key cells: the old ones find the row, whose key becomes the new one.  ``columns``
-    adds, drops and renames columns.  Both kinds of change find their rows in one
+    adds, drops and renames columns; None takes them from the patch's own schema rows
+    (``with_schema_rows``), which are skipped otherwise.  Both kinds of change find their rows in one
     join, so the table is shuffled once, or not at all under a small patch.
     """
+    columns = schema_rows(patch) if columns is None else columns
     for change in columns:
         if change.old is not None and change.new not in (None, change.old):
             table = table.withColumnRenamed(change.old, change.new)

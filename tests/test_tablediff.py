@@ -28,7 +28,7 @@ from obsengine.operators.tablediff.merge import (
     with_conflict_texts,
 )
 from obsengine.operators.tablediff.neighbours import link_neighbours
-from obsengine.operators.tablediff.patch import apply_patch
+from obsengine.operators.tablediff.patch import apply_patch, schema_rows, with_schema_rows
 from tests.conftest import rows
 
 SCHEMA = "k int, v string"
@@ -284,6 +284,24 @@ def test_patch_with_column_changes(spark):
     assert rows(patched.select(*right.columns)) == rows(right)
 
 
+def test_patch_carries_its_column_changes(spark, tmp_path):
+    left = frame(spark, [(i, "v", 1.0) for i in range(5)], "k int, old string, gone double")
+    right = frame(spark, [(i, "w", "n") for i in range(2, 8)], "k int, new string, extra string")
+    changes = column_changes(left, right, {"old": "new"})
+    diff = with_schema_rows(diff_rows(left, right, ["k"], renames={"old": "new"}), changes)
+    diff.write.parquet(f"{tmp_path}/patch")
+    stored = spark.read.parquet(f"{tmp_path}/patch")
+    assert [(c.old, c.new) for c in schema_rows(stored)] == [(None, "extra"), ("gone", None), ("old", "new")]
+    patched = apply_patch(left, stored, ["k"], None)
+    assert rows(patched.select(*right.columns)) == rows(right)
+    assert dict(patched.dtypes) == dict(right.dtypes)
+    # Given column changes win over the schema rows, and without any change there are none.
+    assert rows(apply_patch(left, stored, ["k"], changes).select(*right.columns)) == rows(right)
+    same = diff_rows(left, left, ["k"])
+    assert with_schema_rows(same, column_changes(left, left)) is same
+    assert rows(apply_patch(left, same, ["k"], None)) == rows(left)
+
+
 def test_patch_leaves_rows_that_changed_meanwhile(spark):
     left, right = frame(spark, [(1, "a"), (2, "b")]), frame(spark, [(1, "x")])
     diff = diff_rows(left, right, ["k"])
