@@ -2,9 +2,10 @@
 
 Texts with equal n-gram sets form one class of copies and are compared once.  Band and row
 counts are chosen for a wanted recall at the threshold.  Classes that share a band hash are
-linked to the smallest class of that bucket, never to each other, and the connected groups of
-these links hold all candidates.  In each group every pair is verified on its full n-gram sets;
-large groups are cut into blocks and each pair of blocks is a task of its own.
+candidates.  They meet bucket by bucket, or in the connected group of their buckets where that
+takes fewer comparisons, and every pair there is verified on its full n-gram sets; a pair that
+meets in several buckets counts in one.  Large buckets and groups are cut into blocks and each
+pair of blocks is a task of its own.  Groups of results are components over verified links.
 
 A word is a run of letters and digits in lower case.  A text with fewer words than an n-gram
 has one n-gram of all its words.
@@ -131,22 +132,69 @@ def _signatures(
     return map_arrow(source, run, f"key {kind}, set_key string, n_grams long, buckets array<long>")
 
 
-def _candidate_groups(classes: DataFrame, folder: str) -> DataFrame:
-    """``node`` and ``component`` of classes that share a bucket with another class.
+def _blocks(classes: int, grams: int) -> Column:
+    """Number of blocks for the classes aggregated."""
+    rows, size = F.count(F.lit(1)), F.sum("n_grams")
+    return F.greatest(F.ceil(rows / classes), F.ceil(size / grams)).alias("blocks")
 
-    The buckets with several classes are written before they are joined, so that adaptive
-    execution can split a bucket that holds very many.
+
+def candidate_places(
+    classes: DataFrame, folder: str, block_classes: int = 400, block_grams: int = 1_000_000
+) -> DataFrame:
+    """``node`` and ``places`` (place, block, blocks) of classes that share a bucket with another.
+
+    A pair is verified where both classes have the same place.  The classes that shared buckets
+    connect meet in one place if that asks for no more comparisons than their buckets do one by
+    one (near copies share most of their bands); otherwise, as in long chains of texts that
+    resemble only the next one, each bucket is a place of its own.  The shared buckets are written
+    before they are joined, so that adaptive execution can split one with very many classes.
     """
-    placed = classes.select("node", F.explode("buckets").alias("bucket"))
+    placed = classes.select("node", "n_grams", F.explode("buckets").alias("bucket"))
     shared = (
         placed.groupBy("bucket")
-        .agg(F.min("node").alias("hub"), F.max("node").alias("last"))
+        .agg(
+            F.min("node").alias("hub"),
+            F.max("node").alias("last"),
+            F.count(F.lit(1)).alias("n"),
+            _blocks(block_classes, block_grams),
+        )
         .where("hub <> last")
         .drop("last")
     )
-    shared = settled(shared, folder)
+    shared = settled(shared, f"{folder}/buckets")
     edges = placed.join(shared, "bucket").where("node <> hub")
-    return components(edges.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    groups = components(edges.select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct())
+    by_bucket = (
+        shared.join(groups.toDF("hub", "component"), "hub")
+        .groupBy("component")
+        .agg(F.sum(F.col("n").cast("double") * (F.col("n") - 1)).alias("apart"))
+    )
+    together = (
+        classes.select("node", "n_grams")
+        .join(groups, "node")
+        .groupBy("component")
+        .agg(F.count(F.lit(1)).cast("double").alias("n"), _blocks(block_classes, block_grams))
+    )
+    ways = together.join(by_bucket, "component").select(
+        "component", "blocks", (F.col("apart") < F.col("n") * (F.col("n") - 1)).alias("sparse")
+    )
+    ways = settled(ways, f"{folder}/ways")
+    members = groups.join(ways, "component")
+
+    def place(name: str) -> Column:
+        block = F.pmod(F.xxhash64(F.lit(5), "node"), "blocks").alias("block")
+        return F.struct(F.col(name).alias("place"), block, "blocks")
+
+    sparse = members.where("sparse").select("node").join(placed.drop("n_grams"), "node")
+    return (
+        members.where("not sparse")
+        .select("node", F.array(place("component")).alias("places"))
+        .union(
+            sparse.join(shared.select("bucket", "blocks"), "bucket")
+            .groupBy("node")
+            .agg(F.collect_list(place("bucket")).alias("places"))
+        )
+    )
 
 
 def linked_pairs(
@@ -189,8 +237,11 @@ def forest_labels(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return label
 
 
-def _verify(rows: list[tuple], threshold: float) -> Iterator[tuple[str, int, str]]:
-    """Links and one linked class for each class of a pair of blocks."""
+def _verify(rows: list[tuple], threshold: float, place: int) -> Iterator[tuple[str, int, str]]:
+    """Links and one linked class for each class of a pair of blocks.
+
+    A pair with several places in common counts in the smallest alone.
+    """
     unique = {r[0]: r for r in rows}  # rows that share a key and a text come twice
     rows = [unique[k] for k in sorted(unique)]
     blocks = np.array([r[1] for r in rows])
@@ -201,6 +252,10 @@ def _verify(rows: list[tuple], threshold: float) -> Iterator[tuple[str, int, str
     sets = [np.frombuffer(r[3], "<u8") for r in rows]
     i, j = linked_pairs(sets, threshold, left, right)
     a, b = left[i], right[j]
+    if any(len(r[5]) > 1 for r in rows):
+        places = [frozenset(r[5]) for r in rows]
+        first = [min(places[x] & places[y]) == place for x, y in zip(a, b, strict=True)]
+        a, b = a[first], b[first]
     copies = np.array([r[2] for r in rows], np.int64)
     links = np.zeros(len(rows), np.int64)
     np.add.at(links, a, copies[b])
@@ -247,16 +302,8 @@ def jaccard_groups(
         .withColumn("node", F.xxhash64("set_key")),
         "classes",
     )
-    groups = _candidate_groups(classes, f"{folder}/buckets")
-    members = classes.drop("buckets").join(groups, "node")
-    sizes = members.groupBy("component").agg(
-        F.greatest(
-            F.ceil(F.count(F.lit(1)) / block_classes), F.ceil(F.sum("n_grams") / block_grams)
-        ).alias("blocks")
-    )
-    members = members.join(written(sizes, "sizes"), "component").withColumn(
-        "block", F.pmod(F.xxhash64(F.lit(5), "set_key"), "blocks")
-    )
+    places = candidate_places(classes, folder, block_classes, block_grams)
+    members = classes.select("node", "set_key", "first", "copies").join(places, "node")
     links = written(_links(docs, members, key, text, width, threshold), "links")
     labels = components(links.select(F.col("set_key").alias("a"), F.col("peer").alias("b")))
     counted = links.groupBy("set_key").agg(F.sum("links").alias("links"))
@@ -336,51 +383,57 @@ def _links(
                 data = [s.astype("<u8").tobytes() for s, ok in zip(sets, same, strict=True) if ok]
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[1:], pa.array(data, pa.binary())],
-                    names=["set_key", "component", "block", "blocks", "copies", "grams"],
+                    names=["set_key", "places", "copies", "grams"],
                 )
 
     texts = docs.select(F.col(key).cast(_key_type(docs, key)).alias("first"), F.col(text).alias("body"))
     wanted = members.join(texts, texts["first"].eqNullSafe(members["first"])).select(
-        "body", "set_key", "component", "block", "blocks", "copies"
+        "body", "set_key", "places", "copies"
     )
+    place = "struct<place: bigint, block: bigint, blocks: bigint>"
     sets = map_arrow(
-        wanted,
+        wanted.withColumn("places", F.col("places").cast(f"array<{place}>")),
         grams,
-        "set_key string, component long, block long, blocks long, copies long, grams binary",
+        f"set_key string, places array<{place}>, copies long, grams binary",
     )
     paired = (
-        sets.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        sets.select("*", F.col("places.place").alias("all_places"), F.explode("places").alias("at"))
+        .select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("at.blocks") - 1)).alias("other"))
         .select(
-            "component",
-            F.least("block", "other").alias("low"),
-            F.greatest("block", "other").alias("high"),
+            F.col("at.place").alias("place"),
+            F.least("at.block", "other").alias("low"),
+            F.greatest("at.block", "other").alias("high"),
             "set_key",
-            "block",
+            F.col("at.block").alias("block"),
             "copies",
             "grams",
+            "all_places",
         )
-        .repartition("component", "low", "high")
-        .sortWithinPartitions("component", "low", "high")
+        .repartition("place", "low", "high")
+        .sortWithinPartitions("place", "low", "high")
     )
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def groups() -> Iterator[list[tuple]]:
+        def groups() -> Iterator[tuple[int, list[tuple]]]:
             current, rows = None, []
             for batch in batches:
-                for c, low, high, name, block, copies, data in zip(*batch.columns, strict=True):
-                    at = (c.as_py(), low.as_py(), high.as_py())
+                for p, low, high, name, block, copies, data, places in zip(*batch.columns, strict=True):
+                    at = (p.as_py(), low.as_py(), high.as_py())
                     if at != current and rows:
-                        yield rows
+                        yield current[0], rows
                         rows = []
                     current = at
                     rows.append(
-                        (name.as_py(), block.as_py(), copies.as_py(), data.as_py(), at[1] != at[2])
-                    )
+                        (
+                            name.as_py(), block.as_py(), copies.as_py(), data.as_py(),
+                            at[1] != at[2], places.as_py(),
+                        )
+                    )
             if rows:
-                yield rows
+                yield current[0], rows
 
-        for rows in groups():
-            found = list(_verify(rows, threshold))
+        for at, rows in groups():
+            found = list(_verify(rows, threshold, at))
             if found:
                 names, links, peers = zip(*found, strict=True)
                 yield pa.RecordBatch.from_arrays(

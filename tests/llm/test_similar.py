@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from obsengine.llm import embeddings, jaccard, spotsigs
 from obsengine.llm.components import components
 from obsengine.llm.queries import op10_spotsigs
+from obsengine.session import fresh_folder
 from tests.conftest import SMALL, rows
 
 
@@ -114,6 +115,47 @@ def test_bands_reach_their_recall():
     assert jaccard.choose_bands(0.5, 0.9, 40)[1] >= 2
 
 
+def chain(length, words, step):
+    """Texts of which each shares all but ``step`` words with the next one."""
+    return [" ".join(f"w{i}" for i in range(at * step, at * step + words)) for at in range(length)]
+
+
+@pytest.mark.parametrize("texts, spare", [(chain(600, 200, 40), 1.1), (chain(40, 100, 5), 10)])
+def test_candidates_meet_where_it_takes_the_fewest_comparisons(spark, texts, spare):
+    """Neighbours that share 160 of 200 words are candidates now and then: buckets stay apart.
+    Those that share 95 of 100 share many buckets, so their group is compared as a whole."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    signed = jaccard._signatures(docs, "doc_id", "text", 5, *jaccard.choose_bands(0.8, 0.9995))
+    signed = signed.withColumn("node", F.xxhash64("set_key"))
+    places = jaccard.candidate_places(signed, fresh_folder(spark, "places"))
+
+    def members(table, column):
+        found = {}
+        for r in table.select("node", F.explode(column).alias("at")).collect():
+            found.setdefault(r.at, set()).add(r.node)
+        return list(found.values())
+
+    def pairs(sets):
+        return {(x, y) for c in sets for x in c for y in c if x < y}
+
+    def comparisons(sets):
+        return sum(len(c) * (len(c) - 1) // 2 for c in sets)
+
+    buckets, met = members(signed, "buckets"), members(places, "places.place")
+    sharing = pairs(buckets)
+    assert sharing <= pairs(met) and len(pairs(met)) <= spare * len(sharing)
+    assert comparisons(met) <= comparisons(buckets)
+
+
+@pytest.mark.parametrize("blocks", [400, 2])
+def test_chains_have_all_their_links(spark, blocks):
+    docs = list(enumerate(chain(60, 100, 5) + chain(60, 100, 5)[::3] + chain(30, 200, 40), 1))
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    found = jaccard.jaccard_groups(frame, block_classes=blocks, recall=0.99999)
+    got = sorted([(r.doc_id, r.class_id, r.n_links) for r in found.collect()], key=repr)
+    assert got == brute_jaccard(docs)
+
+
 def test_the_threshold_itself_is_a_link():
     a = np.arange(9, dtype=np.uint64)
     b = np.arange(1, 10, dtype=np.uint64)  # 8 of 10: exactly 0.8
