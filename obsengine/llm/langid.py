@@ -1,9 +1,10 @@
 """Language identification by interpolated Kneser-Ney character models.
 
 One model per language over the letters of a text: lower case, every run of other characters
-one space, a text between spaces.  N-grams are 64-bit hashes in one sorted array per order,
-shared by the languages, beside a column per language of discounted probabilities and
-back-off weights.  The language with the lowest cross-entropy per character wins.  A text
+one space, a text between spaces.  N-grams are 64-bit hashes in one sorted array per language and
+order, beside their discounted probabilities, and so are contexts with their back-off weights, so
+a model is as large as the n-grams of its languages together.  Every distinct n-gram of a batch of
+texts is looked up once.  The language with the lowest cross-entropy per character wins.  A text
 whose cross-entropy lies a margin above what is usual for that language is marked as rejected.
 
 The models are fitted on a bounded sample of labelled rows: ``per_language`` rows of each
@@ -71,58 +72,74 @@ def gram_hashes(symbols: np.ndarray, order: int) -> list[np.ndarray]:
     return hashes
 
 
+@dataclass
+class Grams:
+    """Values by hash: ``values`` beside the sorted ``keys``, ``other`` for all other hashes."""
+
+    keys: np.ndarray
+    values: np.ndarray
+    other: float
+
+    @classmethod
+    def of(cls, hashes: np.ndarray, values: np.ndarray, other: float) -> "Grams":
+        order = np.argsort(hashes)
+        return cls(hashes[order], values[order], other)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        at = np.searchsorted(self.keys, hashes)
+        at[at == len(self.keys)] = 0
+        return np.where(self.keys[at] == hashes, self.values[at], self.other)
+
+
 @dataclass
 class Model:
-    """Fitted languages; ``keys[k]`` are the sorted hashes of the (k+1)-grams."""
+    """Fitted languages: for each one by order the ``gains`` of n-grams, for each context length
+    from 0 the back-off ``weights`` of contexts, and ``floor``, the probability below all orders."""
 
     languages: list[str]
     order: int
-    keys: list[np.ndarray] = field(default_factory=list)
-    gains: list[np.ndarray] = field(default_factory=list)
-    weights: list[np.ndarray] = field(default_factory=list)
-    floor: np.ndarray | None = None
+    gains: list[list[Grams]] = field(default_factory=list)
+    weights: list[list[Grams]] = field(default_factory=list)
+    floor: float = 1.0
     limits: np.ndarray | None = None
-    table: np.ndarray | None = None
 
-    def _find(self, k: int, hashes: np.ndarray) -> np.ndarray:
-        """Row of each hash among the (k+1)-grams, the last row where it is unknown."""
-        keys = self.keys[k]
-        at = np.searchsorted(keys, hashes)
-        at[at == len(keys)] = 0
-        return np.where(keys[at] == hashes, at, len(keys))
+    def size(self) -> int:
+        """Bytes of all arrays."""
+        lists = [*self.gains, *self.weights]
+        return sum(g.keys.nbytes + g.values.nbytes for grams in lists for g in grams)
 
     def log_probabilities(self, hashes: list[np.ndarray], contexts: list[np.ndarray]) -> np.ndarray:
         """Interpolated log probability of each symbol in each language.
 
         ``hashes[k]`` are the (k+1)-grams that end at the symbols, ``contexts[k]`` those before.
         """
-        p = np.broadcast_to(self.floor, (len(hashes[0]), len(self.languages)))
-        for k in range(self.order):
-            gain = self.gains[k][self._find(k, hashes[k])]
-            if k == 0:
-                p = gain + p * self.weights[0][-1]
-            else:
-                p = gain + p * self.weights[k][self._find(k - 1, contexts[k - 1])]
-        return np.log(p)
+        out = np.empty((len(hashes[0]), len(self.languages)))
+        for j in range(len(self.languages)):
+            p = np.full(len(hashes[0]), self.floor)
+            for k in range(self.order):
+                before = contexts[k - 1] if k else np.zeros(len(p), np.uint64)
+                p = self.gains[j][k].find(hashes[k]) + p * self.weights[j][k].find(before)
+            out[:, j] = np.log(p)
+        return out
 
     def entropies(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Cross-entropy per character in each language, and letters, of each text."""
         symbols, owner, letters = letter_stream(texts, self.order - 1)
         hashes = gram_hashes(symbols, self.order)
         real = np.flatnonzero(symbols)
-        top = hashes[-1][real]
-        rows = self._find(self.order - 1, top)
-        logs = self.table[rows]
-        new = np.flatnonzero(rows == len(self.keys[-1]))
-        if len(new):
-            at = real[new]
-            logs[new] = self.log_probabilities(
-                [h[at] for h in hashes], [h[np.maximum(at - 1, 0)] for h in hashes[:-1]]
-            )
-        counts = np.bincount(owner[real], minlength=len(texts))
+        _, first, which = np.unique(hashes[-1][real], return_index=True, return_inverse=True)
+        at = real[first]
+        logs = self.log_probabilities(
+            [h[at] for h in hashes], [h[np.maximum(at - 1, 0)] for h in hashes[:-1]]
+        )
+        owner = owner[real]
+        counts = np.bincount(owner, minlength=len(texts))
         total = np.stack(
             [
-                np.bincount(owner[real], weights=logs[:, j], minlength=len(texts))
+                np.bincount(owner, weights=logs[which, j], minlength=len(texts))
                 for j in range(len(self.languages))
             ],
             axis=1,
@@ -210,57 +227,29 @@ def kneser_ney(counts: dict[str, dict[str, int]], order: int) -> Model:
     )
 
 
-def _kneser_ney(
-    counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int, rows: int = 1 << 18
-) -> Model:
-    """``kneser_ney`` from code points and counts; known grams are looked at ``rows`` at a time."""
+def _kneser_ney(counts: dict[str, tuple[np.ndarray, np.ndarray]], order: int) -> Model:
+    """``kneser_ney`` from code points and counts."""
     model = Model(sorted(counts), order)
-    size = len(model.languages)
     vocabulary = np.unique(np.concatenate([np.unique(g[:, -1]) for g, _ in counts.values()]))
-    model.floor = np.full(size, 1.0 / (len(vocabulary) + 1))
-    gains: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(order)]
-    weights: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(order)]
+    model.floor = 1.0 / (len(vocabulary) + 1)
     for lang in model.languages:
         grams, n = counts[lang]
-        for k in range(order - 1, -1, -1):
+        gains, weights = [], []
+        for _ in range(order):
             ones, twos = int((n == 1).sum()), int((n == 2).sum())
             discount = min(0.95, max(0.1, ones / (ones + 2 * twos))) if ones + twos else 0.5
             contexts, context = np.unique(_row_hashes(grams[:, :-1]), return_inverse=True)
             totals = np.bincount(context, weights=n, minlength=len(contexts))
             kinds = np.bincount(context, minlength=len(contexts))
-            gains[k].append((_row_hashes(grams), (n - discount) / totals[context]))
-            weights[k].append((contexts, discount * kinds / totals))
+            gains.insert(0, Grams.of(_row_hashes(grams), (n - discount) / totals[context], 0.0))
+            weights.insert(0, Grams.of(contexts, discount * kinds / totals, 1.0))
             # In how many ways each shorter gram is continued to the left.
             _, first, n = np.unique(
                 _row_hashes(grams[:, 1:]), return_index=True, return_counts=True
             )
             grams = grams[first, 1:]
-
-    def columns(keys: np.ndarray, parts: list[tuple[np.ndarray, np.ndarray]], other: float) -> np.ndarray:
-        """A row a key and one for unknown keys, a column a language, ``other`` where it has none."""
-        out = np.full((len(keys) + 1, size), other)
-        for j, (hashes, values) in enumerate(parts):
-            out[np.searchsorted(keys, hashes), j] = values
-        return out
-
-    for k in range(order):
-        lower = weights[k + 1] if k + 1 < order else []
-        keys = np.unique(np.concatenate([h for h, _ in [*gains[k], *lower]]))
-        model.keys.append(keys)
-        model.gains.append(columns(keys, gains[k], 0.0))
-        if k + 1 < order:
-            model.weights.append(columns(keys, lower, 1.0))
-    model.weights.insert(0, np.array([[values[0] for _, values in weights[0]]]))
-    known = model.keys[-1]
-    model.table = np.zeros((len(known) + 1, size))
-    for lang in model.languages:
-        grams, _ = counts[lang]
-        for at in range(0, len(grams), rows):
-            some = grams[at : at + rows]
-            model.table[np.searchsorted(known, _row_hashes(some))] = model.log_probabilities(
-                [_row_hashes(some[:, order - 1 - k :]) for k in range(order)],
-                [_row_hashes(some[:, order - 2 - k : order - 1]) for k in range(order - 1)],
-            )
+        model.gains.append(gains)
+        model.weights.append(weights)
     return model
 
 

@@ -226,5 +226,17 @@ def test_no_language_loses_rare_grams(spark):
             rows.append((i, (signs + first).astype("<u4").tobytes().decode("utf-32-le"), lang))
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.fit(frame)
-    known = (model.gains[-1] > 0).sum(axis=0)
-    assert known[0] == known[1] and known.sum() > 4_000_000
+    known = [len(gains[-1]) for gains in model.gains]
+    assert known[0] == known[1] and sum(known) > 4_000_000
+
+
+def test_model_grows_with_its_grams_not_with_languages_squared():
+    rnd = np.random.default_rng(1)
+
+    def fitted(languages):
+        grams = [rnd.integers(97, 137, (48_000, 4)).astype(np.uint32) for _ in range(languages)]
+        counts = {f"l{i:02}": (g, np.ones(len(g), np.int64)) for i, g in enumerate(grams)}
+        return langid._kneser_ney(counts, 4)
+
+    small, large = fitted(4).size(), fitted(64).size()
+    assert large < 200e6 and large < 1.05 * 16 * small
