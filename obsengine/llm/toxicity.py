@@ -118,11 +118,15 @@ class Lexicon:
                     continue
                 if weight > best.get(first, 0.0):
                     best[first] = weight
-        return [
-            (at, weight)
-            for at, weight in sorted(best.items())
-            if not any(first <= at <= last for first, last in spared)
-        ]
+        spared.sort()
+        kept, reach, i = [], -1, 0
+        for at in sorted(best):
+            while i < len(spared) and spared[i][0] <= at:
+                reach = max(reach, spared[i][1])
+                i += 1
+            if at > reach:
+                kept.append((at, best[at]))
+        return kept
 
     def measure(self, text: str) -> tuple[float, int, int]:
         """Weight divided by log length, matched words, words."""
@@ -160,7 +164,6 @@ def fit(
     label: str = "toxic",
     key: str = "doc_id",
     per_label: int = 12_000,
-    max_entries: int = 20_000,
     min_support: int = 6,
     min_share: float = 0.004,
     min_weight: float = 3.0,
@@ -172,8 +175,9 @@ def fit(
 
     Null texts, null keys and other labels are left out; of several labels the largest counts.
     The sample has about ``per_label`` keys of each label at most, so it can be broadcast to the
-    texts, and the lexicon ``max_entries`` entries, so what reaches the driver is bounded.  An entry needs
-    ``min_support`` toxic texts that are no copies of each other and a ``min_share`` of them.
+    texts.  An entry needs ``min_support`` toxic texts that are no copies of each other and a
+    ``min_share`` of them, so there are at most 1 / ``min_share`` times as many entries as terms in
+    a toxic text of the sample; all that qualify are taken, and so are all exceptions.
     """
     each = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     each = each.groupBy(key).agg(F.max(label).cast("int").alias("toxic"))
@@ -231,7 +235,6 @@ def fit(
     entries = (
         terms.where((F.col("toxic") >= support) & (F.col("weight") >= min_weight))
         .orderBy(F.desc(F.col("weight") * F.col("toxic")), "term")
-        .limit(max_entries)
         .collect()
     )
     weights = {r.term: round(r.weight, 6) for r in entries}
@@ -246,7 +249,6 @@ def fit(
             terms.where(F.col("term").endswith(" ") & start)
             .where((F.col("clean") >= 2) & (F.col("weight") < 0))
             .orderBy(F.desc("clean"), "term")
-            .limit(max_entries)
             .collect()
         )
         exceptions = (*exceptions, *(r.term for r in harmless))

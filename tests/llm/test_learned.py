@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 
 from obsengine.llm import langid, toxicity
 from obsengine.llm.queries import op5_langid, op8_toxicity
@@ -230,6 +231,49 @@ def test_no_language_loses_rare_grams(spark):
     assert known[0] == known[1] and sum(known) > 4_000_000
 
 
+def naive_hits(weights, exceptions, folded):
+    """Every place and every entry, one by one."""
+    letter = [c.isalpha() for c in folded] + [False]
+    opens = [at for at in range(len(folded)) if at == 0 or not letter[at - 1]]
+    spared = set()
+    for at in opens:
+        for phrase in exceptions:
+            bare = phrase.rstrip(" ")
+            if folded.startswith(bare, at) and not letter[at + len(bare)]:
+                spared.update(range(at, at + len(bare)))
+    found = []
+    for at in opens:
+        fit = [
+            w
+            for entry, w in weights.items()
+            if folded.startswith(entry.rstrip(" "), at)
+            and (entry[-1] != " " or not letter[at + len(entry.rstrip(" "))])
+        ]
+        if fit and at not in spared:
+            found.append((at, max(fit)))
+    return found
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_hits_match_a_naive_scan(seed):
+    rnd = random.Random(seed)
+
+    def word():
+        return "".join(rnd.choices("abc", k=rnd.randrange(1, 5)))
+
+    weights = {word() + rnd.choice(["", " "]): rnd.randrange(1, 9) / 2 for _ in range(25)}
+    exceptions = tuple({word() + rnd.choice(["", " " + word(), " " + word() + " a"]) for _ in range(15)})
+    lexicon = toxicity.Lexicon(weights, exceptions)
+    spared = False
+    for _ in range(200):
+        text = "".join(word() + rnd.choice([" ", "  ", ", ", "-", "x", "9"]) for _ in range(rnd.randrange(0, 30)))
+        text = toxicity.fold(text)
+        wanted = naive_hits(weights, exceptions, text)
+        assert lexicon.hits(text) == wanted, text
+        spared |= wanted != naive_hits(weights, (), text)
+    assert spared  # exceptions were met
+
+
 def test_model_grows_with_its_grams_not_with_languages_squared():
     rnd = np.random.default_rng(1)
 
