@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -130,8 +131,9 @@ class Model:
         symbols, owner, letters = letter_stream(texts, self.order - 1)
         hashes = gram_hashes(symbols, self.order)
         real = np.flatnonzero(symbols)
-        _, first, which = np.unique(hashes[-1][real], return_index=True, return_inverse=True)
-        at = real[first]
+        which, grams = pd.factorize(hashes[-1][real])
+        at = np.empty(len(grams), np.int64)
+        at[which] = real  # any place of an n-gram will do
         logs = self.log_probabilities(
             [h[at] for h in hashes], [h[np.maximum(at - 1, 0)] for h in hashes[:-1]]
         )
