@@ -302,7 +302,8 @@ def q_data_prep(spark, folder):
 
 def q_dim_lookup(spark, folder):
     names = set(STAGING_COLUMNS) - {"rqa_dati_aria_cor", "v_rqa_rete_regionale_ipr"}
-    return dim_lookup({name: stage(name, raw_table(spark, folder, name)) for name in names})
+    staged = {name: stage(name, raw_table(spark, folder, name)) for name in names}
+    return dim_lookup(staged, bucketed=False)
 
 
 def q_dq_unique_key(spark, folder):

@@ -51,7 +51,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     Larger tables are left to Spark: their statistics (or, with AQE, their measured
     shuffle size) decide, and otherwise they are shuffled, where AQE splits a hot key.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
+    """Whether a count finds ``max_rows`` rows at most.  Runs a job."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def data_prep(measurements: DataFrame, configurations: DataFrame, parameters: DataFrame) -> DataFrame:
@@ -76,25 +81,24 @@ def data_prep(measurements: DataFrame, configurations: DataFrame, parameters: Da
     )
 
 
-def dim_lookup(staged: dict[str, DataFrame]) -> DataFrame:
+def dim_lookup(staged: dict[str, DataFrame], bucketed: bool = True) -> DataFrame:
     """One wide descriptive row per configuration.
 
-    The arms of the snowflake are joined first, so the configurations are shuffled once
-    per arm and not once per table, and their locations come first: where both tables are
-    kept in buckets of the location code, neither is shuffled for it.  Units, frequencies, station
-    classes, provinces, towns and zones have few codes: shuffling on one of them would leave
-    most tasks empty, so these tables are broadcast after a check of their size.  Runs jobs.
+    Every exchange moves the configurations with all that was joined before, so what is long
+    comes late.  Tables found small are broadcast after the last exchange: units, frequencies and
+    station classes have few codes, and shuffling on one of them would leave most tasks empty.
+    The parameters, which have fewer columns, come before the locations, unless both
+    configurations and locations are kept in buckets of the location code (``bucketed``): then
+    the locations come first and neither is shuffled for them.  Runs jobs.
     """
     small = {
         name: broadcast_if_small(staged[name])
-        for name in (
-            "t_unita_misura", "rqa_t_frequenze", "rqa_t_stclass_eu", "province", "comuni", "rqa_t_zona",
-        )
-    }
+        for name in ("province", "comuni", "rqa_t_zona")
+    }
     location = (
         staged["rqa_ubicazioni"]
-        .join(small["province"], "cod_prov")
         .join(small["comuni"], ["cod_com", "cod_prov"], "left")
+        .join(small["province"], "cod_prov")
         .join(small["rqa_t_zona"], "cod_tzona", "left")
     )
     parameter = (
@@ -103,13 +107,21 @@ def dim_lookup(staged: dict[str, DataFrame]) -> DataFrame:
         .join(staged["rqa_metodi"], "cod_metodo")
     )
     owner = staged["rqa_enti"].join(staged["rqa_t_reti"], "t_rete")
-    return (
-        staged["rqa_configurazioni"]
-        .join(location, "cod_ubic")
-        .join(small["t_unita_misura"], "cod_mis")
-        .join(small["rqa_t_frequenze"], "cod_freq")
-        .join(small["rqa_t_stclass_eu"], "station_cl_eu", "left")
-        .join(owner, "cod_ente")
-        .join(parameter, "cod_param")
-        .select(*DIM_LOOKUP_COLUMNS)
-    )
+    narrow, late = [], []
+    for table, key, how in (
+        (staged["t_unita_misura"], "cod_mis", "inner"),
+        (staged["rqa_t_frequenze"], "cod_freq", "inner"),
+        (staged["rqa_t_stclass_eu"], "station_cl_eu", "left"),
+        (owner, "cod_ente", "inner"),
+    ):
+        if is_small(table):
+            late.append((F.broadcast(table), key, how))
+        else:
+            narrow.append((table, key, how))
+    by_parameter = [*narrow, (parameter, "cod_param", "inner")]
+    by_location = [(location, "cod_ubic", "inner")]
+    large = by_location + by_parameter if bucketed else by_parameter + by_location
+    rows = staged["rqa_configurazioni"]
+    for table, key, how in large + late:
+        rows = rows.join(table, key, how)
+    return rows.select(*DIM_LOOKUP_COLUMNS)

@@ -165,3 +165,16 @@ def test_lookup_never_exchanges_on_codes_of_few_values(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     for code in ("cod_mis", "cod_freq", "station_cl_eu"):
         assert not [x for x in exchanges(text) if re.match(rf"(coalesce\()?{code}", x[1])]
+
+
+def test_lookup_moves_parameters_before_the_wider_locations(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large statistics
+    try:
+        text = plan(QUERIES["dim_lookup"](spark, SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    keys = re.findall(r"Exchange hashpartitioning\((?:coalesce\()?(\w+)", text)
+    # The outermost exchange comes first: nothing is moved once the locations are joined.
+    assert keys.index("cod_ubic") < keys.index("cod_param")
+    assert "cod_ente" not in keys

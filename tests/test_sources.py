@@ -188,6 +188,49 @@ def test_lookup_moves_no_bucketed_row(spark):
     assert not re.findall(r"Exchange hashpartitioning\((?:coalesce\()?cod_ubic", text)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_lookup_is_the_same_in_any_order_of_joins(spark, monkeypatch, few):
+    from obsengine.operators import prep
+    from obsengine.operators.staging import STAGING_COLUMNS
+
+    def table(name, *rows):
+        columns = [c[-1].lower() if len(c) == 3 else c[0].lower() for c in STAGING_COLUMNS[name]]
+        return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+
+    staged = {
+        # The same configuration twice, one of no class and one each without parameter, owner and place.
+        "rqa_configurazioni": table(
+            "rqa_configurazioni",
+            ("1", "u1", "p1", "e1", "m1", "f1", "c1", "S"), ("1", "u1", "p1", "e1", "m1", "f1", "c1", "S"),
+            ("2", "u2", "p1", "e1", "m1", "f1", None, "N"), ("3", "u2", None, "e1", "m1", "f1", "c1", "N"),
+            ("4", "u1", "p1", "e9", "m1", "f1", "c1", "N"), ("5", None, "p1", "e1", "m1", "f1", "c1", "N"),
+        ),
+        "rqa_ubicazioni": table(
+            "rqa_ubicazioni",
+            ("u1", "d", "v", "1", "10", "1.0", "2.0", None, "x", "z1"), ("u2", "d", "v", "1", "11", None, None, None, "x", "z9"),
+        ),
+        "comuni": table("comuni", ("10", "town", "1"), ("10", "twin", "1"), ("11", "other", "2")),
+        "province": table("province", ("1", "one")),
+        "rqa_t_zona": table("rqa_t_zona", ("z1", "zone")),
+        "rqa_enti": table("rqa_enti", ("e1", "owner", "r1", "N"), ("e1", "owner 2", "r1", "S")),
+        "rqa_t_reti": table("rqa_t_reti", ("r1", "net")),
+        "rqa_parametri": table("rqa_parametri", ("p1", "ozone", "O3", "k1", "S", "l1")),
+        "rqa_elementi": table("rqa_elementi", ("l1", "element")),
+        "rqa_metodi": table("rqa_metodi", ("k1", "method")),
+        "rqa_t_stclass_eu": table("rqa_t_stclass_eu", ("c1", "class")),
+        "rqa_t_frequenze": table("rqa_t_frequenze", ("f1", "hourly")),
+        "t_unita_misura": table("t_unita_misura", ("m1", "ug")),
+    }
+    monkeypatch.setattr(prep, "is_small", lambda df, max_rows=0: few)
+    found = [rows(prep.dim_lookup(staged, bucketed)) for bucketed in (True, False)]
+    assert found[0] == found[1]
+    place = prep.DIM_LOOKUP_COLUMNS.index
+    # Two towns and two owners make four rows of each copy of configuration 1.
+    assert [r[place("cod_conf")] for r in found[0]] == ["1"] * 8 + ["2"] * 2
+    assert [r[place("nom_com")] for r in found[0]] == ["town"] * 4 + ["twin"] * 4 + [None] * 2
+    assert {r[place("desc_eu")] for r in found[0] if r[place("cod_conf")] == "2"} == {None}
+
+
 def test_ingest_never_overwrites(spark, tmp_path):
     base = str(tmp_path / "landed")
     written = ingest_tables(lambda name: spark.range(3).withColumn("t", F.lit(name)), base)
