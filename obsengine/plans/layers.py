@@ -61,7 +61,8 @@ def build_layers(
         assert_unique(prep)
     out["data_prep"] = prep
     if set(out) >= _LOOKUP_TABLES:
-        out["data_lookup"] = store.table(SILVER, "data_lookup", dim_lookup(out))
+        lookup = dim_lookup(out, bucketed=isinstance(store, CatalogStore))
+        out["data_lookup"] = store.table(SILVER, "data_lookup", lookup)
     means = store.table(SILVER, "daily_mean", daily_mean_levels(prep))
     moving = store.table(
         SILVER, "moving_mean", moving_mean(prep, start, end, unique_hours=unique)

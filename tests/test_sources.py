@@ -337,6 +337,27 @@ def test_layers_want_their_tables(spark):
         build_layers(raw, CatalogStore(spark), *JANUARY)
 
 
+@pytest.mark.parametrize("kept", [FolderStore, CatalogStore])
+def test_layers_order_the_lookup_by_what_the_store_keeps(spark, tmp_path, monkeypatch, kept):
+    class Seen(Exception):
+        pass
+
+    def lookup(staged, bucketed=None):
+        raise Seen(bucketed)
+
+    monkeypatch.setattr("obsengine.plans.layers.dim_lookup", lookup)
+    events = ev.table(spark, SMALL, "events").limit(20)
+    raw = {name: raw_table(spark, SMALL, name).limit(20) for name in RAW_TABLES} | {
+        "rqa_dati_aria_cor": ev.raw_measurements(events),
+        "rqa_configurazioni": ev.raw_configurations(events),
+        "rqa_parametri": ev.raw_parameters(events),
+    }
+    store = CatalogStore(spark) if kept is CatalogStore else FolderStore(spark, str(tmp_path))
+    with pytest.raises(Seen) as seen:
+        build_layers(raw, store, *JANUARY)
+    assert seen.value.args == (kept is CatalogStore,)
+
+
 def test_other_event_types_fall_into_the_last_channel(spark):
     hour = datetime(2024, 3, 5, 7, 10)
     events = spark.createDataFrame(
